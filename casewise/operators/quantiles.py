@@ -41,6 +41,16 @@ def _interp(n: Column, p: float, v_of_rank) -> Column:
     return F.when(n > 0, value)
 
 
+def _prepare(df: DataFrame, by, value):
+    by = list(by)
+    vcol = F.col(value) if isinstance(value, str) else value
+    keys = by if by else ["__g"]
+    base = df.select(*[F.col(c) for c in by], vcol.alias("__v"))
+    if not by:
+        base = base.withColumn("__g", F.lit(0))
+    return by, keys, base
+
+
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str],
                     cap: int = DEFAULT_CAP, bins: int = DEFAULT_BINS,
@@ -50,14 +60,9 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
     Returns ``by + names`` (plus ``n`` when ``with_count``); a group whose
     values are all NULL gets NULL quantiles, like ``percentile``.
     """
-    by = list(by)
     vcol = F.col(value) if isinstance(value, str) else value
-    keys = by if by else ["__g"]
-    base = df.select(*[F.col(c) for c in by], vcol.cast("double").alias("__v"))
-    if not by:
-        base = base.withColumn("__g", F.lit(0))
-    stats = base.groupBy(*keys).agg(F.count("__v").alias("n"), F.min("__v").alias("__lo"),
-                                    F.max("__v").alias("__hi"))
+    by, keys, base = _prepare(df, by, vcol.cast("double"))
+    stats = base.groupBy(*keys).agg(F.count("__v").alias("n"))
     max_n = stats.agg(F.max("n")).first()[0] or 0
     if max_n <= cap:
         aggs = [F.percentile("__v", float(p)).alias(nm) for p, nm in zip(probs, names)]
@@ -65,29 +70,55 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
             aggs.append(F.count("__v").alias("n"))
         out = base.groupBy(*keys).agg(*aggs)
         return out.drop("__g") if not by else out
-    return _select_ranks(base, stats, keys, by, probs, names, cap, bins, with_count)
-
-
-def _select_ranks(base, stats, keys, by, probs, names, cap, bins, with_count):
     rank_cols = []
     for p in probs:
         pos = (F.col("n") - 1).cast("double") * F.lit(float(p))
         rank_cols += [F.floor(pos).cast("bigint"), F.ceil(pos).cast("bigint")]
-    state = stats.where(F.col("n") > 0).select(
-        *keys, F.explode(F.array_distinct(F.array(*rank_cols))).alias("__r"),
-        F.col("__lo"), F.col("__hi"), F.lit(0).cast("bigint").alias("__below"))
+    ranks = stats.where(F.col("n") > 0).select(
+        *keys, F.explode(F.array_distinct(F.array(*rank_cols))).alias("__r"))
+    values = _select_ranks(base, keys, ranks, cap, bins)
+    vmap = values.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("__r", "__val"))).alias("__m"))
+    out = stats.join(vmap, keys, "left")
+    cols = [F.col(k) for k in by]
+    for p, nm in zip(probs, names):
+        cols.append(_interp(F.col("n"), p, lambda r: F.element_at(F.col("__m"), r)).alias(nm))
+    if with_count:
+        cols.append(F.col("n"))
+    return out.select(*cols)
+
+
+def values_at_ranks(df: DataFrame, by: Sequence[str], value: str | Column, ranks: DataFrame,
+                    cap: int = DEFAULT_CAP, bins: int = DEFAULT_BINS) -> DataFrame:
+    """Value of 0-based rank ``__r`` (ascending, NULLs ignored) per group.
+
+    ``ranks`` holds ``by + ["__r"]``; the result holds ``by + ["__r", "__val"]``.
+    """
+    by, keys, base = _prepare(df, by, value)
+    base = base.where(F.col("__v").isNotNull())
+    if not by:
+        ranks = ranks.withColumn("__g", F.lit(0))
+    out = _select_ranks(base, keys, ranks, cap, bins)
+    return out.drop("__g") if not by else out
+
+
+def _select_ranks(base, keys, ranks, cap, bins):
+    base = base.where(F.col("__v").isNotNull())
+    bounds = base.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
+    state = ranks.join(bounds, keys).select(*keys, "__r", "__lo", "__hi",
+                                            F.lit(0).cast("bigint").alias("__below"))
     found = []
     for _ in range(MAX_ROUNDS):
         ranges = state.select(*keys, "__lo", "__hi", "__below").distinct()
         rows = base.join(bounded_broadcast(ranges), keys).where(
             (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
-        width = F.col("__hi") - F.col("__lo")
+        v, lo, hi = (F.col(c).cast("double") for c in ("__v", "__lo", "__hi"))
+        width = hi - lo
         bucket = F.when(width > 0, F.least(
-            F.floor((F.col("__v") - F.col("__lo")) / width * F.lit(float(bins))),
-            F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+            F.floor((v - lo) / width * F.lit(float(bins))), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
         hist = rows.withColumn("__b", bucket).groupBy(*keys, "__lo", "__hi", "__below", "__b").agg(
             F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax"))
-        w = Window.partitionBy(*keys, "__lo", "__hi").orderBy("__b") \
+        w = Window.partitionBy(*keys, "__lo", "__hi", "__below").orderBy("__b") \
             .rowsBetween(Window.unboundedPreceding, -1)
         hist = hist.withColumn("__start", F.col("__below") + F.coalesce(F.sum("__c").over(w), F.lit(0)))
         nxt = state.join(hist, [*keys, "__lo", "__hi", "__below"]).where(
@@ -105,15 +136,7 @@ def _select_ranks(base, stats, keys, by, probs, names, cap, bins, with_count):
     values = found[0]
     for extra in found[1:]:
         values = values.unionByName(extra)
-    vmap = values.groupBy(*keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("__r", "__val"))).alias("__m"))
-    out = stats.join(vmap, keys, "left")
-    cols = [F.col(k) for k in by]
-    for p, nm in zip(probs, names):
-        cols.append(_interp(F.col("n"), p, lambda r: F.element_at(F.col("__m"), r)).alias(nm))
-    if with_count:
-        cols.append(F.col("n"))
-    return out.select(*cols)
+    return values
 
 
 def _sort_small(base, small, keys):
