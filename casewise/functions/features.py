@@ -72,3 +72,65 @@ def format_pct(x, clamp: bool = False) -> Column:
         pct = F.least(F.greatest(pct, F.lit(0.0)), F.lit(100.0))
     whole = F.floor(pct + F.lit(0.5)).cast("bigint")
     return F.when(finite, F.concat(whole.cast("string"), F.lit("%"))).otherwise(F.lit("\u2014"))
+
+
+# The three what-if presets of the scoring form, with the
+# fallbacks used when the learnt ranges / domains are missing.
+PRESET_NAMES = ["Low wage / New company", "High wage / Experienced", "Mid wage / Training required"]
+PRESET_FALLBACK_WAGE = [25000, 120000, 65000]
+PRESET_FALLBACK_YEAR = [None, 1998, 2008]
+NEW_COMPANY_AGE = 5
+
+
+def js_round(x):
+    """Browser ``Math.round``: half up towards +inf."""
+    import math
+    return None if x is None else int(math.floor(x + 0.5))
+
+
+def scenario_presets(wage_min, wage_max, wage_p50, estab_min, estab_p50, yn_has_exp, yn_full_time,
+                     yn_training, now_year: int) -> list[dict]:
+    """F16: the three presets from learnt ranges (numbers) and sorted Y/N domains."""
+    def pick(dom, i, fallback):
+        return dom[i] if dom and len(dom) > i else fallback
+    return [
+        {"preset": PRESET_NAMES[0],
+         "prevailing_wage": js_round(wage_min) if wage_min is not None else PRESET_FALLBACK_WAGE[0],
+         "yr_of_estab": now_year - NEW_COMPANY_AGE,
+         "has_job_experience": pick(yn_has_exp, 1, "N"),
+         "full_time_position": pick(yn_full_time, 1, "N"),
+         "requires_job_training": pick(yn_training, 0, "Y")},
+        {"preset": PRESET_NAMES[1],
+         "prevailing_wage": js_round(wage_max) if wage_max is not None else PRESET_FALLBACK_WAGE[1],
+         "yr_of_estab": js_round(estab_min) if estab_min is not None else PRESET_FALLBACK_YEAR[1],
+         "has_job_experience": pick(yn_has_exp, 0, "Y"),
+         "full_time_position": pick(yn_full_time, 0, "Y"),
+         "requires_job_training": pick(yn_training, 1, "N")},
+        {"preset": PRESET_NAMES[2],
+         "prevailing_wage": js_round(wage_p50) if wage_p50 is not None else PRESET_FALLBACK_WAGE[2],
+         "yr_of_estab": js_round(estab_p50) if estab_p50 is not None else PRESET_FALLBACK_YEAR[2],
+         "has_job_experience": pick(yn_has_exp, 0, "Y"),
+         "full_time_position": None,
+         "requires_job_training": pick(yn_training, 0, "Y")},
+    ]
+
+
+def scenario_expand(df, presets: list[dict]):
+    """F16: every row once per preset; preset fields override, others kept.
+
+    The presets are a three-element literal array exploded per row (no join).
+    """
+    fields = ["prevailing_wage", "yr_of_estab", "has_job_experience", "full_time_position",
+              "requires_job_training"]
+    types = {"prevailing_wage": "double", "yr_of_estab": "bigint"}
+    arr = F.array(*[F.struct(F.lit(p["preset"]).alias("preset"),
+                             *[F.lit(p[f]).cast(types.get(f, "string")).alias(f) for f in fields])
+                    for p in presets])
+    out = df.withColumn("__p", F.explode(arr))
+    cols = []
+    for c in df.columns:
+        if c in fields:
+            cols.append(F.coalesce(F.col(f"__p.{c}"), F.col(c).cast(types.get(c, "string"))).alias(c))
+        else:
+            cols.append(F.col(c))
+    return out.select(*cols, F.col("__p.preset").alias("preset"))
