@@ -11,7 +11,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 _MODULES = ["q_sources", "q_columns", "q_profile", "q_stats", "q_quality", "q_sampling",
-            "q_features", "q_metrics", "q_neighbors", "q_models", "q_streaming"]
+            "q_features", "q_metrics", "q_neighbors", "q_models", "q_scoring", "q_streaming", "q_sinks"]
 
 
 def register(name: str, sql: str | None = None):
