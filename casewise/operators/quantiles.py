@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewise.operators.joins import bounded_broadcast
+from casewise.session import cut_lineage
 
 DEFAULT_CAP = 2_000_000
 DEFAULT_BINS = 2048
@@ -123,12 +124,14 @@ def _select_ranks(base, keys, ranks, cap, bins):
         hist = hist.withColumn("__start", F.col("__below") + F.coalesce(F.sum("__c").over(w), F.lit(0)))
         nxt = state.join(hist, [*keys, "__lo", "__hi", "__below"]).where(
             (F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__c")))
-        nxt = nxt.select(*keys, "__r", F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"),
-                         F.col("__start").alias("__below"), "__c").cache()
+        # small (ranks x groups) table; a reliable checkpoint keeps each round's
+        # plan flat instead of nesting every previous round inside it
+        nxt = cut_lineage(nxt.select(*keys, "__r", F.col("__bmin").alias("__lo"),
+                                     F.col("__bmax").alias("__hi"), F.col("__start").alias("__below"), "__c"))
         single = nxt.where(F.col("__lo") == F.col("__hi"))
         found.append(single.select(*keys, "__r", F.col("__lo").alias("__val")))
         small = nxt.where((F.col("__lo") < F.col("__hi")) & (F.col("__c") <= cap))
-        found.append(_sort_small(base, small, keys))
+        found.append(cut_lineage(_sort_small(base, small, keys)))
         state = nxt.where((F.col("__lo") < F.col("__hi")) & (F.col("__c") > cap)) \
             .select(*keys, "__r", "__lo", "__hi", "__below")
         if state.limit(1).count() == 0:

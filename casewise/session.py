@@ -18,12 +18,15 @@ DEFAULT_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "casewise", extra: dict | None = None) -> SparkSession:
+                  app: str = "casewise", extra: dict | None = None,
+                  driver_memory: str | None = "8g") -> SparkSession:
     """Return a session with the engine's defaults (AQE on, UTC)."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if driver_memory and master and master.startswith("local"):
+        conf["spark.driver.memory"] = driver_memory  # local mode: the driver is the executor
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
