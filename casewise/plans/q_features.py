@@ -275,3 +275,28 @@ def q_scenario_expand(spark, sf_dir):
 def q_format_pct(spark, sf_dir):
     df = cases_view(spark, sf_dir)
     return df.select("case_id", FX.format_pct("score").alias("score_pct"))
+
+
+@register("annual_wage", S.with_cases(f"SELECT case_id, unit_of_wage, round({S.annual()}, 6) AS annual_wage FROM cases_nulls",
+                                      nulls=True))
+def q_annual_wage(spark, sf_dir):
+    """wage x unit factor (containment match, later unit wins)."""
+    df = cases_nulls(spark, sf_dir)
+    return df.select("case_id", "unit_of_wage", r6(FX.annual_wage("prevailing_wage", "unit_of_wage"), "annual_wage"))
+
+
+@register("group_median_lookup", S.with_cases(
+    """SELECT case_id, continent, round(coalesce(m.med, (SELECT median(prevailing_wage) FROM cases_nulls)), 6) AS median
+FROM cases_nulls LEFT JOIN (SELECT continent AS k, median(prevailing_wage) AS med FROM cases_nulls
+                            WHERE continent IS NOT NULL GROUP BY 1) m ON cases_nulls.continent = m.k""", nulls=True))
+def q_group_median_lookup(spark, sf_dir):
+    """Each row's group median (train statistics), global median for NULL / unseen keys."""
+    from casewise.operators.joins import lookup_with_default
+    from casewise.operators.quantiles import group_quantiles
+    df = cases_nulls(spark, sf_dir)
+    glob = group_quantiles(df, [], "prevailing_wage", [0.5], ["m"]).first()["m"]
+    med = group_quantiles(df.where(F.col("continent").isNotNull()), ["continent"], "prevailing_wage",
+                          [0.5], ["median"]).withColumnRenamed("continent", "k")
+    out = lookup_with_default(df.select("case_id", "continent"), "continent", med, "k", "median",
+                              F.lit(glob), "median")
+    return out.select("case_id", "continent", r6("median"))

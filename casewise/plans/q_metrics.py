@@ -51,7 +51,8 @@ FROM (SELECT p, n, coalesce(sum(n) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED P
       FROM (SELECT score, count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n
             FROM scored GROUP BY score))"""
 
-_M6 = [r6(c) for c in M.METRIC_NAMES]
+def _m6():
+    return [r6(c) for c in M.METRIC_NAMES]
 
 
 @register("metrics_at_threshold", S.with_cases(
@@ -60,7 +61,7 @@ _M6 = [r6(c) for c in M.METRIC_NAMES]
     scored=SCORED, c=f"SELECT {cells_sql(0.55)} FROM scored", auc=AUC_SQL))
 def q_metrics_at_threshold(spark, sf_dir):
     out = M.metrics_at_threshold(scored(spark, sf_dir), "label", "score", 0.55)
-    return out.select("threshold", *_M6, "tn", "fp", "fn", "tp", r6("roc_auc"))
+    return out.select("threshold", *_m6(), "tn", "fp", "fn", "tp", r6("roc_auc"))
 
 
 def _sweep_sql() -> str:
@@ -74,7 +75,7 @@ def _sweep_sql() -> str:
     scored=SCORED, c=_sweep_sql()))
 def q_threshold_sweep(spark, sf_dir):
     out = M.threshold_sweep(scored(spark, sf_dir), "label", "score")
-    return out.select("position", "threshold", *_M6)
+    return out.select("position", "threshold", *_m6())
 
 
 @register("best_threshold", S.with_cases(
@@ -84,7 +85,7 @@ def q_threshold_sweep(spark, sf_dir):
 def q_best_threshold(spark, sf_dir):
     """E5 + G2: first threshold with the best balanced accuracy."""
     sweep = M.threshold_sweep(scored(spark, sf_dir), "label", "score")
-    return M.best_threshold(sweep.select("position", "threshold", *_M6))
+    return M.best_threshold(sweep.select("position", "threshold", *_m6()))
 
 
 @register("confusion_matrix", S.with_cases(
@@ -137,7 +138,7 @@ def q_classification_report(spark, sf_dir):
 def q_evaluate(spark, sf_dir):
     """Stored threshold (default 0.5)."""
     out = M.evaluate(scored(spark, sf_dir), "label", "score", 0.5)
-    return out.select("threshold", *_M6, "tn", "fp", "fn", "tp", r6("roc_auc"))
+    return out.select("threshold", *_m6(), "tn", "fp", "fn", "tp", r6("roc_auc"))
 
 
 @register("score_normalise", S.with_cases(
@@ -161,3 +162,14 @@ def q_positive_rate(spark, sf_dir):
     return df.agg(F.avg(M.predict(F.col("score"), 0.5)).alias("predicted_positive_rate"),
                   F.avg("label").alias("true_positive_rate")).select(
         r6("predicted_positive_rate"), r6("true_positive_rate"))
+
+
+@register("argmax_first", S.with_cases(
+    f"SELECT * FROM (SELECT CAST(position AS INTEGER) AS position, threshold, {METRICS_SQL} "
+    f"FROM (SELECT {PR_SQL} FROM c)) ORDER BY accuracy DESC, position LIMIT 1",
+    scored=SCORED, c=_sweep_sql()))
+def q_argmax_first(spark, sf_dir):
+    """E5: first row with the largest accuracy in the sweep (strict > keeps the first)."""
+    from casewise.operators.ordering import argmax_first
+    sweep = M.threshold_sweep(scored(spark, sf_dir), "label", "score").select("position", "threshold", *_m6())
+    return argmax_first(sweep, "accuracy", "position", ["position", "threshold", *M.METRIC_NAMES])

@@ -127,3 +127,11 @@ def q_model_bundle_roundtrip(spark, sf_dir):
     after = loaded.score(rows).select("case_id", F.col("score").alias("s1"), "pred", "label_text", "threshold")
     return after.join(before, "case_id").select("case_id", "pred", "label_text", "threshold",
                                                 (F.abs(F.col("s1") - F.col("s0")) < 1e-12).alias("same_score"))
+
+
+@register("random_search_boosted")
+def q_random_search_boosted(spark, sf_dir):
+    """M9: the third-party boosters' grids served by Spark's gradient-boosted trees."""
+    out, _ = SL.random_search(prepared(spark, sf_dir), {"maxDepth": [2, 3, 4], "minInstancesPerNode": [1, 5],
+                                                        "maxIter": [5]}, n_iter=3, folds=3, model="gbt")
+    return out

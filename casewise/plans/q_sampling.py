@@ -130,3 +130,47 @@ def q_validation_report(spark, sf_dir):
     train = sp.where(F.col("split") == "train").drop("split")
     test = sp.where(F.col("split") == "test").drop("split")
     return Q.validation_report(train, test, "CASE_STATUS", "F", "O")
+
+
+def _align_sql() -> str:
+    parts = [f"SELECT '{c}' AS \"column\", count({c}) FILTER (WHERE split = 'train') AS non_null_train, "
+             f"count({c}) FILTER (WHERE split = 'test') AS non_null_test FROM sp" for c in CASE_COLUMNS]
+    return S.with_cases(" UNION ALL ".join(parts), nulls=True, **split_ctes("cases_nulls"))
+
+
+@register("column_report_align", _align_sql())
+def q_column_report_align(spark, sf_dir):
+    """Per-column train and test statistics outer-aligned on the column name."""
+    sp = _nulls_split(spark, sf_dir).cache()
+    tr = sp.where(F.col("split") == "train").drop("split")
+    te = sp.where(F.col("split") == "test").drop("split")
+    a = tr.agg(*[F.count(c).alias(c) for c in tr.columns]).unpivot([], tr.columns, "column", "non_null_train")
+    b = te.agg(*[F.count(c).alias(c) for c in te.columns]).unpivot([], te.columns, "column", "non_null_test")
+    return a.join(b, "column", "full")
+
+
+@register("sort_report", S.with_cases(
+    "SELECT education_of_employee AS name, count(*) AS count FROM cases GROUP BY 1 ORDER BY count DESC, name"))
+def q_sort_report(spark, sf_dir):
+    """A report ordered by value, highest first, ties by name."""
+    df = cases_view(spark, sf_dir).groupBy(F.col("education_of_employee").alias("name")) \
+        .agg(F.count(F.lit(1)).alias("count"))
+    return O.sort_report(df, "count", "name")
+
+
+_SCHEMA_TYPES = {"case_id": "bigint", "no_of_employees": "bigint", "yr_of_estab": "bigint",
+                 "prevailing_wage": "double", "score": "double"}
+
+
+@register("schema_report", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{_SCHEMA_TYPES.get(c, 'string')}' AS dtype, "
+    f"{str(_SCHEMA_TYPES.get(c, 'string') != 'string').lower()} AS is_numeric, "
+    f"{str(c == 'case_status').lower()} AS is_target" for c in CASE_COLUMNS))
+def q_schema_report(spark, sf_dir):
+    """A4: inferred-schema report (column, dtype, numeric?, target?)."""
+    from casewise.functions.columns import is_numeric_type, resolve_column
+    df = cases_view(spark, sf_dir)
+    target = resolve_column(df, "CASE_STATUS")
+    rows = [(f.name, f.dataType.simpleString(), is_numeric_type(f.dataType), f.name == target)
+            for f in df.schema.fields]
+    return spark.createDataFrame(rows, "column string, dtype string, is_numeric boolean, is_target boolean")
