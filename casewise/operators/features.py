@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from casewise.functions import features as fx
 from casewise.operators.joins import lookup_with_default
 from casewise.operators.quantiles import group_quantiles
+from casewise.session import cut_lineage
 
 RATIO_EPS = 1e-9
 
@@ -106,16 +107,25 @@ class WageFeatures:
     employees_col: str = "no_of_employees"
 
     def fit(self, df: DataFrame) -> WageFeatureModel:
+        """Global, region and continent medians from ONE pass: every row is
+        emitted once per statistic as (kind, key, wage) and the exact group
+        quantile runs over (kind, key); the global group is handled by the
+        distributed selection when it is large."""
         base = with_annual_wage(df, self.wage_col, self.unit_col)
-        glob = group_quantiles(base, [], "annual_wage", [0.5], ["median"]).first()["median"]
+        kinds = [F.struct(F.lit("__all__").alias("kind"), F.lit("").alias("key"))]
+        present = [k for k in (self.region_col, self.continent_col) if k in base.columns]
+        for k in present:
+            kinds.append(F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")))
+        rows = base.select(F.explode(F.array(*kinds)).alias("g"), "annual_wage") \
+            .select("g.kind", "g.key", "annual_wage").where(F.col("key").isNotNull())
+        med = group_quantiles(rows, ["kind", "key"], "annual_wage", [0.5], ["median"])
+        med = cut_lineage(med)  # one row per key: small, reused by every transform
+        glob = med.where(F.col("kind") == "__all__").first()
+        glob = glob["median"] if glob is not None else None
         tables = {}
         for key in (self.region_col, self.continent_col):
-            if key in base.columns:
-                keyed = base.where(F.col(key).isNotNull()).withColumn("key", F.col(key).cast("string"))
-                med = group_quantiles(keyed, ["key"], "annual_wage", [0.5], ["median"])
-                tables[key] = med.where(F.col("median").isNotNull())
-            else:
-                tables[key] = None
+            tables[key] = (med.where((F.col("kind") == key) & F.col("median").isNotNull()).select("key", "median")
+                           if key in present else None)
         return WageFeatureModel(tables[self.region_col], tables[self.continent_col], glob,
                                 self.wage_col, self.unit_col, self.region_col,
                                 self.continent_col, self.employees_col)

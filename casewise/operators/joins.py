@@ -11,14 +11,24 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 200_000
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+_CHECKED: dict = {}
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, key: str | None = None) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
     The check is a ``limit(max_rows + 1).count()`` job: it stops reading as
-    soon as the bound is exceeded, so it is cheap for both outcomes.
+    soon as the bound is exceeded, so it is cheap for both outcomes.  A
+    ``key`` (e.g. the path of an immutable dimension table) caches the answer
+    for the life of the process.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    if key is not None and (key, max_rows) in _CHECKED:
+        small = _CHECKED[(key, max_rows)]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _CHECKED[(key, max_rows)] = small
+    return F.broadcast(df) if small else df
 
 
 def lookup_with_default(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str,

@@ -30,12 +30,14 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_cases(spark: SparkSession, path: str, fmt: str = "csv",
-               schema: StructType | str | None = None) -> DataFrame:
+               schema: StructType | str | None = None, nan_as_null: bool | None = None) -> DataFrame:
     """Read case records.
 
     CSV is read with a header; the schema is inferred when none is given
-    (fine for exploration, pass ``schema`` in production to skip the extra
-    inference pass over the data).
+    (fine for exploration; pass ``schema`` in production to skip the extra
+    inference pass).  Text formats may carry ``NaN`` for missing numbers, so
+    they are normalised to NULL by default; columnar formats are returned as
+    stored so filters on their columns still reach the scan.
     """
     reader = spark.read
     if schema is not None:
@@ -51,4 +53,6 @@ def read_cases(spark: SparkSession, path: str, fmt: str = "csv",
         df = reader.parquet(path)
     else:
         df = reader.format(fmt).load(path)
-    return nan_to_null(df)
+    if nan_as_null is None:
+        nan_as_null = fmt in ("csv", "json")
+    return nan_to_null(df) if nan_as_null else df

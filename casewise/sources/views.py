@@ -8,6 +8,8 @@ customer key (AQE may broadcast it at runtime if it is small).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,14 +46,17 @@ def cases_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
 
-    geo = nation.join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    dims = os.path.abspath(sf_dir)
+    geo = nation.join(bounded_broadcast(region, key=f"{dims}/region"), F.col("n_regionkey") == F.col("r_regionkey"))
     geo = geo.select("n_nationkey", "n_name", "r_name")
-    cust = customer.join(bounded_broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey"))
+    cust = customer.join(bounded_broadcast(geo, key=f"{dims}/nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     joined = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"))
 
-    unit = F.when(F.col("c_mktsegment") == "MACHINERY", "Hour") \
-        .when(F.col("c_mktsegment") == "FURNITURE", "Week") \
-        .when(F.col("c_mktsegment") == "BUILDING", "Month").otherwise(UNIT_OTHER)
+    unit = None
+    for seg, u in UNIT_BY_SEGMENT.items():
+        cond = F.col("c_mktsegment") == seg
+        unit = F.when(cond, u) if unit is None else unit.when(cond, u)
+    unit = unit.otherwise(UNIT_OTHER)
     return joined.select(
         F.col("o_orderkey").alias("case_id"),
         F.col("r_name").alias("continent"),
