@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from casewise.operators.joins import bounded_broadcast
 from casewise.session import cut_lineage
 
-DEFAULT_CAP = 2_000_000
+DEFAULT_CAP = 500_000  # values per group held by one exact-percentile buffer
 DEFAULT_BINS = 2048
 MAX_ROUNDS = 12
 

@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casewise.operators.joins import bounded_broadcast
 from casewise.operators.neighbors import enn_keep, knn_join
 from casewise.operators.sampling import mark_lowest, seeded_hash
 
 TWO_64 = float(2 ** 64)
+DRAWS_PER_CHUNK = 100_000
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -54,16 +56,26 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority, k: int
     base, extra = divmod(need, n_min)
     quotas = df.sparkSession.createDataFrame([("all", extra)], "__cls string, __quota long")
     marked = mark_lowest(minority_rows, F.lit("all"), seeded_hash(id_col, seed), id_col, quotas, "__extra")
-    draws = marked.withColumn("__n", F.lit(base) + F.col("__extra").cast("int")).where(F.col("__n") > 0)
-    draws = draws.withColumn("__draw", F.explode(F.sequence(F.lit(1), F.col("__n"))))
+    draws = marked.withColumn("__n", F.lit(base) + F.col("__extra").cast("long")).where(F.col("__n") > 0)
+    # a tiny minority can owe millions of draws per row: cut them into chunks
+    # first and spread the chunks over tasks before expanding them
+    chunk = F.lit(DRAWS_PER_CHUNK).cast("long")
+    draws = draws.withColumn("__chunk", F.explode(F.sequence(
+        F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / chunk).cast("long"))))
+    if base >= DRAWS_PER_CHUNK:
+        draws = draws.repartition(id_col, "__chunk")
+    first = F.col("__chunk") * chunk + 1
+    last = F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk)
+    draws = draws.withColumn("__draw", F.explode(F.sequence(first, last))).drop("__chunk")
     kk = min(k, n_min - 1)
     nb = knn_join(minority_rows, minority_rows, kk, id_col=id_col, vec_col=vec_col, exclude_self=True)
     draws = draws.withColumn("rank", (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("__draw"), F.lit("nb")),
                                              F.lit(kk)) + 1).cast("int")) \
         .withColumn("__lam", _uniform(F.lit(seed), F.col(id_col), F.col("__draw"), F.lit("gap")))
-    pick = draws.join(nb.select(F.col("qid").alias(id_col), "rank", "rid"), [id_col, "rank"])
+    # both lookup tables are minority-sized; broadcast them when that is small
+    pick = draws.join(bounded_broadcast(nb.select(F.col("qid").alias(id_col), "rank", "rid")), [id_col, "rank"])
     nvec = minority_rows.select(F.col(id_col).alias("rid"), F.col(vec_col).cast("array<double>").alias("__nv"))
-    pick = pick.join(nvec, "rid")
+    pick = pick.join(bounded_broadcast(nvec), "rid")
     x = F.col(vec_col).cast("array<double>")
     synth = F.zip_with(x, F.col("__nv"), lambda a, b: a + F.col("__lam") * (b - a))
     sid = -(F.abs(F.xxhash64(F.lit(seed), F.col(id_col), F.col("__draw"))) + 1)

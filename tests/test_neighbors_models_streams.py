@@ -159,3 +159,13 @@ def test_oracle_sample_at_small_scale(spark):
 def test_entry_smoke(spark):
     import __spark_entry__ as E
     assert E.entry(spark).count() > 0
+
+
+def test_smote_chunked_draws(spark, monkeypatch):
+    monkeypatch.setattr(RS, "DRAWS_PER_CHUNK", 7)
+    rows = [(i, [float(i), 0.0], 1 if i < 3 else 0) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
+    syn = RS.smote(df, "id", "vec", "label", 1, k=2, seed=3)
+    assert syn.count() == 54 and syn.select("id").distinct().count() == 54
+    xs = [r.vec[0] for r in syn.collect()]
+    assert min(xs) >= 0.0 and max(xs) <= 2.0
