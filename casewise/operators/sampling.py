@@ -16,11 +16,13 @@ lowest hashes of a class is done without sorting the class:
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from casewise.operators.joins import bounded_broadcast
+from casewise.session import cut_lineage
 
 NULL_CLASS = "\u0000null"
 
@@ -36,21 +38,34 @@ def class_key(label: str | None) -> Column:
     return F.coalesce(F.col(label).cast("string"), F.lit(NULL_CLASS))
 
 
+def prefix_histogram(df: DataFrame, cls: Column, order_hash: Column, prefix: int = 4) -> DataFrame:
+    """(__cls, __b, __cnt): rows per class and hash prefix -- at most
+    classes x 16^prefix rows, materialised once in the shared checkpoint folder."""
+    d = df.select(cls.alias("__cls"), F.substring(order_hash, 1, prefix).alias("__b"))
+    return cut_lineage(d.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__cnt")))
+
+
 def mark_lowest(df: DataFrame, cls: Column, order_hash: Column, id_col: str,
-                quotas: DataFrame, out: str, prefix: int = 4) -> DataFrame:
+                quotas: DataFrame | Callable[[DataFrame], DataFrame], out: str, prefix: int = 4,
+                hist: DataFrame | None = None) -> DataFrame:
     """Flag, per class, the ``quota`` rows with the lowest (hash, id).
 
-    ``quotas`` holds ``__cls`` and ``__quota`` (one row per class).
+    ``quotas`` holds ``__cls`` and ``__quota`` (one row per class), or is a
+    function of the per-class counts (``__cls``, ``__n``).  The input is read
+    twice: once for the prefix histogram, once for the decision.
     """
-    d = df.withColumn("__cls", cls).withColumn("__h", order_hash) \
-        .withColumn("__b", F.substring("__h", 1, prefix))
-    hist = d.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    hist = hist if hist is not None else prefix_histogram(df, cls, order_hash, prefix)
+    if callable(quotas):
+        quotas = quotas(hist.groupBy("__cls").agg(F.sum("__cnt").alias("__n")))
     w = Window.partitionBy("__cls").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("__incl", F.sum("__cnt").over(w)).join(quotas, "__cls")
-    boundary = hist.where((F.col("__incl") - F.col("__cnt") < F.col("__quota"))
+    runs = hist.withColumn("__incl", F.sum("__cnt").over(w)).join(quotas, "__cls")
+    boundary = runs.where((F.col("__incl") - F.col("__cnt") < F.col("__quota"))
                           & (F.col("__incl") >= F.col("__quota"))) \
         .select("__cls", F.col("__b").alias("__bb"), (F.col("__incl") - F.col("__cnt")).alias("__before"))
-    per_class = quotas.join(boundary, "__cls", "left")
+    # one row per class, computed from the small checkpointed histogram
+    per_class = cut_lineage(quotas.join(boundary, "__cls", "left"))
+    d = df.withColumn("__cls", cls).withColumn("__h", order_hash) \
+        .withColumn("__b", F.substring("__h", 1, prefix))
     d = d.join(bounded_broadcast(per_class), "__cls", "left")
     settled = d.where(F.col("__bb").isNull() | (F.col("__b") != F.col("__bb"))) \
         .withColumn(out, F.col("__bb").isNotNull() & (F.col("__b") < F.col("__bb")))
@@ -61,11 +76,10 @@ def mark_lowest(df: DataFrame, cls: Column, order_hash: Column, id_col: str,
     return settled.unionByName(edge).drop(*drop)
 
 
-def split_sizes(df: DataFrame, cls: Column, test_frac: float) -> DataFrame:
-    """Per class (``__cls``) test quota: n_test = ceil(frac * n); the training
-    part is shared by class with largest remainders (ties: class order), and
-    each class's test quota is what remains of it."""
-    counts = df.select(cls.alias("__cls")).groupBy("__cls").agg(F.count(F.lit(1)).alias("__n"))
+def quotas_for_split(counts: DataFrame, test_frac: float) -> DataFrame:
+    """Per class (``__cls``) test quota from per-class counts (``__n``):
+    n_test = ceil(frac * n); the training part is shared by class with largest
+    remainders (ties: class order), each class's test quota is what remains."""
     allw = Window.partitionBy()  # over the per-class table: one row per class
     n = F.sum("__n").over(allw)
     n_train = n - F.ceil(F.lit(float(test_frac)) * n)
@@ -78,15 +92,27 @@ def split_sizes(df: DataFrame, cls: Column, test_frac: float) -> DataFrame:
     return t.select("__cls", (F.col("__n") - train_c).cast("bigint").alias("__quota"))
 
 
+def split_sizes(df: DataFrame, cls: Column, test_frac: float) -> DataFrame:
+    counts = df.select(cls.alias("__cls")).groupBy("__cls").agg(F.count(F.lit(1)).alias("__n"))
+    return quotas_for_split(counts, test_frac)
+
+
 def stratified_split(df: DataFrame, label: str | None, id_col: str, test_frac: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
     """Adds ``split`` = 'test' / 'train'; stratified by ``label`` when it
-    exists and has at least two non-NULL classes, else one class."""
-    stratify = label is not None and label in df.columns and \
-        df.select(label).where(F.col(label).isNotNull()).distinct().limit(2).count() >= 2
-    cls = class_key(label if stratify else None)
-    quotas = split_sizes(df, cls, test_frac)
-    marked = mark_lowest(df, cls, seeded_hash(id_col, seed), id_col, quotas, "__test")
+    exists and has at least two non-NULL classes, else one class.  ``id_col``
+    must be unique."""
+    order_hash = seeded_hash(id_col, seed)
+    has_label = label is not None and label in df.columns
+    hist = prefix_histogram(df, class_key(label if has_label else None), order_hash)
+    cls = class_key(label if has_label else None)
+    if has_label:
+        n_classes = hist.where(F.col("__cls") != NULL_CLASS).select("__cls").distinct().limit(2).count()
+        if n_classes < 2:  # not stratifiable: one class, histogram re-summed (small)
+            cls = class_key(None)
+            hist = hist.groupBy("__b").agg(F.sum("__cnt").alias("__cnt")).withColumn("__cls", F.lit("all"))
+    marked = mark_lowest(df, cls, order_hash, id_col, lambda c: quotas_for_split(c, test_frac), "__test",
+                         hist=hist)
     return marked.withColumn(out, F.when(F.col("__test"), "test").otherwise("train")).drop("__test")
 
 
@@ -95,12 +121,15 @@ def stratified_sample(df: DataFrame, label: str, id_col: str, size: int, seed: i
     """Subset of ``size`` rows, s_pos = round_half_even(size * share_pos),
     s_neg = size - s_pos (each capped by its class), seeded by ``seed + size``."""
     cls = F.when(F.col(label) == F.lit(positive), "pos").otherwise("neg")
-    counts = df.select(cls.alias("__cls")).groupBy("__cls").agg(F.count(F.lit(1)).alias("__n"))
-    n = F.sum("__n").over(Window.partitionBy())
-    share_pos = F.sum(F.when(F.col("__cls") == "pos", F.col("__n")).otherwise(0)).over(Window.partitionBy()) / n
-    s_pos = F.bround(F.lit(float(size)) * share_pos, 0).cast("bigint")
-    quota = F.when(F.col("__cls") == "pos", s_pos).otherwise(F.lit(size) - s_pos)
-    quotas = counts.select("__cls", F.least(quota, F.col("__n")).cast("bigint").alias("__quota"))
+
+    def quotas(counts):
+        n = F.sum("__n").over(Window.partitionBy())
+        share_pos = F.sum(F.when(F.col("__cls") == "pos", F.col("__n")).otherwise(0)) \
+            .over(Window.partitionBy()) / n
+        s_pos = F.bround(F.lit(float(size)) * share_pos, 0).cast("bigint")
+        quota = F.when(F.col("__cls") == "pos", s_pos).otherwise(F.lit(size) - s_pos)
+        return counts.select("__cls", F.least(quota, F.col("__n")).cast("bigint").alias("__quota"))
+
     marked = mark_lowest(df, cls, seeded_hash(id_col, seed + size), id_col, quotas, "__in")
     return marked.where("__in").drop("__in")
 
