@@ -36,14 +36,17 @@ def run_rate_stream(spark: SparkSession, source_dir: str, schema, out_dir: str,
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     stream = reader.parquet(source_dir)
-    # event time must be a TIMESTAMP for watermarks; the tables hold wall-clock
-    # TIMESTAMP_NTZ, read here in the session zone (UTC) and cast back on output
-    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    # Event time must be a TIMESTAMP for watermarks, the tables hold wall-clock
+    # TIMESTAMP_NTZ: shift so that the instant equals the wall clock read as UTC
+    # (hour windows then align with wall-clock hours in any session zone) and
+    # shift back on output.
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    stream = stream.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), tz))
     agg = _rate(stream.withWatermark("ts", WATERMARK))
 
     def sink(batch_df, epoch_id):
-        batch_df.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-                        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        batch_df.select(F.to_utc_timestamp("w.start", tz).cast("timestamp_ntz").alias("window_start"),
+                        F.to_utc_timestamp("w.end", tz).cast("timestamp_ntz").alias("window_end"),
                         "events", "positives", F.lit(epoch_id).alias("epoch")) \
             .write.mode("append").parquet(out_dir)
 
