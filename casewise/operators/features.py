@@ -6,7 +6,7 @@ they are applied with size-checked broadcast joins, never collected as dicts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

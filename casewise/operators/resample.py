@@ -9,7 +9,7 @@ draw number), so the output does not depend on partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewise.operators.joins import bounded_broadcast
@@ -106,4 +106,4 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
 
 
-__all__ = ["class_weights", "smote", "enn_clean", "smoteenn", "class_sizes", "Window"]
+__all__ = ["class_weights", "smote", "enn_clean", "smoteenn", "class_sizes"]

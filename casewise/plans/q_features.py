@@ -43,7 +43,7 @@ from casewise.functions import features as FX  # noqa: E402
 from casewise.operators import encode as EN  # noqa: E402
 from casewise.operators import profile as PR  # noqa: E402
 from casewise.plans.common import AS_OF_YEAR  # noqa: E402
-from casewise.sources.views import NUMERIC, cases_nulls  # noqa: E402
+from casewise.sources.views import cases_nulls  # noqa: E402
 
 
 @register("company_age", S.with_cases(
@@ -208,7 +208,7 @@ POWER = ["company_age", "no_of_employees", "annual_wage", "wage_per_employee"]
 def q_column_transformer(spark, sf_dir):
     """the full preprocessing pipeline fitted on all cases."""
     from pyspark.ml.functions import vector_to_array
-    df = FX_derive(cases_view(spark, sf_dir))
+    df = derived_cases(cases_view(spark, sf_dir))
     other = [c for c in ("prevailing_wage", "wage_vs_region_median", "wage_vs_continent_median",
                          "log1p_annual_wage", "log1p_wage_per_employee", "log1p_company_age",
                          "log1p_no_of_employees", "log1p_prevailing_wage")]
@@ -218,7 +218,8 @@ def q_column_transformer(spark, sf_dir):
                       F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, b: a + b).alias("total"))
 
 
-def FX_derive(df):
+def derived_cases(df):
+    """cases with company_age and the wage features (fitted on the same rows)."""
     from casewise.operators.features import derive_basic
     base = derive_basic(df.withColumnRenamed("case_id", "__id"), AS_OF_YEAR, id_col="case_id")
     out = WageFeatures().fit(base).transform(base)
@@ -228,7 +229,7 @@ def FX_derive(df):
 @register("feature_names")
 def q_feature_names(spark, sf_dir):
     """names of the assembled feature slots."""
-    df = FX_derive(cases_view(spark, sf_dir))
+    df = derived_cases(cases_view(spark, sf_dir))
     out = EN.column_transformer(ONEHOT, POWER, ["prevailing_wage"]).fit(df).transform(df)
     names = EN.assembled_feature_names(out)
     return spark.createDataFrame(list(enumerate(names)), "slot int, name string")
