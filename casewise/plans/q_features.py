@@ -47,8 +47,9 @@ from casewise.sources.views import cases_nulls  # noqa: E402
 
 
 @register("company_age", S.with_cases(
-    f"SELECT case_id, {AS_OF_YEAR}.0 - yr_of_estab AS company_age, "
-    f"greatest({AS_OF_YEAR}.0 - (yr_of_estab + 30), 0.0) AS company_age_clamped FROM cases"))
+    f"SELECT case_id, CAST({AS_OF_YEAR} AS DOUBLE) - yr_of_estab AS company_age, "
+    f"greatest(CAST({AS_OF_YEAR} AS DOUBLE) - (yr_of_estab + 30), CAST(0 AS DOUBLE)) AS company_age_clamped "
+    f"FROM cases"))
 def q_company_age(spark, sf_dir):
     """F1 (training form and serving clamp; the second shifts years to reach the clamp)."""
     df = cases_view(spark, sf_dir)
@@ -166,7 +167,7 @@ def _yj_llf_sql() -> str:
         x = f"CAST({c} AS DOUBLE)"
         for lam in _YJ_GRID:
             parts.append(
-                f"SELECT '{c}' AS \"column\", {lam!r} AS lambda, round(-0.5 * count({x}) * ln(var_pop({_psi_sql(x, lam)})) "
+                f"SELECT '{c}' AS \"column\", CAST({lam!r} AS DOUBLE) AS lambda, round(-0.5 * count({x}) * ln(var_pop({_psi_sql(x, lam)})) "
                 f"+ {lam - 1.0!r} * sum(sign({x}) * ln(1 + abs({x}))), 4) AS llf FROM cases")
     return S.with_cases(" UNION ALL ".join(parts))
 
