@@ -146,6 +146,7 @@ class PopulationScaler(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWri
 
 # --- F11 / F12 --------------------------------------------------------------
 LAMBDA_EPS = 1e-12
+MAX_MOVES = 8
 
 
 def yeo_johnson(x: Column, lam: float) -> Column:
@@ -205,8 +206,10 @@ class YeoJohnsonModel(Model, _Cols, DefaultParamsReadable, DefaultParamsWritable
 
 
 class YeoJohnson(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
-    """Maximum-likelihood lambda per column by grid refinement over [-2, 2]
-    (one aggregate pass per round), then optional standardisation."""
+    """Maximum-likelihood lambda per column by grid refinement (one aggregate
+    pass per round), then optional standardisation.  The first window is
+    [-2, 2]; while the optimum sits on its edge the window moves outward, then
+    each round narrows it around the best candidate."""
 
     standardize = Param(Params._dummy(), "standardize", "standardise psi", TypeConverters.toBoolean)
     rounds = Param(Params._dummy(), "rounds", "refinement rounds", TypeConverters.toInt)
@@ -221,17 +224,30 @@ class YeoJohnson(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable)
         cols = self.getInputCols()
         src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
         centre = {c: 0.0 for c in cols}
-        half, points = 2.0, 41
-        for _ in range(self.getOrDefault(self.rounds)):
-            step = 2 * half / (points - 1)
-            grid = {c: [centre[c] - half + k * step for k in range(points)] for c in cols}
+        half = {c: 2.0 for c in cols}
+        points = 41
+        shrinks, moves = 0, 0
+        while shrinks < self.getOrDefault(self.rounds) and moves < MAX_MOVES:
+            step = {c: 2 * half[c] / (points - 1) for c in cols}
+            grid = {c: [centre[c] - half[c] + k * step[c] for k in range(points)] for c in cols}
             llf = yeo_johnson_llf(src, cols, grid).collect()  # cols x points numbers
+            edge = False
             for c in cols:
                 cand = [(r["llf"], -r["lambda"], r["lambda"]) for r in llf
                         if r["column"] == c and r["llf"] is not None and not math.isnan(r["llf"])]
-                if cand:
-                    centre[c] = max(cand)[2]
-            half = step
+                if not cand:
+                    continue
+                best = max(cand)[2]
+                at_edge = abs(best - grid[c][0]) < 1e-12 or abs(best - grid[c][-1]) < 1e-12
+                centre[c] = best
+                if at_edge and shrinks == 0:
+                    edge = True  # optimum beyond the window: move it, keep its width
+                else:
+                    half[c] = step[c]
+            if edge:
+                moves += 1
+            else:
+                shrinks += 1
         lambdas = [centre[c] for c in cols]
         means, stds = _scale_stats(src, {c: yeo_johnson(F.col(c), l) for c, l in zip(cols, lambdas)})
         m = YeoJohnsonModel()

@@ -22,11 +22,13 @@ from casewise.operators import metrics as M
 # pass smaller sizes through ``params``).
 REFERENCE_DEFAULTS = {
     "logreg": {"maxIter": 4000, "C": 1.0, "balanced": True},
-    "random_forest": {"numTrees": 800, "featureSubsetStrategy": "sqrt"},
-    "extra_trees": {"numTrees": 1200, "featureSubsetStrategy": "sqrt"},
+    # unlimited depth in the reference -> Spark's maximum depth (30)
+    "random_forest": {"numTrees": 800, "featureSubsetStrategy": "sqrt", "maxDepth": 30},
+    "extra_trees": {"numTrees": 1200, "featureSubsetStrategy": "sqrt", "maxDepth": 30},
     "knn": {"k": 9},
-    "hgb": {"maxDepth": 4, "stepSize": 0.06, "maxIter": 600},
-    "decision_tree": {},
+    # a histogram booster: 255 bins per feature
+    "hgb": {"maxDepth": 4, "stepSize": 0.06, "maxIter": 600, "maxBins": 255},
+    "decision_tree": {"maxDepth": 30},
     "gradient_boosting": {"maxDepth": 3, "stepSize": 0.1, "maxIter": 100},
     "linear_svc": {"maxIter": 100},
     "adaboost": {"rounds": 50},
@@ -89,17 +91,18 @@ def fit_model(name: str, df: DataFrame, features: str = "features", label: str =
     if name in ("random_forest", "extra_trees"):
         est = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=int(p["numTrees"]),
                                      featureSubsetStrategy=p["featureSubsetStrategy"], seed=seed,
-                                     maxDepth=int(p.get("maxDepth", 12)))
+                                     maxDepth=int(p.get("maxDepth", 30)))
         if name == "extra_trees":  # nearest built-in: no bootstrap, coarse random-ish splits
             est = est.setBootstrap(False).setMaxBins(int(p.get("maxBins", 8)))
         return FittedModel(name, est.fit(df), features, label, score_norm)
     if name in ("hgb", "gradient_boosting"):
         est = GBTClassifier(featuresCol=features, labelCol=label, maxDepth=int(p["maxDepth"]),
-                            stepSize=float(p["stepSize"]), maxIter=int(p["maxIter"]), seed=seed)
+                            stepSize=float(p["stepSize"]), maxIter=int(p["maxIter"]), seed=seed,
+                            maxBins=int(p.get("maxBins", 32)))
         return FittedModel(name, est.fit(df), features, label, score_norm)
     if name == "decision_tree":
         est = DecisionTreeClassifier(featuresCol=features, labelCol=label, seed=seed,
-                                     maxDepth=int(p.get("maxDepth", 12)))
+                                     maxDepth=int(p.get("maxDepth", 30)))
         return FittedModel(name, est.fit(df), features, label, score_norm)
     if name == "linear_svc":
         est = LinearSVC(featuresCol=features, labelCol=label, maxIter=int(p["maxIter"]))

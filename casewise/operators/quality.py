@@ -23,7 +23,7 @@ def column_diff(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def validation_report(train: DataFrame, test: DataFrame, target: str, positive: str,
-                      negative: str) -> DataFrame:
+                      negative: str, raise_on_failure: bool = False) -> DataFrame:
     """One-row report: status, shapes, targets, class sample, duplicates, issues.
 
     Raises ``ValueError`` when the target cannot be resolved in either split
@@ -45,7 +45,10 @@ def validation_report(train: DataFrame, test: DataFrame, target: str, positive:
     issue = "" if status else f"column_mismatch extra_in_train={extra_train} extra_in_test={extra_test}"
     row = (status, train.count(), len(train.columns), test.count(), len(test.columns), target, t_train,
            ",".join(sample), positive in sample, negative in sample, dup_train, dup_test, issue)
-    return train.sparkSession.createDataFrame([row], REPORT_SCHEMA)
+    report = train.sparkSession.createDataFrame([row], REPORT_SCHEMA)
+    if raise_on_failure and not status:
+        raise ValueError(f"Validation failed: {issue}")
+    return report
 
 
 REPORT_SCHEMA = ("status boolean, train_rows bigint, train_cols bigint, test_rows bigint, "

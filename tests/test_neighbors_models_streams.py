@@ -211,3 +211,19 @@ def test_no_single_task_exchange_in_core_plans(spark):
         df = QUERIES[name](spark, SF_SMALL)
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "SinglePartition" not in plan, name
+
+
+def test_yeo_johnson_optimum_beyond_initial_window(spark):
+    rng = np.random.default_rng(0)
+    x = 10 - rng.exponential(1.0, 2000)
+    x = x[x > 0]
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    m = EN.YeoJohnson(inputCols=["x"]).fit(df)
+    lam = m.getOrDefault(m.lambdas)[0]
+
+    def llf(l):
+        p = ((x + 1) ** l - 1) / l
+        return -len(x) / 2 * np.log(np.var(p)) + (l - 1) * np.sum(np.log1p(x))
+    grid = np.linspace(5, 9, 4001)
+    best = grid[int(np.argmax([llf(g) for g in grid]))]
+    assert lam == pytest.approx(best, abs=2e-3)
