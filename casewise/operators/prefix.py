@@ -7,7 +7,8 @@ cluster); the range index is a pure function of ``x`` (a binary-search
 ``CASE`` tree over the boundary literals), so recomputation after a lost
 executor puts every row in the same range again.  Per-range totals (one row
 per range) give each range's offset, and the running total inside a range is
-an ordinary window partitioned by the range index.
+an ordinary window partitioned by the range index.  Nothing is ordered in
+a single task: the per-range offsets are at most ``MAX_BUCKETS`` numbers.
 """
 
 from __future__ import annotations
@@ -50,14 +51,18 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str], par
     if descending:
         idx = F.lit(len(bounds)) - idx
     ranged = df.withColumn("__rng", idx)
-    totals = ranged.groupBy("__rng").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
-    before = Window.orderBy("__rng").rowsBetween(Window.unboundedPreceding, -1)  # <= buckets rows
-    offsets = totals.select("__rng", *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0))
-                                       .alias(f"__o_{v}") for v in value_cols])
+    # one row per range (<= MAX_BUCKETS numbers): offsets become a literal array
+    totals = {r["__rng"]: r for r in
+              ranged.groupBy("__rng").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols]).collect()}
     key = F.desc(order_col) if descending else F.asc(order_col)
     frame = Window.partitionBy("__rng").orderBy(key).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
-    out = ranged.join(F.broadcast(offsets), "__rng")
+    out = ranged
     for v in value_cols:
-        out = out.withColumn(f"{v}{suffix}", F.col(f"__o_{v}") + F.coalesce(F.sum(v).over(frame), F.lit(0)))
-    return out.drop("__rng", *[f"__o_{v}" for v in value_cols])
+        offsets, acc = [], 0
+        for i in range(len(bounds) + 1):
+            offsets.append(acc)
+            acc += (totals[i][f"__t_{v}"] or 0) if i in totals else 0
+        offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("__rng") + 1)
+        out = out.withColumn(f"{v}{suffix}", offset + F.coalesce(F.sum(v).over(frame), F.lit(0)))
+    return out.drop("__rng")

@@ -16,7 +16,6 @@ lowest hashes of a class is done without sorting the class:
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,17 +45,14 @@ def prefix_histogram(df: DataFrame, cls: Column, order_hash: Column, prefix: int
 
 
 def mark_lowest(df: DataFrame, cls: Column, order_hash: Column, id_col: str,
-                quotas: DataFrame | Callable[[DataFrame], DataFrame], out: str, prefix: int = 4,
+                quotas: DataFrame, out: str, prefix: int = 4,
                 hist: DataFrame | None = None) -> DataFrame:
     """Flag, per class, the ``quota`` rows with the lowest (hash, id).
 
-    ``quotas`` holds ``__cls`` and ``__quota`` (one row per class), or is a
-    function of the per-class counts (``__cls``, ``__n``).  The input is read
-    twice: once for the prefix histogram, once for the decision.
+    ``quotas`` holds ``__cls`` and ``__quota`` (one row per class).  The input
+    is read twice: once for the prefix histogram, once for the decision.
     """
     hist = hist if hist is not None else prefix_histogram(df, cls, order_hash, prefix)
-    if callable(quotas):
-        quotas = quotas(hist.groupBy("__cls").agg(F.sum("__cnt").alias("__n")))
     w = Window.partitionBy("__cls").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     runs = hist.withColumn("__incl", F.sum("__cnt").over(w)).join(quotas, "__cls")
     boundary = runs.where((F.col("__incl") - F.col("__cnt") < F.col("__quota"))
@@ -76,25 +72,33 @@ def mark_lowest(df: DataFrame, cls: Column, order_hash: Column, id_col: str,
     return settled.unionByName(edge).drop(*drop)
 
 
-def quotas_for_split(counts: DataFrame, test_frac: float) -> DataFrame:
-    """Per class (``__cls``) test quota from per-class counts (``__n``):
-    n_test = ceil(frac * n); the training part is shared by class with largest
-    remainders (ties: class order), each class's test quota is what remains."""
-    allw = Window.partitionBy()  # over the per-class table: one row per class
-    n = F.sum("__n").over(allw)
-    n_train = n - F.ceil(F.lit(float(test_frac)) * n)
-    t = counts.withColumn("__cont", n_train.cast("double") * F.col("__n") / n) \
-        .withColumn("__fl", F.floor("__cont")) \
-        .withColumn("__need", n_train - F.sum("__fl").over(allw)) \
-        .withColumn("__rank", F.row_number().over(
-            Window.orderBy(F.desc(F.col("__cont") - F.col("__fl")), "__cls")))
-    train_c = F.col("__fl") + F.when(F.col("__rank") <= F.col("__need"), 1).otherwise(0)
-    return t.select("__cls", (F.col("__n") - train_c).cast("bigint").alias("__quota"))
+def allocate_split(counts: dict, test_frac: float) -> dict:
+    """Per class test quota from per-class counts: n_test = ceil(frac * n);
+    the training part is shared by class with largest remainders (ties: class
+    order), each class's test quota is what remains of it."""
+    n = sum(counts.values())
+    n_train = n - int(math.ceil(float(test_frac) * n))
+    cont = {c: float(n_train) * k / n for c, k in counts.items()} if n else {}
+    floor = {c: int(math.floor(v)) for c, v in cont.items()}
+    need = n_train - sum(floor.values())
+    order = sorted(counts, key=lambda c: (-(cont[c] - floor[c]), c))
+    train = {c: floor[c] + (1 if i < need else 0) for i, c in enumerate(order)}
+    return {c: counts[c] - train[c] for c in counts}
+
+
+def quotas_frame(spark, quotas: dict) -> DataFrame:
+    return spark.createDataFrame([(c, int(q)) for c, q in quotas.items()], "__cls string, __quota long")
+
+
+def class_counts(hist: DataFrame) -> dict:
+    """Per-class row counts from the prefix histogram (one row per class)."""
+    return {r["__cls"]: r["__n"] for r in hist.groupBy("__cls").agg(F.sum("__cnt").alias("__n")).collect()}
 
 
 def split_sizes(df: DataFrame, cls: Column, test_frac: float) -> DataFrame:
-    counts = df.select(cls.alias("__cls")).groupBy("__cls").agg(F.count(F.lit(1)).alias("__n"))
-    return quotas_for_split(counts, test_frac)
+    counts = {r["__cls"]: r["__n"] for r in
+              df.select(cls.alias("__cls")).groupBy("__cls").agg(F.count(F.lit(1)).alias("__n")).collect()}
+    return quotas_frame(df.sparkSession, allocate_split(counts, test_frac))
 
 
 def stratified_split(df: DataFrame, label: str | None, id_col: str, test_frac: float = 0.2,
@@ -106,13 +110,14 @@ def stratified_split(df: DataFrame, label: str | None, id_col: str, test_frac: f
     has_label = label is not None and label in df.columns
     hist = prefix_histogram(df, class_key(label if has_label else None), order_hash)
     cls = class_key(label if has_label else None)
-    if has_label:
-        n_classes = hist.where(F.col("__cls") != NULL_CLASS).select("__cls").distinct().limit(2).count()
-        if n_classes < 2:  # not stratifiable: one class, histogram re-summed (small)
-            cls = class_key(None)
-            hist = hist.groupBy("__b").agg(F.sum("__cnt").alias("__cnt")).withColumn("__cls", F.lit("all"))
-    marked = mark_lowest(df, cls, order_hash, id_col, lambda c: quotas_for_split(c, test_frac), "__test",
-                         hist=hist)
+    counts = class_counts(hist)
+    if has_label and len([c for c in counts if c != NULL_CLASS]) < 2:
+        # not stratifiable: one class, histogram re-summed (small)
+        cls = class_key(None)
+        hist = hist.groupBy("__b").agg(F.sum("__cnt").alias("__cnt")).withColumn("__cls", F.lit("all"))
+        counts = {"all": sum(counts.values())}
+    quotas = quotas_frame(df.sparkSession, allocate_split(counts, test_frac))
+    marked = mark_lowest(df, cls, order_hash, id_col, quotas, "__test", hist=hist)
     return marked.withColumn(out, F.when(F.col("__test"), "test").otherwise("train")).drop("__test")
 
 
@@ -121,16 +126,15 @@ def stratified_sample(df: DataFrame, label: str, id_col: str, size: int, seed: i
     """Subset of ``size`` rows, s_pos = round_half_even(size * share_pos),
     s_neg = size - s_pos (each capped by its class), seeded by ``seed + size``."""
     cls = F.when(F.col(label) == F.lit(positive), "pos").otherwise("neg")
-
-    def quotas(counts):
-        n = F.sum("__n").over(Window.partitionBy())
-        share_pos = F.sum(F.when(F.col("__cls") == "pos", F.col("__n")).otherwise(0)) \
-            .over(Window.partitionBy()) / n
-        s_pos = F.bround(F.lit(float(size)) * share_pos, 0).cast("bigint")
-        quota = F.when(F.col("__cls") == "pos", s_pos).otherwise(F.lit(size) - s_pos)
-        return counts.select("__cls", F.least(quota, F.col("__n")).cast("bigint").alias("__quota"))
-
-    marked = mark_lowest(df, cls, seeded_hash(id_col, seed + size), id_col, quotas, "__in")
+    order_hash = seeded_hash(id_col, seed + size)
+    hist = prefix_histogram(df, cls, order_hash)
+    counts = class_counts(hist)
+    n = sum(counts.values())
+    n_pos = counts.get("pos", 0)
+    s_pos = int(round(size * (n_pos / n))) if n else 0  # Python round: half to even
+    quotas = quotas_frame(df.sparkSession, {"pos": min(s_pos, n_pos),
+                                            "neg": min(size - s_pos, counts.get("neg", 0))})
+    marked = mark_lowest(df, cls, order_hash, id_col, quotas, "__in", hist=hist)
     return marked.where("__in").drop("__in")
 
 
