@@ -14,13 +14,14 @@ Spark ML's ``BucketedRandomProjectionLSH`` as an opt-in approximation.
 from __future__ import annotations
 
 import math
+import os
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 8192       # rows of one side per block
+BLOCK_ROWS = int(os.environ.get("CASEWISE_KNN_BLOCK_ROWS", 8192))  # rows of one side per block
 CHUNK_BYTES = 64 << 20  # scratch memory for one distance chunk inside a task
 
 NEIGHBOR_SCHEMA = "qid long, rid long, dist double"
@@ -67,20 +68,22 @@ def _block_topk(k: int, exclude_self: bool):
 
 
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
-             exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
+             exclude_self: bool = False, block_rows: int | None = None) -> DataFrame:
     """Exact k nearest references of every query row (Euclidean, float64).
 
     Returns (qid, rid, dist, rank) with rank 1..k; ties broken by reference id.
     """
+    block_rows = block_rows or BLOCK_ROWS
     q = queries.select(F.col(id_col).cast("long").alias("id"),
                        F.col(vec_col).cast("array<double>").alias("vec"))
     r = refs.select(F.col(id_col).cast("long").alias("id"),
                     F.col(vec_col).cast("array<double>").alias("vec"))
     bq = _blocks(q.count(), block_rows)
     br = _blocks(r.count(), block_rows)
-    qx = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(bq))) \
+    # block ids must have one type on both sides: cogroup matches keys exactly
+    qx = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(bq)).cast("int")) \
         .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
-    rx = r.withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(br))) \
+    rx = r.withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(br)).cast("int")) \
         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
     cand = qx.groupBy("qb", "rb").cogroup(rx.groupBy("qb", "rb")).applyInPandas(
         _block_topk(k, exclude_self), NEIGHBOR_SCHEMA)

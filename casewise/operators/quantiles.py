@@ -19,6 +19,7 @@ selection algorithm:
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from casewise.operators.joins import bounded_broadcast
 from casewise.session import cut_lineage
 
-DEFAULT_CAP = 500_000  # values per group held by one exact-percentile buffer
+# values per group held by one exact-percentile buffer; above it the
+# distributed selection runs (override for testing the scale path)
+DEFAULT_CAP = int(os.environ.get("CASEWISE_EXACT_CAP", 500_000))
 DEFAULT_BINS = 2048
 MAX_ROUNDS = 12
 
@@ -54,13 +57,14 @@ def _prepare(df: DataFrame, by, value):
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str],
-                    cap: int = DEFAULT_CAP, bins: int = DEFAULT_BINS,
+                    cap: int | None = None, bins: int = DEFAULT_BINS,
                     with_count: bool = False) -> DataFrame:
     """Exact quantiles of ``value`` per group ``by`` (NULL values ignored).
 
     Returns ``by + names`` (plus ``n`` when ``with_count``); a group whose
     values are all NULL gets NULL quantiles, like ``percentile``.
     """
+    cap = DEFAULT_CAP if cap is None else cap
     vcol = F.col(value) if isinstance(value, str) else value
     by, keys, base = _prepare(df, by, vcol.cast("double"))
     stats = base.groupBy(*keys).agg(F.count("__v").alias("n"))
@@ -90,11 +94,12 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
 
 
 def values_at_ranks(df: DataFrame, by: Sequence[str], value: str | Column, ranks: DataFrame,
-                    cap: int = DEFAULT_CAP, bins: int = DEFAULT_BINS) -> DataFrame:
+                    cap: int | None = None, bins: int = DEFAULT_BINS) -> DataFrame:
     """Value of 0-based rank ``__r`` (ascending, NULLs ignored) per group.
 
     ``ranks`` holds ``by + ["__r"]``; the result holds ``by + ["__r", "__val"]``.
     """
+    cap = DEFAULT_CAP if cap is None else cap
     by, keys, base = _prepare(df, by, value)
     base = base.where(F.col("__v").isNotNull())
     if not by:

@@ -227,3 +227,31 @@ def test_yeo_johnson_optimum_beyond_initial_window(spark):
     grid = np.linspace(5, 9, 4001)
     best = grid[int(np.argmax([llf(g) for g in grid]))]
     assert lam == pytest.approx(best, abs=2e-3)
+
+
+def test_knn_many_blocks_on_embeddings(spark):
+    """Regression: block ids of both cogroup sides must share a type."""
+    e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select(
+        F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    pdf = e.toPandas()
+    X = np.array(pdf.vec.tolist(), dtype=np.float64)
+    ids = pdf.id.to_numpy()
+    got = NB.knn_join(e, e, 3, exclude_self=True, block_rows=37).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.qid, []).append((r.rank, r.rid))
+    assert len(by) == len(ids)
+    for i, q in enumerate(ids):
+        d = np.sqrt(((X - X[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert [rid for _, rid in sorted(by[q])] == list(ids[np.lexsort((ids, d))[:3]])
+
+
+def test_quantiles_scale_path_on_cases(spark, monkeypatch):
+    from casewise.operators import quantiles as QT
+    from casewise.sources.views import cases_view
+    df = cases_view(spark, SF_SMALL)
+    fast = {r.continent: r.m for r in QT.group_quantiles(df, ["continent"], "prevailing_wage", [0.5], ["m"]).collect()}
+    monkeypatch.setattr(QT, "DEFAULT_CAP", 50)
+    slow = {r.continent: r.m for r in QT.group_quantiles(df, ["continent"], "prevailing_wage", [0.5], ["m"]).collect()}
+    assert slow == pytest.approx(fast, rel=1e-12)
