@@ -14,14 +14,20 @@ BROADCAST_MAX_ROWS = 200_000
 _CHECKED: dict = {}
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, key: str | None = None) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, key: str | None = None,
+                      materialize: bool = False) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
     The check is a ``limit(max_rows + 1).count()`` job: it stops reading as
-    soon as the bound is exceeded, so it is cheap for both outcomes.  A
-    ``key`` (e.g. the path of an immutable dimension table) caches the answer
-    for the life of the process.
+    soon as the bound is exceeded, so it is cheap for both outcomes -- on a
+    scan.  On a derived table (an aggregate, a join) the check would compute
+    it once and the join again, so ``materialize`` first writes it to the
+    shared checkpoint folder and both read that copy.  A ``key`` (e.g. the
+    path of an immutable dimension table) caches the answer for the process.
     """
+    if materialize:
+        from casewise.session import cut_lineage
+        df = cut_lineage(df)
     if key is not None and (key, max_rows) in _CHECKED:
         small = _CHECKED[(key, max_rows)]
     else:
@@ -33,12 +39,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, key: st
 
 def lookup_with_default(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str,
                         default: Column, out: str,
-                        max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        max_rows: int = BROADCAST_MAX_ROWS, materialize: bool = False) -> DataFrame:
     """Left-join ``table(table_key, value)`` on ``df[key]``; missing keys take ``default``.
 
     NULL keys never match (as a dict lookup of a missing key), so they take
     the default too.
     """
     t = table.select(F.col(table_key).alias("__lk_key"), F.col(value).alias("__lk_val"))
-    joined = df.join(bounded_broadcast(t, max_rows), df[key] == F.col("__lk_key"), "left")
+    joined = df.join(bounded_broadcast(t, max_rows, materialize=materialize), df[key] == F.col("__lk_key"), "left")
     return joined.withColumn(out, F.coalesce(F.col("__lk_val"), default)).drop("__lk_key", "__lk_val")

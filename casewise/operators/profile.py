@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from casewise.functions.columns import is_numeric_type
 from casewise.operators.joins import bounded_broadcast
 from casewise.operators.quantiles import group_quantiles
+from casewise.session import cut_lineage
 
 
 def _stack(df: DataFrame, cols: Sequence[str], value_type: str = "string",
@@ -34,9 +35,9 @@ def value_counts(df: DataFrame, col: str, dropna: bool = True) -> DataFrame:
 
 def value_share(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Percentage of each non-null value within its column."""
-    counts = _stack(df, cols).where(F.col("value").isNotNull()) \
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    totals = counts.groupBy("column").agg(F.sum("count").alias("__total"))
+    counts = cut_lineage(_stack(df, cols).where(F.col("value").isNotNull())
+                         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("count")))
+    totals = counts.groupBy("column").agg(F.sum("count").alias("__total"))  # from the stored counts
     return counts.join(bounded_broadcast(totals), "column").select(
         "column", "value", "count", (F.lit(100.0) * F.col("count") / F.col("__total")).alias("percent"))
 
@@ -44,8 +45,8 @@ def value_share(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def status_share_by(df: DataFrame, group: str, label: str) -> DataFrame:
     """D3: label distribution (percent) within each group; NULL keys dropped."""
     src = df.where(F.col(group).isNotNull() & F.col(label).isNotNull())
-    counts = src.groupBy(group, label).agg(F.count(F.lit(1)).alias("count"))
-    totals = counts.groupBy(group).agg(F.sum("count").alias("__total"))
+    counts = cut_lineage(src.groupBy(group, label).agg(F.count(F.lit(1)).alias("count")))
+    totals = counts.groupBy(group).agg(F.sum("count").alias("__total"))  # from the stored counts
     return counts.join(bounded_broadcast(totals), group).select(
         group, label, "count", (F.lit(100.0) * F.col("count") / F.col("__total")).alias("percent"))
 

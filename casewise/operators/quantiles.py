@@ -111,8 +111,8 @@ def values_at_ranks(df: DataFrame, by: Sequence[str], value: str | Column, ranks
 def _select_ranks(base, keys, ranks, cap, bins):
     base = base.where(F.col("__v").isNotNull())
     bounds = base.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-    state = ranks.join(bounds, keys).select(*keys, "__r", "__lo", "__hi",
-                                            F.lit(0).cast("bigint").alias("__below"))
+    state = cut_lineage(ranks.join(bounds, keys).select(*keys, "__r", "__lo", "__hi",
+                                                        F.lit(0).cast("bigint").alias("__below")))
     found = []
     for _ in range(MAX_ROUNDS):
         ranges = state.select(*keys, "__lo", "__hi", "__below").distinct()

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from casewise.operators.joins import bounded_broadcast
 from casewise.operators.neighbors import enn_keep, knn_join
 from casewise.operators.sampling import mark_lowest, seeded_hash
+from casewise.session import cut_lineage
 
 TWO_64 = float(2 ** 64)
 DRAWS_PER_CHUNK = 100_000
@@ -22,7 +23,7 @@ DRAWS_PER_CHUNK = 100_000
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """H4: n / (classes x n_c) per row (two classes: n / (2 n_c))."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
+    counts = cut_lineage(df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc")))  # one row per class
     k = counts.count()
     tot = counts.agg(F.sum("__nc")).first()[0]
     w = counts.select(label, (F.lit(float(tot)) / (F.lit(float(k)) * F.col("__nc"))).alias(out))
@@ -68,14 +69,15 @@ def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority, k: int
     last = F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk)
     draws = draws.withColumn("__draw", F.explode(F.sequence(first, last))).drop("__chunk")
     kk = min(k, n_min - 1)
-    nb = knn_join(minority_rows, minority_rows, kk, id_col=id_col, vec_col=vec_col, exclude_self=True)
+    nb = cut_lineage(knn_join(minority_rows, minority_rows, kk, id_col=id_col, vec_col=vec_col,
+                              exclude_self=True))  # computed once, read by the check and the join
     draws = draws.withColumn("rank", (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("__draw"), F.lit("nb")),
                                              F.lit(kk)) + 1).cast("int")) \
         .withColumn("__lam", _uniform(F.lit(seed), F.col(id_col), F.col("__draw"), F.lit("gap")))
     # both lookup tables are minority-sized; broadcast them when that is small
     pick = draws.join(bounded_broadcast(nb.select(F.col("qid").alias(id_col), "rank", "rid")), [id_col, "rank"])
     nvec = minority_rows.select(F.col(id_col).alias("rid"), F.col(vec_col).cast("array<double>").alias("__nv"))
-    pick = pick.join(bounded_broadcast(nvec), "rid")
+    pick = pick.join(bounded_broadcast(nvec, materialize=True), "rid")
     x = F.col(vec_col).cast("array<double>")
     synth = F.zip_with(x, F.col("__nv"), lambda a, b: a + F.col("__lam") * (b - a))
     sid = -(F.abs(F.xxhash64(F.lit(seed), F.col(id_col), F.col("__draw"))) + 1)
@@ -97,7 +99,6 @@ def smoteenn(df: DataFrame, id_col: str, vec_col: str, label: str, minority, k_s
     src = df.select(id_col, F.col(vec_col).cast("array<double>").alias(vec_col), label) \
         .withColumn("synthetic", F.lit(False))
     grown = src.unionByName(smote(src, id_col, vec_col, label, minority, k_smote, seed))
-    from casewise.session import cut_lineage
     grown = cut_lineage(grown)  # reused by the neighbour search twice
     return enn_clean(grown, id_col, vec_col, label, k_enn)
 

@@ -14,6 +14,7 @@ from pyspark.sql.types import DoubleType
 from casewise.operators.joins import bounded_broadcast
 from casewise.operators.profile import _stack
 from casewise.operators.quantiles import group_quantiles
+from casewise.session import cut_lineage
 
 
 # --- D20 ------------------------------------------------------------------
@@ -82,13 +83,14 @@ def chi2_statistic(df: DataFrame, features: Sequence[str], label: str) -> DataFr
     sum_all (O-E)^2/E = sum_observed [(O-E)^2/E - E] + N."""
     stacked = _stack(df.where(F.col(label).isNotNull()), features, ids=[label]) \
         .where(F.col("value").isNotNull())
-    cells = stacked.groupBy("column", "value", label).agg(F.count(F.lit(1)).alias("o"))
+    # the only pass over the data; every later step reads this aggregate
+    cells = cut_lineage(stacked.groupBy("column", "value", label).agg(F.count(F.lit(1)).alias("o")))
     rows = cells.groupBy("column", label).agg(F.sum("o").alias("r"))
     cols = cells.groupBy("column", "value").agg(F.sum("o").alias("c"))
     tot = rows.groupBy("column").agg(F.sum("r").alias("n"), F.count(F.lit(1)).alias("nr"))
     ncol = cols.groupBy("column").agg(F.count(F.lit(1)).alias("nc"))
     dims = tot.join(ncol, "column").withColumn("dof", (F.col("nr") - 1) * (F.col("nc") - 1))
-    dims = bounded_broadcast(dims)  # one row per feature
+    dims = bounded_broadcast(dims, materialize=True)  # one row per feature
     e = F.col("r") * F.col("c") / F.col("n")
     general = cells.join(rows, ["column", label]).join(cols, ["column", "value"]).join(dims, "column") \
         .where(F.col("dof") != 1) \
@@ -122,7 +124,7 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int, by: str | None = No
     ids = [by] if by else []
     stacked = _stack(df, cols, "double", ids=ids).where(F.col("value").isNotNull())
     rng = bounded_broadcast(stacked.groupBy("column").agg(F.min("value").alias("lo"),
-                                                          F.max("value").alias("hi")))
+                                                          F.max("value").alias("hi")), materialize=True)
     width = F.col("hi") - F.col("lo")
     b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * F.lit(float(bins))),
                                   F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
@@ -142,7 +144,7 @@ def box_stats(df: DataFrame, group: str, value: str, whis: float = 1.5) -> DataF
     q = q.withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("__lf", F.col("q1") - F.lit(whis) * F.col("iqr")) \
         .withColumn("__uf", F.col("q3") + F.lit(whis) * F.col("iqr"))
-    j = src.join(bounded_broadcast(q), group)
+    j = src.join(bounded_broadcast(q, materialize=True), group)
     inside = (F.col("__x") >= F.col("__lf")) & (F.col("__x") <= F.col("__uf"))
     agg = j.groupBy(group).agg(
         F.min(F.when(inside, F.col("__x"))).alias("whisker_low"),
@@ -173,7 +175,7 @@ def kde(df: DataFrame, value: str, by: str | None = None, grid: int = 200, cut:
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     st = st.where(F.col("bw") > 0)
     if keys:
-        st = bounded_broadcast(st)  # one row per group
+        st = bounded_broadcast(st, materialize=True)  # one row per group
         stat = {c: F.col(c) for c in ("n", "lo", "hi", "bw")}
         attach = lambda d: d.join(st, keys)
     else:

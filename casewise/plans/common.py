@@ -6,10 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def dround(col: Column, digits: int = 6) -> Column:
+    """round(x * 10^d) / 10^d, half away from zero, on the binary product --
+    the arithmetic of the SQL oracle's ``round`` on DOUBLE, so exact ties
+    resolve the same way on both sides."""
+    scale = F.lit(float(10 ** digits))
+    return F.round(col.cast("double") * scale, 0) / scale
+
+
 def r6(c, name: str | None = None) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    out = F.round(col.cast("double"), 6)
-    return out.alias(name or (c if isinstance(c, str) else "value"))
+    return dround(col, 6).alias(name or (c if isinstance(c, str) else "value"))
 
 
 AS_OF_YEAR = 2025

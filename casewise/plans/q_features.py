@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from casewise.operators.features import WageFeatures
 from casewise.plans import sql as S
 from casewise.plans.catalog import register
-from casewise.plans.common import r6
+from casewise.plans.common import dround, r6
 from casewise.sources.views import cases_view
 
 WAGE_RATIO_SQL = S.with_cases(
@@ -177,7 +177,7 @@ def q_yeo_johnson_llf(spark, sf_dir):
     """F11, one grid round: log-likelihood of each candidate lambda."""
     cols = ["no_of_employees", "prevailing_wage"]
     out = EN.yeo_johnson_llf(cases_view(spark, sf_dir), cols, {c: _YJ_GRID for c in cols})
-    return out.select("column", "lambda", F.round("llf", 4).alias("llf"))
+    return out.select("column", "lambda", dround(F.col("llf"), 4).alias("llf"))
 
 
 @register("yeo_johnson_fit")
