@@ -19,8 +19,9 @@ def as_col(c) -> Column:
 
 
 def to_number(c) -> Column:
-    """Coerce to double; unparsable text becomes NULL (never an ANSI error)."""
-    return as_col(c).cast("string").try_cast("double")
+    """Coerce to double; unparsable text becomes NULL (never an ANSI error).
+    Numeric input is widened directly (no text round trip)."""
+    return as_col(c).try_cast("double")
 
 
 def unit_factor(unit) -> Column:
