@@ -19,9 +19,11 @@ def as_col(c) -> Column:
 
 
 def to_number(c) -> Column:
-    """Coerce to double; unparsable text becomes NULL (never an ANSI error).
-    Numeric input is widened directly (no text round trip)."""
-    return as_col(c).try_cast("double")
+    """Coerce to double; unparsable text becomes NULL (never an ANSI error)
+    and NaN becomes NULL (pandas treats both as missing).  Numeric input is
+    widened directly (no text round trip)."""
+    x = as_col(c).try_cast("double")
+    return F.nanvl(x, F.lit(None).cast("double"))
 
 
 def unit_factor(unit) -> Column:

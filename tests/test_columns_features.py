@@ -119,3 +119,8 @@ def test_classify_columns(spark):
     assert out["b"].kind == "categorical" and out["b"].n_unique == 3
     assert out["a"].is_continuous and not out["a"].is_discrete
     assert math.isclose(out["c"].n_unique, 40)
+
+
+def test_to_number_text_and_nan(spark):
+    df = spark.createDataFrame([(" 12 ",), ("x",), ("NaN",), ("1e3",)], "s string")
+    assert [r[0] for r in df.select(FX.to_number("s")).collect()] == [12.0, None, None, 1000.0]
