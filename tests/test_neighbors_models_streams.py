@@ -255,3 +255,31 @@ def test_quantiles_scale_path_on_cases(spark, monkeypatch):
     monkeypatch.setattr(QT, "DEFAULT_CAP", 50)
     slow = {r.continent: r.m for r in QT.group_quantiles(df, ["continent"], "prevailing_wage", [0.5], ["m"]).collect()}
     assert slow == pytest.approx(fast, rel=1e-12)
+
+
+def test_split_disjoint_and_exhaustive(spark):
+    from casewise.operators.sampling import stratified_split
+    from casewise.sources.views import cases_view
+    df = cases_view(spark, SF_SMALL)
+    sp = stratified_split(df, "case_status", "case_id", 0.2, 42)
+    ids = [r.case_id for r in sp.select("case_id").collect()]
+    assert len(ids) == len(set(ids)) == df.count()
+    assert {r.split for r in sp.select("split").distinct().collect()} == {"train", "test"}
+
+
+def test_stream_scores_equal_batch_scores(spark):
+    from casewise.plans.catalog import QUERIES, load_all
+    load_all()
+    batch = {r.case_id: (r.score, r.pred, r.label_text, r.threshold)
+             for r in QUERIES["batch_score"](spark, SF_SMALL).collect()}
+    stream = QUERIES["stream_score"](spark, SF_SMALL).collect()
+    ok = [r for r in stream if r.ok]
+    bad = [r for r in stream if not r.ok]
+    assert ok and bad  # some payloads are cut short on purpose
+    for r in ok:
+        s, p, lab, thr = batch[r.case_id]
+        assert (r.score_pos_class, r.pred, r.label, r.threshold) == (s, p, lab, thr)
+        assert r.pred == int(r.score_pos_class >= r.threshold)
+    n_cut = sum(1 for k in batch if k % 97 == 0)  # payloads cut short by the fixture builder
+    assert sum(1 for r in bad if r.error == "invalid JSON payload") == n_cut
+    assert all(r.error == "invalid JSON payload" or "Value must be" in r.error for r in bad)
