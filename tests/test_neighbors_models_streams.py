@@ -283,3 +283,24 @@ def test_stream_scores_equal_batch_scores(spark):
     n_cut = sum(1 for k in batch if k % 97 == 0)  # payloads cut short by the fixture builder
     assert sum(1 for r in bad if r.error == "invalid JSON payload") == n_cut
     assert all(r.error == "invalid JSON payload" or "Value must be" in r.error for r in bad)
+
+
+def test_pipeline_train_and_score_from_csv(spark, tmp_path):
+    """Entry 1 and 2 end to end: CSV in, artifacts out, the saved bundle scores new rows."""
+    from casewise import pipeline as PL
+    from casewise.config import build_config
+    from casewise.sources.views import cases_view
+    csv = str(tmp_path / "cases_csv")
+    cases_view(spark, SF_SMALL).drop("score").write.option("header", True).csv(csv)
+    cfg = build_config({"dataset": {"csv_path": csv},
+                        "training": {"target_column": "CASE_STATUS", "positive_class": "F",
+                                     "negative_class": "O", "test_size": 0.2, "random_state": 42},
+                        "artifacts": {"root_dir": str(tmp_path / "artifacts")}})
+    out = PL.train(spark, cfg, models=["logreg", "decision_tree"],
+                   params={"logreg": {"maxIter": 20}, "decision_tree": {"maxDepth": 4}}, resample=False)
+    assert out["best_model_name"] in ("logreg", "decision_tree")
+    cm = out["confusion_matrix"]
+    assert sum(map(sum, cm)) > 0
+    scored = PL.score(spark, str(tmp_path / "artifacts" / "model"), csv, str(tmp_path / "scored"))
+    assert scored.count() == cases_view(spark, SF_SMALL).count()
+    assert scored.where((F.col("score") >= F.col("threshold")).cast("int") != F.col("pred")).count() == 0
