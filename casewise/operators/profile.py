@@ -138,6 +138,26 @@ def missing_percent(train: DataFrame, test: DataFrame, digits: int = 2) -> DataF
     return out.orderBy(F.desc_nulls_last("missing_train_percent"), "column")
 
 
+def missing_percent_split(df: DataFrame, split_col: str = "split", train: str = "train",
+                          test: str = "test", digits: int = 2) -> DataFrame:
+    """D13 + C3 in one pass over a frame holding both splits: a conditional
+    mean per (column, split) -- ``avg`` skips the NULLs of the other split --
+    then one row per column, rounded half-even, highest train share first."""
+    cols = [c for c in df.columns if c != split_col]
+    aggs = []
+    for c in cols:
+        miss = F.col(c).isNull().cast("double")
+        aggs += [F.avg(F.when(F.col(split_col) == train, miss)).alias(f"{c}__tr"),
+                 F.avg(F.when(F.col(split_col) == test, miss)).alias(f"{c}__te")]
+    wide = df.agg(*aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__tr").alias("tr"),
+                                        F.col(f"{c}__te").alias("te")) for c in cols]))
+    out = wide.select(rows.alias("r")).select(
+        "r.column", F.bround(F.lit(100.0) * F.col("r.tr"), digits).alias("missing_train_percent"),
+        F.bround(F.lit(100.0) * F.col("r.te"), digits).alias("missing_test_percent"))
+    return out.orderBy(F.desc_nulls_last("missing_train_percent"), "column")
+
+
 def missing_percent_over(df: DataFrame, min_missing: int = 1, digits: int = 4) -> DataFrame:
     """D13 variant: only columns with more than ``min_missing`` NULLs."""
     counts = missing_counts(df)

@@ -82,11 +82,8 @@ def _missing_sql() -> str:
 
 @register("missing_percent", _missing_sql())
 def q_missing_percent(spark, sf_dir):
-    """D13 + C3 + E3 on the E1 split of the NULL-injected view."""
-    sp = _nulls_split(spark, sf_dir).cache()
-    train = sp.where(F.col("split") == "train").drop("split")
-    test = sp.where(F.col("split") == "test").drop("split")
-    return P.missing_percent(train, test)
+    """D13 + C3 + E3 on the E1 split of the NULL-injected view (one pass)."""
+    return P.missing_percent_split(_nulls_split(spark, sf_dir))
 
 
 @register("recent_top10", """

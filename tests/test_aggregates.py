@@ -112,3 +112,14 @@ def test_box_stats(spark):
     r = ST.box_stats(df, "g", "x").first()
     assert (r.q1, r.median, r.q3) == (2.0, 3.0, 4.0)
     assert r.whisker_high == 4.0 and r.outliers == 1
+
+
+def test_missing_percent_split_equals_two_frames(spark):
+    df = spark.createDataFrame([(1, None, "train"), (None, "a", "train"), (3, "b", "test"), (None, None, "test"),
+                                (5, "c", "train")], "x int, y string, split string")
+    a = {r.column: (r.missing_train_percent, r.missing_test_percent)
+         for r in P.missing_percent_split(df).collect()}
+    tr = df.where("split = 'train'").drop("split")
+    te = df.where("split = 'test'").drop("split")
+    b = {r.column: (r.missing_train_percent, r.missing_test_percent) for r in P.missing_percent(tr, te).collect()}
+    assert a == b == {"x": (33.33, 50.0), "y": (33.33, 50.0)}
