@@ -96,13 +96,10 @@ def global_median(df: DataFrame, value: str) -> DataFrame:
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per numeric column."""
     stacked = _stack(df, cols, "double")
-    moments = stacked.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.max("value").alias("max"))
-    quarts = group_quantiles(stacked, ["column"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
-    return moments.join(quarts, "column").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    out = group_quantiles(stacked, ["column"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"],
+                          extra=moments)  # moments ride in the pass that sizes the groups
+    return out.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def info(df: DataFrame) -> DataFrame:
@@ -198,10 +195,9 @@ def category_domain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def numeric_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Min, max, exact median per numeric column, only if any non-NULL."""
     stacked = _stack(df, cols, "double")
-    mm = stacked.groupBy("column").agg(F.count("value").alias("n"), F.min("value").alias("min"),
-                                       F.max("value").alias("max"))
-    med = group_quantiles(stacked, ["column"], "value", [0.5], ["p50"])
-    return mm.where(F.col("n") > 0).join(med, "column").select("column", "min", "max", "p50")
+    out = group_quantiles(stacked, ["column"], "value", [0.5], ["p50"], with_count=True,
+                          extra={"min": F.min, "max": F.max})
+    return out.where(F.col("n") > 0).select("column", "min", "max", "p50")
 
 
 def label_domain(df: DataFrame, label: str, limit: int = 20) -> DataFrame:

@@ -20,7 +20,7 @@ selection algorithm:
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,22 +58,29 @@ def _prepare(df: DataFrame, by, value):
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str],
                     cap: int | None = None, bins: int = DEFAULT_BINS,
-                    with_count: bool = False) -> DataFrame:
+                    with_count: bool = False,
+                    extra: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per group ``by`` (NULL values ignored).
 
-    Returns ``by + names`` (plus ``n`` when ``with_count``); a group whose
-    values are all NULL gets NULL quantiles, like ``percentile``.
+    Returns ``by + names`` (plus ``n`` when ``with_count``, plus one column
+    per ``extra`` aggregate, e.g. ``{"mean": F.avg}``, computed in the same
+    pass that sizes the groups); a group whose values are all NULL gets NULL
+    quantiles, like ``percentile``.
     """
     cap = DEFAULT_CAP if cap is None else cap
+    extra = extra or {}
     vcol = F.col(value) if isinstance(value, str) else value
     by, keys, base = _prepare(df, by, vcol.cast("double"))
-    stats = base.groupBy(*keys).agg(F.count("__v").alias("n"))
+    stats = base.groupBy(*keys).agg(F.count("__v").alias("n"),
+                                    *[fn(F.col("__v")).alias(nm) for nm, fn in extra.items()])
+    if extra:
+        stats = cut_lineage(stats)  # one row per group, joined back below
     max_n = stats.agg(F.max("n")).first()[0] or 0
     if max_n <= cap:
         aggs = [F.percentile("__v", float(p)).alias(nm) for p, nm in zip(probs, names)]
-        if with_count:
-            aggs.append(F.count("__v").alias("n"))
         out = base.groupBy(*keys).agg(*aggs)
+        if with_count or extra:
+            out = out.join(stats.select(*keys, *(["n"] if with_count else []), *extra), keys)
         return out.drop("__g") if not by else out
     rank_cols = []
     for p in probs:
@@ -90,6 +97,7 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
         cols.append(_interp(F.col("n"), p, lambda r: F.element_at(F.col("__m"), r)).alias(nm))
     if with_count:
         cols.append(F.col("n"))
+    cols += [F.col(nm) for nm in extra]
     return out.select(*cols)
 
 
