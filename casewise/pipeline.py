@@ -102,10 +102,9 @@ def profile(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def diagnose_splits(spark: SparkSession, root: str, target: str) -> DataFrame:
-    from casewise.plans.q_scoring import diagnose
+    from casewise.plans.q_scoring import diagnose_split
     sp = spark.read.parquet(f"{root}/data/splits")
-    col = resolve_column(sp, target)
-    return diagnose(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"), col)
+    return diagnose_split(sp, resolve_column(sp, target))
 
 
 def main(argv=None) -> None:

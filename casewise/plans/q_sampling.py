@@ -137,13 +137,17 @@ def _align_sql() -> str:
 
 @register("column_report_align", _align_sql())
 def q_column_report_align(spark, sf_dir):
-    """Per-column train and test statistics outer-aligned on the column name."""
-    sp = _nulls_split(spark, sf_dir).cache()
-    tr = sp.where(F.col("split") == "train").drop("split")
-    te = sp.where(F.col("split") == "test").drop("split")
-    a = tr.agg(*[F.count(c).alias(c) for c in tr.columns]).unpivot([], tr.columns, "column", "non_null_train")
-    b = te.agg(*[F.count(c).alias(c) for c in te.columns]).unpivot([], te.columns, "column", "non_null_test")
-    return a.join(b, "column", "full")
+    """Per-column train and test statistics aligned on the column name
+    (both splits in one pass; ``P.missing_percent`` aligns two separate frames
+    with a full outer join)."""
+    sp = _nulls_split(spark, sf_dir)
+    cols = [c for c in sp.columns if c != "split"]
+    is_tr, is_te = F.col("split") == "train", F.col("split") == "test"
+    wide = sp.agg(*[F.count(F.when(is_tr, F.col(c))).alias(f"{c}__tr") for c in cols],
+                  *[F.count(F.when(is_te, F.col(c))).alias(f"{c}__te") for c in cols])
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"{c}__tr").alias("non_null_train"),
+                                        F.col(f"{c}__te").alias("non_null_test")) for c in cols]))
+    return wide.select(rows.alias("r")).select("r.*")
 
 
 @register("sort_report", S.with_cases(

@@ -61,11 +61,19 @@ def diagnose(train, test, target: str):
     return counts.withColumn("baseline", F.max("count").over(w) / F.sum("count").over(w))
 
 
+def diagnose_split(df, target: str, split_col: str = "split"):
+    """G11 in one pass over a frame holding both splits."""
+    from pyspark.sql import Window
+    counts = df.groupBy(F.col(target).alias("cls"), F.col(split_col).alias("split")) \
+        .agg(F.count(F.lit(1)).alias("count"))
+    w = Window.partitionBy("split")  # a handful of rows per split
+    return counts.withColumn("baseline", F.max("count").over(w) / F.sum("count").over(w))
+
+
 @register("diagnose", S.with_cases(
     """SELECT case_status AS cls, count(*) AS count, split,
        round(max(count(*)) OVER (PARTITION BY split) / sum(count(*)) OVER (PARTITION BY split), 6) AS baseline
 FROM sp GROUP BY case_status, split""", nulls=True, **split_ctes("cases_nulls")))
 def q_diagnose(spark, sf_dir):
-    sp = _nulls_split(spark, sf_dir).cache()
-    out = diagnose(sp.where(F.col("split") == "train"), sp.where(F.col("split") == "test"), "case_status")
+    out = diagnose_split(_nulls_split(spark, sf_dir), "case_status")
     return out.select("cls", "count", "split", r6("baseline"))
