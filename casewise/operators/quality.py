@@ -36,14 +36,26 @@ def validation_report(train: DataFrame, test: DataFrame, target: str, positive:
     extra_train = sorted(set(train.columns) - set(test.columns))
     extra_test = sorted(set(test.columns) - set(train.columns))
     status = not (extra_train or extra_test)
+    # rows and duplicates of both splits from one grouping of the tagged union
+    common = [c for c in train.columns if c in test.columns]
+    tagged = train.select(*common, F.lit("train").alias("__s")).unionByName(
+        test.select(*common, F.lit("test").alias("__s"))) if not (extra_train or extra_test) else None
+    if tagged is not None:
+        per = tagged.groupBy("__s", *common).agg(F.count(F.lit(1)).alias("__n")) \
+            .groupBy("__s").agg(F.sum("__n").alias("rows"), F.sum(F.col("__n") - 1).alias("dups"))
+        got = {r["__s"]: r for r in per.collect()}  # two rows
+        n_train, dup_train = (got["train"]["rows"], got["train"]["dups"]) if "train" in got else (0, 0)
+        n_test, dup_test = (got["test"]["rows"], got["test"]["dups"]) if "test" in got else (0, 0)
+    else:
+        n_train, n_test = train.count(), test.count()
+        dup_train = duplicate_count(train).first()["duplicates"]
+        dup_test = duplicate_count(test).first()["duplicates"]
     classes = train.select(F.col(t_train).cast("string").alias("v")).where(F.col("v").isNotNull()) \
         .distinct()
     # the class list is small (distinct labels); only its first 20 are kept
     sample = [r["v"] for r in classes.orderBy("v").limit(20).collect()]
-    dup_train = duplicate_count(train).first()["duplicates"]
-    dup_test = duplicate_count(test).first()["duplicates"]
     issue = "" if status else f"column_mismatch extra_in_train={extra_train} extra_in_test={extra_test}"
-    row = (status, train.count(), len(train.columns), test.count(), len(test.columns), target, t_train,
+    row = (status, n_train, len(train.columns), n_test, len(test.columns), target, t_train,
            ",".join(sample), positive in sample, negative in sample, dup_train, dup_test, issue)
     report = train.sparkSession.createDataFrame([row], REPORT_SCHEMA)
     if raise_on_failure and not status:
