@@ -66,3 +66,31 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str], par
         offset = F.element_at(F.array(*[F.lit(o) for o in offsets]), F.col("__rng") + 1)
         out = out.withColumn(f"{v}{suffix}", offset + F.coalesce(F.sum(v).over(frame), F.lit(0)))
     return out.drop("__rng")
+
+
+def positions_within(df: DataFrame, group_col: str, order_col: str, partitions: int) -> DataFrame:
+    """1-based position of each row within ``group_col`` by ``order_col``
+    (rows must be distinct on the pair); works for any orderable type.
+
+    The rows are range-partitioned on (group, order) and materialised once in
+    the shared checkpoint folder, so partition ids are fixed; per (partition,
+    group) counts -- at most partitions x groups numbers -- give offsets, and
+    numbering inside a partition is a window over that partition only.
+    """
+    from casewise.session import cut_lineage
+    ranged = cut_lineage(df.repartitionByRange(max(1, partitions), group_col, order_col)
+                         .withColumn("__pid", F.spark_partition_id()))
+    counts = ranged.groupBy("__pid", group_col).agg(F.count(F.lit(1)).alias("__c")).collect()
+    offsets, acc = {}, {}
+    for r in sorted(counts, key=lambda r: r["__pid"]):
+        g = r[group_col]
+        offsets[(r["__pid"], g)] = acc.get(g, 0)
+        acc[g] = acc.get(g, 0) + r["__c"]
+    spark = df.sparkSession
+    off = spark.createDataFrame([(p, g, o) for (p, g), o in offsets.items()],
+                                f"__pid int, {group_col} {df.schema[group_col].dataType.simpleString()}, "
+                                "__off long")
+    w = Window.partitionBy("__pid", group_col).orderBy(order_col)
+    return ranged.join(F.broadcast(off), ["__pid", group_col]) \
+        .withColumn("position", (F.col("__off") + F.row_number().over(w)).cast("int")) \
+        .drop("__pid", "__off")

@@ -123,3 +123,13 @@ def test_missing_percent_split_equals_two_frames(spark):
     te = df.where("split = 'test'").drop("split")
     b = {r.column: (r.missing_train_percent, r.missing_test_percent) for r in P.missing_percent(tr, te).collect()}
     assert a == b == {"x": (33.33, 50.0), "y": (33.33, 50.0)}
+
+
+def test_positions_within_match_rank(spark):
+    from casewise.operators.prefix import positions_within
+    rows = [(g, f"v{(i * 7919) % 1000:04d}") for g in ("a", "b") for i in range(300 if g == "a" else 40)]
+    df = spark.createDataFrame(rows, "g string, v string").distinct()
+    got = {(r.g, r.v): r.position for r in positions_within(df, "g", "v", 7).collect()}
+    for g in ("a", "b"):
+        vals = sorted(v for gg, v in got if gg == g)
+        assert [got[(g, v)] for v in vals] == list(range(1, len(vals) + 1))
