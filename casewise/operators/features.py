@@ -16,6 +16,7 @@ from casewise.operators.joins import lookup_with_default
 from casewise.operators.quantiles import group_quantiles
 from casewise.session import cut_lineage
 
+# Fixed value: added to the group median before dividing.
 RATIO_EPS = 1e-9
 
 

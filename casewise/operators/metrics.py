@@ -17,7 +17,7 @@ from casewise.operators.prefix import running_totals
 
 # The 19-point threshold grid 0.05 .. 0.95 (numpy linspace).
 THRESHOLDS = [0.05 + i * ((0.95 - 0.05) / 18) for i in range(18)] + [0.95]
-SCORE_EPS = 1e-9
+SCORE_EPS = 1e-9  # fixed value: added to (max - min) in min-max scaling
 METRIC_NAMES = ["accuracy", "balanced_accuracy", "f1", "precision", "recall", "positive_rate"]
 
 

@@ -138,7 +138,11 @@ def stratified_sample(df: DataFrame, label: str, id_col: str, size: int, seed: i
     return marked.where("__in").drop("__in")
 
 
-def learning_curve_sizes(n: int, sizes=(1000, 3000, 6000, 12000)) -> list[int]:
+# Learning-curve subset sizes.
+LEARNING_CURVE_SIZES = (1000, 3000, 6000, 12000)
+
+
+def learning_curve_sizes(n: int, sizes=LEARNING_CURVE_SIZES) -> list[int]:
     """Sizes below ``n``, then ``n`` itself."""
     return [s for s in sizes if s < n] + [n]
 

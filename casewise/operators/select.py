@@ -25,6 +25,8 @@ from casewise.operators.models import FittedModel, fit_model
 from casewise.operators.sampling import stratified_sample, stratified_split
 from casewise.session import cut_lineage
 
+# Column routing of the preprocessor (one-hot block, power block;
+# every other numeric column is median-imputed and scaled).
 CATEGORICAL = ["continent", "unit_of_wage", "region_of_employment", "education_of_employee",
                "has_job_experience", "requires_job_training", "full_time_position"]
 POWER_CANDIDATES = ["company_age", "no_of_employees", "annual_wage", "wage_per_employee"]
