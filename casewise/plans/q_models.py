@@ -97,7 +97,8 @@ def q_model_leaderboard(spark, sf_dir):
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
     """Test metrics against training-subset size."""
-    return SL.learning_curve(prepared(spark, sf_dir), "hgb", (1000, 3000), SMALL["hgb"])
+    from casewise.operators.sampling import LEARNING_CURVE_SIZES
+    return SL.learning_curve(prepared(spark, sf_dir), "hgb", LEARNING_CURVE_SIZES, SMALL["hgb"])
 
 
 def _bundle(spark, sf_dir):
