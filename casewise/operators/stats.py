@@ -118,19 +118,41 @@ def chi2_independence(df: DataFrame, features: Sequence[str], label: str,
 
 
 # --- D23 ------------------------------------------------------------------
-def histogram(df: DataFrame, cols: Sequence[str], bins: int, by: str | None = None) -> DataFrame:
+def auto_bins(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, k): the 'auto' bin count per column, as current NumPy: width =
+    min(max(FD, sqrt_width / 2), Sturges) with FD = 2*IQR*n^(-1/3), sqrt_width
+    = range/sqrt(n), Sturges = range/(log2(n)+1); k = ceil(range/width)."""
+    stacked = _stack(df, cols, "double").where(F.col("value").isNotNull())
+    q = group_quantiles(stacked, ["column"], "value", [0.25, 0.75], ["q1", "q3"], with_count=True,
+                        extra={"lo": F.min, "hi": F.max})
+    n = F.col("n").cast("double")
+    rng_ = F.col("hi") - F.col("lo")
+    sturges = rng_ / (F.log2(n) + F.lit(1.0))
+    fd = F.lit(2.0) * (F.col("q3") - F.col("q1")) * F.pow(n, F.lit(-1.0 / 3.0))
+    sqrt_half = rng_ / F.sqrt(n) / F.lit(2.0)
+    width = F.least(F.greatest(fd, sqrt_half), sturges)
+    k = F.when(width > 0, F.ceil(rng_ / width)).otherwise(F.lit(1)).cast("int")
+    return q.select("column", k.alias("k"))
+
+
+def histogram(df: DataFrame, cols: Sequence[str], bins: int | str, by: str | None = None) -> DataFrame:
     """Equal-width bins between each column's min and max (last bin closed),
-    counted per ``by`` value."""
+    counted per ``by`` value; ``bins`` is a count or ``"auto"`` (per column)."""
     ids = [by] if by else []
     stacked = _stack(df, cols, "double", ids=ids).where(F.col("value").isNotNull())
-    rng = bounded_broadcast(stacked.groupBy("column").agg(F.min("value").alias("lo"),
-                                                          F.max("value").alias("hi")), materialize=True)
+    rng = stacked.groupBy("column").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    if bins == "auto":
+        rng = rng.join(auto_bins(df, cols), "column")
+    else:
+        rng = rng.withColumn("k", F.lit(int(bins)))
+    rng = bounded_broadcast(rng, materialize=True)  # one row per column
     width = F.col("hi") - F.col("lo")
-    b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * F.lit(float(bins))),
-                                  F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
+    kd = F.col("k").cast("double")
+    b = F.when(width > 0, F.least(F.floor((F.col("value") - F.col("lo")) / width * kd),
+                                  F.col("k") - 1)).otherwise(F.lit(0)).cast("int")
     counted = stacked.join(rng, "column").withColumn("bin", b) \
-        .groupBy("column", *ids, "bin", "lo", "hi").agg(F.count(F.lit(1)).alias("count"))
-    step = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+        .groupBy("column", *ids, "bin", "lo", "hi", "k").agg(F.count(F.lit(1)).alias("count"))
+    step = (F.col("hi") - F.col("lo")) / F.col("k").cast("double")
     return counted.select("column", *ids, "bin",
                           (F.col("lo") + F.col("bin") * step).alias("lower"),
                           (F.col("lo") + (F.col("bin") + 1) * step).alias("upper"), "count")

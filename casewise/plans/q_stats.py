@@ -83,6 +83,26 @@ def q_histogram(spark, sf_dir):
     return out.select("column", "case_status", "bin", r6("lower"), r6("upper"), "count")
 
 
+@register("histogram_auto", S.with_cases(
+    """SELECT "column", case_status, CAST(bin AS INTEGER) AS bin,
+       round(lo + bin * ((hi - lo) / k), 6) AS lower, round(lo + (bin + 1) * ((hi - lo) / k), 6) AS upper,
+       count(*) AS count
+FROM (SELECT s.*, r.lo, r.hi, r.k, CASE WHEN r.hi - r.lo > 0
+        THEN least(floor((value - r.lo) / (r.hi - r.lo) * r.k), r.k - 1) ELSE 0 END AS bin
+      FROM s JOIN r ON s."column" = r."column")
+GROUP BY "column", case_status, bin, lo, hi, k""", nulls=True,
+    s=f"SELECT * FROM ({stack_sql(NUMERIC, cast='DOUBLE', extra=', case_status')}) WHERE value IS NOT NULL",
+    q0="SELECT \"column\", count(value) AS n, min(value) AS lo, max(value) AS hi, "
+       "quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM s GROUP BY 1",
+    r="SELECT \"column\", lo, hi, CAST(CASE WHEN w > 0 THEN ceil((hi - lo) / w) ELSE 1 END AS INTEGER) AS k "
+      "FROM (SELECT *, least(greatest(2.0 * (q3 - q1) * pow(CAST(n AS DOUBLE), -1.0 / 3.0), "
+      "(hi - lo) / sqrt(CAST(n AS DOUBLE)) / 2.0), (hi - lo) / (log2(CAST(n AS DOUBLE)) + 1.0)) AS w FROM q0)"))
+def q_histogram_auto(spark, sf_dir):
+    """D23 with the 'auto' bin rule per column."""
+    out = ST.histogram(cases_nulls(spark, sf_dir), NUMERIC, "auto", by="case_status")
+    return out.select("column", "case_status", "bin", r6("lower"), r6("upper"), "count")
+
+
 @register("box_stats", S.with_cases(
     """SELECT q.continent, round(q1, 6) AS q1, round(med, 6) AS median, round(q3, 6) AS q3,
        round(q3 - q1, 6) AS iqr,

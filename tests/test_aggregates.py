@@ -133,3 +133,11 @@ def test_positions_within_match_rank(spark):
     for g in ("a", "b"):
         vals = sorted(v for gg, v in got if gg == g)
         assert [got[(g, v)] for v in vals] == list(range(1, len(vals) + 1))
+
+
+def test_auto_bins_match_numpy(spark):
+    rng = np.random.default_rng(5)
+    for xs in (rng.lognormal(2, 1, 3000), rng.normal(size=500), np.r_[np.zeros(100), np.arange(10.0)]):
+        df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+        k = ST.auto_bins(df, ["x"]).first().k
+        assert k == len(np.histogram_bin_edges(xs, "auto")) - 1
