@@ -57,6 +57,16 @@ def train(spark: SparkSession, cfg: AppConfig, models: list[str] | None = None,
     SK.write_table(split, f"{root}/data/splits", "parquet", partition_by=["split"])
     train_df = split.where(F.col("split") == "train").drop("split")
     test_df = split.where(F.col("split") == "test").drop("split")
+    # inferred schema as YAML (column metadata only)
+    import yaml
+    from casewise.functions.columns import is_numeric_type
+    schema = {"columns": raw.columns,
+              "dtypes": {f.name: f.dataType.simpleString() for f in raw.schema.fields},
+              "numeric_columns": [f.name for f in raw.schema.fields if is_numeric_type(f.dataType)],
+              "categorical_columns": [f.name for f in raw.schema.fields if not is_numeric_type(f.dataType)],
+              "target_column": target}
+    spark.createDataFrame([(yaml.safe_dump(schema, sort_keys=False),)], "yaml string").coalesce(1) \
+        .write.mode("overwrite").text(f"{root}/validation/schema_inferred")
     # validate (raises on column drift, as the reference does)
     report = Q.validation_report(train_df.drop(id_col), test_df.drop(id_col), t.target_column,
                                  t.positive_class, t.negative_class, raise_on_failure=False)
