@@ -185,8 +185,15 @@ def distinct_count(df: DataFrame, cols: Sequence[str], count_null: bool = False,
 def category_domain(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Sorted distinct non-NULL text values per column, as rows
     (column, position, value) so no domain is gathered into one row."""
+    from pyspark.sql import Window
+
+    from casewise.operators.joins import BROADCAST_MAX_ROWS
     from casewise.operators.prefix import positions_within
-    vals = _stack(df, cols).where(F.col("value").isNotNull()).distinct()
+    vals = cut_lineage(_stack(df, cols).where(F.col("value").isNotNull()).distinct())
+    if vals.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+        # proven small: a window per column over at most that many rows
+        w = Window.partitionBy("column").orderBy("value")
+        return vals.withColumn("position", F.row_number().over(w)).select("column", "position", "value")
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return positions_within(vals, "column", "value", parts).select("column", "position", "value")
 
