@@ -304,3 +304,13 @@ def test_pipeline_train_and_score_from_csv(spark, tmp_path):
     scored = PL.score(spark, str(tmp_path / "artifacts" / "model"), csv, str(tmp_path / "scored"))
     assert scored.count() == cases_view(spark, SF_SMALL).count()
     assert scored.where((F.col("score") >= F.col("threshold")).cast("int") != F.col("pred")).count() == 0
+
+
+def test_approx_knn_recall(spark):
+    """The opt-in LSH path returns real neighbours (recall against the exact join)."""
+    df, X, _ = _points(spark, n=200, d=4, seed=9)
+    exact = {(r.qid, r.rid) for r in NB.knn_join(df, df, 3, exclude_self=True).collect()}
+    approx = NB.approx_knn(df.where("id < 50"), df, 4, bucket_length=4.0, num_tables=4).collect()
+    got = {(r.qid, r.rid) for r in approx if r.qid != r.rid}
+    want = {p for p in exact if p[0] < 50}
+    assert len(got & want) / len(want) > 0.8
