@@ -162,9 +162,23 @@ def train_select(prep: Prepared, models: list[str], params: dict | None = None,
     return Selection(report, final, thr, tm)
 
 
+# The reference's random-search spaces, in Spark ML parameter
+# names (unlimited depth -> 30, all features -> "all"; a booster's minimum
+# child weight -> minimum instances per node).  Nearest-neighbour search
+# space: k in (3, 4, 5, 7, 9) x weights in (uniform, distance).
+REFERENCE_GRIDS = {
+    "gbt": {"maxDepth": [3, 5, 7, 9], "minInstancesPerNode": [1, 3, 5]},
+    "random_forest": {"maxDepth": [10, 12, 30, 15, 20], "featureSubsetStrategy": ["sqrt", "log2", "all"],
+                      "numTrees": [10, 50, 100, 200]},
+}
+
+
 def random_search(prep: Prepared, grid: dict, n_iter: int = 100, folds: int = 3, seed: int = 42,
                   parallelism: int = 4, model: str = "random_forest"):
-    """Up to ``n_iter`` seeded draws from the grid, k-fold CV on accuracy."""
+    """Up to ``n_iter`` seeded draws from the grid, k-fold CV on accuracy
+    (``grid`` may be a key of ``REFERENCE_GRIDS``)."""
+    if isinstance(grid, str):
+        grid = REFERENCE_GRIDS[grid]
     from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from pyspark.ml.tuning import CrossValidator, ParamGridBuilder

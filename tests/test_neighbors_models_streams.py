@@ -314,3 +314,14 @@ def test_approx_knn_recall(spark):
     got = {(r.qid, r.rid) for r in approx if r.qid != r.rid}
     want = {p for p in exact if p[0] < 50}
     assert len(got & want) / len(want) > 0.8
+
+
+def test_reference_grids_sizes(spark):
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    from pyspark.ml.tuning import ParamGridBuilder
+    from casewise.operators.select import REFERENCE_GRIDS
+    for name, est, size in (("gbt", GBTClassifier(), 12), ("random_forest", RandomForestClassifier(), 60)):
+        b = ParamGridBuilder()
+        for p, vals in REFERENCE_GRIDS[name].items():
+            b = b.addGrid(est.getParam(p), vals)
+        assert len(b.build()) == size
