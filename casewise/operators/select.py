@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casewise.functions.columns import drop_columns, label_filter_map
@@ -310,3 +310,46 @@ class Bundle:
         fm = FittedModel(name, model, score_norm=meta.get("score_norm", "minmax"))
         return cls(pre, fm, float(meta["threshold"]), meta["pos_label"], meta["neg_label"],
                    meta["target_column"], meta["created_at"])
+
+
+# The nearest-neighbour search space (the index algorithm of the
+# reference's space does not change exact results, so it is not a dimension).
+KNN_GRID = {"k": [3, 4, 5, 7, 9], "weights": ["uniform", "distance"]}
+
+
+def knn_search(prep: Prepared, ks=tuple(KNN_GRID["k"]), weights=tuple(KNN_GRID["weights"]), folds: int = 3,
+               seed: int = 42, id_col: str = "case_id") -> DataFrame:
+    """M11 for the nearest-neighbour model: k-fold CV accuracy of every (k,
+    weights) point.  Per fold one exact KNN join at the largest k; every grid
+    point is then scored from that neighbour table in one aggregation (ties
+    between classes go to the smaller label)."""
+    from casewise.operators.neighbors import knn_join
+    data = cut_lineage(prep.train.select(F.col(id_col).alias("id"), vector_to_array("features").alias("vec"),
+                                         "label", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)),
+                                                         F.lit(folds)).alias("fold")))
+    kmax = max(ks)
+    grid = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(w).alias("w")) for k in ks for w in weights]))
+    lab = data.select(F.col("id").alias("rid"), F.col("label").alias("nlab"))
+    truth = data.select(F.col("id").alias("qid"), F.col("label").alias("truth"))
+    parts = []
+    for f in range(folds):
+        nb = knn_join(data.where(F.col("fold") == f), data.where(F.col("fold") != f), kmax)
+        nb = cut_lineage(nb.join(lab, "rid"))
+        pts = nb.select("*", grid.alias("g")).where(F.col("rank") <= F.col("g.k"))
+        zero = F.max((F.col("dist") == 0).cast("int")).over(
+            Window.partitionBy("qid", "g.k", "g.w"))  # k rows per (query, point)
+        wgt = F.when(F.col("g.w") == "uniform", F.lit(1.0)) \
+            .when(F.col("__z") == 1, (F.col("dist") == 0).cast("double")) \
+            .otherwise(F.lit(1.0) / F.col("dist"))
+        per = pts.withColumn("__z", zero).withColumn("__w", wgt) \
+            .groupBy("qid", F.col("g.k").alias("k"), F.col("g.w").alias("weights"), "nlab") \
+            .agg(F.sum("__w").alias("s"))
+        pred = per.groupBy("qid", "k", "weights").agg(
+            F.max_by("nlab", F.struct(F.col("s"), -F.col("nlab"))).alias("pred"))
+        acc = pred.join(truth, "qid").groupBy("k", "weights").agg(
+            F.avg((F.col("pred") == F.col("truth")).cast("double")).alias("acc"))
+        parts.append(acc.withColumn("fold", F.lit(f)))
+    allf = parts[0]
+    for p_ in parts[1:]:
+        allf = allf.unionByName(p_)
+    return allf.groupBy("k", "weights").agg(F.avg("acc").alias("cv_accuracy"))

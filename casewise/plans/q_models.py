@@ -86,6 +86,12 @@ def q_random_search(spark, sf_dir):
     return out
 
 
+@register("knn_search")
+def q_knn_search(spark, sf_dir):
+    """M11 for nearest neighbours: 3-fold CV accuracy over k x weights."""
+    return SL.knn_search(prepared(spark, sf_dir))
+
+
 @register("model_leaderboard")
 def q_model_leaderboard(spark, sf_dir):
     """Every family fitted, train/test metrics, best test accuracy first."""

@@ -325,3 +325,31 @@ def test_reference_grids_sizes(spark):
         for p, vals in REFERENCE_GRIDS[name].items():
             b = b.addGrid(est.getParam(p), vals)
         assert len(b.build()) == size
+
+
+def test_knn_search_matches_brute_force(spark):
+    from pyspark.ml.functions import array_to_vector
+    from casewise.operators import select as SL
+    df, X, y = _points(spark, n=120, d=3, seed=4)
+    train = df.select(F.col("id").alias("case_id"), array_to_vector("vec").alias("features"), "label")
+    prep = SL.Prepared(train, train, None)
+    got = {(r.k, r.weights): r.cv_accuracy for r in SL.knn_search(prep, (3, 5), ("uniform", "distance"), 3, 7).collect()}
+    folds = {r.case_id: r.f for r in train.select("case_id", F.pmod(F.xxhash64(F.lit(7), F.col("case_id")),
+                                                                       F.lit(3)).alias("f")).collect()}
+    fold = np.array([folds[i] for i in range(len(X))])
+    for k in (3, 5):
+        for w in ("uniform", "distance"):
+            accs = []
+            for f in range(3):
+                q, r = np.where(fold == f)[0], np.where(fold != f)[0]
+                ok = 0
+                for i in q:
+                    d = np.sqrt(((X[r] - X[i]) ** 2).sum(1))
+                    nn = r[np.lexsort((r, d))[:k]]
+                    dn = np.sqrt(((X[nn] - X[i]) ** 2).sum(1))
+                    wt = np.ones(k) if w == "uniform" else (1.0 / dn)
+                    score = {c: wt[y[nn] == c].sum() for c in (0, 1)}
+                    pred = 0 if score[0] >= score[1] else 1
+                    ok += int(pred == y[i])
+                accs.append(ok / len(q))
+            assert got[(k, w)] == pytest.approx(np.mean(accs))
