@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from casewise.functions import features as FX
+from casewise.operators import encode as EN
+from casewise.operators import profile as PR
 from casewise.operators.features import WageFeatures
 from casewise.plans import sql as S
 from casewise.plans.catalog import register
-from casewise.plans.common import dround, r6
-from casewise.sources.views import cases_view
+from casewise.plans.common import AS_OF_YEAR, dround, r6
+from casewise.sources.views import cases_nulls, cases_view
 
 WAGE_RATIO_SQL = S.with_cases(
     """
@@ -39,11 +42,6 @@ def wage_vs_group_median(spark, sf_dir):
 
 
 # --- F1, F3, F5, F6 -----------------------------------------------------------
-from casewise.functions import features as FX  # noqa: E402
-from casewise.operators import encode as EN  # noqa: E402
-from casewise.operators import profile as PR  # noqa: E402
-from casewise.plans.common import AS_OF_YEAR  # noqa: E402
-from casewise.sources.views import cases_nulls  # noqa: E402
 
 
 @register("company_age", S.with_cases(
