@@ -38,7 +38,15 @@ def q_write_splits(spark, sf_dir):
     return out.select("fmt", "split", "rows")
 
 
-@register("write_reports")
+def _reports_sql() -> str:
+    from casewise.sources.views import CASE_COLUMNS
+    parts = [f"SELECT '{c}' AS \"column\", CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS missing FROM cases"
+             for c in CASE_COLUMNS]
+    return S.with_cases("SELECT f AS fmt, \"column\", missing FROM m, (VALUES ('csv'), ('json')) t(f)",
+                        m=" UNION ALL ".join(parts))
+
+
+@register("write_reports", _reports_sql())
 def q_write_reports(spark, sf_dir):
     """A4: missing-value report as CSV and JSON, read back."""
     base = _dir(spark, "reports")
