@@ -51,7 +51,25 @@ for _name in ["logreg", "random_forest", "extra_trees", "knn", "hgb", "decision_
     register(f"model_{_name}")(_model_query(_name))
 
 
-@register("prepare_features")
+def _prepare_sql(extra_numeric: int, with_split: bool) -> str:
+    """Oracle twin: split + label filter, width = train-fold category counts
+    (one-hot blocks) + routed numeric columns."""
+    from casewise.plans import sql as S
+    from casewise.plans.q_sampling import split_ctes
+    from casewise.operators.select import CATEGORICAL as OH
+    lab = "upper(trim(coalesce(case_status, 'nan')))"
+    width = " + ".join(f"(SELECT count(DISTINCT {c}) FROM tr)" for c in OH)
+    cols = "case_id, split, label" if with_split else "case_id, label"
+    where = "" if with_split else "WHERE split = 'train'"
+    return S.with_cases(
+        f"SELECT {cols}, CAST({width} + {extra_numeric} AS INTEGER) AS n_features FROM lab {where}",
+        **split_ctes("cases"),
+        lab=f"SELECT case_id, split, CAST({lab} = 'F' AS INTEGER) AS label, * EXCLUDE (case_id, split) "
+            f"FROM sp WHERE {lab} IN ('F', 'O')",
+        tr="SELECT * FROM lab WHERE split = 'train'")
+
+
+@register("prepare_features", _prepare_sql(12, True))
 def q_prepare_features(spark, sf_dir):
     """Entry 1 to the feature matrices (engineered feature set)."""
     from pyspark.ml.functions import vector_to_array
@@ -61,7 +79,7 @@ def q_prepare_features(spark, sf_dir):
     return both.select("case_id", "split", "label", F.size(vector_to_array("features")).alias("n_features"))
 
 
-@register("prepare_features_raw")
+@register("prepare_features_raw", _prepare_sql(3, False))
 def q_prepare_features_raw(spark, sf_dir):
     """Q1: the raw feature set (engineered columns not routed to the model)."""
     from pyspark.ml.functions import vector_to_array

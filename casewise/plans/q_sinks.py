@@ -59,7 +59,12 @@ def q_write_reports(spark, sf_dir):
         b.select("fmt", "column", F.col("missing").cast("bigint")))
 
 
-@register("write_features")
+def _features_sql() -> str:
+    from casewise.plans.q_models import _prepare_sql
+    return _prepare_sql(12, False)
+
+
+@register("write_features", _features_sql())
 def q_write_features(spark, sf_dir):
     """A5: the labelled train matrix to Parquet and back."""
     from pyspark.ml.functions import vector_to_array
