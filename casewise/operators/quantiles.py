@@ -70,7 +70,8 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
     cap = DEFAULT_CAP if cap is None else cap
     extra = extra or {}
     vcol = F.col(value) if isinstance(value, str) else value
-    by, keys, base = _prepare(df, by, vcol.cast("double"))
+    # NaN is a missing value here (NaN-ignoring medians), not the largest number
+    by, keys, base = _prepare(df, by, F.nanvl(vcol.cast("double"), F.lit(None).cast("double")))
     stats = base.groupBy(*keys).agg(F.count("__v").alias("n"),
                                     *[fn(F.col("__v")).alias(nm) for nm, fn in extra.items()])
     if extra:

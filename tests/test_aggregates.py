@@ -141,3 +141,11 @@ def test_auto_bins_match_numpy(spark):
         df = spark.createDataFrame([(float(x),) for x in xs], "x double")
         k = ST.auto_bins(df, ["x"]).first().k
         assert k == len(np.histogram_bin_edges(xs, "auto")) - 1
+
+
+def test_quantiles_ignore_nan_on_both_paths(spark):
+    rows = [("g", float(v)) for v in range(1, 11)] + [("g", float("nan"))] * 3
+    df = spark.createDataFrame(rows, "g string, v double")
+    fast = group_quantiles(df, ["g"], "v", [0.5], ["m"]).first().m
+    slow = group_quantiles(df, ["g"], "v", [0.5], ["m"], cap=3, bins=4).first().m
+    assert fast == slow == 5.5
