@@ -76,11 +76,11 @@ class WageFeatureModel:
         return out
 
     def save(self, path: str) -> None:
-        spark = None
+        from pyspark.sql import SparkSession
+        spark = SparkSession.getActiveSession()
         for name, t in (("region", self.region_medians), ("continent", self.continent_medians)):
             if t is not None:
                 t.write.mode("overwrite").parquet(f"{path}/{name}_medians")
-                spark = t.sparkSession
         if spark is not None:
             meta = spark.createDataFrame(
                 [(self.global_median, self.wage_col, self.unit_col, self.region_col,
@@ -91,9 +91,15 @@ class WageFeatureModel:
 
     @classmethod
     def load(cls, spark, path: str) -> "WageFeatureModel":
+        from pyspark.errors import AnalysisException
+
+        def table(name):
+            try:
+                return spark.read.parquet(f"{path}/{name}_medians")
+            except AnalysisException:  # the column was absent at fit time
+                return None
         m = spark.read.parquet(f"{path}/meta").first()
-        return cls(spark.read.parquet(f"{path}/region_medians"),
-                   spark.read.parquet(f"{path}/continent_medians"),
+        return cls(table("region"), table("continent"),
                    m["global_median"], m["wage_col"], m["unit_col"], m["region_col"],
                    m["continent_col"], m["employees_col"])
 

@@ -124,3 +124,14 @@ def test_classify_columns(spark):
 def test_to_number_text_and_nan(spark):
     df = spark.createDataFrame([(" 12 ",), ("x",), ("NaN",), ("1e3",)], "s string")
     assert [r[0] for r in df.select(FX.to_number("s")).collect()] == [12.0, None, None, 1000.0]
+
+
+def test_wage_model_save_load_without_region(spark, tmp_path):
+    from casewise.operators.features import WageFeatureModel
+    df = spark.createDataFrame([(1, 10.0, "Asia"), (2, 30.0, "Asia")], "id int, prevailing_wage double, continent string")
+    m = WageFeatures().fit(df)
+    m.save(str(tmp_path / "w"))
+    back = WageFeatureModel.load(spark, str(tmp_path / "w"))
+    a = sorted(r.wage_vs_continent_median for r in m.transform(df).collect())
+    b = sorted(r.wage_vs_continent_median for r in back.transform(df).collect())
+    assert a == b and back.region_medians is None
