@@ -49,19 +49,23 @@ def _block_topk(k: int, exclude_self: bool):
             if exclude_self:
                 dist = np.where(ids[:, None] == rid[None, :], np.inf, dist)
             kk = min(k, rv.shape[0])
-            # order by (distance, reference id): lexsort per row on the k best
-            part = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < rv.shape[0] \
-                else np.tile(np.arange(rv.shape[0]), (dist.shape[0], 1))
-            # widen to every reference tied with the k-th distance so ties resolve by id
-            kth = np.take_along_axis(dist, part, axis=1).max(axis=1)
-            for i in range(dist.shape[0]):
-                cand = np.nonzero(dist[i] <= kth[i])[0]
-                order = np.lexsort((rid[cand], dist[i, cand]))[:kk]
-                sel = cand[order]
-                sel = sel[np.isfinite(dist[i, sel])]
-                out_q.append(np.full(sel.shape[0], ids[i], dtype=np.int64))
-                out_r.append(rid[sel])
-                out_d.append(dist[i, sel])
+            if kk < rv.shape[0]:
+                part = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
+                kth = np.take_along_axis(dist, part, axis=1).max(axis=1)
+            else:
+                kth = dist.max(axis=1)
+            # every reference tied with the k-th distance stays a candidate, so
+            # ties resolve by reference id; then one sort by (row, dist, id)
+            rows_i, cols_j = np.nonzero(dist <= kth[:, None])
+            dv = dist[rows_i, cols_j]
+            order = np.lexsort((rid[cols_j], dv, rows_i))
+            rows_i, cols_j, dv = rows_i[order], cols_j[order], dv[order]
+            first = np.searchsorted(rows_i, np.arange(dist.shape[0]))
+            rank = np.arange(rows_i.shape[0]) - first[rows_i]
+            keep = (rank < kk) & np.isfinite(dv)
+            out_q.append(ids[rows_i[keep]])
+            out_r.append(rid[cols_j[keep]])
+            out_d.append(dv[keep])
         return pd.DataFrame({"qid": np.concatenate(out_q), "rid": np.concatenate(out_r),
                              "dist": np.concatenate(out_d)})
     return fn
