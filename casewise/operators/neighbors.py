@@ -82,8 +82,11 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", ve
                        F.col(vec_col).cast("array<double>").alias("vec"))
     r = refs.select(F.col(id_col).cast("long").alias("id"),
                     F.col(vec_col).cast("array<double>").alias("vec"))
-    bq = _blocks(q.count(), block_rows)
-    br = _blocks(r.count(), block_rows)
+    # at least ceil(sqrt(parallelism)) blocks per side, so that even data that
+    # fits one block spreads its quadratic work over every core
+    floor_b = max(1, int(math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))))
+    bq = max(_blocks(q.count(), block_rows), floor_b)
+    br = max(_blocks(r.count(), block_rows), floor_b)
     # block ids must have one type on both sides: cogroup matches keys exactly
     qx = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(bq)).cast("int")) \
         .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
@@ -91,9 +94,6 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", ve
         .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
     cand = qx.groupBy("qb", "rb").cogroup(rx.groupBy("qb", "rb")).applyInPandas(
         _block_topk(k, exclude_self), NEIGHBOR_SCHEMA)
-    if br == 1:
-        w = Window.partitionBy("qid").orderBy("dist", "rid")
-        return cand.withColumn("rank", F.row_number().over(w))
     w = Window.partitionBy("qid").orderBy("dist", "rid")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
