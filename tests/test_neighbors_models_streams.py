@@ -353,3 +353,18 @@ def test_knn_search_matches_brute_force(spark):
                     ok += int(pred == y[i])
                 accs.append(ok / len(q))
             assert got[(k, w)] == pytest.approx(np.mean(accs))
+
+
+def test_knn_ties_and_duplicates_resolve_by_id(spark):
+    pts = [(i, [float(i % 5), float((i // 5) % 4)]) for i in range(60)]  # 20 grid points, each 3 times
+    df = spark.createDataFrame(pts, "id long, vec array<double>")
+    X = np.array([p[1] for p in pts])
+    ids = np.arange(60)
+    got = NB.knn_join(df, df, 6, exclude_self=True, block_rows=16).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.qid, []).append((r.rank, r.rid))
+    for i in range(60):
+        d = np.sqrt(((X - X[i]) ** 2).sum(1))
+        d[i] = np.inf
+        assert [rid for _, rid in sorted(by[i])] == list(ids[np.lexsort((ids, d))[:6]])
