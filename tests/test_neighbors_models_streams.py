@@ -304,6 +304,11 @@ def test_pipeline_train_and_score_from_csv(spark, tmp_path):
     scored = PL.score(spark, str(tmp_path / "artifacts" / "model"), csv, str(tmp_path / "scored"))
     assert scored.count() == cases_view(spark, SF_SMALL).count()
     assert scored.where((F.col("score") >= F.col("threshold")).cast("int") != F.col("pred")).count() == 0
+    prof = {(r.kind, r.column) for r in PL.profile(spark, csv).collect()}
+    assert ("range", "prevailing_wage") in prof and ("category", "continent") in prof
+    diag = PL.diagnose_splits(spark, str(tmp_path / "artifacts"), "CASE_STATUS").collect()
+    assert {r.split for r in diag} == {"train", "test"}
+    assert sum(r["count"] for r in diag) == cases_view(spark, SF_SMALL).count()
 
 
 def test_approx_knn_recall(spark):
