@@ -91,6 +91,7 @@ def positions_within(df: DataFrame, group_col: str, order_col: str, partitions:
                                 f"__pid int, {group_col} {df.schema[group_col].dataType.simpleString()}, "
                                 "__off long")
     w = Window.partitionBy("__pid", group_col).orderBy(order_col)
+    # ``off`` was built from the collected counts: partitions x groups rows at most
     return ranged.join(F.broadcast(off), ["__pid", group_col]) \
         .withColumn("position", (F.col("__off") + F.row_number().over(w)).cast("int")) \
         .drop("__pid", "__off")

@@ -109,6 +109,7 @@ def info(df: DataFrame) -> DataFrame:
     meta = df.sparkSession.createDataFrame(
         [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
         "position int, column string, dtype string")
+    # ``meta`` has one row per column of the schema: bounded by construction
     return F.broadcast(meta).join(counts, "column").select("position", "column", "non_null", "dtype")
 
 

@@ -27,7 +27,7 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     k = counts.count()
     tot = counts.agg(F.sum("__nc")).first()[0]
     w = counts.select(label, (F.lit(float(tot)) / (F.lit(float(k)) * F.col("__nc"))).alias(out))
-    return df.join(F.broadcast(w), label)  # one row per class
+    return df.join(bounded_broadcast(w), label)  # one row per class, size-checked
 
 
 def _uniform(*cols) -> "F.Column":
