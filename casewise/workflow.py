@@ -6,7 +6,7 @@
 * ``profile(spark, path)`` -- entry 4: domains, ranges, row count.
 * ``diagnose_splits(spark, root)`` -- class counts and majority baselines.
 
-Command line: ``python -m casewise.pipeline train --config config.yaml``.
+Command line: ``python -m casewise.workflow train --config config.yaml``.
 """
 
 from __future__ import annotations

@@ -285,9 +285,9 @@ def test_stream_scores_equal_batch_scores(spark):
     assert all(r.error == "invalid JSON payload" or "Value must be" in r.error for r in bad)
 
 
-def test_pipeline_train_and_score_from_csv(spark, tmp_path):
+def test_workflow_train_and_score_from_csv(spark, tmp_path):
     """Entry 1 and 2 end to end: CSV in, artifacts out, the saved bundle scores new rows."""
-    from casewise import pipeline as PL
+    from casewise import workflow as PL
     from casewise.config import build_config
     from casewise.sources.views import cases_view
     csv = str(tmp_path / "cases_csv")
