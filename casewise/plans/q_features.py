@@ -225,7 +225,16 @@ def derived_cases(df):
     return out.withColumnRenamed("__id", "case_id")
 
 
-@register("feature_names")
+def _feature_names_sql() -> str:
+    parts = [f"SELECT {i} AS blk, '{c}_imp_oh_' || v AS name, v FROM (SELECT DISTINCT {c} AS v FROM cases)"
+             for i, c in enumerate(ONEHOT)]
+    tail = [f"{c}_pow" for c in POWER] + ["prevailing_wage_sc"]
+    parts += [f"SELECT {len(ONEHOT) + j} AS blk, '{n}' AS name, '' AS v" for j, n in enumerate(tail)]
+    return S.with_cases("SELECT CAST(row_number() OVER (ORDER BY blk, v) - 1 AS INTEGER) AS slot, name FROM n",
+                        n=" UNION ALL ".join(parts))
+
+
+@register("feature_names", _feature_names_sql())
 def q_feature_names(spark, sf_dir):
     """names of the assembled feature slots."""
     df = derived_cases(cases_view(spark, sf_dir))
