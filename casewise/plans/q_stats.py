@@ -141,3 +141,14 @@ def q_kde(spark, sf_dir):
     """Gaussian density of the score per label on a 200-point grid."""
     out = ST.kde(scored(spark, sf_dir), "score", by="label", grid=_G, bins=_K)
     return out.select("label", "point", r6("x"), r6("density"))
+
+
+@register("skewness_after_power")
+def q_skewness_after_power(spark, sf_dir):
+    """D20 after the power transform: skew of the Yeo-Johnson outputs (lambda
+    fitted per column by maximum likelihood)."""
+    from casewise.operators.encode import YeoJohnson
+    df = cases_nulls(spark, sf_dir).select(*NUMERIC)
+    out = [f"{c}_pow" for c in NUMERIC]
+    tr = YeoJohnson(inputCols=list(NUMERIC), outputCols=out).fit(df).transform(df)
+    return ST.skewness(tr.select(*out), out).select("column", r6("skew"))

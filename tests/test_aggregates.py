@@ -149,3 +149,13 @@ def test_quantiles_ignore_nan_on_both_paths(spark):
     fast = group_quantiles(df, ["g"], "v", [0.5], ["m"]).first().m
     slow = group_quantiles(df, ["g"], "v", [0.5], ["m"], cap=3, bins=4).first().m
     assert fast == slow == 5.5
+
+
+def test_power_transform_reduces_skew(spark):
+    from casewise.operators.encode import YeoJohnson
+    rng = np.random.default_rng(11)
+    df = spark.createDataFrame([(float(x),) for x in rng.lognormal(0, 1, 2000)], "x double")
+    before = ST.skewness(df, ["x"]).first().skew
+    tr = YeoJohnson(inputCols=["x"], outputCols=["y"]).fit(df).transform(df)
+    after = ST.skewness(tr.select("y"), ["y"]).first().skew
+    assert before > 2 and abs(after) < 0.2
