@@ -152,3 +152,18 @@ def q_skewness_after_power(spark, sf_dir):
     out = [f"{c}_pow" for c in NUMERIC]
     tr = YeoJohnson(inputCols=list(NUMERIC), outputCols=out).fit(df).transform(df)
     return ST.skewness(tr.select(*out), out).select("column", r6("skew"))
+
+
+@register("histogram_year_40", S.with_cases(
+    """SELECT 'yr_of_estab' AS "column", case_status, CAST(bin AS INTEGER) AS bin,
+       round(lo + bin * ((hi - lo) / 40.0), 6) AS lower, round(lo + (bin + 1) * ((hi - lo) / 40.0), 6) AS upper,
+       count(*) AS count
+FROM (SELECT case_status, lo, hi, CASE WHEN hi - lo > 0
+        THEN least(floor((CAST(yr_of_estab AS DOUBLE) - lo) / (hi - lo) * 40.0), 39) ELSE 0 END AS bin
+      FROM cases_nulls, (SELECT CAST(min(yr_of_estab) AS DOUBLE) AS lo, CAST(max(yr_of_estab) AS DOUBLE) AS hi
+                         FROM cases_nulls))
+GROUP BY case_status, bin, lo, hi""", nulls=True))
+def q_histogram_year_40(spark, sf_dir):
+    """Establishment year in 40 bins by label."""
+    out = ST.histogram(cases_nulls(spark, sf_dir), ["yr_of_estab"], 40, by="case_status")
+    return out.select("column", "case_status", "bin", r6("lower"), r6("upper"), "count")
