@@ -178,13 +178,15 @@ def box_stats(df: DataFrame, group: str, value: str, whis: float = 1.5) -> DataF
 
 # --- D25 ------------------------------------------------------------------
 def kde(df: DataFrame, value: str, by: str | None = None, grid: int = 200, cut: float = 3.0,
-        bins: int = 1024) -> DataFrame:
+        bins: int = 1024, common_norm: bool = False) -> DataFrame:
     """Gaussian KDE (Scott bandwidth = sample std * n^(-1/5)) on ``grid``
     points spanning min - cut*bw .. max + cut*bw.
 
     The data are first reduced to ``bins`` equal-width bin centres with
     counts (linear binning of a fixed size), so the grid x data evaluation
-    costs grid x bins per group whatever the number of rows.
+    costs grid x bins per group whatever the number of rows.  ``common_norm``
+    scales each group's density by its share of the rows (the groups then
+    integrate to 1 together).
     """
     ids = [by] if by else []
     x = F.col(value).cast("double")
@@ -222,4 +224,9 @@ def kde(df: DataFrame, value: str, by: str | None = None, grid: int = 200, cut:
         F.first(gx).alias("x"),
         (F.sum(F.col("__c") * F.exp(F.lit(-0.5) * z * z))
          / (F.first(n) * F.first(bw) * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+    if common_norm and keys:  # each group's density weighted by its share of the rows
+        total = st.agg(F.sum("n")).first()[0]
+        shares = st.select(*keys, (F.col("n") / F.lit(float(total))).alias("__share"))
+        dens = dens.join(F.broadcast(shares), keys)  \
+            .withColumn("density", F.col("density") * F.col("__share"))  # shares: one row per group (checked above)
     return dens.select(*keys, F.col("__g").alias("point"), "x", "density")

@@ -159,3 +159,16 @@ def test_power_transform_reduces_skew(spark):
     tr = YeoJohnson(inputCols=["x"], outputCols=["y"]).fit(df).transform(df)
     after = ST.skewness(tr.select("y"), ["y"]).first().skew
     assert before > 2 and abs(after) < 0.2
+
+
+def test_kde_integrates_to_one_and_common_norm(spark):
+    rng = np.random.default_rng(2)
+    rows = [("a", float(x)) for x in rng.normal(0, 1, 600)] + [("b", float(x)) for x in rng.normal(3, 0.5, 200)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    own = ST.kde(df, "x", by="g").toPandas()
+    joint = ST.kde(df, "x", by="g", common_norm=True).toPandas()
+    for g, share in (("a", 0.75), ("b", 0.25)):
+        a = own[own.g == g].sort_values("point")
+        b = joint[joint.g == g].sort_values("point")
+        assert np.trapezoid(a.density, a.x) == pytest.approx(1.0, abs=0.01)
+        assert np.trapezoid(b.density, b.x) == pytest.approx(share, abs=0.01)
