@@ -13,7 +13,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import bpe, simhash
+from casewise.llm import bpe, langid, simhash, tokenfile, toxicity
+from casewise.llm.common import id_fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +32,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+@register
+def op1_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = toxicity.fit(docs.filter(id_fold("doc_id", 3) != 1), labels)
+    out = toxicity.score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (id_fold("doc_id", 3) == 1).alias("held_out"), "score",
+                      (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 @register
 def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(documents(spark, sf_dir), BYTE_BPE, keep=["doc_id"])
@@ -39,6 +50,23 @@ def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+@register
+def op4_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = langid.fit(docs.filter(id_fold("doc_id", 5) != 0))
+    out = langid.predict(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", (id_fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 @register
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
+
+
+@register
+def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-shards")
+    tokenfile.write_shards(documents(spark, sf_dir), path, WORD_BPE, end_id=1)
+    out = tokenfile.read_documents(spark, path)
+    return out.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                      F.crc32("ids").alias("ids_crc32"))
