@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import bpe, langid, simhash, tokenfile, toxicity
+from casewise.llm import bpe, langid, pfair, simhash, tokenfile, toxicity
 from casewise.llm.common import id_fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,11 @@ def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
 
 
+@register
+def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair.mix(documents(spark, sf_dir).select("doc_id", "source"))
+
+
 @register
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-shards")
