@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import bpe, langid, pfair, simhash, tokenfile, toxicity
+from casewise.llm import bpe, fingerprint, langid, pfair, simhash, tokenfile, toxicity
 from casewise.llm.common import id_fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,11 @@ def op1_toxicity_gbt(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@register
+def op2_minhash_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_with_next(documents(spark, sf_dir))
+
+
 @register
 def op3_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = bpe.encode_decode(documents(spark, sf_dir), BYTE_BPE, keep=["doc_id"])
