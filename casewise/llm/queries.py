@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import bpe, fingerprint, langid, pfair, simhash, tokenfile, toxicity
+from casewise.llm import bpe, fingerprint, langid, lm, pfair, simhash, tokenfile, toxicity
 from casewise.llm.common import id_fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = tokenfile.read_documents(spark, path)
     return out.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                       F.crc32("ids").alias("ids_crc32"))
+
+
+@register
+def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(documents(spark, sf_dir), folds=5, held_out=1, deleted=2)
