@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.llm import bpe, fingerprint, langid, lm, pfair, simhash, tokenfile, toxicity
+from casewise.llm import bpe, fingerprint, langid, licenses, lm, pfair, simhash, tokenfile, topk, toxicity
 from casewise.llm.common import id_fold, shared_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,25 @@ def op4_language_kernel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (id_fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+@register
+def op5_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
+ORACLES["op5_threshold_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+  where embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+), s as (
+  select q.vec_id as query_id, c.vec_id, list_dot_product(q.v::double[], c.v::double[])::bigint as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+)
+select query_id, rank::int as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 20
+"""
+
+
 @register
 def op6_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
@@ -85,3 +104,8 @@ def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(documents(spark, sf_dir), folds=5, held_out=1, deleted=2)
+
+
+@register
+def op10_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
