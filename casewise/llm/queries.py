@@ -92,6 +92,42 @@ def op7_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair.mix(documents(spark, sf_dir).select("doc_id", "source"))
 
 
+ORACLES["op7_pfair_mix"] = """
+with recursive d as (
+  select doc_id, source, coalesce(source, '(none)') as src, md5(coalesce(doc_id::varchar, '')) as h from documents
+), r as (
+  select *, row_number() over (partition by src order by h, doc_id nulls first) - 1 as rank from d
+), s as (
+  select src, ceil(count(*) / 64.0)::bigint as blocks from d group by src
+), w as (
+  select src, blocks, greatest(1, round(pow(blocks::double, 0.5) / sum(pow(blocks::double, 0.5)) over () * 256))::bigint as a from s
+), cuts as (
+  select 0::bigint as p union select blocks // a from w union select blocks // a + 1 from w
+), kinds as (
+  select p as p_from, lead(p) over (order by p) as p_to from cuts
+), c as (
+  select p_from, p_to, list(greatest(0, least(a, blocks - a * p_from))::bigint order by src) as c, list(src order by src) as names,
+         sum(least(blocks, a * p_from))::bigint as base, sum(greatest(0, least(a, blocks - a * p_from)))::bigint as n
+  from kinds, w where p_to is not null group by p_from, p_to having n > 0
+), edf as (
+  select p_from, 0::bigint as t, list_transform(c, lambda x: 0::bigint) as done, 0::bigint as k from c
+  union all
+  select p_from, t + 1, list_transform(done, lambda x, i: case when i = best then x + 1 else x end), best from (
+    select e.p_from, e.t, e.done, list_min(list_transform(range(1, len(c.c) + 1), lambda k: case
+        when e.done[k] < c.c[k] and (e.done[k] * c.n) // c.c[k] <= e.t
+        then (((e.done[k] + 1) * c.n + c.c[k] - 1) // c.c[k]) * len(c.c) + k - 1 end)) % len(c.c) + 1 as best
+    from edf e join c on e.p_from = c.p_from and e.t < c.n)
+), slots as (
+  select c.p_from, c.p_to, c.base, c.n, c.names[k] as src, t - 1 as pos,
+         row_number() over (partition by c.p_from, k order by t) - 1 as j
+  from edf join c on edf.p_from = c.p_from where t > 0
+)
+select r.doc_id, r.source, r.rank // 64 as block, base + ((r.rank // 64) // a - p_from) * n + pos as slot, r.rank % 64 as place
+from r join w using (src) join slots on slots.src = r.src and j = (r.rank // 64) % a
+  and (r.rank // 64) // a >= p_from and (r.rank // 64) // a < p_to
+"""
+
+
 @register
 def op8_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-shards")
