@@ -174,11 +174,13 @@ def training_sample(docs: DataFrame, labels: DataFrame, sample: int, id_col: str
     marks = labels.filter(F.col(label_col).isNotNull()).groupBy(F.col(id_col).cast("long").alias("id")).agg(
         (F.max(label_col) > 0).cast("int").alias("y"))
     d = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
-    ids = d.select("id").join(marks, "id")
+    ids = d.select("id").distinct().join(marks, "id")
     sizes = {r["y"]: r["count"] for r in ids.groupBy("y").count().collect()}
     share = F.create_map(*[F.lit(v) for y in (0, 1) for v in (y, min(1.0, sample / max(1, sizes.get(y, 0))))])
     h = F.xxhash64(F.lit("toxicity"), "id")
-    chosen = marks.filter(F.pmod(h, F.lit(1 << 30)) < share[F.col("y")] * (1 << 30))
+    # about two times ``sample`` ids, as the shares say: small enough to send, so that no text moves
+    chosen = stored(ids.filter(F.pmod(h, F.lit(1 << 30)) < share[F.col("y")] * (1 << 30)), "toxicity-ids")
+    chosen = F.broadcast(chosen) if chosen.count() <= 4 * sample else chosen
     rows = d.join(chosen, "id").withColumn("h", F.xxhash64("t"))
     rows = rows.groupBy("h").agg(F.first("t").alias("t"), F.max("y").alias("y"))
     return stored(rows.withColumn("part", F.pmod(F.shiftright("h", 7), F.lit(10)).cast("int")), "toxicity-sample")
