@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -78,45 +80,37 @@ def format_pct(x, clamp: bool = False) -> Column:
     return F.when(finite, F.concat(whole.cast("string"), F.lit("%"))).otherwise(F.lit("\u2014"))
 
 
-# The three what-if presets of the scoring form, with the
-# fallbacks used when the learnt ranges / domains are missing.
-PRESET_NAMES = ["Low wage / New company", "High wage / Experienced", "Mid wage / Training required"]
-PRESET_FALLBACK_WAGE = [25000, 120000, 65000]
-PRESET_FALLBACK_YEAR = [None, 1998, 2008]
-NEW_COMPANY_AGE = 5
-
-
-def js_round(x):
-    """Browser ``Math.round``: half up towards +inf."""
-    import math
-    return None if x is None else int(math.floor(x + 0.5))
-
-
-def scenario_presets(wage_min, wage_max, wage_p50, estab_min, estab_p50, yn_has_exp, yn_full_time,
-                     yn_training, now_year: int) -> list[dict]:
-    """F16: the three presets from learnt ranges (numbers) and sorted Y/N domains."""
-    def pick(dom, i, fallback):
-        return dom[i] if dom and len(dom) > i else fallback
-    return [
-        {"preset": PRESET_NAMES[0],
-         "prevailing_wage": js_round(wage_min) if wage_min is not None else PRESET_FALLBACK_WAGE[0],
-         "yr_of_estab": now_year - NEW_COMPANY_AGE,
-         "has_job_experience": pick(yn_has_exp, 1, "N"),
-         "full_time_position": pick(yn_full_time, 1, "N"),
-         "requires_job_training": pick(yn_training, 0, "Y")},
-        {"preset": PRESET_NAMES[1],
-         "prevailing_wage": js_round(wage_max) if wage_max is not None else PRESET_FALLBACK_WAGE[1],
-         "yr_of_estab": js_round(estab_min) if estab_min is not None else PRESET_FALLBACK_YEAR[1],
-         "has_job_experience": pick(yn_has_exp, 0, "Y"),
-         "full_time_position": pick(yn_full_time, 0, "Y"),
-         "requires_job_training": pick(yn_training, 1, "N")},
-        {"preset": PRESET_NAMES[2],
-         "prevailing_wage": js_round(wage_p50) if wage_p50 is not None else PRESET_FALLBACK_WAGE[2],
-         "yr_of_estab": js_round(estab_p50) if estab_p50 is not None else PRESET_FALLBACK_YEAR[2],
-         "has_job_experience": pick(yn_has_exp, 0, "Y"),
-         "full_time_position": None,
-         "requires_job_training": pick(yn_training, 0, "Y")},
-    ]
+# The what-if presets of the scoring form.  Each field is filled from a
+# learnt statistic ("min", "max", "p50"), from the present year minus an age ("age"), or
+# from a place in the field's sorted domain (0, 1); the second entry is the value to use
+# when nothing was learnt (for "age": the age).  Fields that are not listed stay.
+PRESETS = {
+    "Low wage / New company": {
+        "prevailing_wage": ("min", 25000), "yr_of_estab": ("age", 5), "has_job_experience": (1, "N"),
+        "full_time_position": (1, "N"), "requires_job_training": (0, "Y")},
+    "High wage / Experienced": {
+        "prevailing_wage": ("max", 120000), "yr_of_estab": ("min", 1998), "has_job_experience": (0, "Y"),
+        "full_time_position": (0, "Y"), "requires_job_training": (1, "N")},
+    "Mid wage / Training required": {
+        "prevailing_wage": ("p50", 65000), "yr_of_estab": ("p50", 2008), "has_job_experience": (0, "Y"),
+        "requires_job_training": (0, "Y")},
+}
+PRESET_FIELDS = list(dict.fromkeys(f for rules in PRESETS.values() for f in rules))
+
+
+def fill_presets(ranges: dict[str, dict], domains: dict[str, list], now_year: int, presets: dict = PRESETS) -> list[dict]:
+    """F16: the presets as rows.  ``ranges`` has min, max, p50 of numeric fields, ``domains``
+    the first values of sorted text domains; numbers are rounded half up."""
+    def value(field, source, otherwise):
+        if source == "age":
+            return now_year - otherwise
+        if isinstance(source, int):
+            known = domains.get(field) or []
+            return known[source] if source < len(known) else otherwise
+        learnt = (ranges.get(field) or {}).get(source)
+        return otherwise if learnt is None else math.floor(learnt + 0.5)
+    return [{"preset": name} | {f: value(f, *rules[f]) if f in rules else None for f in PRESET_FIELDS}
+            for name, rules in presets.items()]
 
 
 def scenario_expand(df, presets: list[dict]):
@@ -124,8 +118,7 @@ def scenario_expand(df, presets: list[dict]):
 
     The presets are a three-element literal array exploded per row (no join).
     """
-    fields = ["prevailing_wage", "yr_of_estab", "has_job_experience", "full_time_position",
-              "requires_job_training"]
+    fields = PRESET_FIELDS
     types = {"prevailing_wage": "double", "yr_of_estab": "bigint"}
     arr = F.array(*[F.struct(F.lit(p["preset"]).alias("preset"),
                              *[F.lit(p[f]).cast(types.get(f, "string")).alias(f) for f in fields])

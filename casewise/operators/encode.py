@@ -146,7 +146,7 @@ class PopulationScaler(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWri
 
 # --- F11 / F12 --------------------------------------------------------------
 LAMBDA_EPS = 1e-12
-MAX_MOVES = 8
+LAMBDA_FAR = 1e4  # beyond it a column has no finite best exponent
 
 
 def yeo_johnson(x: Column, lam: float) -> Column:
@@ -226,8 +226,8 @@ class YeoJohnson(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable)
         centre = {c: 0.0 for c in cols}
         half = {c: 2.0 for c in cols}
         points = 41
-        shrinks, moves = 0, 0
-        while shrinks < self.getOrDefault(self.rounds) and moves < MAX_MOVES:
+        shrinks = 0
+        while shrinks < self.getOrDefault(self.rounds):
             step = {c: 2 * half[c] / (points - 1) for c in cols}
             grid = {c: [centre[c] - half[c] + k * step[c] for k in range(points)] for c in cols}
             llf = yeo_johnson_llf(src, cols, grid).collect()  # cols x points numbers
@@ -241,13 +241,13 @@ class YeoJohnson(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable)
                 at_edge = abs(best - grid[c][0]) < 1e-12 or abs(best - grid[c][-1]) < 1e-12
                 centre[c] = best
                 if at_edge and shrinks == 0:
-                    edge = True  # optimum beyond the window: move it, keep its width
+                    edge = True  # optimum beyond the window: move it there and widen it
+                    half[c] *= 2
+                    if abs(best) > LAMBDA_FAR:
+                        raise ValueError(f"the likelihood of {c!r} has no maximum at a finite exponent")
                 else:
                     half[c] = step[c]
-            if edge:
-                moves += 1
-            else:
-                shrinks += 1
+            shrinks += not edge
         lambdas = [centre[c] for c in cols]
         means, stds = _scale_stats(src, {c: yeo_johnson(F.col(c), l) for c, l in zip(cols, lambdas)})
         m = YeoJohnsonModel()

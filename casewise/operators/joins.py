@@ -4,37 +4,45 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BinaryType, MapType, StringType, StructType,
+                               UserDefinedType)
 
-# Largest side (rows) that is ever broadcast explicitly.  Anything bigger is
-# left to a shuffle join (AQE may still turn it into a broadcast at runtime,
-# again behind its own byte-size threshold).
+from casewise.session import cut_lineage
+
+# Largest side that is ever broadcast explicitly, in bytes and in rows (the row
+# bound also limits what the check reads).  Anything bigger is left to a shuffle
+# join (AQE may still turn it into a broadcast, behind its own byte threshold).
+BROADCAST_MAX_BYTES = 32 << 20
 BROADCAST_MAX_ROWS = 200_000
 
 
-_CHECKED: dict = {}
+def _row_bytes(df: DataFrame) -> Column:
+    """Approximate size of a row: text and collections by their printed length, the rest 8 bytes."""
+    total = F.lit(8 * len(df.columns)).cast("long")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        elif isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`").cast("string")), F.lit(0))
+        elif isinstance(f.dataType, UserDefinedType):
+            total = total + F.lit(1 << 16)  # a vector of unknown width
+    return total
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, key: str | None = None,
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES,
                       materialize: bool = False) -> DataFrame:
-    """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` job: it stops reading as
-    soon as the bound is exceeded, so it is cheap for both outcomes -- on a
-    scan.  On a derived table (an aggregate, a join) the check would compute
-    it once and the join again, so ``materialize`` first writes it to the
-    shared checkpoint folder and both read that copy.  A ``key`` (e.g. the
-    path of an immutable dimension table) caches the answer for the process.
+    """Broadcast ``df`` only after checking that it holds at most ``max_bytes`` and ``max_rows``.
+
+    The check reads at most ``max_rows + 1`` rows.  On a derived table (an
+    aggregate, a join) the check would compute it once and the join again, so
+    ``materialize`` first writes it to the shared checkpoint folder and both
+    read that copy.  Nothing is remembered between calls: a table that grew is
+    checked anew.
     """
     if materialize:
-        from casewise.session import cut_lineage
         df = cut_lineage(df)
-    if key is not None and (key, max_rows) in _CHECKED:
-        small = _CHECKED[(key, max_rows)]
-    else:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _CHECKED[(key, max_rows)] = small
-    return F.broadcast(df) if small else df
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= max_rows and (size["b"] or 0) <= max_bytes else df
 
 
 def lookup_with_default(df: DataFrame, key: str, table: DataFrame, table_key: str, value: str,

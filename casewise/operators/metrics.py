@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from casewise.operators.ordering import argmax_first
 from casewise.operators.prefix import running_totals
+from casewise.session import cut_lineage
 
 # The 19-point threshold grid 0.05 .. 0.95 (numpy linspace).
 THRESHOLDS = [0.05 + i * ((0.95 - 0.05) / 18) for i in range(18)] + [0.95]
@@ -54,8 +55,13 @@ def confusion_cells(label: Column, pred: Column, suffix: str = "") -> list[Colum
             F.count_if((label == 1) & (pred == 1)).alias(f"tp{suffix}")]
 
 
+def usable_score(score: Column) -> Column:
+    """A missing score is NULL or NaN; it takes part in no metric (no confusion cell, no rank)."""
+    return F.nanvl(score.cast("double"), F.lit(None).cast("double"))
+
+
 def predict(score: Column, threshold: float) -> Column:
-    return (score >= F.lit(float(threshold))).cast("int")
+    return (usable_score(score) >= F.lit(float(threshold))).cast("int")
 
 
 def confusion_matrix(df: DataFrame, label: str, pred: str) -> DataFrame:
@@ -70,40 +76,55 @@ def metrics_from_cells(cells: DataFrame) -> DataFrame:
 
 def metrics_at_threshold(df: DataFrame, label: str, score: str, threshold: float,
                          with_auc: bool = True) -> DataFrame:
-    """G1: accuracy, balanced accuracy, F1, precision, recall, positive rate (+ AUC)."""
-    cells = df.agg(*confusion_cells(F.col(label), predict(F.col(score), threshold)))
-    out = metrics_from_cells(cells).select(F.lit(float(threshold)).alias("threshold"),
-                                           *METRIC_NAMES, "tn", "fp", "fn", "tp")
-    if with_auc:
-        auc = roc_auc(df, label, score).first()["roc_auc"]  # one scalar
-        out = out.withColumn("roc_auc", F.lit(auc).cast("double"))
-    return out
+    """G1: accuracy, balanced accuracy, F1, precision, recall, positive rate (+ AUC).
+
+    With the AUC, cells and ranks come from one stored aggregate per distinct score.
+    """
+    if not with_auc:
+        cells = df.agg(*confusion_cells(F.col(label), predict(F.col(score), threshold)))
+        return metrics_from_cells(cells).select(F.lit(float(threshold)).alias("threshold"),
+                                                *METRIC_NAMES, "tn", "fp", "fn", "tp")
+    counts = cut_lineage(score_counts(df, label, score))
+    above = F.col("score") >= F.lit(float(threshold))
+    zero = F.lit(0).cast("bigint")
+    cells = counts.agg(*[F.coalesce(F.sum(F.when(side, F.col(c))), zero).alias(name) for name, side, c in (
+        ("tn", ~above, "neg"), ("fp", above, "neg"), ("fn", ~above, "pos"), ("tp", above, "pos"))])
+    auc = _auc_of(counts).first()["roc_auc"]  # one scalar
+    return metrics_from_cells(cells).select(F.lit(float(threshold)).alias("threshold"), *METRIC_NAMES,
+                                            "tn", "fp", "fn", "tp", F.lit(auc).cast("double").alias("roc_auc"))
 
 
 def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    return df.groupBy(F.col(score).alias("score")).agg(
-        F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
+    """(score, pos, neg): rows of each class per distinct usable score."""
+    rows = df.select(usable_score(F.col(score)).alias("score"), F.col(label).alias("__y")).where(
+        F.col("score").isNotNull())
+    return rows.groupBy("score").agg(F.count_if(F.col("__y") == 1).alias("pos"),
+                                     F.count_if(F.col("__y") == 0).alias("neg"))
 
 
 def _partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def _auc_of(counts: DataFrame) -> DataFrame:
+    """Rank sum over stored score counts; products are taken in doubles, as pairs pass 2 ** 63 early."""
+    cum = running_totals(counts, "score", ["neg"], _partitions(counts), inclusive=False, suffix="_below")
+    pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
+    sums = cum.agg(F.sum(pos * (F.col("neg_below").cast("double") + F.lit(0.5) * neg)).alias("__u"),
+                   F.sum(pos).alias("__p"), F.sum(neg).alias("__n"))
+    return sums.select(F.when((F.col("__p") > 0) & (F.col("__n") > 0),
+                              F.col("__u") / (F.col("__p") * F.col("__n"))).alias("roc_auc"))
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; NULL when only
-    one class is present."""
-    counts = score_counts(df, label, score)
-    cum = running_totals(counts, "score", ["neg"], _partitions(df), inclusive=False, suffix="_below")
-    return cum.agg(
-        F.sum(F.col("pos") * (F.col("neg_below") + F.lit(0.5) * F.col("neg"))).alias("__u"),
-        F.sum("pos").alias("__p"), F.sum("neg").alias("__n")) \
-        .select(F.when((F.col("__p") > 0) & (F.col("__n") > 0),
-                       F.col("__u") / (F.col("__p") * F.col("__n"))).cast("double").alias("roc_auc"))
+    one class is present.  Rows without a usable score do not count."""
+    return _auc_of(cut_lineage(score_counts(df, label, score)))
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, highest first."""
-    counts = score_counts(df, label, score)
+    counts = cut_lineage(score_counts(df, label, score))
     cum = running_totals(counts, "score", ["pos", "neg"], _partitions(df), descending=True)
     tot = counts.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()
     p, n = tot["P"] or 0, tot["N"] or 0

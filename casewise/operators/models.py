@@ -8,6 +8,7 @@ or passed through a sigmoid (row-wise / streaming scoring).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewise.operators import metrics as M
+from casewise.session import cut_lineage
 
 # Defaults of record of the reference's model families (tests and the bench
 # pass smaller sizes through ``params``).
@@ -77,7 +79,8 @@ def _weights(df: DataFrame, label: str, out: str = "__w") -> tuple[DataFrame, fl
 
 
 def fit_model(name: str, df: DataFrame, features: str = "features", label: str = "label",
-              params: dict | None = None, seed: int = 42, score_norm: str = "minmax") -> FittedModel:
+              params: dict | None = None, seed: int = 42, score_norm: str = "minmax",
+              id_col: str = "case_id") -> FittedModel:
     name = ALIASES.get(name, name)
     p = dict(REFERENCE_DEFAULTS[name])
     p.update(params or {})
@@ -108,7 +111,7 @@ def fit_model(name: str, df: DataFrame, features: str = "features", label: str =
         est = LinearSVC(featuresCol=features, labelCol=label, maxIter=int(p["maxIter"]))
         return FittedModel(name, est.fit(df), features, label, score_norm)
     if name == "knn":
-        return FittedModel(name, KnnModel.fit(df, features, label, int(p["k"])), features, label, score_norm)
+        return FittedModel(name, KnnModel.fit(df, features, label, int(p["k"]), id_col), features, label, score_norm)
     if name == "adaboost":
         return FittedModel(name, _ada_fit(df, features, label, int(p["rounds"]), seed), features, label,
                            score_norm)
@@ -125,11 +128,10 @@ class KnnModel:
     stds: list
 
     @classmethod
-    def fit(cls, df: DataFrame, features: str, label: str, k: int) -> "KnnModel":
-        from casewise.session import cut_lineage
-        arr = df.select(F.monotonically_increasing_id().alias("id"),
-                        vector_to_array(features).alias("vec"), F.col(label).alias("label"))
-        arr = cut_lineage(arr)  # ids must stay fixed between scorings
+    def fit(cls, df: DataFrame, features: str, label: str, k: int, id_col: str = "case_id") -> "KnnModel":
+        """``id_col`` orders references at equal distance, so votes do not depend on the partitioning."""
+        arr = cut_lineage(df.select(F.col(id_col).alias("id"), vector_to_array(features).alias("vec"),
+                                    F.col(label).alias("label")))
         n = len(arr.first()["vec"])
         st = arr.select(*[F.col("vec")[i].alias(f"v{i}") for i in range(n)]).agg(
             *[F.avg(f"v{i}").alias(f"m{i}") for i in range(n)],
@@ -147,20 +149,18 @@ class KnnModel:
 
     def score(self, df: DataFrame, features: str) -> DataFrame:
         from casewise.operators.neighbors import knn_class_probability, knn_join
-        q = df.withColumn("__qid", F.monotonically_increasing_id())
-        from casewise.session import cut_lineage
-        q = cut_lineage(q)
-        qv = self._scale(q.select(F.col("__qid").alias("id"), vector_to_array(features).alias("vec")),
-                         self.means, self.stds)
-        nb = knn_join(qv, self.train, self.k)
-        prob = knn_class_probability(nb, self.train.select("id", "label"))
+        # equal vectors have equal neighbours: they are searched once, whatever the rows' ids
+        vec = vector_to_array(features)
+        q = df.withColumn("__qid", F.md5(vec.cast("string")))
+        once = q.groupBy("__qid").agg(F.first(vec).alias("vec"))
+        qv = self._scale(once.select(F.col("__qid").alias("id"), "vec"), self.means, self.stds)
+        refs = self.train.withColumn("id", F.col("id").cast("string"))
+        prob = knn_class_probability(knn_join(qv, refs, self.k), refs.select("id", "label"))
         return q.join(prob.withColumnRenamed("qid", "__qid"), "__qid", "left").drop("__qid")
 
 
 # --- M8: AdaBoost (SAMME, binary) with weighted depth-1 trees ---------------------
 def _ada_fit(df: DataFrame, features: str, label: str, rounds: int, seed: int) -> list:
-    import math
-    from casewise.session import cut_lineage
     n = df.count()
     data = df.select(features, label).withColumn("__w", F.lit(1.0 / n))
     stumps = []

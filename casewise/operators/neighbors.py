@@ -1,34 +1,39 @@
 """Exact k-nearest neighbours (C4) and what is built on them (M4, H2).
 
-Exact KNN must compare every query with every reference; what it must not do
-is materialise those pairs as rows.  Both sides are hashed into blocks; each
-(query block, reference block) pair is one ``cogroup`` task in which numpy
-computes the distances and keeps only the ``k`` best per query row.  The
-per-block winners (k x reference blocks per query) are merged with a window
-partitioned by the query id.  Work is O(n^2 d) -- inherent to the exact
-operator -- but the shuffle is O(n x blocks) and no task holds more than two
-blocks.  For data too large for the exact operator, ``approx_knn`` offers
-Spark ML's ``BucketedRandomProjectionLSH`` as an opt-in approximation.
+The references are cut into cells around pivots.  A query's distances to the pivots
+give an upper bound of its k-th neighbour's distance (a cell with k references within
+r of its pivot bounds it by d(q, pivot) + r), and by the triangle inequality every cell
+whose ball lies beyond that bound cannot hold a neighbour.  The query is sent only to
+the remaining cells; large cells, and cells that many queries need, are split into
+blocks, so a task holds two bounded blocks.  Inside a task numpy computes distances and
+keeps the k best per query; pairs are never rows.  The winners are merged with a window
+partitioned by the query id.
+
+The result is exact; how much is skipped depends on the data: clustered data visit few
+cells, and without structure (high-dimensional noise) every cell is visited, as in any
+exact method.  ``approx_knn`` offers Spark ML's LSH as an opt-in approximation.
+
+Ids may be of any orderable type (numbers, text); ties go to the smaller id.
 """
 
 from __future__ import annotations
 
 import math
-import os
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = int(os.environ.get("CASEWISE_KNN_BLOCK_ROWS", 8192))  # rows of one side per block
-CHUNK_BYTES = 64 << 20  # scratch memory for one distance chunk inside a task
+from casewise.session import cut_lineage
 
-NEIGHBOR_SCHEMA = "qid long, rid long, dist double"
+BLOCK_ROWS = 8192       # rows of one side per block
+MAX_PIVOTS = 2048       # pivots are shipped to every task: at most this many vectors
+CHUNK_BYTES = 64 << 20  # scratch memory for one distance chunk inside a task
 
 
-def _blocks(n: int, block_rows: int) -> int:
-    return max(1, int(math.ceil(n / float(block_rows))))
+def _matrix(column: pd.Series) -> np.ndarray:
+    return np.asarray(column.tolist(), dtype=np.float64)
 
 
 def _block_topk(k: int, exclude_self: bool):
@@ -39,11 +44,11 @@ def _block_topk(k: int, exclude_self: bool):
     of the true k nearest, so the result equals the brute-force definition."""
     def fn(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
-            return pd.DataFrame({"qid": pd.Series([], dtype="int64"), "rid": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
-        qv = np.asarray(q["vec"].tolist(), dtype=np.float64)
-        rv = np.asarray(r["vec"].tolist(), dtype=np.float64)
-        qid, rid = q["id"].to_numpy(np.int64), r["id"].to_numpy(np.int64)
+            return pd.DataFrame({"qid": q["id"][:0], "rid": r["id"][:0], "dist": pd.Series([], dtype="float64")})
+        qv, rv = _matrix(q["vec"]), _matrix(r["vec"])
+        # ids become numbers in the ids' own order, so that ties and equality need no text
+        _, code = np.unique(np.concatenate([q["id"].to_numpy(), r["id"].to_numpy()]), return_inverse=True)
+        qid, rid = code[:len(q)], code[len(q):]
         d = qv.shape[1]
         qn, rn = (qv * qv).sum(1), (rv * rv).sum(1)
         eps = 4.0 * (d + 4) * np.finfo(np.float64).eps  # generous bound factor
@@ -70,44 +75,104 @@ def _block_topk(k: int, exclude_self: bool):
             first = np.searchsorted(rows_i, np.arange(qs.shape[0]))
             rank = np.arange(rows_i.shape[0]) - first[rows_i]
             keep = (rank < kk) & np.isfinite(dv)
-            out_q.append(ids[rows_i[keep]])
-            out_r.append(rid[cols_j[keep]])
+            out_q.append(s + rows_i[keep])
+            out_r.append(cols_j[keep])
             out_d.append(dv[keep])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "rid": np.concatenate(out_r),
-                             "dist": np.concatenate(out_d)})
+        return pd.DataFrame({"qid": q["id"].to_numpy()[np.concatenate(out_q)],
+                             "rid": r["id"].to_numpy()[np.concatenate(out_r)], "dist": np.concatenate(out_d)})
     return fn
 
 
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((x * x).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2.0 * (x @ pivots.T), 0.0))
+
+
+def _cells(refs: DataFrame, pivots: np.ndarray, id_type: str) -> DataFrame:
+    """(id, vec, cell, far): each reference with its nearest pivot and the distance to it."""
+    def fn(batches):
+        for b in batches:
+            for at in range(0, len(b), 4096):
+                part = b.iloc[at:at + 4096]
+                dist = _distances(_matrix(part["vec"]), pivots)
+                cell = dist.argmin(1)
+                yield pd.DataFrame({"id": part["id"], "vec": part["vec"], "cell": cell.astype(np.int32),
+                                    "far": dist[np.arange(len(part)), cell]})
+    return cut_lineage(refs.mapInPandas(fn, f"id {id_type}, vec array<double>, cell int, far double"))
+
+
+def _visits(queries: DataFrame, pivots: np.ndarray, radius: np.ndarray, kth: np.ndarray, id_type: str) -> DataFrame:
+    """(id, vec, cell): each query once per cell that may hold one of its neighbours."""
+    slack = 1e-7 * (1.0 + np.abs(pivots).max(initial=0.0))  # covers the rounding of the pivot distances
+
+    def fn(batches):
+        for b in batches:
+            for at in range(0, len(b), 1024):
+                part = b.iloc[at:at + 1024]
+                dist = _distances(_matrix(part["vec"]), pivots)
+                bound = (dist + kth).min(1)
+                who, cell = np.nonzero(dist - radius <= (bound * (1 + 1e-7) + slack)[:, None])
+                yield pd.DataFrame({"id": part["id"].to_numpy()[who], "vec": part["vec"].to_numpy()[who],
+                                    "cell": cell.astype(np.int32)})
+    return queries.mapInPandas(fn, f"id {id_type}, vec array<double>, cell int")
+
+
+def knn_plan(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
+             exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(visits, cells, sizes): who goes where, and per cell the rows of both sides."""
+    id_type = refs.schema[id_col].dataType.simpleString()
+
+    def side(df):
+        return df.select(F.col(id_col).cast(id_type).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    q, r = side(queries), side(refs)
+    # enough cells for blocks of the wanted size and for every core, never more than may be shipped
+    n = r.count()
+    wanted = max(math.ceil(2 * n / block_rows), math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism)))
+    chosen = r.orderBy(F.xxhash64("id"), "id").limit(max(1, min(wanted, MAX_PIVOTS))).collect()
+    pivots = np.array([x["vec"] for x in chosen], dtype=np.float64).reshape(len(chosen), -1)
+    cells = _cells(r, pivots, id_type)
+    need = k + 1 if exclude_self else k
+    order = Window.partitionBy("cell").orderBy("far", "id")
+    near = cells.select("cell", "far", "id").withColumn("i", F.row_number().over(order)).where(F.col("i") == need)
+    stats = cells.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("refs"))
+    # one row per pivot: at most MAX_PIVOTS
+    got = stats.join(near.select("cell", F.col("far").alias("kth")), "cell", "left").collect()
+    radius, kth = np.full(len(chosen), -np.inf), np.full(len(chosen), np.inf)
+    for x in got:
+        radius[x["cell"]] = x["radius"]
+        kth[x["cell"]] = np.inf if x["kth"] is None else x["kth"]
+    visits = cut_lineage(_visits(q, pivots, radius, kth, id_type))
+    sizes = visits.groupBy("cell").agg(F.count(F.lit(1)).alias("queries")).join(stats, "cell")
+    return visits, cells, cut_lineage(sizes.select("cell", "queries", "refs"))
+
+
 def knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
-             exclude_self: bool = False, block_rows: int | None = None) -> DataFrame:
+             exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Exact k nearest references of every query row (Euclidean, float64).
 
     Returns (qid, rid, dist, rank) with rank 1..k; ties broken by reference id.
     """
-    block_rows = block_rows or BLOCK_ROWS
-    q = queries.select(F.col(id_col).cast("long").alias("id"),
-                       F.col(vec_col).cast("array<double>").alias("vec"))
-    r = refs.select(F.col(id_col).cast("long").alias("id"),
-                    F.col(vec_col).cast("array<double>").alias("vec"))
-    # at least ceil(sqrt(parallelism)) blocks per side, so that even data that
-    # fits one block spreads its quadratic work over every core
-    floor_b = max(1, int(math.ceil(math.sqrt(queries.sparkSession.sparkContext.defaultParallelism))))
-    bq = max(_blocks(q.count(), block_rows), floor_b)
-    br = max(_blocks(r.count(), block_rows), floor_b)
-    # block ids must have one type on both sides: cogroup matches keys exactly
-    qx = q.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(bq)).cast("int")) \
-        .withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(br - 1))))
-    rx = r.withColumn("rb", F.pmod(F.xxhash64("id"), F.lit(br)).cast("int")) \
-        .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(bq - 1))))
-    cand = qx.groupBy("qb", "rb").cogroup(rx.groupBy("qb", "rb")).applyInPandas(
-        _block_topk(k, exclude_self), NEIGHBOR_SCHEMA)
+    id_type = refs.schema[id_col].dataType.simpleString()
+    visits, cells, sizes = knn_plan(queries, refs, k, id_col, vec_col, exclude_self, block_rows)
+    blocks = sizes.select("cell", F.ceil(F.col("queries") / block_rows).cast("int").alias("nq"),
+                          F.ceil(F.col("refs") / block_rows).cast("int").alias("nr"))
+    blocks = F.broadcast(blocks)  # at most MAX_PIVOTS rows
+    def own(n):
+        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+
+    def all_of(n):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    qx = visits.join(blocks, "cell").select("id", "vec", "cell", own("nq").alias("qb"), all_of("nr").alias("rb"))
+    rx = cells.join(blocks, "cell").select("id", "vec", "cell", own("nr").alias("rb"), all_of("nq").alias("qb"))
+    cand = qx.groupBy("cell", "qb", "rb").cogroup(rx.groupBy("cell", "qb", "rb")).applyInPandas(
+        _block_topk(k, exclude_self), f"qid {id_type}, rid {id_type}, dist double")
     w = Window.partitionBy("qid").orderBy("dist", "rid")
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def approx_knn(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
-               bucket_length: float = 2.0, num_tables: int = 3, threshold: float = float("inf")):
-    """Opt-in approximate neighbours by random-projection LSH (Spark ML)."""
+               bucket_length: float = 2.0, num_tables: int = 3, threshold: float = 10.0):
+    """Opt-in approximate neighbours by random-projection LSH (Spark ML); pairs further
+    apart than ``threshold`` are never made."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
     q = queries.select(F.col(id_col).alias("id"), array_to_vector(F.col(vec_col).cast("array<double>")).alias("v"))

@@ -8,7 +8,7 @@ cluster); the range index is a pure function of ``x`` (a binary-search
 executor puts every row in the same range again.  Per-range totals (one row
 per range) give each range's offset, and the running total inside a range is
 an ordinary window partitioned by the range index.  Nothing is ordered in
-a single task: the per-range offsets are at most ``MAX_BUCKETS`` numbers.
+a single task: the per-range offsets are as many numbers as shuffle partitions.
 """
 
 from __future__ import annotations
@@ -18,9 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 1024
-
-
 def range_index(x: Column, bounds: Sequence) -> Column:
     """Number of ``bounds`` (sorted, distinct) that are <= x; NULL x -> 0."""
     def search(lo: int, hi: int) -> Column:
@@ -32,8 +29,7 @@ def range_index(x: Column, bounds: Sequence) -> Column:
 
 
 def sampled_bounds(df: DataFrame, order_col: str, buckets: int) -> list:
-    buckets = max(1, min(buckets, MAX_BUCKETS))
-    if buckets == 1:
+    if buckets <= 1:
         return []
     probs = [i / buckets for i in range(1, buckets)]
     row = df.agg(F.percentile_approx(F.col(order_col), probs, 10000).alias("b")).first()
@@ -51,7 +47,7 @@ def running_totals(df: DataFrame, order_col: str, value_cols: Sequence[str], par
     if descending:
         idx = F.lit(len(bounds)) - idx
     ranged = df.withColumn("__rng", idx)
-    # one row per range (<= MAX_BUCKETS numbers): offsets become a literal array
+    # one row per range (as many as partitions were asked for): offsets become a literal array
     totals = {r["__rng"]: r for r in
               ranged.groupBy("__rng").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols]).collect()}
     key = F.desc(order_col) if descending else F.asc(order_col)

@@ -165,8 +165,17 @@ def missing_percent_over(df: DataFrame, min_missing: int = 1, digits: int = 4) -
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows after the first of identical rows (NULLs compare equal)."""
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows after the first of identical rows (NULLs compare equal).
+
+    Rows are grouped by a 128-bit hash first; whole rows are compared only
+    where a hash occurs more than once.
+    """
+    names = [f"c{i}" for i in range(len(df.columns))]
+    rows = df.toDF(*names)
+    nulls = F.concat_ws("", *[F.col(c).isNull().cast("int").cast("string") for c in names])
+    rows = rows.withColumns({"__a": F.xxhash64(nulls, *names), "__b": F.xxhash64(F.lit("second"), nulls, *names)})
+    twice = rows.groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1).select("__a", "__b")
+    groups = rows.join(twice, ["__a", "__b"], "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("__n"))
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
@@ -207,11 +216,11 @@ def numeric_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.where(F.col("n") > 0).select("column", "min", "max", "p50")
 
 
-def label_domain(df: DataFrame, label: str, limit: int = 20) -> DataFrame:
-    """Distinct labels as text, sorted, first ``limit`` (a top-n by value)."""
+def label_domain(df: DataFrame, label: str, limit: int | None = None) -> DataFrame:
+    """Distinct labels as text, sorted; ``limit`` cuts a printed sample only."""
     vals = df.select(F.col(label).cast("string").alias("value")).where(F.col("value").isNotNull()) \
         .distinct()
-    return vals.orderBy("value").limit(limit)
+    return vals.orderBy("value") if limit is None else vals.orderBy("value").limit(limit)
 
 
 def expected_classes_found(df: DataFrame, label: str, classes: Sequence[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from casewise.functions.columns import resolve_column
 from casewise.operators.profile import duplicate_count
+from casewise.session import cut_lineage
 
 
 def column_frame(spark: SparkSession, df: DataFrame) -> DataFrame:
@@ -23,7 +24,7 @@ def column_diff(train: DataFrame, test: DataFrame) -> DataFrame:
 
 
 def validation_report(train: DataFrame, test: DataFrame, target: str, positive: str,
-                      negative: str, raise_on_failure: bool = False) -> DataFrame:
+                      negative: str, raise_on_failure: bool = False, shown_classes: int = 20) -> DataFrame:
     """One-row report: status, shapes, targets, class sample, duplicates, issues.
 
     Raises ``ValueError`` when the target cannot be resolved in either split
@@ -31,32 +32,19 @@ def validation_report(train: DataFrame, test: DataFrame, target: str, positive:
     """
     t_train, t_test = resolve_column(train, target), resolve_column(test, target)
     if t_train is None or t_test is None:
-        raise ValueError(f"Target column not found. Configured='{target}'. "
-                         f"Train columns={train.columns}")
+        raise ValueError(f"no column matches the target {target!r}: train has {train.columns}, test has {test.columns}")
     extra_train = sorted(set(train.columns) - set(test.columns))
     extra_test = sorted(set(test.columns) - set(train.columns))
     status = not (extra_train or extra_test)
-    # rows and duplicates of both splits from one grouping of the tagged union
-    common = [c for c in train.columns if c in test.columns]
-    tagged = train.select(*common, F.lit("train").alias("__s")).unionByName(
-        test.select(*common, F.lit("test").alias("__s"))) if not (extra_train or extra_test) else None
-    if tagged is not None:
-        per = tagged.groupBy("__s", *common).agg(F.count(F.lit(1)).alias("__n")) \
-            .groupBy("__s").agg(F.sum("__n").alias("rows"), F.sum(F.col("__n") - 1).alias("dups"))
-        got = {r["__s"]: r for r in per.collect()}  # two rows
-        n_train, dup_train = (got["train"]["rows"], got["train"]["dups"]) if "train" in got else (0, 0)
-        n_test, dup_test = (got["test"]["rows"], got["test"]["dups"]) if "test" in got else (0, 0)
-    else:
-        n_train, n_test = train.count(), test.count()
-        dup_train = duplicate_count(train).first()["duplicates"]
-        dup_test = duplicate_count(test).first()["duplicates"]
-    classes = train.select(F.col(t_train).cast("string").alias("v")).where(F.col("v").isNotNull()) \
-        .distinct()
-    # the class list is small (distinct labels); only its first 20 are kept
-    sample = [r["v"] for r in classes.orderBy("v").limit(20).collect()]
+    n_train, n_test = train.count(), test.count()
+    dup_train, dup_test = (duplicate_count(x).first()["duplicates"] for x in (train, test))
+    classes = cut_lineage(train.select(F.col(t_train).cast("string").alias("v")).where(F.col("v").isNotNull()).distinct())
+    # the whole class set decides; only the printed sample is cut
+    has = classes.agg(F.count_if(F.col("v") == positive).alias("p"), F.count_if(F.col("v") == negative).alias("n")).first()
+    sample = [r["v"] for r in classes.orderBy("v").limit(shown_classes).collect()]
     issue = "" if status else f"column_mismatch extra_in_train={extra_train} extra_in_test={extra_test}"
     row = (status, n_train, len(train.columns), n_test, len(test.columns), target, t_train,
-           ",".join(sample), positive in sample, negative in sample, dup_train, dup_test, issue)
+           ",".join(sample), has["p"] > 0, has["n"] > 0, dup_train, dup_test, issue)
     report = train.sparkSession.createDataFrame([row], REPORT_SCHEMA)
     if raise_on_failure and not status:
         raise ValueError(f"Validation failed: {issue}")

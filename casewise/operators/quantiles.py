@@ -8,18 +8,21 @@ selection algorithm:
 
 1. one aggregate gives ``n``, ``min``, ``max`` per group and the ranks needed;
 2. if the largest group is at most ``cap`` rows, Spark's exact percentile is
-   used as is (its buffer is then bounded by ``cap``);
-3. otherwise every wanted rank is narrowed by histogram rounds: rows inside the
-   current value range of a rank are counted in ``bins`` equal-width buckets
-   (partial aggregation, output bounded by ranks x bins), the bucket holding
-   the rank becomes the next range (taken from the data's own min/max, so no
-   rounding can lose a row), until the bucket holds at most ``cap`` rows or a
-   single value; the remaining rows are sorted inside one bounded group.
+   used as is (its buffer is then bounded by ``cap``); both ways have registered
+   queries with an oracle (``*_selection`` sets ``cap=0``);
+3. otherwise the narrow (group, value) projection is stored once and every wanted
+   rank is narrowed: a quantile sketch of the rows in the rank's current range
+   gives cut points, exact counts per piece (each cut point itself, and the open
+   intervals between them) tell which piece holds the rank, and that piece, with
+   the data's own smallest and largest value, is the next range.  A piece
+   between two cut points holds about 1 / CUTS of the rows, whatever the shape of
+   the data, and ties resolve at their cut point.  Ranges of at most
+   ``sort_rows`` rows are sorted.  The loop ends when every rank is resolved; a
+   round that gains nothing raises.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,11 +31,11 @@ from pyspark.sql import functions as F
 from casewise.operators.joins import bounded_broadcast
 from casewise.session import cut_lineage
 
-# values per group held by one exact-percentile buffer; above it the
-# distributed selection runs (override for testing the scale path)
-DEFAULT_CAP = int(os.environ.get("CASEWISE_EXACT_CAP", 500_000))
-DEFAULT_BINS = 2048
-MAX_ROUNDS = 12
+# values per group held by one exact-percentile buffer; above it the distributed selection runs
+DEFAULT_CAP = 500_000
+CUTS = 32           # cut points per range and round
+SKETCH = 2_000      # accuracy of the sketch that proposes them
+SORT_ROWS = 100_000  # ranges of at most so many rows are sorted by one task
 
 
 def _interp(n: Column, p: float, v_of_rank) -> Column:
@@ -57,7 +60,7 @@ def _prepare(df: DataFrame, by, value):
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
                     probs: Sequence[float], names: Sequence[str],
-                    cap: int | None = None, bins: int = DEFAULT_BINS,
+                    cap: int | None = None, sort_rows: int = SORT_ROWS,
                     with_count: bool = False,
                     extra: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
     """Exact quantiles of ``value`` per group ``by`` (NULL values ignored).
@@ -72,6 +75,8 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
     vcol = F.col(value) if isinstance(value, str) else value
     # NaN is a missing value here (NaN-ignoring medians), not the largest number
     by, keys, base = _prepare(df, by, F.nanvl(vcol.cast("double"), F.lit(None).cast("double")))
+    if cap <= 0:
+        base = cut_lineage(base)
     stats = base.groupBy(*keys).agg(F.count("__v").alias("n"),
                                     *[fn(F.col("__v")).alias(nm) for nm, fn in extra.items()])
     if extra:
@@ -83,13 +88,15 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
         if with_count or extra:
             out = out.join(stats.select(*keys, *(["n"] if with_count else []), *extra), keys)
         return out.drop("__g") if not by else out
+    if cap > 0:
+        base = cut_lineage(base)
     rank_cols = []
     for p in probs:
         pos = (F.col("n") - 1).cast("double") * F.lit(float(p))
         rank_cols += [F.floor(pos).cast("bigint"), F.ceil(pos).cast("bigint")]
     ranks = stats.where(F.col("n") > 0).select(
         *keys, F.explode(F.array_distinct(F.array(*rank_cols))).alias("__r"))
-    values = _select_ranks(base, keys, ranks, cap, bins)
+    values = _select_ranks(base, keys, ranks, sort_rows)
     vmap = values.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("__r", "__val"))).alias("__m"))
     out = stats.join(vmap, keys, "left")
@@ -102,54 +109,44 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str | Column,
     return out.select(*cols)
 
 
-def values_at_ranks(df: DataFrame, by: Sequence[str], value: str | Column, ranks: DataFrame,
-                    cap: int | None = None, bins: int = DEFAULT_BINS) -> DataFrame:
-    """Value of 0-based rank ``__r`` (ascending, NULLs ignored) per group.
-
-    ``ranks`` holds ``by + ["__r"]``; the result holds ``by + ["__r", "__val"]``.
-    """
-    cap = DEFAULT_CAP if cap is None else cap
-    by, keys, base = _prepare(df, by, value)
-    base = base.where(F.col("__v").isNotNull())
-    if not by:
-        ranks = ranks.withColumn("__g", F.lit(0))
-    out = _select_ranks(base, keys, ranks, cap, bins)
-    return out.drop("__g") if not by else out
-
-
-def _select_ranks(base, keys, ranks, cap, bins):
+def _select_ranks(base, keys, ranks, sort_rows):
+    """(keys, __r, __val): the value at each 0-based rank; ``base`` is a stored (keys, __v) table."""
     base = base.where(F.col("__v").isNotNull())
-    bounds = base.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"))
-    state = cut_lineage(ranks.join(bounds, keys).select(*keys, "__r", "__lo", "__hi",
+    bounds = base.groupBy(*keys).agg(F.min("__v").alias("__lo"), F.max("__v").alias("__hi"),
+                                     F.count(F.lit(1)).alias("__c"))
+    state = cut_lineage(ranks.join(bounds, keys).select(*keys, "__r", "__lo", "__hi", "__c",
                                                         F.lit(0).cast("bigint").alias("__below")))
+    scope = [*keys, "__lo", "__hi", "__below"]
     found = []
-    for _ in range(MAX_ROUNDS):
-        ranges = state.select(*keys, "__lo", "__hi", "__below").distinct()
-        rows = base.join(bounded_broadcast(ranges), keys).where(
-            (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
-        v, lo, hi = (F.col(c).cast("double") for c in ("__v", "__lo", "__hi"))
-        width = hi - lo
-        bucket = F.when(width > 0, F.least(
-            F.floor((v - lo) / width * F.lit(float(bins))), F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-        hist = rows.withColumn("__b", bucket).groupBy(*keys, "__lo", "__hi", "__below", "__b").agg(
-            F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__bmin"), F.max("__v").alias("__bmax"))
-        w = Window.partitionBy(*keys, "__lo", "__hi", "__below").orderBy("__b") \
-            .rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("__start", F.col("__below") + F.coalesce(F.sum("__c").over(w), F.lit(0)))
-        nxt = state.join(hist, [*keys, "__lo", "__hi", "__below"]).where(
-            (F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__c")))
-        # small (ranks x groups) table; a reliable checkpoint keeps each round's
-        # plan flat instead of nesting every previous round inside it
-        nxt = cut_lineage(nxt.select(*keys, "__r", F.col("__bmin").alias("__lo"),
-                                     F.col("__bmax").alias("__hi"), F.col("__start").alias("__below"), "__c"))
-        single = nxt.where(F.col("__lo") == F.col("__hi"))
+    while True:
+        single = state.where(F.col("__lo") == F.col("__hi"))
         found.append(single.select(*keys, "__r", F.col("__lo").alias("__val")))
-        small = nxt.where((F.col("__lo") < F.col("__hi")) & (F.col("__c") <= cap))
+        wide = state.where(F.col("__lo") < F.col("__hi"))
+        small = wide.where(F.col("__c") <= sort_rows)
         found.append(cut_lineage(_sort_small(base, small, keys)))
-        state = nxt.where((F.col("__lo") < F.col("__hi")) & (F.col("__c") > cap)) \
-            .select(*keys, "__r", "__lo", "__hi", "__below")
-        if state.limit(1).count() == 0:
+        wide = wide.where(F.col("__c") > sort_rows)
+        if wide.isEmpty():
             break
+        inside = (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi"))
+        rows = base.join(bounded_broadcast(wide.select(*scope).distinct()), keys).where(inside)
+        cuts = rows.groupBy(*scope).agg(F.array_distinct(F.percentile_approx(
+            "__v", [i / CUTS for i in range(1, CUTS)], SKETCH)).alias("__cuts"))
+        rows = base.join(bounded_broadcast(cuts, materialize=True), keys).where(inside)
+        # 2 * (cut points below the value), plus 1 on a cut point: ordered pieces
+        piece = F.size(F.filter("__cuts", lambda c: c < F.col("__v"))) * 2 \
+            + F.array_contains("__cuts", F.col("__v")).cast("int")
+        hist = rows.withColumn("__b", piece) \
+            .groupBy(*scope, "__b").agg(F.count(F.lit(1)).alias("__n"), F.min("__v").alias("__bmin"),
+                                        F.max("__v").alias("__bmax"))
+        w = Window.partitionBy(*scope).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("__start", F.col("__below") + F.coalesce(F.sum("__n").over(w), F.lit(0)))
+        # small (ranks x groups) table; a reliable checkpoint keeps each round's plan flat
+        state = cut_lineage(wide.join(hist, scope).where(
+            (F.col("__r") >= F.col("__start")) & (F.col("__r") < F.col("__start") + F.col("__n"))).select(
+            *keys, "__r", F.col("__bmin").alias("__lo"), F.col("__bmax").alias("__hi"), F.col("__n").alias("__c"),
+            F.col("__start").alias("__below"), F.col("__c").alias("__was")))
+        if not state.where((F.col("__c") >= F.col("__was")) & (F.col("__lo") < F.col("__hi"))).isEmpty():
+            raise RuntimeError("a quantile range could not be narrowed")
     values = found[0]
     for extra in found[1:]:
         values = values.unionByName(extra)
@@ -157,7 +154,7 @@ def _select_ranks(base, keys, ranks, cap, bins):
 
 
 def _sort_small(base, small, keys):
-    """Resolve ranks whose value range holds at most ``cap`` rows by sorting them."""
+    """Resolve ranks whose value range holds few rows by sorting them."""
     ranges = small.select(*keys, "__lo", "__hi", "__below").distinct()
     rows = base.join(bounded_broadcast(ranges), keys).where(
         (F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))

@@ -17,8 +17,8 @@ from casewise.operators.neighbors import enn_keep, knn_join
 from casewise.operators.sampling import mark_lowest, seeded_hash
 from casewise.session import cut_lineage
 
-TWO_64 = float(2 ** 64)
-DRAWS_PER_CHUNK = 100_000
+#: Stands between the source id and the draw number in a synthetic row's id (a fixed value).
+MARK = "\u001f"
 
 
 def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
@@ -30,60 +30,62 @@ def class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     return df.join(bounded_broadcast(w), label)  # one row per class, size-checked
 
 
-def _uniform(*cols) -> "F.Column":
-    """Deterministic U[0, 1) from a 64-bit hash of the given columns."""
-    h = F.xxhash64(*cols).cast("double")
-    return (h + F.lit(TWO_64 / 2)) / F.lit(TWO_64)
+def _digest(*parts) -> "F.Column":
+    """First 13 hex digits of the md5 of the parts, as a whole number below 16 ** 13."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 13), 16, 10).cast("long")
 
 
 def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority, k: int = 5,
-          seed: int = 42, target: int | None = None) -> DataFrame:
+          seed: int = 42, target: int | None = None, draws_per_chunk: int = 100_000) -> DataFrame:
     """H1: synthetic minority rows until the minority reaches ``target``
-    (default: the majority size).  Returns only the synthetic rows
-    (``id`` negative, ``synthetic`` true) with ``vec_col`` and ``label``.
+    (default: the majority size).  Returns only the synthetic rows (``synthetic``
+    true) with ``vec_col`` and ``label``; their id is text, the source row's id
+    and the draw's number around ``MARK``, so it is new by construction.
 
     Every minority row gets floor(need / n_min) draws, and the rows with the
-    lowest seeded hash one more, so exactly ``need`` rows are made.
+    lowest seeded hash one more, so exactly ``need`` rows are made.  A minority of
+    fewer than two rows has no neighbour to draw towards and is an error.
     """
     minority_rows = df.where(F.col(label) == F.lit(minority)).select(id_col, vec_col)
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}  # one row per class
-    n_min = counts.get(minority, 0)
-    n_max = max(counts.values()) if counts else 0
-    need = (target if target is not None else n_max) - n_min
-    if need <= 0 or n_min < 2:
-        return df.sparkSession.createDataFrame([], f"{id_col} long, {vec_col} array<double>, "
-                                                   f"{label} {df.schema[label].dataType.simpleString()}, "
-                                                   "synthetic boolean")
+    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    size = sizes.agg(F.max("n").alias("most"), F.sum(F.when(F.col(label) == F.lit(minority), F.col("n"))).alias("own")).first()
+    n_min = size["own"] or 0
+    need = (target if target is not None else size["most"] or 0) - n_min
+    kind = df.schema[label].dataType
+    if need <= 0:
+        return df.sparkSession.createDataFrame([], f"{id_col} string, {vec_col} array<double>, "
+                                                   f"{label} {kind.simpleString()}, synthetic boolean")
+    if n_min < 2:
+        raise ValueError(f"class {minority!r} has {n_min} rows; synthetic rows need at least two")
+    text_id = F.col(id_col).cast("string")
+    if not minority_rows.where(text_id.contains(MARK)).isEmpty():
+        raise ValueError(f"an id holds the separator of synthetic ids, {MARK!r}")
     base, extra = divmod(need, n_min)
     quotas = df.sparkSession.createDataFrame([("all", extra)], "__cls string, __quota long")
     marked = mark_lowest(minority_rows, F.lit("all"), seeded_hash(id_col, seed), id_col, quotas, "__extra")
     draws = marked.withColumn("__n", F.lit(base) + F.col("__extra").cast("long")).where(F.col("__n") > 0)
-    # a tiny minority can owe millions of draws per row: cut them into chunks
-    # first and spread the chunks over tasks before expanding them
-    chunk = F.lit(DRAWS_PER_CHUNK).cast("long")
+    # a tiny minority can owe millions of draws per row: they are cut into chunks,
+    # and the chunks spread over tasks, before they are expanded
+    chunk = F.lit(draws_per_chunk).cast("long")
     draws = draws.withColumn("__chunk", F.explode(F.sequence(
-        F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / chunk).cast("long"))))
-    if base >= DRAWS_PER_CHUNK:
-        draws = draws.repartition(id_col, "__chunk")
+        F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / chunk).cast("long")))).repartition(id_col, "__chunk")
     first = F.col("__chunk") * chunk + 1
     last = F.least(F.col("__n"), (F.col("__chunk") + 1) * chunk)
     draws = draws.withColumn("__draw", F.explode(F.sequence(first, last))).drop("__chunk")
     kk = min(k, n_min - 1)
     nb = cut_lineage(knn_join(minority_rows, minority_rows, kk, id_col=id_col, vec_col=vec_col,
                               exclude_self=True))  # computed once, read by the check and the join
-    draws = draws.withColumn("rank", (F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), F.col("__draw"), F.lit("nb")),
-                                             F.lit(kk)) + 1).cast("int")) \
-        .withColumn("__lam", _uniform(F.lit(seed), F.col(id_col), F.col("__draw"), F.lit("gap")))
+    seeds = (F.lit(str(seed)), text_id, F.col("__draw").cast("string"))
+    draws = draws.withColumn("rank", (_digest(*seeds, F.lit("nb")) % F.lit(kk) + 1).cast("int")) \
+        .withColumn("__lam", _digest(*seeds, F.lit("gap")) / F.lit(float(16 ** 13)))
     # both lookup tables are minority-sized; broadcast them when that is small
     pick = draws.join(bounded_broadcast(nb.select(F.col("qid").alias(id_col), "rank", "rid")), [id_col, "rank"])
     nvec = minority_rows.select(F.col(id_col).alias("rid"), F.col(vec_col).cast("array<double>").alias("__nv"))
     pick = pick.join(bounded_broadcast(nvec, materialize=True), "rid")
     x = F.col(vec_col).cast("array<double>")
     synth = F.zip_with(x, F.col("__nv"), lambda a, b: a + F.col("__lam") * (b - a))
-    sid = -(F.abs(F.xxhash64(F.lit(seed), F.col(id_col), F.col("__draw"))) + 1)
-    return pick.select(sid.alias(id_col), synth.alias(vec_col),
-                       F.lit(minority).cast(df.schema[label].dataType).alias(label),
-                       F.lit(True).alias("synthetic"))
+    return pick.select(F.concat(text_id, F.lit(MARK), F.col("__draw").cast("string")).alias(id_col), synth.alias(vec_col),
+                       F.lit(minority).cast(kind).alias(label), F.lit(True).alias("synthetic"))
 
 
 def enn_clean(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 3) -> DataFrame:
@@ -95,10 +97,11 @@ def enn_clean(df: DataFrame, id_col: str, vec_col: str, label: str, k: int = 3)
 
 def smoteenn(df: DataFrame, id_col: str, vec_col: str, label: str, minority, k_smote: int = 5,
              k_enn: int = 3, seed: int = 42) -> DataFrame:
-    """H3: SMOTE then ENN over the union (errors are raised, never hidden)."""
+    """H3: SMOTE then ENN over the union (errors are raised, never hidden); ids become text."""
     src = df.select(id_col, F.col(vec_col).cast("array<double>").alias(vec_col), label) \
         .withColumn("synthetic", F.lit(False))
-    grown = src.unionByName(smote(src, id_col, vec_col, label, minority, k_smote, seed))
+    own = src.withColumn(id_col, F.col(id_col).cast("string"))
+    grown = own.unionByName(smote(src, id_col, vec_col, label, minority, k_smote, seed))
     grown = cut_lineage(grown)  # reused by the neighbour search twice
     return enn_clean(grown, id_col, vec_col, label, k_enn)
 

@@ -4,12 +4,12 @@ Rows are ordered inside each class by ``md5(seed|id)`` (ties by id), so the
 result never depends on partitioning or on ``rand()``.  Taking the ``k``
 lowest hashes of a class is done without sorting the class:
 
-1. a histogram of (class, 4-hex-digit hash prefix) -> rows, tiny after
-   partial aggregation (<= classes x 65,536 rows);
+1. a histogram of (class, hash prefix) -> rows, small after partial aggregation;
+   the prefix grows with the table, so that about ``PREFIX_ROWS`` rows share one;
 2. per class the *boundary* prefix where the running count reaches ``k``;
 3. rows below the boundary are in, rows above are out -- a map-side
    decision after a broadcast join with the per-class table (no shuffle);
-4. only the boundary prefix (about n / 65,536 rows per class) is ranked
+4. only the boundary prefix (about ``PREFIX_ROWS`` rows) is ranked
    with a window to settle the last places exactly.
 """
 
@@ -37,21 +37,31 @@ def class_key(label: str | None) -> Column:
     return F.coalesce(F.col(label).cast("string"), F.lit(NULL_CLASS))
 
 
-def prefix_histogram(df: DataFrame, cls: Column, order_hash: Column, prefix: int = 4) -> DataFrame:
-    """(__cls, __b, __cnt): rows per class and hash prefix -- at most
-    classes x 16^prefix rows, materialised once in the shared checkpoint folder."""
+# rows expected below one hash prefix: what a single task ranks at the boundary
+PREFIX_ROWS = 1_000
+
+
+def prefix_length(df: DataFrame) -> int:
+    """Hex digits of hash prefix that keep about ``PREFIX_ROWS`` rows below each, however large the table."""
+    digits = math.ceil(math.log(max(1.0, df.count() / PREFIX_ROWS), 16))
+    return min(32, max(2, digits))
+
+
+def prefix_histogram(df: DataFrame, cls: Column, order_hash: Column, prefix: int) -> DataFrame:
+    """(__cls, __b, __cnt): rows per class and hash prefix, materialised once in the shared checkpoint folder."""
     d = df.select(cls.alias("__cls"), F.substring(order_hash, 1, prefix).alias("__b"))
     return cut_lineage(d.groupBy("__cls", "__b").agg(F.count(F.lit(1)).alias("__cnt")))
 
 
 def mark_lowest(df: DataFrame, cls: Column, order_hash: Column, id_col: str,
-                quotas: DataFrame, out: str, prefix: int = 4,
+                quotas: DataFrame, out: str, prefix: int | None = None,
                 hist: DataFrame | None = None) -> DataFrame:
     """Flag, per class, the ``quota`` rows with the lowest (hash, id).
 
     ``quotas`` holds ``__cls`` and ``__quota`` (one row per class).  The input
     is read twice: once for the prefix histogram, once for the decision.
     """
+    prefix = prefix or prefix_length(df)
     hist = hist if hist is not None else prefix_histogram(df, cls, order_hash, prefix)
     w = Window.partitionBy("__cls").orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)
     runs = hist.withColumn("__incl", F.sum("__cnt").over(w)).join(quotas, "__cls")
@@ -95,12 +105,6 @@ def class_counts(hist: DataFrame) -> dict:
     return {r["__cls"]: r["__n"] for r in hist.groupBy("__cls").agg(F.sum("__cnt").alias("__n")).collect()}
 
 
-def split_sizes(df: DataFrame, cls: Column, test_frac: float) -> DataFrame:
-    counts = {r["__cls"]: r["__n"] for r in
-              df.select(cls.alias("__cls")).groupBy("__cls").agg(F.count(F.lit(1)).alias("__n")).collect()}
-    return quotas_frame(df.sparkSession, allocate_split(counts, test_frac))
-
-
 def stratified_split(df: DataFrame, label: str | None, id_col: str, test_frac: float = 0.2,
                      seed: int = 42, out: str = "split") -> DataFrame:
     """Adds ``split`` = 'test' / 'train'; stratified by ``label`` when it
@@ -108,7 +112,8 @@ def stratified_split(df: DataFrame, label: str | None, id_col: str, test_frac: f
     must be unique."""
     order_hash = seeded_hash(id_col, seed)
     has_label = label is not None and label in df.columns
-    hist = prefix_histogram(df, class_key(label if has_label else None), order_hash)
+    prefix = prefix_length(df)
+    hist = prefix_histogram(df, class_key(label if has_label else None), order_hash, prefix)
     cls = class_key(label if has_label else None)
     counts = class_counts(hist)
     if has_label and len([c for c in counts if c != NULL_CLASS]) < 2:
@@ -117,7 +122,7 @@ def stratified_split(df: DataFrame, label: str | None, id_col: str, test_frac: f
         hist = hist.groupBy("__b").agg(F.sum("__cnt").alias("__cnt")).withColumn("__cls", F.lit("all"))
         counts = {"all": sum(counts.values())}
     quotas = quotas_frame(df.sparkSession, allocate_split(counts, test_frac))
-    marked = mark_lowest(df, cls, order_hash, id_col, quotas, "__test", hist=hist)
+    marked = mark_lowest(df, cls, order_hash, id_col, quotas, "__test", prefix, hist)
     return marked.withColumn(out, F.when(F.col("__test"), "test").otherwise("train")).drop("__test")
 
 
@@ -127,14 +132,15 @@ def stratified_sample(df: DataFrame, label: str, id_col: str, size: int, seed: i
     s_neg = size - s_pos (each capped by its class), seeded by ``seed + size``."""
     cls = F.when(F.col(label) == F.lit(positive), "pos").otherwise("neg")
     order_hash = seeded_hash(id_col, seed + size)
-    hist = prefix_histogram(df, cls, order_hash)
+    prefix = prefix_length(df)
+    hist = prefix_histogram(df, cls, order_hash, prefix)
     counts = class_counts(hist)
     n = sum(counts.values())
     n_pos = counts.get("pos", 0)
     s_pos = int(round(size * (n_pos / n))) if n else 0  # Python round: half to even
     quotas = quotas_frame(df.sparkSession, {"pos": min(s_pos, n_pos),
                                             "neg": min(size - s_pos, counts.get("neg", 0))})
-    marked = mark_lowest(df, cls, order_hash, id_col, quotas, "__in", hist=hist)
+    marked = mark_lowest(df, cls, order_hash, id_col, quotas, "__in", prefix, hist)
     return marked.where("__in").drop("__in")
 
 
@@ -146,6 +152,3 @@ def learning_curve_sizes(n: int, sizes=LEARNING_CURVE_SIZES) -> list[int]:
     """Sizes below ``n``, then ``n`` itself."""
     return [s for s in sizes if s < n] + [n]
 
-
-def test_size_for(n: int, frac: float) -> int:
-    return int(math.ceil(frac * n))

@@ -91,8 +91,9 @@ def prepare(cases: DataFrame, target: str, positive: str, negative: str, test_si
             seed: int = 42, as_of_year: int = 2025, feature_set: str = "engineered",
             id_col: str = "case_id") -> Prepared:
     """Entry 1 up to the feature matrices: split raw rows (stratified on the
-    raw target), filter/map labels, fit features on train only, transform both."""
-    split = cut_lineage(stratified_split(cases, target, id_col, test_size, seed))
+    raw target; a ``split`` column that ``cases`` already has is kept), filter/map
+    labels, fit features on train only, transform both."""
+    split = cases if "split" in cases.columns else cut_lineage(stratified_split(cases, target, id_col, test_size, seed))
     train = label_filter_map(split.where(F.col("split") == "train").drop("split"), target, positive, negative)
     test = label_filter_map(split.where(F.col("split") == "test").drop("split"), target, positive, negative)
     pre = fit_preprocessor(drop_columns(train, ["score"]), as_of_year, feature_set, id_col)
@@ -143,7 +144,7 @@ def train_select(prep: Prepared, models: list[str], params: dict | None = None,
     tr_fit = resample_vectors(tr, id_col, seed) if resample else tr
     rows, best = [], None
     for name in models:
-        m = fit_model(name, tr_fit, params=params.get(name), seed=seed)
+        m = fit_model(name, tr_fit, params=params.get(name), seed=seed, id_col=id_col)
         thr, met = tune_threshold(m, val)
         rows.append((name, thr, met["balanced_accuracy"], met["accuracy"], met["f1"], met["precision"],
                      met["recall"], met["positive_rate"], met["roc_auc"], resample))
@@ -151,7 +152,7 @@ def train_select(prep: Prepared, models: list[str], params: dict | None = None,
             best = (name, thr, met["balanced_accuracy"])
     name, thr, _ = best
     full = resample_vectors(prep.train, id_col, seed) if resample else prep.train
-    final = fit_model(name, full, params=params.get(name), seed=seed)
+    final = fit_model(name, full, params=params.get(name), seed=seed, id_col=id_col)
     test_scored = cut_lineage(final.score(prep.test).select("label", "score"))
     tm = M.metrics_at_threshold(test_scored, "label", "score", thr).first().asDict()
     report = spark.createDataFrame(
@@ -209,14 +210,14 @@ def leaderboard(prep: Prepared, models: list[str], params: dict | None = None, s
     rows = []
     for name in models:
         m = fit_model(name, prep.train, params=params.get(name), seed=seed)
-        tr = M.metrics_at_threshold(cut_lineage(m.score(prep.train).select("label", "score")),
-                                    "label", "score", 0.5, with_auc=False).first()
-        te = M.metrics_at_threshold(cut_lineage(m.score(prep.test).select("label", "score")),
-                                    "label", "score", 0.5, with_auc=False).first()
-        rows.append((name, tr["accuracy"], tr["f1"], te["accuracy"], te["f1"], te["precision"], te["recall"]))
+        tr, te = (M.metrics_at_threshold(cut_lineage(m.score(d).select("label", "score")), "label", "score", 0.5).first()
+                  for d in (prep.train, prep.test))
+        rows.append((name, tr["accuracy"], tr["f1"], tr["roc_auc"], te["accuracy"], te["f1"], te["precision"],
+                     te["recall"], te["roc_auc"]))
     spark = prep.train.sparkSession
-    df = spark.createDataFrame(rows, "model string, train_accuracy double, train_f1 double, test_accuracy double, "
-                                     "test_f1 double, test_precision double, test_recall double")
+    df = spark.createDataFrame(rows, "model string, train_accuracy double, train_f1 double, train_roc_auc double, "
+                                     "test_accuracy double, test_f1 double, test_precision double, "
+                                     "test_recall double, test_roc_auc double")
     return df.orderBy(F.desc("test_accuracy"), "model")
 
 
@@ -235,9 +236,9 @@ def learning_curve(prep: Prepared, model: str = "hgb", sizes=(1000, 3000, 6000,
         inner = cut_lineage(stratified_split(sub, "label", id_col, 0.2, seed))
         tr = inner.where(F.col("split") == "train").drop("split")
         val = inner.where(F.col("split") == "test").drop("split")
-        m = fit_model(model, tr, params=params, seed=seed)
+        m = fit_model(model, tr, params=params, seed=seed, id_col=id_col)
         thr, _ = tune_threshold(m, val)
-        m = fit_model(model, sub, params=params, seed=seed)
+        m = fit_model(model, sub, params=params, seed=seed, id_col=id_col)
         sc = cut_lineage(m.score(prep.test).select("label", "score"))
         met = M.metrics_at_threshold(sc, "label", "score", thr).first()
         rows.append((s, thr, met["accuracy"], met["balanced_accuracy"], met["roc_auc"]))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-_MODULES = ["q_sources", "q_columns", "q_profile", "q_stats", "q_quality", "q_sampling",
+_MODULES = ["q_sources", "q_columns", "q_profile", "q_stats", "q_sampling",
             "q_features", "q_metrics", "q_neighbors", "q_models", "q_scoring", "q_streaming", "q_sinks"]
 
 
@@ -27,8 +27,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     for m in _MODULES:
-        try:
-            importlib.import_module(f"casewise.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"casewise.plans.{m}":
-                raise
+        importlib.import_module(f"casewise.plans.{m}")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import uuid
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from casewise.session import checkpoint_dir
+
 
 def dround(col: Column, digits: int = 6) -> Column:
     """round(x * 10^d) / 10^d, half away from zero, on the binary product --
@@ -20,3 +24,8 @@ def r6(c, name: str | None = None) -> Column:
 
 
 AS_OF_YEAR = 2025
+
+
+def run_dir(spark: SparkSession, name: str) -> str:
+    """A new folder for one run's files, below the folder that all machines share."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/runs/{name}-{uuid.uuid4().hex}"

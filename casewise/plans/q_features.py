@@ -246,15 +246,16 @@ def q_feature_names(spark, sf_dir):
 # --- F16, F17 -----------------------------------------------------------------
 def _presets(spark, sf_dir):
     df = cases_view(spark, sf_dir)
-    rng = {r["column"]: r for r in PR.numeric_range(df, ["prevailing_wage", "yr_of_estab"]).collect()}
-    dom = {}
-    for r in PR.category_domain(df, ["has_job_experience", "full_time_position", "requires_job_training"]) \
-            .orderBy("column", "position").collect():
-        dom.setdefault(r["column"], []).append(r["value"])
-    w, y = rng["prevailing_wage"], rng["yr_of_estab"]
-    return df, FX.scenario_presets(w["min"], w["max"], w["p50"], y["min"], y["p50"],
-                                   dom.get("has_job_experience"), dom.get("full_time_position"),
-                                   dom.get("requires_job_training"), AS_OF_YEAR)
+    ranges = {r["column"]: r.asDict() for r in PR.numeric_range(df, ["prevailing_wage", "yr_of_estab"]).collect()}
+    domains = {}
+    first_two = PR.category_domain(df, ["has_job_experience", "full_time_position", "requires_job_training"]) \
+        .where(F.col("position") <= 2)  # the presets name the first two values at most
+    for r in first_two.orderBy("column", "position").collect():
+        domains.setdefault(r["column"], []).append(r["value"])
+    return df, FX.fill_presets(ranges, domains, AS_OF_YEAR)
+
+
+_PRESET_NAMES = list(FX.PRESETS)
 
 
 @register("scenario_expand", S.with_cases(
@@ -265,11 +266,11 @@ def _presets(spark, sf_dir):
        coalesce(p.ft, full_time_position) AS full_time_position,
        coalesce(p.tr, requires_job_training) AS requires_job_training
 FROM cases CROSS JOIN (
-  SELECT '{FX.PRESET_NAMES[0]}' AS preset, floor(min(prevailing_wage) + 0.5) AS wage, {AS_OF_YEAR - 5} AS yr,
+  SELECT '{_PRESET_NAMES[0]}' AS preset, floor(min(prevailing_wage) + 0.5) AS wage, {AS_OF_YEAR - 5} AS yr,
          'Y' AS exp, 'Y' AS ft, 'N' AS tr FROM cases
-  UNION ALL SELECT '{FX.PRESET_NAMES[1]}', floor(max(prevailing_wage) + 0.5), floor(min(yr_of_estab) + 0.5),
+  UNION ALL SELECT '{_PRESET_NAMES[1]}', floor(max(prevailing_wage) + 0.5), floor(min(yr_of_estab) + 0.5),
          'N', 'N', 'Y' FROM cases
-  UNION ALL SELECT '{FX.PRESET_NAMES[2]}', floor(median(prevailing_wage) + 0.5), floor(median(yr_of_estab) + 0.5),
+  UNION ALL SELECT '{_PRESET_NAMES[2]}', floor(median(prevailing_wage) + 0.5), floor(median(yr_of_estab) + 0.5),
          'N', NULL, 'N' FROM cases) p"""))
 def q_scenario_expand(spark, sf_dir):
     """F16: each case under the three what-if presets (sorted Y/N domains are [N, Y])."""

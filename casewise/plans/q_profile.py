@@ -193,8 +193,7 @@ def q_numeric_range(spark, sf_dir):
 
 
 @register("label_domain", S.with_cases(
-    "SELECT DISTINCT CAST(case_status AS VARCHAR) AS value FROM cases_nulls WHERE case_status IS NOT NULL "
-    "ORDER BY value LIMIT 20", nulls=True))
+    "SELECT DISTINCT CAST(case_status AS VARCHAR) AS value FROM cases_nulls WHERE case_status IS NOT NULL", nulls=True))
 def q_label_domain(spark, sf_dir):
     return P.label_domain(cases_nulls(spark, sf_dir), "case_status")
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from casewise.functions.columns import label_filter_map
+from casewise.functions.columns import is_numeric_type, label_filter_map, resolve_column
 from casewise.operators import ordering as O
 from casewise.operators import profile as P
 from casewise.operators import quality as Q
 from casewise.operators import sampling as SM
 from casewise.plans import sql as S
 from casewise.plans.catalog import register
+from casewise.plans.common import run_dir
+from casewise.session import cut_lineage
 from casewise.sources.tables import read_table
 from casewise.sources.views import CASE_COLUMNS, cases_nulls, cases_view
 
@@ -96,12 +98,19 @@ def q_recent_top10(spark, sf_dir):
     return O.top_k_per_group(ev, ["user_id"], [F.desc("ts")], 10, "event_id")
 
 
-@register("column_diff", "SELECT 'score' AS \"column\", 'train' AS side UNION ALL SELECT 'z', 'test'")
+@register("column_diff", S.with_cases(
+    "SELECT 'score' AS \"column\", 'train' AS side, count(score) AS non_null FROM cases_nulls "
+    "UNION ALL SELECT 'wage_text', 'test', count(prevailing_wage) FROM cases_nulls", nulls=True))
 def q_column_diff(spark, sf_dir):
-    """Schema drift between two frames."""
-    train = cases_view(spark, sf_dir)
-    test = train.drop("score").withColumn("z", F.lit(1))
-    return Q.column_diff(train, test)
+    """Columns that only one of two written tables has, with their values counted."""
+    path = run_dir(spark, "drift")
+    view = cases_nulls(spark, sf_dir)
+    view.write.parquet(f"{path}/train")
+    view.drop("score").withColumn("wage_text", F.col("prevailing_wage").cast("string")).write.parquet(f"{path}/test")
+    sides = {side: spark.read.parquet(f"{path}/{side}") for side in ("train", "test")}
+    counts = [df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "non_null")
+              .withColumn("side", F.lit(side)) for side, df in sides.items()]
+    return Q.column_diff(sides["train"], sides["test"]).join(counts[0].unionByName(counts[1]), ["column", "side"])
 
 
 @register("validation_report", S.with_cases(
@@ -123,7 +132,7 @@ def q_column_diff(spark, sf_dir):
 FROM sp""", nulls=True, **split_ctes("cases_nulls")))
 def q_validation_report(spark, sf_dir):
     """G12 over the E1 split (id dropped, as the derive step does before validation)."""
-    sp = _nulls_split(spark, sf_dir).drop("case_id").cache()
+    sp = cut_lineage(_nulls_split(spark, sf_dir).drop("case_id"))
     train = sp.where(F.col("split") == "train").drop("split")
     test = sp.where(F.col("split") == "test").drop("split")
     return Q.validation_report(train, test, "CASE_STATUS", "F", "O")
@@ -163,15 +172,18 @@ _SCHEMA_TYPES = {"case_id": "bigint", "no_of_employees": "bigint", "yr_of_estab"
                  "prevailing_wage": "double", "score": "double"}
 
 
-@register("schema_report", " UNION ALL ".join(
+@register("schema_report", S.with_cases(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", '{_SCHEMA_TYPES.get(c, 'string')}' AS dtype, "
     f"{str(_SCHEMA_TYPES.get(c, 'string') != 'string').lower()} AS is_numeric, "
-    f"{str(c == 'case_status').lower()} AS is_target" for c in CASE_COLUMNS))
+    f"{str(c == 'case_status').lower()} AS is_target, count({c}) AS non_null FROM cases_nulls" for c in CASE_COLUMNS), nulls=True))
 def q_schema_report(spark, sf_dir):
-    """A4: inferred-schema report (column, dtype, numeric?, target?)."""
-    from casewise.functions.columns import is_numeric_type, resolve_column
-    df = cases_view(spark, sf_dir)
+    """A4: schema of a written and reread table (column, dtype, numeric?, target?, values)."""
+    path = run_dir(spark, "schema")
+    cases_nulls(spark, sf_dir).write.parquet(path)
+    df = spark.read.parquet(path)
     target = resolve_column(df, "CASE_STATUS")
     rows = [(f.name, f.dataType.simpleString(), is_numeric_type(f.dataType), f.name == target)
             for f in df.schema.fields]
-    return spark.createDataFrame(rows, "column string, dtype string, is_numeric boolean, is_target boolean")
+    meta = spark.createDataFrame(rows, "column string, dtype string, is_numeric boolean, is_target boolean")
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "non_null")
+    return meta.join(counts, "column")

@@ -47,20 +47,6 @@ def q_meta_profile(spark, sf_dir):
     return meta_profile(cases_nulls(spark, sf_dir))
 
 
-def diagnose(train, test, target: str):
-    """Class counts of both splits (NULL kept as a class) and the
-    majority-class baseline accuracy of each (window over the per-class
-    count table: a handful of rows per split)."""
-    from pyspark.sql import Window
-    parts = []
-    for name, df in (("train", train), ("test", test)):
-        parts.append(df.groupBy(F.col(target).alias("cls")).agg(F.count(F.lit(1)).alias("count"))
-                     .withColumn("split", F.lit(name)))
-    counts = parts[0].unionByName(parts[1])
-    w = Window.partitionBy("split")
-    return counts.withColumn("baseline", F.max("count").over(w) / F.sum("count").over(w))
-
-
 def diagnose_split(df, target: str, split_col: str = "split"):
     """G11 in one pass over a frame holding both splits."""
     from pyspark.sql import Window

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,8 +43,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (unit tests on one machine) a private temporary folder is used.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local master (unit
+    tests: driver and executor are one process) may go without; a private
+    temporary folder then serves.  On a cluster a missing setting is an error, as
+    a machine's own folder is not seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +54,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {sc.master} share")
         configured = tempfile.mkdtemp(prefix="casewise-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -62,8 +66,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
 
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)

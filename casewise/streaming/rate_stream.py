@@ -1,27 +1,30 @@
-"""Positive rate of ``pred = value >= 50`` per hour over ``events``, with a watermark.
+"""Positive rate of ``pred = value >= 50`` per hour over ``events``, as a stream.
 
-Tumbling one-hour windows on event time, ``withWatermark('ts', '10 minutes')``
-so state of closed windows is dropped and rows later than the watermark are
-ignored.  ``update`` output into ``foreachBatch`` keeps the newest figure per
-window, so draining the stream gives every window (append mode would hold
-back the windows the watermark has not yet passed).  ``batch_positive_rate``
-is the batch twin with the same numbers.
+Every micro-batch adds up its own events per tumbling one-hour window and writes
+those partial counts to a folder of its epoch (overwritten on a retry, so counted
+once).  The rate of a window is the sum over epochs: an event counts however late
+it arrives and however the files fall into triggers.  The ten-minute watermark tells
+which events came late: those older than the newest event of *earlier* epochs minus
+the watermark are also counted in ``late_events``, never dropped.
+
+``batch_positive_rate`` is the batch twin with the same numbers.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 THRESHOLD = 50.0
 WINDOW = "1 hour"
 WATERMARK = "10 minutes"
+PARTIAL_SCHEMA = "start timestamp, end timestamp, events long, positives long, late_events long, newest timestamp, epoch long"
 
 
-def _rate(df: DataFrame) -> DataFrame:
+def _rate(df: DataFrame, *more) -> DataFrame:
     pred = (F.col("value") >= F.lit(THRESHOLD)).cast("int")
     return df.groupBy(F.window("ts", WINDOW).alias("w")).agg(
-        F.count(F.lit(1)).alias("events"), F.sum(pred).alias("positives"))
+        F.count(F.lit(1)).alias("events"), F.sum(pred).alias("positives"), *more)
 
 
 def batch_positive_rate(events: DataFrame) -> DataFrame:
@@ -31,37 +34,36 @@ def batch_positive_rate(events: DataFrame) -> DataFrame:
 
 
 def run_rate_stream(spark: SparkSession, source_dir: str, schema, out_dir: str, checkpoint: str,
-                    timeout_s: int = 600, files_per_trigger: int | None = None) -> DataFrame:
+                    files_per_trigger: int | None = None) -> DataFrame:
+    """Drain ``source_dir`` and return (window_start, window_end, events, positives, late_events, positive_rate)."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     stream = reader.parquet(source_dir)
-    # Event time must be a TIMESTAMP for watermarks, the tables hold wall-clock
-    # TIMESTAMP_NTZ: shift so that the instant equals the wall clock read as UTC
-    # (hour windows then align with wall-clock hours in any session zone) and
-    # shift back on output.
+    # The tables hold wall-clock TIMESTAMP_NTZ: shift so that the instant equals the
+    # wall clock read as UTC (hour windows then align with wall-clock hours in any
+    # session zone) and shift back on output.
     tz = spark.conf.get("spark.sql.session.timeZone")
     stream = stream.withColumn("ts", F.from_utc_timestamp(F.col("ts").cast("timestamp"), tz))
-    agg = _rate(stream.withWatermark("ts", WATERMARK))
+    # the folder exists before the first epoch, so that reading it needs no special case
+    spark.createDataFrame([], PARTIAL_SCHEMA).write.mode("append").partitionBy("epoch").parquet(out_dir)
+
+    def partials() -> DataFrame:
+        return spark.read.schema(PARTIAL_SCHEMA).option("basePath", out_dir).parquet(out_dir)
 
     def sink(batch_df, epoch_id):
-        batch_df.select(F.to_utc_timestamp("w.start", tz).cast("timestamp_ntz").alias("window_start"),
-                        F.to_utc_timestamp("w.end", tz).cast("timestamp_ntz").alias("window_end"),
-                        "events", "positives") \
+        before = partials().where(F.col("epoch") < epoch_id).agg(F.max("newest").alias("t"))
+        newest = before.first()["t"]  # one scalar
+        late = F.lit(False) if newest is None else F.col("ts") < F.lit(newest) - F.expr(f"INTERVAL {WATERMARK}")
+        part = _rate(batch_df, F.count_if(late).alias("late_events"), F.max("ts").alias("newest"))
+        part.select("w.start", "w.end", "events", "positives", "late_events", "newest") \
             .write.mode("overwrite").parquet(f"{out_dir}/epoch={epoch_id}")  # idempotent on retry
 
-    q = agg.writeStream.outputMode("update").foreachBatch(sink) \
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise q.exception()
-    try:
-        res = spark.read.parquet(out_dir)
-    except Exception:  # noqa: BLE001 - no micro-batch ran: nothing was written
-        return spark.createDataFrame([], "window_start timestamp_ntz, window_end timestamp_ntz, events long, "
-                                         "positives long, positive_rate double")
-    latest = Window.partitionBy("window_start").orderBy(F.desc("epoch"))
-    res = res.withColumn("__r", F.row_number().over(latest)).where("__r = 1").drop("__r", "epoch")
-    return res.withColumn("positive_rate", F.col("positives") / F.col("events"))
+    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()  # an availableNow query ends when its input is drained, and raises if it failed
+    total = partials().groupBy("start", "end").agg(*[F.sum(c).alias(c) for c in ("events", "positives", "late_events")])
+    return total.select(F.to_utc_timestamp("start", tz).cast("timestamp_ntz").alias("window_start"),
+                        F.to_utc_timestamp("end", tz).cast("timestamp_ntz").alias("window_end"),
+                        "events", "positives", "late_events",
+                        (F.col("positives") / F.col("events")).alias("positive_rate"))

@@ -15,7 +15,7 @@ import argparse
 import json
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casewise.config import AppConfig, load_config
@@ -45,12 +45,20 @@ def train(spark: SparkSession, cfg: AppConfig, models: list[str] | None = None,
     raw = read_cases(spark, cfg.dataset.csv_path, cfg.dataset.fmt)
     target = resolve_column(raw, t.target_column)
     if target is None:
-        raise ValueError(f"Target column not found. Configured='{t.target_column}'. Columns={raw.columns}")
+        raise ValueError(f"no column matches the target {t.target_column!r}: the data have {raw.columns}")
     if id_col is None:
         id_col = resolve_column(raw, "case_id")
-    if id_col is None:  # no id: a stable one from the row content
-        raw = raw.withColumn("case_id", F.xxhash64(*raw.columns))
+    if id_col is None:  # no id: a digest of the row, numbered among equal rows
+        raw = raw.withColumn("__d", F.md5(F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})))
+        same = F.row_number().over(Window.partitionBy("__d").orderBy("__d"))
+        raw = cut_lineage(raw.withColumn("case_id", F.concat("__d", F.lit("-"), same.cast("string"))).drop("__d"))
         id_col = "case_id"
+    else:
+        repeats = raw.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if not repeats.isEmpty():  # equal ids are told apart by number, so that ids are unique
+            same = F.row_number().over(Window.partitionBy(id_col).orderBy(F.xxhash64(*raw.columns)))
+            numbered = F.concat(F.col(id_col).cast("string"), F.when(F.col("__n") > 1, F.concat(F.lit("#"), F.col("__n").cast("string"))).otherwise(""))
+            raw = cut_lineage(raw.withColumn("__n", same).withColumn(id_col, numbered).drop("__n"))
     # ingest: split stratified on the raw target, write raw / train / test
     split = cut_lineage(stratified_split(raw, target, id_col, t.test_size, t.random_state))
     SK.write_table(raw, f"{root}/data/raw", "parquet")
@@ -75,7 +83,7 @@ def train(spark: SparkSession, cfg: AppConfig, models: list[str] | None = None,
     if not report.first()["status"]:
         raise ValueError("Validation failed; see validation_report")
     # transform + select + refit + evaluate
-    prep = SL.prepare(raw.withColumnRenamed(target, "__target"), "__target", t.positive_class,
+    prep = SL.prepare(split.withColumnRenamed(target, "__target"), "__target", t.positive_class,
                       t.negative_class, t.test_size, t.random_state, t.as_of_year, t.feature_set,
                       id_col)
     sel = SL.train_select(prep, models or DEFAULT_MODELS, params, resample=resample, seed=t.random_state,

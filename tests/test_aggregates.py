@@ -4,10 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from casewise.functions import columns as C
 from casewise.operators import profile as P
+from casewise.operators import quality as Q
 from casewise.operators import stats as ST
 from casewise.operators.prefix import running_totals
-from casewise.operators.quantiles import group_quantiles, values_at_ranks
+from casewise.operators.quantiles import group_quantiles
 
 
 def test_duplicate_count(spark):
@@ -28,18 +30,52 @@ def test_exact_quantiles_slow_path_matches_fast(spark):
     df = spark.createDataFrame(vals, "g int, v double")
     probs, names = [0.25, 0.5, 0.75], ["a", "b", "c"]
     fast = {r.g: (r.a, r.b, r.c) for r in group_quantiles(df, ["g"], "v", probs, names).collect()}
-    slow = {r.g: (r.a, r.b, r.c) for r in group_quantiles(df, ["g"], "v", probs, names, cap=50, bins=8).collect()}
+    slow = {r.g: (r.a, r.b, r.c) for r in group_quantiles(df, ["g"], "v", probs, names, cap=0, sort_rows=20).collect()}
     for g in fast:
         assert slow[g] == pytest.approx(fast[g], rel=1e-12)
         arr = np.array([v for gg, v in vals if gg == g])
         assert fast[g] == pytest.approx(tuple(np.quantile(arr, probs)), rel=1e-12)
 
 
-def test_values_at_ranks_global(spark):
-    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"))
-    ranks = spark.createDataFrame([(0,), (499,), (999,)], "__r long")
-    got = sorted(r["__val"] for r in values_at_ranks(df, [], "k", ranks, cap=10, bins=4).collect())
-    assert got == [0, 499, 999]
+def test_quantiles_resolve_every_rank(spark):
+    rng = np.random.default_rng(3)
+    xs = np.concatenate([10.0 ** rng.uniform(-300, 300, 2000), [0.0] * 500, -(10.0 ** rng.uniform(-300, 300, 500))])
+    df = spark.createDataFrame([(float(x),) for x in xs], "v double")
+    probs = [0.0, 0.1, 0.4, 0.5, 0.77, 1.0]
+    names = [f"p{i}" for i in range(len(probs))]
+    got = group_quantiles(df, [], "v", probs, names, cap=0, sort_rows=5).first()
+    for p, n in zip(probs, names):
+        pos = p * (len(xs) - 1)
+        lo, hi = int(np.floor(pos)), int(np.ceil(pos))
+        s = np.sort(xs)
+        want = s[lo] if lo == hi else (hi - pos) * s[lo] + (pos - lo) * s[hi]
+        assert got[n] == pytest.approx(want, rel=1e-12)
+
+
+def test_kde_follows_the_bandwidth(spark):
+    rng = np.random.default_rng(0)
+    xs = np.append(rng.normal(size=20000), 5000.0)
+    df = spark.createDataFrame([(float(x),) for x in xs], "x double")
+    out = sorted((r.x, r.density) for r in ST.kde(df, "x", grid=2001).collect())
+    bw = xs.std(ddof=1) * len(xs) ** -0.2
+    near = [(x, d) for x, d in out if -20 < x < 20]
+    exact = [np.exp(-0.5 * ((x - xs) / bw) ** 2).sum() / (len(xs) * bw * np.sqrt(2 * np.pi)) for x, _ in near]
+    assert np.abs(np.array(exact) - [d for _, d in near]).max() < 1e-3 * max(exact)
+
+
+def test_label_check_reads_all_classes(spark):
+    rows = [(f"c{i:02d}", i) for i in range(24)] + [("zz", 99)]
+    df = spark.createDataFrame(rows, "label string, v int")
+    r = Q.validation_report(df, df, "LABEL", "zz", "c00").first()
+    assert r.has_positive and r.has_negative and len(r.target_sample.split(",")) == 20
+    assert P.label_domain(df, "label").count() == 25
+
+
+def test_row_by_index_with_text_keys(spark):
+    df = spark.createDataFrame([(f"EZ{i:03d}", i) for i in range(57)], "k string, v int").repartition(5)
+    assert C.row_by_index(df, 13, "k").first().v == 13
+    with pytest.raises(IndexError):
+        C.row_by_index(df, 57, "k")
 
 
 def test_running_totals_matches_cumsum(spark):
@@ -147,7 +183,7 @@ def test_quantiles_ignore_nan_on_both_paths(spark):
     rows = [("g", float(v)) for v in range(1, 11)] + [("g", float("nan"))] * 3
     df = spark.createDataFrame(rows, "g string, v double")
     fast = group_quantiles(df, ["g"], "v", [0.5], ["m"]).first().m
-    slow = group_quantiles(df, ["g"], "v", [0.5], ["m"], cap=3, bins=4).first().m
+    slow = group_quantiles(df, ["g"], "v", [0.5], ["m"], cap=0, sort_rows=3).first().m
     assert fast == slow == 5.5
 
 

@@ -92,12 +92,21 @@ def test_format_pct(spark):
 
 
 def test_scenario_presets():
-    p = FX.scenario_presets(1000.4, 5000.5, 2500.0, 1995, 1998.5, ["N", "Y"], ["N", "Y"], ["N", "Y"], 2025)
-    assert [x["prevailing_wage"] for x in p] == [1000, 5001, 2500]
-    assert p[0]["yr_of_estab"] == 2020 and p[1]["yr_of_estab"] == 1995 and p[2]["yr_of_estab"] == 1999
-    assert p[0]["has_job_experience"] == "Y" and p[1]["requires_job_training"] == "Y"
-    fb = FX.scenario_presets(None, None, None, None, None, None, None, None, 2025)
-    assert [x["prevailing_wage"] for x in fb] == [25000, 120000, 65000]
+    ranges = {"prevailing_wage": {"min": 1000.4, "max": 5000.5, "p50": 2500.0}, "yr_of_estab": {"min": 1995, "p50": 1998.5}}
+    yn = {f: ["N", "Y"] for f in ("has_job_experience", "full_time_position", "requires_job_training")}
+    low, high, mid = FX.fill_presets(ranges, yn, 2025)
+    assert (low["prevailing_wage"], low["yr_of_estab"], low["has_job_experience"], low["requires_job_training"]) == (1000, 2020, "Y", "N")
+    assert (high["prevailing_wage"], high["yr_of_estab"], high["full_time_position"]) == (5001, 1995, "N")
+    assert mid["yr_of_estab"] == 1999 and mid["full_time_position"] is None
+    low, high, mid = FX.fill_presets({}, {}, 2025)
+    assert [p["prevailing_wage"] for p in (low, high, mid)] == [25000, 120000, 65000]
+    assert (low["has_job_experience"], high["yr_of_estab"], mid["requires_job_training"]) == ("N", 1998, "Y")
+
+
+def test_resolve_column_and_ambiguous_names():
+    cols = ["case_id", "Case Status", "CASE-STATUS", "wage"]
+    assert C.resolve_column(cols, "case_status") == "Case Status" and C.resolve_column(cols, "CASE-STATUS") == "CASE-STATUS"
+    assert C.resolve_column(cols, "nope") is None and C.ambiguous_columns(cols) == [["Case Status", "CASE-STATUS"]]
 
 
 def test_align_columns(spark):

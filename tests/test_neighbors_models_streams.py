@@ -110,15 +110,70 @@ def test_stream_rate_equals_batch(spark, tmp_path):
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
 
 
+def test_stream_rate_loses_nothing_across_triggers(spark, tmp_path):
+    """Files far out of time order, one per trigger: every event counts, late ones are told."""
+    from casewise.streaming import rate_stream as RT
+    rows = [(i, f"2024-01-{1 + (i * 7) % 28:02d} {(i * 5) % 24:02d}:{i % 60:02d}:00", float(i % 100)) for i in range(400)]
+    ev = spark.createDataFrame(rows, "event_id long, t string, value double").select(
+        "event_id", F.col("t").cast("timestamp_ntz").alias("ts"), "value")
+    for k in range(5):
+        ev.where(F.col("event_id") % 5 == k).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    out = RT.run_rate_stream(spark, f"{tmp_path}/in", ev.schema, f"{tmp_path}/out", f"{tmp_path}/ckpt", files_per_trigger=1)
+    want = sorted(tuple(r) for r in RT.batch_positive_rate(ev).select("window_start", "events", "positives").collect())
+    assert sorted(tuple(r) for r in out.select("window_start", "events", "positives").collect()) == want
+    assert out.agg(F.sum("events"), F.sum("late_events")).first()[0] == 400 and out.agg(F.sum("late_events")).first()[0] > 0
+
+
 def test_payload_parse_bad_json(spark):
     from casewise.streaming.score_stream import parse_payloads
-    lines = spark.createDataFrame([('{"case_id": 1, "continent": "Asia", "no_of_employees": "5", '
-                                    '"prevailing_wage": "10", "yr_of_estab": "2000"}',), ('{"case_id": 2, "con',)],
-                                  "value string")
-    out = {r.case_id: r for r in parse_payloads(lines, 2025).collect()}
-    assert out[1].ok is True
-    bad = [r for k, r in out.items() if k != 1][0]
-    assert bad.ok is False and bad.error == "invalid JSON payload"
+    good = '{"case_id": "EZYV1", "continent": "Asia", "no_of_employees": "5", "prevailing_wage": "10", "yr_of_estab": "2000"}'
+    no_id = '{"no_of_employees": 5, "prevailing_wage": 10.5, "yr_of_estab": 2000}'
+    lines = spark.createDataFrame([(good,), ('{"case_id": 2, "con',), (no_id,), ("",), ("[1]",), (None,)], "value string")
+    out = {r.value: r for r in parse_payloads(lines, 2025).collect()}
+    assert out[good].ok and out[good].payload_key == "EZYV1"
+    assert out[no_id].ok and out[no_id].case_id is None and out[no_id].payload_key.startswith("payload-")
+    for bad in ('{"case_id": 2, "con', "", "[1]", None):
+        assert not out[bad].ok and out[bad].error == "invalid JSON payload"
+
+
+def test_knn_prunes_on_clustered_data(spark):
+    rng = np.random.default_rng(5)
+    X = np.concatenate([rng.normal(size=(60, 3)) + c for c in rng.uniform(-1000, 1000, (40, 3))])
+    df = spark.createDataFrame([(f"p{i:05d}", [float(v) for v in x]) for i, x in enumerate(X)], "id string, vec array<double>")
+    visits, cells, sizes = NB.knn_plan(df, df, 4, exclude_self=True, block_rows=128)
+    pairs = sizes.agg(F.sum(F.col("queries") * F.col("refs"))).first()[0]
+    assert pairs < 0.2 * len(X) ** 2
+    by = {}
+    for r in NB.knn_join(df, df, 4, exclude_self=True, block_rows=128).collect():
+        by.setdefault(int(r.qid[1:]), []).append((r.rank, int(r.rid[1:])))
+    ref = _brute(X, 4)
+    assert {q: [i for _, i in sorted(v)] for q, v in by.items()} == {i: ref[i] for i in range(len(X))}
+
+
+def test_smote_ids_are_new_and_too_small_a_class_raises(spark):
+    rows = [(f"c{i}", [float(i), 0.0], 1 if i < 3 else 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, vec array<double>, label int")
+    out = RS.smoteenn(df, "id", "vec", "label", 1, k_smote=2)
+    assert out.select("id").distinct().count() == out.count()
+    syn = RS.smote(df, "id", "vec", "label", 1, k=2)
+    ids = [r.id for r in syn.collect()]
+    assert len(set(ids)) == 34 and not set(ids) & {r[0] for r in rows}
+    with pytest.raises(ValueError):
+        RS.smote(df.where("id = 'c0' or label = 0"), "id", "vec", "label", 1)
+
+
+def test_workflow_train_with_text_ids_duplicates_and_resampling(spark, tmp_path):
+    from casewise import workflow as PL
+    from casewise.config import parse_config
+    from casewise.sources.views import cases_view
+    csv = str(tmp_path / "cases_csv")
+    view = cases_view(spark, SF_SMALL).drop("score").withColumn("case_id", F.concat(F.lit("EZ"), F.col("case_id")))
+    view.unionByName(view.where("case_id like '%7'")).coalesce(2).write.option("header", True).csv(csv)
+    cfg = parse_config({"dataset": {"csv_path": csv},
+                        "training": {"target_column": "CASE_STATUS", "positive_class": "F", "negative_class": "O"},
+                        "artifacts": {"root_dir": str(tmp_path / "artifacts")}})
+    out = PL.train(spark, cfg, models=["decision_tree", "knn"], params={"decision_tree": {"maxDepth": 3}}, resample=True)
+    assert out["best_model_name"] in ("decision_tree", "knn")
 
 
 def test_core_plans_stay_in_jvm(spark):
@@ -161,11 +216,10 @@ def test_entry_smoke(spark):
     assert E.entry(spark).count() > 0
 
 
-def test_smote_chunked_draws(spark, monkeypatch):
-    monkeypatch.setattr(RS, "DRAWS_PER_CHUNK", 7)
+def test_smote_chunked_draws(spark):
     rows = [(i, [float(i), 0.0], 1 if i < 3 else 0) for i in range(60)]
     df = spark.createDataFrame(rows, "id long, vec array<double>, label int")
-    syn = RS.smote(df, "id", "vec", "label", 1, k=2, seed=3)
+    syn = RS.smote(df, "id", "vec", "label", 1, k=2, seed=3, draws_per_chunk=7)
     assert syn.count() == 54 and syn.select("id").distinct().count() == 54
     xs = [r.vec[0] for r in syn.collect()]
     assert min(xs) >= 0.0 and max(xs) <= 2.0
@@ -185,7 +239,7 @@ def test_stream_rate_independent_of_session_zone(spark):
 
 
 def test_config_loading(tmp_path):
-    from casewise.config import load_config, read_yaml
+    from casewise.config import ConfigError, load_config
     p = tmp_path / "c.yaml"
     p.write_text("dataset:\n  csv_path: x.csv\ntraining:\n  target_column: CASE_STATUS\n"
                  "  positive_class: CERTIFIED\n  negative_class: DENIED\n  test_size: 0.2\n"
@@ -193,11 +247,17 @@ def test_config_loading(tmp_path):
     cfg = load_config(str(p))
     assert cfg.training.positive_class == "CERTIFIED" and cfg.training.as_of_year == 2025
     with pytest.raises(FileNotFoundError):
-        read_yaml(str(tmp_path / "missing.yaml"))
+        load_config(str(tmp_path / "missing.yaml"))
     bad = tmp_path / "bad.yaml"
     bad.write_text("- a\n- b\n")
-    with pytest.raises(TypeError):
-        read_yaml(str(bad))
+    with pytest.raises(ConfigError):
+        load_config(str(bad))
+    bad.write_text("dataset:\n  csv_path: x.csv\n  colour: red\ntraining:\n  target_column: T\nartifacts: 3\nmore: 1\n")
+    with pytest.raises(ConfigError) as e:
+        load_config(str(bad))
+    assert set(str(e.value).splitlines()) == {"dataset.colour: unknown key", "training.positive_class: missing",
+                                              "training.negative_class: missing", "artifacts: expected keys and values, found int"}
+    assert cfg.extra == {}
 
 
 def test_no_single_task_exchange_in_core_plans(spark):
@@ -288,11 +348,11 @@ def test_stream_scores_equal_batch_scores(spark):
 def test_workflow_train_and_score_from_csv(spark, tmp_path):
     """Entry 1 and 2 end to end: CSV in, artifacts out, the saved bundle scores new rows."""
     from casewise import workflow as PL
-    from casewise.config import build_config
+    from casewise.config import parse_config
     from casewise.sources.views import cases_view
     csv = str(tmp_path / "cases_csv")
     cases_view(spark, SF_SMALL).drop("score").write.option("header", True).csv(csv)
-    cfg = build_config({"dataset": {"csv_path": csv},
+    cfg = parse_config({"dataset": {"csv_path": csv},
                         "training": {"target_column": "CASE_STATUS", "positive_class": "F",
                                      "negative_class": "O", "test_size": 0.2, "random_state": 42},
                         "artifacts": {"root_dir": str(tmp_path / "artifacts")}})

@@ -24,8 +24,20 @@ def test_stratified_split_sizes_and_partition_independence(spark):
 def test_split_reference_sizes(spark):
     # 25,480 rows, 17,018 positive: 20,384 / 5,096 with 3,404 positives in test
     df = spark.range(25480).withColumn("y", (F.col("id") < 17018).cast("int"))
-    q = {r["__cls"]: r["__quota"] for r in SM.split_sizes(df, F.col("y").cast("string"), 0.2).collect()}
-    assert q == {"1": 3404, "0": 1692}
+    counts = {str(r.y): r["count"] for r in df.groupBy("y").count().collect()}
+    assert SM.allocate_split(counts, 0.2) == {"1": 3404, "0": 1692}
+
+
+def test_auc_of_many_pairs_and_missing_scores(spark):
+    from casewise.operators.metrics import _auc_of
+    big = spark.createDataFrame([(0.1, 0, 4 * 10**9), (0.9, 4 * 10**9, 0)], "score double, pos long, neg long")
+    assert _auc_of(big).first().roc_auc == 1.0
+    df = spark.createDataFrame([(1, 0.9), (0, 0.1), (1, None), (1, float("nan")), (0, None)], "y int, s double")
+    assert M.roc_auc(df, "y", "s").first().roc_auc == 1.0
+    r = M.metrics_at_threshold(df, "y", "s", 0.5).first()
+    assert (r.tn, r.fp, r.fn, r.tp, r.roc_auc) == (1, 0, 0, 1, 1.0)
+    without = M.metrics_at_threshold(df, "y", "s", 0.5, with_auc=False).first()
+    assert (without.tn, without.fp, without.fn, without.tp) == (1, 0, 0, 1)
 
 
 def test_mark_lowest_equals_global_rank(spark):
