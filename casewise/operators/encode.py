@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from casewise.operators.profile import _stack
 from casewise.operators.quantiles import group_quantiles
+from casewise.session import cut_lineage
 
 
 class _Cols(HasInputCols, HasOutputCols):
@@ -167,26 +168,34 @@ def yeo_johnson_lam(x: Column, lam: Column) -> Column:
     return F.when(x >= 0, pos).otherwise(neg)
 
 
-def yeo_johnson_llf(df: DataFrame, cols: Sequence[str], grid: dict[str, Sequence[float]]) -> DataFrame:
-    """Log-likelihood of every candidate lambda per column in one aggregate pass:
+def yeo_johnson_constants(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[int, float]]:
+    """Per column the number of values and sum(sign(x) ln(1 + |x|)), which no lambda changes."""
+    aggs = []
+    for i, c in enumerate(cols):
+        x = F.col(f"`{c}`").cast("double")
+        aggs += [F.count(x).alias(f"n{i}"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"k{i}")]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"n{i}"], row[f"k{i}"] or 0.0) for i, c in enumerate(cols)}
+
+
+def yeo_johnson_llf(df: DataFrame, cols: Sequence[str], grid: dict[str, Sequence[float]],
+                    constants: dict[str, tuple[int, float]] | None = None) -> DataFrame:
+    """(column, lambda, llf) of every candidate lambda in one aggregate pass:
     -n/2 ln(var_pop(psi)) + (lambda - 1) sum(sign(x) ln(1 + |x|)).
 
-    Each value is paired with its column's candidate lambdas by ``explode`` of
-    a fixed-size literal array; the partial aggregate right after it keeps the
-    shuffle at (columns x candidates) rows per task.
+    Each value is paired with its column's candidates; the partial aggregate right after
+    keeps the shuffle at (columns x candidates) rows per task.  (All variances as columns
+    of one aggregate compile for longer than they run.)
     """
+    constants = constants or yeo_johnson_constants(df, cols)
     stacked = _stack(df, cols, "double").where(F.col("value").isNotNull())
-    choice = None
-    for c in cols:
-        arr = F.array(*[F.lit(float(v)) for v in grid[c]])
-        choice = F.when(F.col("column") == c, arr) if choice is None else choice.when(F.col("column") == c, arr)
-    x = F.col("value")
-    pairs = stacked.select("column", "value", F.explode(choice).alias("lambda"))
-    agg = pairs.groupBy("column", "lambda").agg(
-        F.count(x).alias("n"), F.var_pop(yeo_johnson_lam(x, F.col("lambda"))).alias("v"),
-        F.sum(F.signum(x) * F.log1p(F.abs(x))).alias("k"))
-    return agg.select("column", "lambda", (F.lit(-0.5) * F.col("n") * F.log("v")
-                                           + (F.col("lambda") - F.lit(1.0)) * F.col("k")).alias("llf"))
+    own = F.create_map(*[x for c in cols for x in (F.lit(c), F.array(*[F.lit(float(v)) for v in grid[c]]))])
+    pairs = stacked.select("column", "value", F.explode(own[F.col("column")]).alias("lambda"))
+    var = pairs.groupBy("column", "lambda").agg(F.var_pop(yeo_johnson_lam(F.col("value"), F.col("lambda"))).alias("v"))
+    n = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(constants[c][0])))])
+    k = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(float(constants[c][1])))])
+    return var.select("column", "lambda", (F.lit(-0.5) * n[F.col("column")] * F.log("v")
+                                           + (F.col("lambda") - F.lit(1.0)) * k[F.col("column")]).alias("llf"))
 
 
 class YeoJohnsonModel(Model, _Cols, DefaultParamsReadable, DefaultParamsWritable):
@@ -222,7 +231,9 @@ class YeoJohnson(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable)
 
     def _fit(self, df):
         cols = self.getInputCols()
-        src = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+        # the narrow columns are stored once; every round reads them alone
+        src = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+        constants = yeo_johnson_constants(src, cols)
         centre = {c: 0.0 for c in cols}
         half = {c: 2.0 for c in cols}
         points = 41
@@ -230,7 +241,7 @@ class YeoJohnson(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable)
         while shrinks < self.getOrDefault(self.rounds):
             step = {c: 2 * half[c] / (points - 1) for c in cols}
             grid = {c: [centre[c] - half[c] + k * step[c] for k in range(points)] for c in cols}
-            llf = yeo_johnson_llf(src, cols, grid).collect()  # cols x points numbers
+            llf = yeo_johnson_llf(src, cols, grid, constants).collect()  # cols x points numbers
             edge = False
             for c in cols:
                 cand = [(r["llf"], -r["lambda"], r["lambda"]) for r in llf

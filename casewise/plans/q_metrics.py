@@ -100,6 +100,16 @@ def q_roc_auc(spark, sf_dir):
     return M.roc_auc(scored(spark, sf_dir), "label", "score").select(r6("roc_auc"))
 
 
+@register("roc_auc_missing", S.with_cases(f"SELECT round(roc_auc, 6) AS roc_auc FROM ({AUC_SQL})",
+                                          scored=SCORED + " AND case_id % 7 <> 0"))
+def q_roc_auc_missing(spark, sf_dir):
+    """G4 with every seventh score missing: rows without a score take no part."""
+    df = scored(spark, sf_dir)
+    gone = F.when(F.col("case_id") % 14 == 0, F.lit(float("nan"))).when(F.col("case_id") % 7 == 0, F.lit(None).cast("double"))
+    df = df.withColumn("score", F.when(F.col("case_id") % 7 == 0, gone).otherwise(F.col("score")))
+    return M.roc_auc(df, "label", "score").select(r6("roc_auc"))
+
+
 @register("roc_curve", S.with_cases(
     """SELECT score AS threshold,
        round(sum(n) OVER (ORDER BY score DESC) / (SELECT count(*) FILTER (WHERE label = 0) FROM scored), 6) AS fpr,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from casewise.operators import profile as P
+from casewise.operators.quantiles import group_quantiles
 from casewise.plans import sql as S
 from casewise.plans.catalog import register
 from casewise.plans.common import r6
@@ -103,6 +104,16 @@ def q_group_median(spark, sf_dir):
     return out.select("region_of_employment", r6("median"))
 
 
+@register("group_median_selection", S.with_cases(
+    "SELECT region_of_employment, round(median(prevailing_wage), 6) AS median FROM cases_nulls "
+    "WHERE region_of_employment IS NOT NULL GROUP BY 1", nulls=True))
+def q_group_median_selection(spark, sf_dir):
+    """D8 by distributed rank selection (the way of groups that outgrow one task's buffer)."""
+    df = cases_nulls(spark, sf_dir).where(F.col("region_of_employment").isNotNull())
+    out = group_quantiles(df, ["region_of_employment"], "prevailing_wage", [0.5], ["median"], cap=0, sort_rows=200)
+    return out.select("region_of_employment", r6("median"))
+
+
 @register("global_median", S.with_cases(
     "SELECT round(median(prevailing_wage), 6) AS median FROM cases_nulls", nulls=True))
 def q_global_median(spark, sf_dir):
