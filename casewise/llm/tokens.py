@@ -18,6 +18,8 @@ from casewise.llm.common import worker_state
 
 #: Chunks kept per worker; beyond it the memory starts anew.  Bounds memory, never results.
 MEMORY = 700_000
+#: Chunks looked up before their ids are gathered.  Bounds memory, never results.
+GATHER = 300_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -111,7 +113,7 @@ class ChunkEncoder:
         """Ids of each text; null counts as empty."""
         if len(self.known) > MEMORY:
             self._forget()
-        known, out, todo = self.known, [], []
+        known, out, todo, held = self.known, [], [], 0
         for text in texts:
             if not text:
                 out.append(np.empty(0, np.int32))
@@ -130,8 +132,11 @@ class ChunkEncoder:
                         self.lengths.append(len(ids))
                         self.fresh.append(ids)
                 places = [known[c] for c in chunks]
-            todo.append((len(out), places))
+            todo.append((len(out), np.array(places, np.int32)))
             out.append(None)
+            held += len(places)
+            if held > GATHER:
+                out, todo, held = self._gather(out, todo), [], 0
         return self._gather(out, todo)
 
     def _gather(self, out: list, todo: list) -> list[np.ndarray]:
@@ -144,10 +149,9 @@ class ChunkEncoder:
             self.ids = np.concatenate([self.ids, new])
             self.fresh, self.at = [], len(self.lengths)
         for at, places in todo:
-            p = np.array(places, np.int64)
-            n = self.sizes[p]
+            n = self.sizes[places]
             before = np.cumsum(n) - n
-            out[at] = self.ids[np.repeat(self.starts[p] - before, n) + np.arange(int(n.sum()))]
+            out[at] = self.ids[np.repeat(self.starts[places] - before, n) + np.arange(int(n.sum()))]
         return out
 
 
