@@ -45,7 +45,7 @@ from casewise.llm.common import id_fold, shared_path, shuffle_partitions, stored
 
 END = xxhash.xxh64_intdigest(b"")
 START = xxhash.xxh64_intdigest(b" ")
-BLOCK_TOKENS = 1_000_000
+BLOCK_TOKENS = 500_000
 RANGE_KEYS = 2_000_000
 BUCKETS, STEPS, DEPTH = 32, 4, 40  # context buckets; quantisation of log2 estimates: steps per bit, bits
 FLOOR = STEPS * DEPTH
@@ -270,7 +270,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     spark: SparkSession = docs.sparkSession
     name = make_blocks(docs, id_col, text_col, folds, block_tokens)
     blocks = spark.table(name)
-    size = blocks.agg(F.sum("n"), F.count_if(F.size("ids") > 0)).first()[0] or 0
+    size = blocks.agg(F.sum("n")).first()[0] or 0
     bits = [max(0, math.ceil(math.log2(max(1.0, share * size / range_keys)))) for share in (0.3, 0.8)]
     words = stored(_answer(_ask(blocks, 1, bits[0], held_out, deleted), bits[0]), "lm-words")
     bigrams = stored(_answer(_ask(blocks, 2, bits[1], held_out, deleted), bits[1]), "lm-bigrams")
