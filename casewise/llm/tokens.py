@@ -64,6 +64,12 @@ class ChunkEncoder:
         self.known: dict[str, int] = {}
         self.lengths, self.fresh, self.at, self.ids = [], [], 0, np.empty(0, np.int32)
 
+    def _bounded(self) -> dict[str, int]:
+        """The memory of chunks, begun anew if it has grown too large (no look-up may be pending)."""
+        if len(self.known) > MEMORY:
+            self._forget()
+        return self.known
+
     @classmethod
     def get(cls, path: str, kind: str) -> ChunkEncoder:
         """This worker's encoder for the file."""
@@ -111,9 +117,8 @@ class ChunkEncoder:
 
     def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
         """Ids of each text; null counts as empty."""
-        if len(self.known) > MEMORY:
-            self._forget()
-        known, out, todo, held = self.known, [], [], 0
+        out, todo, held = [], [], 0
+        known = self._bounded()
         for text in texts:
             if not text:
                 out.append(np.empty(0, np.int32))
@@ -137,6 +142,7 @@ class ChunkEncoder:
             held += len(places)
             if held > GATHER:
                 out, todo, held = self._gather(out, todo), [], 0
+                known = self._bounded()
         return self._gather(out, todo)
 
     def _gather(self, out: list, todo: list) -> list[np.ndarray]:
