@@ -16,8 +16,9 @@ import numpy as np
 
 from casewise.llm.common import worker_state
 
-#: Chunks kept per worker; beyond it the memory starts anew.  Bounds memory, never results.
+#: Chunks, and characters of chunks, kept per worker; beyond it the memory starts anew.  Bounds memory, never results.
 MEMORY = 700_000
+MEMORY_CHARS = 30_000_000
 #: Chunks looked up before their ids are gathered.  Bounds memory, never results.
 GATHER = 300_000
 
@@ -62,11 +63,12 @@ class ChunkEncoder:
     def _forget(self) -> None:
         """known: chunk -> its number; the numbers' ids are in ``ids``, those not yet there in ``fresh``."""
         self.known: dict[str, int] = {}
+        self.chars = 0
         self.lengths, self.fresh, self.at, self.ids = [], [], 0, np.empty(0, np.int32)
 
     def _bounded(self) -> dict[str, int]:
         """The memory of chunks, begun anew if it has grown too large (no look-up may be pending)."""
-        if len(self.known) > MEMORY:
+        if len(self.known) > MEMORY or self.chars > MEMORY_CHARS:
             self._forget()
         return self.known
 
@@ -134,6 +136,7 @@ class ChunkEncoder:
                     if c not in known:
                         ids = self.chunk_ids(c)
                         known[c] = len(self.lengths)
+                        self.chars += len(c)
                         self.lengths.append(len(ids))
                         self.fresh.append(ids)
                 places = [known[c] for c in chunks]
