@@ -61,6 +61,10 @@ class KernelModel:
     weights: np.ndarray = None  # landmarks x languages
     made: dict = field(default_factory=dict, compare=False)
 
+    def parts(self) -> dict:
+        """The model as lists and arrays, which any worker can read."""
+        return {k: v for k, v in self.__dict__.items() if k != "made"}
+
     def symbols(self, text: str) -> np.ndarray:
         """Symbol of each letter, 0 for a boundary; boundaries are never side by side, and one stands at each end."""
         if "table" not in self.made:
@@ -112,8 +116,8 @@ def _by_hash(rows: DataFrame, n: int, text: str) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(text)), F.lit(1 << 30)) < int(n / total * (1 << 30)))
 
 
-def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", landmarks: int = 128,
-        sample: int = 6000, ridge: float = 1e-4, max_languages: int = 128) -> KernelModel | None:
+def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", landmarks: int = 256,
+        sample: int = 8000, ridge: float = 1e-4, max_languages: int = 128) -> KernelModel | None:
     """Learn from rows with a language and a letter; None if there are none.
 
     ``sample`` bounds the rows that are used, ``max_languages`` the classes (the commonest).
@@ -144,12 +148,11 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", landma
     for j, g in enumerate(marks):
         m[np.searchsorted(model.vocabulary, g), j] = 1
     model.landmarks, model.root_count = m.astype(np.uint8), np.sqrt(m.sum(0))
-    model.made = {}
-    shipped = rows.sparkSession.sparkContext.broadcast(model)  # bounded: landmarks x vocabulary
+    shipped = rows.sparkSession.sparkContext.broadcast(model.parts())  # bounded: landmarks x vocabulary
     size, k = len(marks), len(languages)
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shipped.value
+        model = KernelModel(**shipped.value)
         gram, right, n = np.zeros((size, size)), np.zeros((size, k)), 0
         for b in batches:
             texts, langs = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -181,10 +184,10 @@ def predict(docs: DataFrame, model: KernelModel | None, text_col: str = "text",
         out = d.select("*", F.lit(UNKNOWN).alias("p"), F.lit(0.0).alias("s"))
     else:
         at = others.index(text_col)
-        shipped = spark.sparkContext.broadcast(model)  # bounded: landmarks x vocabulary
+        shipped = spark.sparkContext.broadcast(model.parts())  # bounded: landmarks x vocabulary
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            m = shipped.value
+            m = KernelModel(**shipped.value)
             names = np.array([*m.languages, UNKNOWN], object)
             for b in batches:
                 texts = b.column(at).to_pylist()

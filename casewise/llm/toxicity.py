@@ -124,10 +124,10 @@ def featurize(docs: DataFrame, lexicon: Lexicon, text_col: str, out: str = "x")
     own = [f"k_{i}" for i in range(len(docs.columns))]
     d = docs.toDF(*own)
     at = docs.columns.index(text_col)
-    shipped = docs.sparkSession.sparkContext.broadcast(lexicon)  # bounded by the lexicon's size
+    shipped = docs.sparkSession.sparkContext.broadcast(lexicon.weights)  # bounded by the lexicon's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex = shipped.value
+        lex = Lexicon(shipped.value)
         for b in batches:
             x = np.array([lex.features(t) for t in b.column(at).to_pylist()], np.float64).reshape(-1, len(FEATURES))
             rows = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(FEATURES)), pa.array(x.ravel()))
