@@ -14,8 +14,9 @@ from casewise.llm import bpe, langid, pfair, simhash, toxicity
 from casewise.llm.common import stored
 from casewise.llm.queries import BYTE_BPE
 
-#: A document goes if its language is undecided: no letters, or a score below this.
-LEAST_LANGUAGE_SCORE = 0.5
+#: A document goes if it has no letters, or no language scores at least this (a text in two
+#: languages scores about 0.4 to 0.6 and stays).
+LEAST_LANGUAGE_SCORE = 0.3
 #: A document goes if its calibrated probability of being toxic reaches this.
 TOXIC = 0.7
 
