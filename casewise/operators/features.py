@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.ml import Estimator, Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +39,9 @@ def with_annual_wage(df: DataFrame, wage_col: str, unit_col: str, out: str = "an
     return df.withColumn(out, F.lit(None).cast("double"))
 
 
-@dataclass
-class WageFeatureModel:
+@dataclass(eq=False)
+class WageFeatureModel(Model):
+    """Fitted wage features: a Spark ML transformer, usable as a pipeline stage."""
     region_medians: DataFrame | None
     continent_medians: DataFrame | None
     global_median: float | None
@@ -49,6 +51,9 @@ class WageFeatureModel:
     continent_col: str = "continent"
     employees_col: str = "no_of_employees"
 
+    def __post_init__(self):
+        super().__init__()
+
     def _ratio(self, df: DataFrame, key: str, medians: DataFrame | None, out: str) -> DataFrame:
         if key not in df.columns:
             return df.withColumn(out, F.lit(None).cast("double"))
@@ -61,7 +66,7 @@ class WageFeatureModel:
         return joined.withColumn(out, F.col("annual_wage") / (F.col("__med") + F.lit(RATIO_EPS))) \
             .drop("__key", "__med")
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def _transform(self, df: DataFrame) -> DataFrame:
         out = with_annual_wage(df, self.wage_col, self.unit_col)
         if self.employees_col in out.columns:
             out = out.withColumn("wage_per_employee",
@@ -104,8 +109,8 @@ class WageFeatureModel:
                    m["continent_col"], m["employees_col"])
 
 
-@dataclass
-class WageFeatures:
+@dataclass(eq=False)
+class WageFeatures(Estimator):
     """F4 estimator: train-only group medians of the annual wage."""
     wage_col: str = "prevailing_wage"
     unit_col: str = "unit_of_wage"
@@ -113,7 +118,10 @@ class WageFeatures:
     continent_col: str = "continent"
     employees_col: str = "no_of_employees"
 
-    def fit(self, df: DataFrame) -> WageFeatureModel:
+    def __post_init__(self):
+        super().__init__()
+
+    def _fit(self, df: DataFrame) -> WageFeatureModel:
         """Global, region and continent medians from ONE pass: every row is
         emitted once per statistic as (kind, key, wage) and the exact group
         quantile runs over (kind, key); the global group is handled by the

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
                                        LogisticRegression, RandomForestClassifier)
 from pyspark.ml.functions import vector_to_array
@@ -54,7 +55,7 @@ class FittedModel:
         if self.name == "knn":
             return self.model.score(df, self.features)
         if self.name == "adaboost":
-            return _ada_score(self.model, df, self.features)
+            return self.model.transform(df)
         out = self.model.transform(df)
         if self.name == "linear_svc":
             return out.withColumn("__margin", vector_to_array("rawPrediction")[1]) \
@@ -111,24 +112,31 @@ def fit_model(name: str, df: DataFrame, features: str = "features", label: str =
         est = LinearSVC(featuresCol=features, labelCol=label, maxIter=int(p["maxIter"]))
         return FittedModel(name, est.fit(df), features, label, score_norm)
     if name == "knn":
-        return FittedModel(name, KnnModel.fit(df, features, label, int(p["k"]), id_col), features, label, score_norm)
+        return FittedModel(name, KnnClassifier(features, label, int(p["k"]), id_col).fit(df), features, label, score_norm)
     if name == "adaboost":
-        return FittedModel(name, _ada_fit(df, features, label, int(p["rounds"]), seed), features, label,
+        return FittedModel(name, AdaBoost(features, label, int(p["rounds"]), seed).fit(df), features, label,
                            score_norm)
     raise ValueError(f"unknown model {name}")
 
 
 # --- M4 as a model ----------------------------------------------------------------
-@dataclass
-class KnnModel:
+@dataclass(eq=False)
+class KnnModel(Model):
     """Lazy learner: keeps the (population-scaled) training vectors, votes at scoring."""
     train: DataFrame
     k: int
     means: list
     stds: list
+    features: str = "features"
+
+    def __post_init__(self):
+        super().__init__()
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.score(df, self.features)
 
     @classmethod
-    def fit(cls, df: DataFrame, features: str, label: str, k: int, id_col: str = "case_id") -> "KnnModel":
+    def learn(cls, df: DataFrame, features: str, label: str, k: int, id_col: str = "case_id") -> "KnnModel":
         """``id_col`` orders references at equal distance, so votes do not depend on the partitioning."""
         arr = cut_lineage(df.select(F.col(id_col).alias("id"), vector_to_array(features).alias("vec"),
                                     F.col(label).alias("label")))
@@ -138,7 +146,7 @@ class KnnModel:
             *[F.stddev_pop(f"v{i}").alias(f"s{i}") for i in range(n)]).first()
         means = [float(st[f"m{i}"] or 0.0) for i in range(n)]
         stds = [float(st[f"s{i}"]) if st[f"s{i}"] else 1.0 for i in range(n)]
-        return cls(cls._scale(arr, means, stds), k, means, stds)
+        return cls(cls._scale(arr, means, stds), k, means, stds, features)
 
     @staticmethod
     def _scale(df, means, stds):
@@ -159,6 +167,21 @@ class KnnModel:
         return q.join(prob.withColumnRenamed("qid", "__qid"), "__qid", "left").drop("__qid")
 
 
+@dataclass(eq=False)
+class KnnClassifier(Estimator):
+    """M4 as a Spark ML estimator."""
+    features: str = "features"
+    label: str = "label"
+    k: int = 9
+    id_col: str = "case_id"
+
+    def __post_init__(self):
+        super().__init__()
+
+    def _fit(self, df: DataFrame) -> KnnModel:
+        return KnnModel.learn(df, self.features, self.label, self.k, self.id_col)
+
+
 # --- M8: AdaBoost (SAMME, binary) with weighted depth-1 trees ---------------------
 def _ada_fit(df: DataFrame, features: str, label: str, rounds: int, seed: int) -> list:
     n = df.count()
@@ -198,3 +221,31 @@ def _ada_score(stumps: list, df: DataFrame, features: str) -> DataFrame:
         acc = acc + F.lit(alpha) * F.col(f"__p{i}")
     out = out.withColumn("score", acc / F.lit(total))
     return out.drop(*[f"__p{i}" for i in range(len(stumps))])
+
+
+@dataclass(eq=False)
+class AdaBoostModel(Model):
+    """Weighted depth-1 trees; ``stumps`` holds (tree, weight)."""
+    stumps: list
+    features: str = "features"
+
+    def __post_init__(self):
+        super().__init__()
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return _ada_score(self.stumps, df, self.features)
+
+
+@dataclass(eq=False)
+class AdaBoost(Estimator):
+    """M8 as a Spark ML estimator."""
+    features: str = "features"
+    label: str = "label"
+    rounds: int = 50
+    seed: int = 42
+
+    def __post_init__(self):
+        super().__init__()
+
+    def _fit(self, df: DataFrame) -> AdaBoostModel:
+        return AdaBoostModel(_ada_fit(df, self.features, self.label, self.rounds, self.seed), self.features)

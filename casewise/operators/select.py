@@ -276,9 +276,9 @@ class Bundle:
             m.model.train.write.mode("overwrite").parquet(f"{path}/model/knn_train")
             extra = {"k": m.model.k, "means": m.model.means, "stds": m.model.stds}
         elif m.name == "adaboost":
-            for i, (tree, _) in enumerate(m.model):
+            for i, (tree, _) in enumerate(m.model.stumps):
                 tree.write().overwrite().save(f"{path}/model/stump_{i}")
-            extra = {"alphas": [a for _, a in m.model]}
+            extra = {"alphas": [a for _, a in m.model.stumps]}
         else:
             m.model.write().overwrite().save(f"{path}/model/spark")
             extra = {"class": type(m.model).__name__}
@@ -292,7 +292,7 @@ class Bundle:
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> "Bundle":
         from pyspark.ml import classification as C
-        from casewise.operators.models import KnnModel
+        from casewise.operators.models import AdaBoostModel, KnnModel
         meta = json.loads(spark.read.json(f"{path}/meta").first()["meta"])
         pipe = PipelineModel.load(f"{path}/preprocessor")
         wage = None
@@ -304,8 +304,8 @@ class Bundle:
             model = KnnModel(spark.read.parquet(f"{path}/model/knn_train"), extra["k"], extra["means"],
                              extra["stds"])
         elif name == "adaboost":
-            model = [(C.DecisionTreeClassificationModel.load(f"{path}/model/stump_{i}"), a)
-                     for i, a in enumerate(extra["alphas"])]
+            model = AdaBoostModel([(C.DecisionTreeClassificationModel.load(f"{path}/model/stump_{i}"), a)
+                                   for i, a in enumerate(extra["alphas"])])
         else:
             model = getattr(C, extra["class"]).load(f"{path}/model/spark")
         fm = FittedModel(name, model, score_norm=meta.get("score_norm", "minmax"))

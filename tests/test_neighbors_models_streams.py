@@ -433,3 +433,21 @@ def test_knn_ties_and_duplicates_resolve_by_id(spark):
         d = np.sqrt(((X - X[i]) ** 2).sum(1))
         d[i] = np.inf
         assert [rid for _, rid in sorted(by[i])] == list(ids[np.lexsort((ids, d))[:6]])
+
+
+def test_own_learners_are_ml_stages(spark):
+    """Wage features, KNN and AdaBoost fit and transform inside a Spark ML pipeline."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import array_to_vector
+    from casewise.operators.features import WageFeatures
+    from casewise.operators.models import AdaBoost, KnnClassifier
+    df, X, y = _points(spark, n=80, d=3, seed=2)
+    df = df.select(F.col("id").alias("case_id"), array_to_vector("vec").alias("features"), "label")
+    for stage in (KnnClassifier(k=3), AdaBoost(rounds=3)):
+        out = Pipeline(stages=[stage]).fit(df).transform(df)
+        assert out.count() == 80 and out.where("score < 0 or score > 1 or score is null").isEmpty()
+    same = Pipeline(stages=[KnnClassifier(k=3)]).fit(df.repartition(7)).transform(df).select("case_id", "score")
+    again = Pipeline(stages=[KnnClassifier(k=3)]).fit(df).transform(df.repartition(3)).select("case_id", "score")
+    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, again.collect()))
+    wages = spark.createDataFrame([("A", "Year", 10.0, 5, "r")] * 3, "continent string, unit_of_wage string, prevailing_wage double, no_of_employees int, region_of_employment string")
+    assert "wage_vs_region_median" in Pipeline(stages=[WageFeatures()]).fit(wages).transform(wages).columns
