@@ -6,13 +6,14 @@ scanned so:
 
 1. A file takes part if it holds an index word; of each such word the table gives the
    inverse document frequency over all files.
-2. The file's ``lookups`` highest-IDF index words are looked up.  Each occurrence and each
-   posting give a start of the template in the file (before its first word, if the file
-   begins inside the passage); starts on which at least two
-   different places of a template agree are candidates.
-3. A candidate is verified: the template's mandatory key phrases must stand at their
-   places word for word, and the places of index words that agree must carry at least
-   ``least_share`` of the template's IDF weight.
+2. Of every template the highest-IDF index word of its key phrases is looked up (all its
+   index words, if the key phrases have none).  Each occurrence gives a start of the
+   template in the file (before its first word, if the file begins inside the passage).  As
+   the key phrases are mandatory, no start that can be verified is left out, whatever
+   other templates or words the file holds.
+3. A start is verified: the template's mandatory key phrases must stand at their
+   places word for word, at least two places of index words must agree, and those that
+   agree must carry at least ``least_share`` of the template's IDF weight.
 
 Base labels come from three phrases found anywhere, independent of the index.
 
@@ -25,7 +26,7 @@ empty result; further columns of the input are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casewise.llm.common import stored
@@ -77,8 +78,19 @@ def _places(phrase: str) -> str:
     return f"filter(transform(w, (x, i) -> if(x = '{parts[0]}' and {same}, i, null)), i -> i is not null)"
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=None, lookups: int = 6,
-         least_share: float = 0.5) -> DataFrame:
+def anchors(templates, idf: dict[str, float]) -> list[tuple[str, int, int]]:
+    """The postings to look up: of each template the rarest one inside a key phrase (a word no file holds is rarer still)."""
+    out = []
+    for k, (_, passage, phrases) in enumerate(templates):
+        words = passage.split()
+        inside = {_find(words, p.split()) + i for p in phrases for i in range(len(p.split()))}
+        own = postings([templates[k]])
+        keyed = [(w, k, at) for w, _, at in own if at in inside]
+        out += [max(keyed, key=lambda x: (idf.get(x[0], float("inf")), x[0]))] if keyed else [(w, k, at) for w, _, at in own]
+    return out
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=None, least_share: float = 0.5) -> DataFrame:
     """(id, n_words, n_base, first_word, last_word, base_labels, labels, score) for every row of ``docs``."""
     spark = docs.sparkSession
     templates = templates or TEMPLATES
@@ -97,17 +109,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     seen = held.select("file", F.posexplode("w").alias("place", "word")).filter(F.col("word").isin(vocabulary))
     total = files.count()
     per_word = seen.select("file", "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
-    idf = stored(per_word.select("word", F.log((F.lit(total) + 1) / (F.col("df") + 0.5)).alias("idf")), "license-idf")
-    best = F.row_number().over(Window.partitionBy("file").orderBy(F.desc("idf"), "word"))
-    rare = seen.select("file", "word").distinct().join(idf, "word").withColumn("r", best).filter(F.col("r") <= lookups).select("file", "word")
-    index = spark.createDataFrame(postings(templates), "word string, template int, at int")
-    starts = (seen.join(rare, ["file", "word"]).join(F.broadcast(index), "word")  # the index is as small as the templates
-              .select("file", "template", (F.col("place") - F.col("at")).alias("start"), "at").distinct()
-              .groupBy("file", "template", "start").agg(F.count("*").alias("n")).filter("n >= 2"))
+    idf = per_word.select("word", F.log((F.lit(total) + 1) / (F.col("df") + 0.5)).alias("idf"))
+    weights = {r["word"]: r["idf"] for r in idf.collect()}  # at most the vocabulary
+    index = spark.createDataFrame(anchors(templates, weights), "word string, template int, at int")
+    starts = seen.join(F.broadcast(index), "word").select("file", "template", (F.col("place") - F.col("at")).alias("start")).distinct()
     starts = starts.groupBy("file").agg(F.collect_list(F.struct("template", "start")).alias("starts"))
 
     # one row with the templates' words, key phrases as (place, length) and weighted places
-    weights = {r["word"]: r["idf"] for r in idf.collect()}  # at most the vocabulary
     unseen = F.lit(float(max(weights.values(), default=1.0)))
     def arr(values, kind):
         return F.array(*[F.lit(v) for v in values]).cast(f"array<{kind}>")
@@ -121,8 +129,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     share = ("aggregate(zip_with(tw[c.template], sequence(0, size(tw[c.template]) - 1), (x, i) -> "
              "if(get(w, c.start + i) = x, ti[c.template][i], 0D)), 0D, (a, x) -> a + x) / aggregate(ti[c.template], 0D, (a, x) -> a + x)")
     whole = "forall(tk[c.template], k -> c.start + k.a >= 0 and slice(w, greatest(c.start + k.a, 0) + 1, k.n) = slice(tw[c.template], k.a + 1, k.n))"
+    agree = ("aggregate(tw[c.template], named_struct('i', 0, 'n', 0), (a, x) -> named_struct('i', a.i + 1, 'n', "
+             f"a.n + if(length(x) >= {INDEX_LETTERS} and coalesce(get(w, c.start + a.i) = x, false), 1, 0)), a -> a.n) >= 2")
     checked = checked.select("file", F.expr(
-        f"filter(transform(filter(starts, c -> {whole}), c -> named_struct('template', c.template, 'share', {share})), x -> x.share >= {least_share})").alias("found"))
+        f"filter(transform(filter(starts, c -> {whole} and {agree}), c -> named_struct('template', c.template, 'share', {share})), x -> x.share >= {least_share})").alias("found"))
     names = arr([t[0] for t in templates], "string")
     checked = checked.select("file", F.transform("found.template", lambda t: F.get(names, t)).alias("more"), F.array_max("found.share").alias("share"))
 

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -64,3 +65,24 @@ def test_edges(spark):
     out = L.scan(docs.withColumns({"labels": F.lit(1), "w": F.lit(2), "file": F.lit(3)}))
     assert out.columns == ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
     assert tuple(out.first())[:7] == (1, 2, 1, 0, 0, "mit", "mit") and L.scan(docs.limit(0)).count() == 0
+
+
+def test_no_template_is_left_out(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+    mpl = "subject to the terms of the Mozilla Public License, v. 2.0"
+    prose = "attribution commons compliance documentation foundation hereby obtaining permission redistribution software international "
+    texts = [f"{mit}. {bsd}. {mpl}.", prose * 50 + mpl, prose * 50 + "under the terms of the GNU Lesser General Public License",
+             " ".join(p for _, p, _ in L.TEMPLATES), bsd + " " + prose, "mozilla public license", "license mit license " * 300 + mit]
+    rnd = random.Random(3)
+    pieces = [p for _, p, _ in L.TEMPLATES] + prose.split()
+    for _ in range(60):
+        got = " ".join(rnd.choices(pieces, k=rnd.randint(1, 8))).split()
+        texts.append(" ".join(w for w in got if rnd.random() < 0.97))
+    rows = list(enumerate(texts)) + [(1000 + i, "public license general subject terms") for i in range(40)]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], DOC_SCHEMA)
+    got = sorted([(str(r[0]), *r[1:7], round(r[7], 9)) for r in L.scan(docs).collect()], key=str)
+    assert got == sorted(brute(rows, lookups=10**6), key=str) != sorted(brute(rows), key=str)
+    labels = {r[0]: r[6] for r in got}
+    assert labels["0"] == "bsd,mit,mpl" and labels["1"] == "mpl" and labels["2"] == "gpl,lgpl"
+    assert set(labels["3"].split(",")) == {t[0] for t in L.TEMPLATES}
