@@ -95,8 +95,11 @@ def patterns(srcs: DataFrame) -> DataFrame:
 
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, rest: float = 0.05, alpha: float = 0.5,
         block_docs: int = 64, period: int = 256, id_col: str = "doc_id", source_col: str = "source",
-        bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``docs`` with block (its number within the source), slot (the block's place in the mix) and place (in the block)."""
+        bucket_rows: int = BUCKET_ROWS, tie_col: str | None = None) -> DataFrame:
+    """``docs`` with block (its number within the source), slot (the block's place in the mix) and place (in the block).
+
+    ``tie_col`` orders rows of equal source and id, instead of the hash of all columns.
+    """
     others = [c for c in docs.columns if c not in ("block", "slot", "place")]
     own = [f"k_{i}" for i in range(len(others))]
     at = dict(zip(others, own, strict=True))
@@ -118,7 +121,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, rest: float =
         if sizes.count() <= BROADCAST_SOURCES * 256:
             offsets = F.broadcast(offsets)
     d = d.withColumn("h", h).withColumn("bucket", F.expr(f"substring(h, 1, {digits})"))
-    tie = [F.xxhash64(*[F.col(o) for o in own])]
+    tie = [F.col(at[tie_col]) if tie_col else F.xxhash64(*[F.col(o) for o in own])]
     rank = F.row_number().over(Window.partitionBy("src", "bucket").orderBy("h", F.asc_nulls_first(at[id_col]), *tie)) - 1
     d = d.withColumn("rank", rank).join(offsets, ["src", "bucket"]).withColumn("rank", F.col("rank") + F.col("before"))
     d = d.withColumns({"block": F.expr(f"rank div {block_docs}"), "place": F.col("rank") % block_docs})

@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept and
 returns a DataFrame, which is written as Parquet to the shared folder and read again as
-the next stage's input.  All stages but the last return the columns of ``documents``.
+the next stage's input.  All stages but the last return the columns of ``documents``; the
+last adds each document's slot and place in the mix, and ``run`` returns its rows in that order.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from casewise.llm.queries import BYTE_BPE
 LEAST_LANGUAGE_SCORE = 0.3
 #: A document goes if its calibrated probability of being toxic reaches this.
 TOXIC = 0.7
+#: Columns of the pipeline's result.
+RESULT = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,10 +45,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = bpe.encode_decode(docs, BYTE_BPE, keep=["doc_id"])
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
-                      F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-                      F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    """Digests of the tokens with the slot and place that ``mix_sources`` gave each document.
+
+    The mix is a function of the rows, so it is taken again here, on the short rows: files
+    are not read in the order in which they were written.
+    """
+    rows = docs.withColumn("row_hash", F.xxhash64(*docs.columns))
+    out = bpe.encode_decode(rows, BYTE_BPE, keep=["doc_id", "source", "row_hash"])
+    out = out.select("doc_id", "source", "row_hash", F.size("ids").cast("long").alias("n_tokens"),
+                     F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                     F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
+    return pfair.mix(stored(out, "pipeline-digests"), tie_col="row_hash").select(*RESULT, "slot", "place")
 
 
 STAGES = [("language_id", language_id), ("toxicity", toxicity_filter), ("near_duplicates", near_duplicates),
@@ -59,4 +69,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return docs
+    return docs.orderBy("slot", "place").select(*RESULT)

@@ -1,14 +1,19 @@
 import hashlib
 
 import public_tokenizers as P
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
-from casewise.llm import queries, simhash
+from casewise.llm import pfair, queries, simhash
 from tests.llm.conftest import DOC_SCHEMA, SF
+from tests.llm.test_pfair import brute
 from tests.llm.test_simhash import closure, slow_fingerprint
 
 
+DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
 def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert [n for n, _ in C.STAGES] == ["language_id", "toxicity", "near_duplicates", "mix_sources", "bpe_tokens"]
@@ -48,3 +53,24 @@ def test_run_and_registration(spark):
     out = C.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 100
     assert simhash.FAN > 1
+
+
+def test_result_carries_the_mix(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = docs.groupBy(F.coalesce("source", F.lit(pfair.NONE)).alias("src")).agg(F.count("*").alias("docs"))
+    a = {r.src: r.a for r in pfair.sources(counts).collect()}
+    want = sorted((slot, place, i) for i, _, slot, place in brute([tuple(r) for r in docs.select(*DOC_COLUMNS).collect()], a, 64))
+    monkeypatch.setattr(C, "STAGES", C.STAGES[3:])
+    out = C.run(spark, SF)
+    assert out.columns == C.RESULT and [r.doc_id for r in out.collect()] == [i for _, _, i in want]
+    tokens = C.bpe_tokens(spark, C.stored(docs.repartition(7, "n_chars"), "mixed"), SF)
+    assert sorted((r.slot, r.place, r.doc_id) for r in tokens.collect()) == want
+
+
+def test_mix_of_repeated_ids_is_the_mixing_stages(spark):
+    rows = [(i % 5 if i % 6 else None, f"text {i % 17}", "en", ["a", "b", None][i % 3], 6) for i in range(300)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    sha = F.sha2("text", 256).alias("sha")
+    stage = sorted(map(tuple, pfair.mix(docs).select("slot", "place", "doc_id", sha).collect()), key=str)
+    tokens = C.bpe_tokens(spark, C.stored(docs, "repeated"), SF).select("slot", "place", "doc_id", "decoded_sha256")
+    assert sorted(map(tuple, tokens.collect()), key=str) == stage
