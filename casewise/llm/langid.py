@@ -23,6 +23,7 @@ for all texts if nothing could be learned; repeated rows, null ids and further c
 from __future__ import annotations
 
 import unicodedata
+import math
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -108,24 +109,40 @@ class KernelModel:
         return self.kernels(x) @ self.weights, has
 
 
-def _by_hash(rows: DataFrame, n: int, text: str) -> DataFrame:
-    """About ``n`` rows, those whose text hashes lowest; all, if there are fewer."""
-    total = rows.count()
-    if total <= n:
+def _quota(sizes: list[int], n: int) -> float:
+    """The q for which the sum of min(size, q) is ``n``: what small classes leave over goes to the larger ones."""
+    left = n
+    for k, size in enumerate(sizes := sorted(sizes)):
+        if size * (len(sizes) - k) >= left:
+            return left / (len(sizes) - k)
+        left -= size
+    return math.inf
+
+
+def _by_hash(rows: DataFrame, n: int, text: str, label: str) -> DataFrame:
+    """About ``n`` texts, of each label those whose hashes lowest, one at least; all rows, if there are no more than ``n``."""
+    h = F.pmod(F.xxhash64(F.lit("sample"), F.col(text)), F.lit(1 << 30))
+    found = rows.groupBy(label).agg(F.count("*").alias("n"), F.approx_count_distinct(F.xxhash64(text)).alias("texts"), F.min(h).alias("least")).collect()
+    if sum(r["n"] for r in found) <= n:
         return rows
-    return rows.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col(text)), F.lit(1 << 30)) < int(n / total * (1 << 30)))
+    sizes = {r[label]: min(r["n"], r["texts"]) for r in found}
+    q = _quota(list(sizes.values()), n)
+    cuts = [(r[label], max(r["least"] + 1, int(min(1.0, q / sizes[r[label]]) * (1 << 30)))) for r in found]
+    cuts = rows.sparkSession.createDataFrame(cuts, f"{label} string, cut long")
+    return rows.join(F.broadcast(cuts), label).filter(h < F.col("cut")).select(*rows.columns)  # a row per language
 
 
 def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", landmarks: int = 256,
-        sample: int = 8000, ridge: float = 1e-4, max_languages: int = 128) -> KernelModel | None:
+        sample: int = 8000, ridge: float = 1e-4, max_languages: int | None = None) -> KernelModel | None:
     """Learn from rows with a language and a letter; None if there are none.
 
-    ``sample`` bounds the rows that are used, ``max_languages`` the classes (the commonest).
+    ``sample`` bounds the rows that are used, shared out over the languages, so that every
+    language that occurs is learned at any size.  ``max_languages`` keeps only the commonest.
     """
     train = train.select(F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l")).filter("t is not null and l is not null")
-    rows = _by_hash(train, sample, "t").groupBy(F.xxhash64("t").alias("h"), "l").agg(F.first("t").alias("t"))
+    rows = _by_hash(train.withColumn("l", F.col("l").cast("string")), sample, "t", "l").groupBy(F.xxhash64("t").alias("h"), "l").agg(F.first("t").alias("t"))
     rows = stored(rows, "langid-sample")
-    seen = [r["l"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(max_languages).collect()]
+    seen = [r["l"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").collect()][:max_languages]
     if not seen:
         return None
     languages = sorted(seen)

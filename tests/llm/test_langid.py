@@ -47,3 +47,18 @@ def test_edges(spark):
     assert got.count() == 47 and langid.predict(docs.limit(0), model).count() == 0
     assert langid.fit(docs.limit(0)) is None and langid.fit(docs.filter("doc_id in (101, 102)")) is None
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
+
+
+def test_every_language_is_learned_at_any_size(spark):
+    own = {"en": "the cat sat on the mat and then", "de": "der hund und die katze sind nicht hier", "fi": "kissa istuu matolla eikä koira ole täällä"}
+    rows = [(i, f"{own['en']} {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{i}", "en", None, 0) for i in range(6000)]
+    rows += [(7000 + i, own["de"], "de", None, 0) for i in range(300)] + [(8000 + i, f"{own['fi']} {i}", "fi", None, 0) for i in range(3)]
+    rows += [(9000 + i, " ".join([f"{chr(0x4e00 + 3 * i)}{chr(0x4e01 + 3 * i)}"] * 9), f"x{i:03}", None, 0) for i in range(150)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    model = langid.fit(docs, sample=1000)
+    assert model.languages == sorted([*own, *(f"x{i:03}" for i in range(150))])
+    pred = {r.doc_id: r.lang_pred for r in langid.predict(docs.filter("doc_id >= 7000 or doc_id < 20"), model).collect()}
+    assert all(pred[i] == "en" for i in range(20)) and pred[7000] == "de" and pred[8001] == "fi"
+    kept = langid._by_hash(docs.selectExpr("text as t", "lang as l"), 1000, "t", "l").groupBy("l").agg(F.countDistinct("t")).collect()
+    assert len(kept) == 153 and 800 < sum(n for _, n in kept) < 1200 and dict(map(tuple, kept))["fi"] == 3
+    assert langid._quota([3, 100, 1], 24) == 20 and langid._quota([1, 2], 9) == float("inf")
