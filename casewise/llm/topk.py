@@ -14,9 +14,12 @@ The k best of each block and query meet in one aggregation per query.
 Queries are a stated set; block and query chunk are one row each, so that a pair of them
 is a bounded piece of work and nothing grows with the table inside a task.
 
-Defined edge cases: a vector that is null, holds a null or non-finite component, or one
-too large for exact scores, takes no part, and neither does a row without id; vectors of
-different lengths do not meet; equal rows count as often as they occur, as candidates,
+Scores are exact at any size of the components: where a pair's products may pass a long,
+its score is summed in Python integers.  A component or a score that does not fit a long
+is an error.
+
+Defined edge cases: a vector that is null or holds a null or non-finite component takes no
+part, and neither does a row without id; vectors of different lengths do not meet; equal rows count as often as they occur, as candidates,
 but one of a query's own row is left out, and equal queries answer once; ties go to the
 smaller id; an empty table gives an empty result; further columns are ignored.
 """
@@ -36,18 +39,19 @@ from casewise.llm.common import stored
 
 BLOCK = 8192
 CHUNK = 512
-#: Integer components up to this size keep scores of 64 dimensions inside a long.
+#: Integer components up to this size keep scores of up to 127 dimensions inside a long; larger ones are checked pair by pair.
 LARGEST = 1 << 28
 
 
 def integers(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v, n): distinct integer vectors with the number of equal rows."""
     x = F.col(f"`{vector_col}`").cast("array<double>")
-    v = F.transform(x, lambda c: F.floor(c * scale))
-    fit = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * scale) <= LARGEST))
+    large = F.raise_error(F.lit(f"a component times {scale} does not fit a long"))
+    v = F.transform(x, lambda c: F.when(F.abs(c * scale) < float(1 << 63), F.floor(c * scale)).otherwise(large))
+    fit = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf")))
     d = vectors.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.when(x.isNotNull() & F.coalesce(fit, F.lit(False)), v).alias("v"))
     d = d.filter("id is not null and v is not null")
-    return d.select("id", F.col("v").cast("array<int>").alias("v")).groupBy("id", "v").agg(F.count("*").alias("n"))
+    return d.groupBy("id", "v").agg(F.count("*").alias("n"))
 
 
 def _packed(rows: DataFrame, key: list[str], size: int) -> DataFrame:
@@ -56,7 +60,7 @@ def _packed(rows: DataFrame, key: list[str], size: int) -> DataFrame:
         now, ids, counts, vectors = None, [], [], []
 
         def out():
-            cols = [np.array(ids, np.int64), np.array(counts, np.int64), np.array(vectors, np.int32)]
+            cols = [np.array(ids, np.int64), np.array(counts, np.int64), np.array(vectors, np.int64)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), *[pa.array([c.tobytes()], pa.binary()) for c in cols]],
                 ["dim", "part", "ids", "counts", "vectors"])
@@ -89,8 +93,13 @@ class Block:
         """(ids, scores, counts) of the best rows for each query: k rows, counts included, if there are."""
         ids, order, depths = self.ids, self.order, self.depths
         n, dims = self.raw.shape
+        reach = [dims * self.largest * int(a) for a in np.abs(queries.astype(np.int64)).max(1, initial=0)]
+        if max(reach, default=0) >= 1 << 63:
+            for i in range(len(queries)):
+                yield self.exact(q_ids[i], queries[i], k) if reach[i] >= 1 << 63 else next(self.search(q_ids[i:i + 1], queries[i:i + 1], k))
+            return
         # doubles while sums stay below 2 ** 53, else 64-bit integers
-        kind = np.float64 if dims * self.largest * int(np.abs(queries.astype(np.int64)).max(initial=0)) < 1 << 53 else np.int64
+        kind = np.float64 if max(reach, default=0) < 1 << 53 else np.int64
         none = np.iinfo(np.int64).min
         x, q = self.raw.astype(kind), queries.astype(kind)
         pos, neg = np.maximum(q, 0), np.minimum(q, 0)
@@ -118,10 +127,25 @@ class Block:
                 best = np.partition(score[have], -k)[-k] if len(have) >= k else none
                 if seen.all() or bounds[i, step] < best:
                     break
-            have = have[score[have] >= best]
-            have = have[np.lexsort((ids[have], -score[have]))]
-            have = have[: int(np.searchsorted(np.cumsum(weight[have]), k)) + 1]
-            yield ids[have], score[have].astype(np.int64), weight[have]
+            yield self.first(have[score[have] >= best], score, weight, k)
+
+    def exact(self, q_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``search`` of one query whose sums may pass a long: every row is scored."""
+        x, q = self.raw.astype(np.int64), query.astype(np.int64)
+        weight = self.counts.copy()
+        weight[np.flatnonzero(self.ids == q_id)] -= (x[self.ids == q_id] == q).all(1)
+        score = x @ q  # exact unless a sum passes 64 bits
+        for r in np.flatnonzero((np.abs(x.astype(np.float64)) @ np.abs(q.astype(np.float64)) >= 1 << 62) & (weight > 0)):
+            s = sum(a * b for a, b in zip(x[r].tolist(), q.tolist(), strict=True))
+            if not -(1 << 63) <= s < 1 << 63:
+                raise OverflowError(f"the score of {q_id} and {self.ids[r]} does not fit a long")
+            score[r] = s
+        return self.first(np.flatnonzero(weight > 0), score, weight, k)
+
+    def first(self, have: np.ndarray, score: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        have = have[np.lexsort((self.ids[have], -score[have]))]
+        have = have[: int(np.searchsorted(np.cumsum(weight[have]), k)) + 1]
+        return self.ids[have], score[have].astype(np.int64), weight[have]
 
 
 def top_k(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, scale: int = 64,
@@ -146,9 +170,9 @@ def top_k(vectors: DataFrame, queries, id_col: str = "vec_id", vector_col: str =
                 if held != ids + xs:  # pairs arrive block by block
                     held = ids + xs
                     own = np.frombuffer(ids, np.int64)
-                    block_rows = Block(own, np.frombuffer(counts, np.int64), np.frombuffer(xs, np.int32).reshape(len(own), dim))
+                    block_rows = Block(own, np.frombuffer(counts, np.int64), np.frombuffer(xs, np.int64).reshape(len(own), dim))
                 q_ids = np.frombuffer(q_ids, np.int64)
-                qs = np.frombuffer(qs, np.int32).reshape(len(q_ids), dim)
+                qs = np.frombuffer(qs, np.int64).reshape(len(q_ids), dim)
                 out = list(block_rows.search(q_ids, qs, k))
                 where = np.repeat(np.arange(len(out)), [len(o[0]) for o in out])
                 names = np.array([xxhash.xxh64_intdigest(v.tobytes()) for v in qs], np.uint64).view(np.int64)

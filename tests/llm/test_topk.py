@@ -2,6 +2,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from casewise.llm import topk
@@ -52,3 +53,35 @@ def test_edges(spark):
     assert topk.top_k(df, F.col("vec_id") % 20 == 0).count() == 0
     one = spark.createDataFrame([(0, [1.0], 2)], SCHEMA).withColumn("id", F.lit("x")).withColumn("n", F.lit("y"))
     assert topk.top_k(one, F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_large_components_take_part(spark):
+    rnd = random.Random(7)
+    rows = [(i, [rnd.gauss(0, 0.3) for _ in range(8)], 0) for i in range(200)]
+    rows += [(200 + i, [rnd.gauss(0, 1) * 2.0**rnd.randint(20, 40)] + [rnd.gauss(0, 0.3) for _ in range(7)], 0) for i in range(30)]
+    rows += [(240 + i, [0.0] * 7 + [2.0**24 * (1 + i / 70)], 0) for i in range(30)]
+    # sums that pass 64 bits on the way but end inside a long
+    rows += [(300, [0.0, 2.0**26, 2.0**26] + [0.0] * 5, 0), (301, [0.0, 2.0**26, -(2.0**26)] + [0.0] * 5, 0)]
+    rows = [(i, [x if abs(x) < 8.0 or i >= 240 else 0.0 for x in v] if i % 20 == 0 else v, n) for i, v, n in rows]
+    rows = [(i, v[:1] + [0.0] * 7 if abs(v[0]) > 2.0**22 else v, n) for i, v, n in rows]
+    good = [(i, v, n) for i, v, n in rows if i != 300]
+    df = spark.createDataFrame(good, "vec_id long, embedding array<double>, label int")
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, block=64, chunk=5)
+    exact = [(i, [math.floor(64 * x) for x in v]) for i, v, _ in good]
+    slow = []
+    for i, q in exact:
+        if i % 20 == 0:
+            s = sorted((-sum(a * b for a, b in zip(q, v, strict=True)), j) for j, v in exact if j != i)
+            slow += [(i, r, j, -n) for r, (n, j) in enumerate(s[:20], 1)]
+    assert sum(r[2] >= 200 for r in slow) > 100
+    assert sorted(map(tuple, got.collect())) == sorted(slow)
+
+
+def test_exact_sums():
+    a = 1 << 32
+    x = np.array([[a, a, 1], [a, -a, 2], [a, -a, 3], [0, 0, 5]], np.int64)
+    b = topk.Block(np.arange(3), np.ones(3, np.int64), x[1:])
+    ids, scores, _ = next(b.search(np.array([-1]), x[:1], 2))
+    assert ids.tolist() == [2, 1] and scores.tolist() == [5, 3]
+    with pytest.raises(OverflowError):
+        next(topk.Block(np.arange(4), np.ones(4, np.int64), x).search(np.array([-1]), x[:1], 2))
