@@ -10,7 +10,7 @@ from casewise.operators import encode as EN
 from casewise.operators import neighbors as NB
 from casewise.operators import resample as RS
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 
 def _points(spark, n=300, d=5, seed=0):

@@ -1,7 +1,7 @@
 """Plan shape of every oracle-backed query: no row-at-a-time Python UDF, no
 cartesian product, no nested-loop join."""
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 
 BANNED = ("BatchEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
