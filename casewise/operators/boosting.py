@@ -23,10 +23,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casewise.operators.binned import MAX_BINS, MISSING, Bins, Matrix, cells, dense, matrix, stored, width_of
+from casewise.operators.binned import MISSING, Bins, Matrix, cells, dense, matrix, stored, width_of
 
 UNIT = float(1 << 24)
 CODES = 256
+#: Nodes whose splits are searched at a time.
+BATCH = 32
 #: Rounds between two writes of the rows' scores when the matrix is not held.
 KEEP = 10
 
@@ -99,74 +101,99 @@ def losses(score: np.ndarray, y: np.ndarray) -> int:
     return int(np.rint((np.logaddexp(0, score) - y * score) * UNIT).sum())
 
 
+class Layout:
+    """Where the codes of every feature lie in a histogram: side by side, the missing value last."""
+
+    def __init__(self, bins: Bins):
+        codes = [len(c) + 1 for c in bins.cuts]
+        ends = np.cumsum([c + 1 for c in codes]).astype(np.int64)
+        self.width, self.size = len(codes), int(ends[-1]) if codes else 0
+        self.start = np.concatenate([[0], ends[:-1]]).astype(np.int64) if codes else np.zeros(0, np.int64)
+        self.feature = np.repeat(np.arange(self.width), np.diff(np.append(self.start, self.size)))
+        self.code = np.arange(self.size) - self.start[self.feature]
+        self.missing = ends - 1
+        self.place = np.zeros((self.width, CODES), np.int64)
+        for f, c in enumerate(codes):
+            self.place[f, :c], self.place[f, c:] = self.start[f] + np.arange(c), self.missing[f]
+
+
 class Counter:
     """Histograms over rows held in memory; a cell with the commonest code of its feature is not visited but inferred."""
 
-    def __init__(self, x: np.ndarray):
-        self.n, self.width = x.shape
-        self.common = np.array([np.bincount(x[:, f], minlength=CODES).argmax() for f in range(self.width)], np.int64) if self.n else np.zeros(self.width, np.int64)
-        rows, cols = np.nonzero(x != self.common)
-        self.rows, self.cells = rows, cols * CODES + x[rows, cols]
+    def __init__(self, x: np.ndarray, layout: Layout):
+        self.n, self.layout = len(x), layout
+        cell = layout.place[np.arange(layout.width), x] if self.n else np.zeros((0, layout.width), np.int64)
+        count = np.bincount(cell.ravel(), minlength=layout.size)
+        self.common = np.array([s + count[s:m + 1].argmax() for s, m in zip(layout.start, layout.missing, strict=True)], np.int64)
+        self.rows, cols = np.nonzero(cell != self.common)
+        self.cells = cell[self.rows, cols]
 
     def histograms(self, slot: np.ndarray, slots: int, weights: list[np.ndarray | None]) -> np.ndarray:
-        """(slots, features, codes, weights) sums over the rows with ``slot`` >= 0."""
-        size = slots * self.width * CODES
-        used = slot[self.rows] >= 0
+        """(slots, cells, weights) sums over the rows with ``slot`` >= 0."""
+        size = self.layout.size
+        used = np.flatnonzero(slot[self.rows] >= 0)
         rows = self.rows[used]
-        key = slot[rows] * (self.width * CODES) + self.cells[used]
+        key = slot[rows] * size + self.cells[used]
         member = np.flatnonzero(slot >= 0)
-        out = np.empty((slots, self.width, CODES, len(weights)), np.int64)
+        out = np.empty((slots, size, len(weights)), np.int64)
         for k, w in enumerate(weights):
-            got = np.bincount(key, None if w is None else w[rows], size).reshape(slots, self.width, CODES)
+            got = np.bincount(key, None if w is None else w[rows], slots * size).reshape(slots, size)
             total = np.bincount(slot[member], None if w is None else w[member], slots)
-            got[:, np.arange(self.width), self.common] = total[:, None] - got.sum(2)
+            if size:
+                got[:, self.common] = total[:, None] - np.add.reduceat(got, self.layout.start, axis=1)
             out[..., k] = got
         return out
 
 
-def best_splits(h: np.ndarray, o: Options) -> list[tuple | None]:
+def best_splits(h: np.ndarray, totals: np.ndarray, layout: Layout, o: Options) -> list[tuple | None]:
     """Per node (gain, feature, cut, missing_left, left's sums): the split that gains most, first of equals; None if none does."""
-    total = h[:, :1].sum(2)  # every feature has the same total
-    missing = h[:, :, MISSING]
-    left = np.cumsum(h[:, :, :MISSING], 2)
-    left = np.stack([left, left + missing[:, :, None]], 1)  # missing values go right, or left
-    right = total[:, None, :, None] - left
+    if not layout.size:
+        return [None] * len(h)
+    up = np.cumsum(h, 1)
+    before = np.where(layout.start[:, None] > 0, up[:, layout.start - 1], 0)
+    missing = h[:, layout.missing]
+    left = up - before[:, layout.feature]
+    left = np.stack([left, left + missing[:, layout.feature]], 1)  # missing values go right, or left
+    right = totals[:, None, None] - left
 
     def score(s: np.ndarray) -> np.ndarray:
         second = s[..., 1] / UNIT + o.penalty if o.second_order else s[..., 2].astype(np.float64)
         first = s[..., 0] / UNIT
         return np.divide(first * first, second, out=np.zeros_like(first), where=second > 0)
-    gain = score(left) + score(right) - score(total)[:, None, :, None]
     fits = np.minimum(left[..., 2], right[..., 2]) >= max(1, o.min_rows)
     fits &= np.minimum(left[..., 1], right[..., 1]) >= o.min_hessian * UNIT
-    gain = np.where(fits, gain, -np.inf).reshape(len(h), -1)
+    fits[:, :, layout.missing] = False
+    gain = np.where(fits, score(left) + score(right) - score(totals)[:, None, None], -np.inf).reshape(len(h), -1)
     out = []
-    for i, at in enumerate(gain.argmax(1) if gain.shape[1] else []):
+    for i, at in enumerate(gain.argmax(1)):
         if not gain[i, at] > 1e-12:
             out.append(None)
             continue
-        side, f, cut = np.unravel_index(at, left.shape[1:4])
-        sums = left[i, side, f, cut]
-        to_left = bool(side) if missing[i, f, 2] else bool(2 * sums[2] >= total[i, 0, 2])
-        out.append((float(gain[i, at]), int(f), int(cut), to_left, sums))
-    return out if gain.shape[1] else [None] * len(h)
+        side, cell = divmod(int(at), layout.size)
+        f, sums = int(layout.feature[cell]), left[i, side, cell]
+        to_left = bool(side) if missing[i, f, 2] else bool(2 * sums[2] >= totals[i, 2])
+        out.append((float(gain[i, at]), f, int(layout.code[cell]), to_left, sums))
+    return out
 
 
 def grow(passes, o: Options) -> Tree:
-    """One tree; ``passes.histograms(tree, nodes)`` gives the histograms of some nodes' rows."""
-    tree, hist, split, depth = Tree(), {}, {}, {0: 0}
+    """One tree; ``passes.begin()`` gives the sums over all rows, ``passes.histograms(tree, nodes)`` those of some nodes by cell."""
+    tree, hist, split, depth, layout = Tree(), {}, {}, {0: 0}, passes.layout
+    totals = {0: passes.begin()}
 
     def value(sums: np.ndarray) -> float:
         second = sums[1] / UNIT + o.penalty
         return float(-o.rate * sums[0] / UNIT / second) if second > 0 else 0.0
 
     def look(nodes: list[int]) -> None:
-        found = best_splits(np.stack([hist[n] for n in nodes]), o)
-        for n, s in zip(nodes, found, strict=True):
-            split[n] = s if o.max_depth is None or depth[n] < o.max_depth else None
+        for at in range(0, len(nodes), BATCH):
+            some = nodes[at:at + BATCH]
+            found = best_splits(np.stack([hist[n] for n in some]), np.stack([totals[n] for n in some]), layout, o)
+            for n, s in zip(some, found, strict=True):
+                split[n] = s
 
+    tree.add(value(totals[0]))
     hist[0] = passes.histograms(tree, [0])[0]
-    tree.add(value(hist[0][0].sum(0)) if len(hist[0]) else 0.0)
     look([0])
     children: dict[int, int] = {}
     while True:
@@ -188,17 +215,23 @@ def grow(passes, o: Options) -> Tree:
         small = []
         for n in todo:
             _, f, cut, to_left, sums = split[n]
-            total = hist[n][0].sum(0)
+            total = totals[n]
             children[n] = tree.add(value(sums))
+            totals[children[n]], totals[children[n] + 1] = sums, total - sums
             tree.add(value(total - sums))
             tree.feature[n], tree.cut[n], tree.missing_left[n], tree.left[n] = f, cut, to_left, children[n]
             depth[children[n]] = depth[children[n] + 1] = depth[n] + 1
-            small.append(children[n] + int(2 * sums[2] > total[2]))
-        got = passes.histograms(tree, small)
-        for n, s, h in zip(todo, small, got, strict=True):
-            hist[s], hist[2 * children[n] + 1 - s] = h, hist[n] - h
-            del hist[n]
-        look([c for n in todo for c in (children[n], children[n] + 1)])
+            if o.max_depth is None or depth[children[n]] < o.max_depth:
+                small.append((n, children[n] + int(2 * sums[2] > total[2])))
+            else:
+                split[children[n]] = split[children[n] + 1] = None
+                del hist[n]
+        if small:
+            got = passes.histograms(tree, [s for _, s in small])
+            for (n, s), h in zip(small, got, strict=True):
+                hist[s], hist[2 * children[n] + 1 - s] = h, hist[n] - h
+                del hist[n]
+            look([c for n, _ in small for c in (children[n], children[n] + 1)])
     kept = set(used)
     for n in children:  # evaluated ahead, but not among the best
         if n not in kept:
@@ -209,21 +242,20 @@ def grow(passes, o: Options) -> Tree:
 class Held:
     """Passes over a matrix in memory."""
 
-    def __init__(self, y: np.ndarray, x: np.ndarray, valid: np.ndarray, o: Options):
+    def __init__(self, y: np.ndarray, x: np.ndarray, valid: np.ndarray, layout: Layout, o: Options):
         self.x, self.y, self.valid, self.start = x, y, valid, prior(int(y[~valid].sum()), int((~valid).sum()), o)
-        self.score = np.full(len(y), self.start)
+        self.score, self.layout = np.full(len(y), self.start), layout
         self.fitted = x[~valid]
-        self.counter = Counter(self.fitted)
+        self.counter = Counter(self.fitted, layout)
+
+    def begin(self) -> np.ndarray:
+        self.weights = [*gradients(self.score[~self.valid], self.y[~self.valid]), None]
+        return np.array([self.weights[0].sum(), self.weights[1].sum(), self.counter.n]).astype(np.int64)
 
     def histograms(self, tree: Tree, nodes: list[int]) -> np.ndarray:
-        if not tree.feature:
-            self.weights = [*gradients(self.score[~self.valid], self.y[~self.valid]), None]
-            slot = np.zeros(self.counter.n, np.int64)
-        else:
-            place = np.full(len(tree.feature), -1)
-            place[nodes] = np.arange(len(nodes))
-            slot = place[leaves(tree.arrays(), self.fitted)]
-        return self.counter.histograms(slot, len(nodes), self.weights)
+        place = np.full(len(tree.feature), -1)
+        place[nodes] = np.arange(len(nodes))
+        return self.counter.histograms(place[leaves(tree.arrays(), self.fitted)], len(nodes), self.weights)
 
     def finish(self, tree: Tree) -> int:
         """Adds the tree; returns the loss of the held-out rows."""
@@ -235,14 +267,14 @@ class Held:
 class Spread:
     """The same passes as Spark jobs over a stored matrix (uid, y, x, valid)."""
 
-    def __init__(self, rows: DataFrame, width: int, o: Options):
+    def __init__(self, rows: DataFrame, layout: Layout, o: Options):
         sums = rows.filter("not valid").agg(F.sum("y").alias("y"), F.count("*").alias("n")).first()
-        self.start, self.width, self.recent = prior(int(sums["y"] or 0), sums["n"], o), width, []
+        self.start, self.layout, self.recent = prior(int(sums["y"] or 0), sums["n"], o), layout, []
         self.rows = stored(rows.withColumn("score", F.lit(self.start)), "scores")
 
     def _scored(self):
         """A function that gives (x, y, score, valid) of a batch with the trees since the last write."""
-        width, recent = self.width, [t.arrays() for t in self.recent]
+        width, recent = self.layout.width, [t.arrays() for t in self.recent]
 
         def run(b: pa.RecordBatch):
             x, score = cells(b.column(1), np.uint8, width), b.column(2).to_numpy().copy()
@@ -251,30 +283,41 @@ class Spread:
             return x, b.column(0).to_numpy(), score, b.column(3).to_numpy(zero_copy_only=False)
         return run
 
+    def begin(self) -> np.ndarray:
+        scored = self._scored()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                _, y, score, valid = scored(b)
+                g, h = gradients(score[~valid], y[~valid])
+                yield pa.RecordBatch.from_arrays([pa.array([int(v)], pa.int64()) for v in (g.sum(), h.sum(), len(g))], ["g", "h", "n"])
+        sums = self.rows.select("y", "x", "score", "valid").mapInArrow(run, "g long, h long, n long").agg(F.sum("g"), F.sum("h"), F.sum("n")).first()
+        return np.array([v or 0 for v in sums], np.int64)
+
     def histograms(self, tree: Tree, nodes: list[int]) -> np.ndarray:
-        width, scored, arrays = self.width, self._scored(), tree.arrays()
-        place = np.full(max(1, len(tree.feature)), -1)
+        layout, scored, arrays = self.layout, self._scored(), tree.arrays()
+        ends = np.append(layout.start, layout.size)
+        place = np.full(len(tree.feature), -1)
         place[nodes] = np.arange(len(nodes))
 
         def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums = np.zeros((len(nodes), width, CODES, 3), np.int64)
+            sums = np.zeros((len(nodes), layout.size, 3), np.int64)
             for b in batches:
                 x, y, score, valid = scored(b)
                 if (~valid).any():
                     x, y, score = x[~valid], y[~valid], score[~valid]
-                    sums += Counter(x).histograms(place[leaves(arrays, x)], len(nodes), [*gradients(score, y), None])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width, dtype=np.int32)),
-                                              pa.array([sums[:, f].tobytes() for f in range(width)], pa.binary())], ["f", "sums"])
+                    sums += Counter(x, layout).histograms(place[leaves(arrays, x)], len(nodes), [*gradients(score, y), None])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(layout.width, dtype=np.int32)), pa.array(
+                [sums[:, a:b].tobytes() for a, b in zip(ends, ends[1:], strict=False)], pa.binary())], ["f", "sums"])
 
         def add(parts: pa.Table) -> pa.Table:
             total = sum(np.frombuffer(v.as_py(), np.int64) for v in parts.column("sums"))
             return pa.table({"f": parts.column("f")[:1], "sums": pa.array([total.tobytes()], pa.binary())})
         parts = self.rows.select("y", "x", "score", "valid").mapInArrow(count, "f int, sums binary")
-        # partial sums meet by feature; nodes x features x codes come back, whatever the number of rows
-        found = parts.groupBy("f").applyInArrow(add, "f int, sums binary").collect()
-        out = np.zeros((len(nodes), width, CODES, 3), np.int64)
-        for r in found:
-            out[:, r.f] = np.frombuffer(r.sums, np.int64).reshape(len(nodes), CODES, 3)
+        # partial sums meet by feature; nodes x cells come back, whatever the number of rows
+        out = np.zeros((len(nodes), layout.size, 3), np.int64)
+        for r in parts.groupBy("f").applyInArrow(add, "f int, sums binary").collect():
+            out[:, ends[r.f]:ends[r.f + 1]] = np.frombuffer(r.sums, np.int64).reshape(len(nodes), -1, 3)
         return out
 
     def finish(self, tree: Tree) -> int:
@@ -373,13 +416,13 @@ def fit(df: DataFrame, options: Options, features: str = "features", label: str
     if m.held if held is None else held:
         return fit_many(bins, m, [options])[0]
     valid = held_out(options) if stops else F.lit(False)
-    passes = Spread(m.rows.withColumn("valid", valid), m.width, options)
+    passes = Spread(m.rows.withColumn("valid", valid), Layout(bins), options)
     return BoostedModel(bins, boost(passes, options, stops), passes.start)
 
 
 def fit_many(bins: Bins, m: Matrix, options: list[Options], leave: list[int] | None = None) -> list[BoostedModel]:
     """A model for each of ``options``, side by side, a task each; ``leave`` names the ``fold`` of rows that a fit does not see."""
-    spark = m.rows.sparkSession
+    spark, layout = m.rows.sparkSession, Layout(bins)
     _, y, x = m.collect()
     marks = {f"v{s}": held_out(next(o for o in options if o.seed == s)) for s in {o.seed for o in options}}
     flags = m.rows.select("uid", *[c.alias(n) for n, c in marks.items()], *(["fold"] if leave else [])).toArrow().to_pandas()
@@ -395,7 +438,7 @@ def fit_many(bins: Bins, m: Matrix, options: list[Options], leave: list[int] | N
                 use = np.ones(len(y), bool) if out is None else marked["fold"] != out
                 stops = o.stops(int(use.sum()))
                 valid = marked[f"v{o.seed}"][use] if stops else np.zeros(int(use.sum()), bool)
-                passes = Held(y[use], x[use], valid, o)
+                passes = Held(y[use], x[use], valid, layout, o)
                 trees = json.dumps([[a.tolist() for a in t.arrays()] for t in boost(passes, o, stops)])
                 yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([passes.start]), pa.array([trees])], ["i", "start", "trees"])
     frame = spark.createDataFrame(jobs, "i int, options string, leave int").repartition(max(1, len(jobs)))

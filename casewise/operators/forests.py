@@ -31,6 +31,8 @@ from casewise.operators.binned import HELD, Bins, Matrix, as_array, cells, dense
 
 #: Trees grown together by passes, and bytes of trees that a scoring task holds.
 GROUP = 8
+#: Values that a node level sorts at a time.
+CELLS = 1 << 22
 MODEL_BYTES = 32 << 20
 #: Cumulative probabilities of a Poisson(1) count.
 POISSON = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(18)])
@@ -132,24 +134,47 @@ class Piece:
         return node
 
 
+def _looked_at(flat: np.ndarray, size: int, rows: np.ndarray, slot: np.ndarray, order: np.ndarray, w: np.ndarray, y: np.ndarray,
+               n: np.ndarray, pos: np.ndarray, keys: np.ndarray, o: Options) -> tuple[np.ndarray, np.ndarray]:
+    """(nodes, features) purity after the best cut of each feature in ``order``, and that cut; -inf if there is none.
+
+    ``rows`` are in the order of ``slot``; ``flat`` holds the matrix feature by feature, ``size`` values each.
+    """
+    t, k = order.shape
+    value = flat[order[slot] * size + rows[:, None]]
+    cell = slot[:, None] * k + np.arange(k)
+    weight, ones = w[rows], w[rows] * y[rows]
+    if not o.random_cuts:
+        best, cut = _best_cuts(cell.ravel(), value.ravel().astype(np.int64), np.repeat(weight, k), np.repeat(ones, k), np.repeat(n, k), np.repeat(pos, k))
+        return best.reshape(t, k), cut.reshape(t, k)
+    start = np.flatnonzero(np.diff(slot, prepend=-1))
+    here = slot[start]
+    low, high = np.fmin.reduceat(value, start, axis=0), np.fmax.reduceat(value, start, axis=0)
+    cut, good = np.zeros((t, k), np.float32), np.zeros((t, k), bool)
+    cut[here] = cut_between(keys[here][:, None], order[here], low, high)
+    good[here] = high > low
+    go = value <= cut[slot]
+    nl, pl = (np.bincount(cell.ravel(), (v[:, None] * go).ravel(), t * k).reshape(t, k) for v in (weight, ones))
+    gain = purity(nl, pl) + purity(n[:, None] - nl, pos[:, None] - pl)
+    return np.where(good & (nl > 0) & (nl < n[:, None]), gain, -np.inf), cut
+
+
 def _best_cuts(slot: np.ndarray, code: np.ndarray, w: np.ndarray, p: np.ndarray, n: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Per slot the purity after its best cut of these codes, and the cut; -inf if there is none."""
-    key = np.sort(((slot * 256 + code) << 24) | (w << 12) | (w * p))
-    group, cw, cp = key >> 24, np.cumsum((key >> 12) & 4095), np.cumsum(key & 4095)
+    key = np.sort((slot * 256 + code) << 24 | w << 12 | p)
+    group = key >> 24
     ends = np.flatnonzero(np.diff(group, append=-1))
-    group, cw, cp = group[ends], cw[ends], cp[ends]
+    cw, cp, group = np.cumsum(key >> 12 & 4095)[ends], np.cumsum(key & 4095)[ends], group[ends]
     at = group >> 8
     first = np.flatnonzero(np.diff(at, prepend=-1))
-    before_w, before_p = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
     size = np.diff(np.append(first, len(at)))
-    before_w, before_p = np.repeat(np.append(0, cw)[first], size), np.repeat(np.append(0, cp)[first], size)
-    nl, pl = cw - before_w, cp - before_p
+    nl, pl = cw - np.repeat(np.append(0, cw)[first], size), cp - np.repeat(np.append(0, cp)[first], size)
     gain = np.where(nl < n[at], purity(nl, pl) + purity(n[at] - nl, pos[at] - pl), -np.inf)
     best, cut = np.full(len(n), -np.inf), np.zeros(len(n), np.float32)
     if len(first):
         top = np.maximum.reduceat(gain, first)
         hit = np.flatnonzero(gain == np.repeat(top, size))
-        hit = hit[np.unique(at[hit], return_index=True)[1]]  # the lowest of equal cuts
+        hit = hit[np.flatnonzero(np.diff(at[hit], prepend=-1))]  # the lowest of equal cuts
         best[at[first]], cut[at[hit]] = top, group[hit] & 255
     return best, cut
 
@@ -174,30 +199,20 @@ def grow(x: np.ndarray, y: np.ndarray, w: np.ndarray, key: np.uint64, o: Options
         stay = can[slot]
         rows, slot = rows[stay], slot[stay]
         order = order_of_features(keys, width) if can.any() else np.zeros((t, 0), int)
-        for j in range(width):
-            ask = can if j < looks else can & (best == -np.inf)
+        since = 0
+        while since < width:
+            # the first ``looks`` features together, then one at a time where none of them splits
+            until = min(width, max(since + 1, min(looks, since + max(1, CELLS // max(1, len(rows))))))
+            ask = can if since < looks else can & (best == -np.inf)
             if not ask.any():
                 break
-            use = slice(None) if j < looks else np.flatnonzero(ask[slot])
-            r, s = rows[use], slot[use]
-            value = flat[order[s, j] * len(x) + r]
-            if o.random_cuts:
-                start = np.flatnonzero(np.diff(s, prepend=-1))
-                here = s[start]
-                low, high = np.fmin.reduceat(value, start), np.fmax.reduceat(value, start)
-                at = cut_between(keys[here], order[here, j], low, high)
-                limit = np.zeros(t, np.float32)
-                limit[here] = at
-                go = value <= limit[s]
-                nl = np.bincount(s, w[r] * go, t).astype(np.int64)
-                pl = np.bincount(s, w[r] * y[r] * go, t).astype(np.int64)
-                good = np.zeros(t, bool)
-                good[here] = high > low
-                got = np.where(good & (nl > 0) & (nl < n), purity(nl, pl) + purity(n - nl, pos - pl), -np.inf)
-            else:
-                got, limit = _best_cuts(s, value.astype(np.int64), w[r], y[r], n, pos)
-            win = ask & (got > best)
-            best[win], cut[win], feature[win] = got[win], limit[win], order[win, j]
+            use = slice(None) if since < looks else np.flatnonzero(ask[slot])
+            got, limit = _looked_at(flat, len(x), rows[use], slot[use], order[:, since:until], w, y, n, pos, keys, o)
+            first = got.argmax(1)
+            top = got[np.arange(t), first]
+            win = ask & (top > best)
+            best[win], cut[win], feature[win] = top[win], limit[win, first[win]], order[win, since + first[win]]
+            since = until
         split = np.flatnonzero(feature >= 0)
         left[split] = made + t + 2 * np.arange(len(split))
         for name, v in (("feature", feature), ("cut", cut), ("left", left), ("value", np.divide(pos, n, out=np.zeros(t), where=n > 0))):
@@ -563,3 +578,51 @@ def fit(df: DataFrame, options: Options, features: str = "features", label: str
     else:
         pieces = _fit_spread(m, options, task_rows or HELD // max(1, width), group)
     return ForestModel(pieces, options, bins, width, features)
+
+
+def search(m: Matrix, looks: list[str], depths: list[int | None], counts: list[int], folds: int, seed: int = 42) -> DataFrame:
+    """(looks, max_depth, trees, fold, accuracy) of every point of a grid, on the rows of each ``fold`` of a held matrix.
+
+    Trees are grown once per (looks, fold), without limit of depth: a tree cut off at some depth is the
+    tree of that depth, and the first trees of a forest are the smaller forest.
+    """
+    spark = m.rows.sparkSession
+    uid, y, x = m.collect()
+    fold = m.rows.select("uid", "fold").toArrow().to_pandas().sort_values("uid", kind="stable")["fold"].to_numpy()
+    data = spark.sparkContext.broadcast((uid, y, x, fold))
+    ends = sorted(set(counts))
+    blocks = []
+    for since, until in zip([0, *ends], ends, strict=False):
+        blocks += [(t, min(until, t + 10)) for t in range(since, until, 10)]
+    jobs = [(k, f, a, b) for a, b in blocks for k in looks for f in range(folds)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        uid, y, x, fold = data.value
+        for b in batches:
+            for k, f, since, until in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                train, test = fold != f, fold == f
+                o = Options(trees=until, looks=k, seed=seed)
+                total = np.zeros((len(depths), int(test.sum())))
+                for tree in range(since, until):
+                    piece = grow(x[train], y[train], weights(o, tree, uid[train]), root_key(o, tree), o)
+                    for i, d in enumerate(depths):
+                        total[i] += piece.value[piece.nodes(x[test], d)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([k] * len(depths)), pa.array([f] * len(depths), pa.int32()), pa.array(np.arange(len(depths), dtype=np.int32)),
+                     pa.array([until] * len(depths), pa.int32()), pa.array([t.tobytes() for t in total], pa.binary())],
+                    ["looks", "fold", "depth", "until", "votes"])
+
+    def staged(part: pa.Table) -> pa.Table:
+        rows = sorted(part.to_pylist(), key=lambda r: r["until"])
+        truth = data.value[1][data.value[3] == rows[0]["fold"]]
+        total, out = 0.0, []
+        for r in rows:
+            total = total + np.frombuffer(r["votes"])
+            if r["until"] in ends:
+                right = ((total / r["until"] > 0.5) == truth).mean() if len(truth) else None
+                out.append({"looks": r["looks"], "max_depth": depths[r["depth"]], "trees": r["until"], "fold": r["fold"], "accuracy": right})
+        return pa.Table.from_pylist(out, pa.schema([("looks", pa.string()), ("max_depth", pa.int32()), ("trees", pa.int32()),
+                                                    ("fold", pa.int32()), ("accuracy", pa.float64())]))
+    frame = spark.createDataFrame(jobs, "looks string, fold int, since int, until int").repartition(len(jobs))
+    votes = stored(frame.mapInArrow(run, "looks string, fold int, depth int, until int, votes binary"), "forest-search")
+    return votes.groupBy("looks", "fold", "depth").applyInArrow(staged, "looks string, max_depth int, trees int, fold int, accuracy double")

@@ -1,4 +1,4 @@
-"""Model families (M1-M9) on Spark ML, with one scoring interface.
+"""Model families (M1-M9) on Spark ML and the library's own tree learners, with one scoring interface.
 
 ``fit_model(name, df)`` returns a ``FittedModel`` whose ``score(df)`` adds a
 ``score`` column in [0, 1] for the positive class: the probability when the
@@ -12,30 +12,32 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
-                                       LogisticRegression, RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casewise.operators import boosting, forests
 from casewise.operators import metrics as M
 from casewise.session import cut_lineage
 
-# Defaults of record of the reference's model families (tests and the bench
-# pass smaller sizes through ``params``).
+# Defaults of record of the reference's model families.
 REFERENCE_DEFAULTS = {
     "logreg": {"maxIter": 4000, "C": 1.0, "balanced": True},
-    # unlimited depth in the reference -> Spark's maximum depth (30)
-    "random_forest": {"numTrees": 800, "featureSubsetStrategy": "sqrt", "maxDepth": 30},
-    "extra_trees": {"numTrees": 1200, "featureSubsetStrategy": "sqrt", "maxDepth": 30},
+    "random_forest": {"trees": 800, "looks": "sqrt"},
+    "extra_trees": {"trees": 1200, "looks": "sqrt", "bootstrap": False, "random_cuts": True},
     "knn": {"k": 9},
-    # a histogram booster: 255 bins per feature
-    "hgb": {"maxDepth": 4, "stepSize": 0.06, "maxIter": 600, "maxBins": 255},
+    # stops early above 10,000 rows, as the reference's booster does by default
+    "hgb": {"max_depth": 4, "rate": 0.06, "rounds": 600},
     "decision_tree": {"maxDepth": 30},
-    "gradient_boosting": {"maxDepth": 3, "stepSize": 0.1, "maxIter": 100},
+    "gradient_boosting": {"max_depth": 3, "rate": 0.1, "rounds": 100, "max_leaves": None, "min_rows": 1, "min_hessian": 0.0,
+                          "second_order": False, "stopping": False},
+    "xgboost": {"max_depth": 6, "rate": 0.3, "rounds": 100, "max_leaves": None, "min_rows": 1, "min_hessian": 1.0, "penalty": 1.0,
+                "stopping": False, "from_prior": False},
     "linear_svc": {"maxIter": 100},
     "adaboost": {"rounds": 50},
 }
+FORESTS, BOOSTERS = ("random_forest", "extra_trees"), ("hgb", "gradient_boosting", "xgboost")
 MODEL_NAMES = list(REFERENCE_DEFAULTS)
 # aliases used by the reference's reports / scripts
 ALIASES = {"logreg_balanced": "logreg", "knn_9_distance": "knn"}
@@ -54,7 +56,7 @@ class FittedModel:
         """Adds ``score`` (probability) or ``__margin`` (margin-only models)."""
         if self.name == "knn":
             return self.model.score(df, self.features)
-        if self.name == "adaboost":
+        if self.name == "adaboost" or self.name in FORESTS + BOOSTERS:
             return self.model.transform(df)
         out = self.model.transform(df)
         if self.name == "linear_svc":
@@ -92,18 +94,10 @@ def fit_model(name: str, df: DataFrame, features: str = "features", label: str =
                                  maxIter=int(p["maxIter"]), regParam=1.0 / (p["C"] * wsum),
                                  elasticNetParam=0.0, standardization=False)
         return FittedModel(name, est.fit(train), features, label, score_norm)
-    if name in ("random_forest", "extra_trees"):
-        est = RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=int(p["numTrees"]),
-                                     featureSubsetStrategy=p["featureSubsetStrategy"], seed=seed,
-                                     maxDepth=int(p.get("maxDepth", 30)))
-        if name == "extra_trees":  # nearest built-in: no bootstrap, coarse random-ish splits
-            est = est.setBootstrap(False).setMaxBins(int(p.get("maxBins", 8)))
-        return FittedModel(name, est.fit(df), features, label, score_norm)
-    if name in ("hgb", "gradient_boosting"):
-        est = GBTClassifier(featuresCol=features, labelCol=label, maxDepth=int(p["maxDepth"]),
-                            stepSize=float(p["stepSize"]), maxIter=int(p["maxIter"]), seed=seed,
-                            maxBins=int(p.get("maxBins", 32)))
-        return FittedModel(name, est.fit(df), features, label, score_norm)
+    if name in FORESTS:
+        return FittedModel(name, forests.fit(df, forests.Options(**{"seed": seed, **p}), features, label, id_col), features, label, score_norm)
+    if name in BOOSTERS:
+        return FittedModel(name, boosting.fit(df, boosting.Options(**{"seed": seed, **p}), features, label, id_col), features, label, score_norm)
     if name == "decision_tree":
         est = DecisionTreeClassifier(featuresCol=features, labelCol=label, seed=seed,
                                      maxDepth=int(p.get("maxDepth", 30)))

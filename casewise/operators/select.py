@@ -8,6 +8,7 @@ rows (19 thresholds per model); every data pass is a Spark job.
 from __future__ import annotations
 
 import datetime as _dt
+import itertools
 import json
 import random
 from dataclasses import dataclass, field
@@ -18,10 +19,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casewise.functions.columns import drop_columns, label_filter_map
+from casewise.operators import boosting, forests
 from casewise.operators import encode as EN
 from casewise.operators import metrics as M
+from casewise.operators.binned import Bins, as_array, matrix, width_of
 from casewise.operators.features import WageFeatureModel, WageFeatures, derive_basic
-from casewise.operators.models import FittedModel, fit_model
+from casewise.operators.models import BOOSTERS, FORESTS, REFERENCE_DEFAULTS, FittedModel, fit_model
 from casewise.operators.sampling import stratified_sample, stratified_split
 from casewise.session import cut_lineage
 
@@ -163,45 +166,57 @@ def train_select(prep: Prepared, models: list[str], params: dict | None = None,
     return Selection(report, final, thr, tm)
 
 
-# The reference's random-search spaces, in Spark ML parameter
-# names (unlimited depth -> 30, all features -> "all"; a booster's minimum
-# child weight -> minimum instances per node).  Nearest-neighbour search
-# space: k in (3, 4, 5, 7, 9) x weights in (uniform, distance).
+# The reference's random-search spaces, in the parameter names of the
+# learners here ("all" and None: no limit; a booster's minimum child weight is a minimum of
+# Hessian).  Nearest-neighbour search space: k in (3, 4, 5, 7, 9) x weights in (uniform, distance).
 REFERENCE_GRIDS = {
-    "gbt": {"maxDepth": [3, 5, 7, 9], "minInstancesPerNode": [1, 3, 5]},
-    "random_forest": {"maxDepth": [10, 12, 30, 15, 20], "featureSubsetStrategy": ["sqrt", "log2", "all"],
-                      "numTrees": [10, 50, 100, 200]},
+    "xgboost": {"max_depth": [3, 5, 7, 9], "min_hessian": [1.0, 3.0, 5.0]},
+    "random_forest": {"max_depth": [10, 12, None, 15, 20], "looks": ["sqrt", "log2", "all"],
+                      "trees": [10, 50, 100, 200]},
 }
 
 
-def random_search(prep: Prepared, grid: dict, n_iter: int = 100, folds: int = 3, seed: int = 42,
-                  parallelism: int = 4, model: str = "random_forest"):
-    """Up to ``n_iter`` seeded draws from the grid, k-fold CV on accuracy
-    (``grid`` may be a key of ``REFERENCE_GRIDS``)."""
-    if isinstance(grid, str):
-        grid = REFERENCE_GRIDS[grid]
-    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-    est = (RandomForestClassifier(featuresCol="features", labelCol="label", seed=seed)
-           if model == "random_forest" else
-           GBTClassifier(featuresCol="features", labelCol="label", seed=seed))
-    builder = ParamGridBuilder()
-    for pname, values in grid.items():
-        builder = builder.addGrid(est.getParam(pname), list(values))
-    maps = builder.build()
-    rng = random.Random(seed)
-    if len(maps) > n_iter:
-        maps = rng.sample(maps, n_iter)
-    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, numFolds=folds, seed=seed,
-                        parallelism=parallelism)
-    fitted = cv.fit(prep.train)
-    spark = prep.train.sparkSession
-    rows = []
-    for pm, score in zip(maps, fitted.avgMetrics):
-        rows.append((json.dumps({p.name: v for p, v in pm.items()}, sort_keys=True), float(score)))
-    return spark.createDataFrame(rows, "params string, cv_accuracy double"), fitted
+def random_search(prep: Prepared, model: str = "random_forest", grid: dict | None = None, n_iter: int = 100, folds: int = 3,
+                  seed: int = 42, id_col: str = "case_id") -> DataFrame:
+    """(params, cv_accuracy) of up to ``n_iter`` seeded draws from ``grid`` (default: the grid of record).
+
+    One binned matrix serves all draws and folds.  Boosters: all fits run side by side, a task each.
+    Forests: trees are grown once per fold and number of features, every depth and forest size is read off
+    them.  A matrix too large to be held is fitted point by point.
+    """
+    grid = grid or REFERENCE_GRIDS[model]
+    points = [dict(zip(grid, v, strict=True)) for v in itertools.product(*grid.values())]
+    if len(points) > n_iter:
+        points = random.Random(seed).sample(points, n_iter)
+    data = prep.train.withColumn("fold", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(folds)).cast("int"))
+    bins = Bins.fit(data, "features")
+    m = matrix(data, "features", "label", id_col, bins, width_of(data, "features"), ["fold"])
+    named = {json.dumps(p, sort_keys=True): p for p in points}
+    if not m.held:
+        rows = [(n, f, _accuracy(fit_model(model, data.where(F.col("fold") != f), params=p, seed=seed, id_col=id_col).score(
+            data.where(F.col("fold") == f)))) for n, p in named.items() for f in range(folds)]
+    elif model == "random_forest":
+        pick = {k: sorted({p[k] for p in points}, key=lambda v: (v is None, v)) for k in ("looks", "max_depth", "trees")}
+        got = forests.search(m, pick["looks"], pick["max_depth"], pick["trees"], folds, seed).collect()  # a row a point and fold
+        by = {(r.looks, r.max_depth, r.trees, r.fold): r.accuracy for r in got}
+        rows = [(n, f, by[p["looks"], p["max_depth"], p["trees"], f]) for n, p in named.items() for f in range(folds)]
+    else:
+        jobs = [(n, f) for n in named for f in range(folds)]
+        options = [boosting.Options(**{"seed": seed, **REFERENCE_DEFAULTS[model], **named[n]}) for n, _ in jobs]
+        fitted = boosting.fit_many(bins, m, options, [f for _, f in jobs])
+        rows = []
+        for f in range(folds):  # all models of a fold score it in one pass
+            mine = [(n, mod) for (n, g), mod in zip(jobs, fitted, strict=True) if g == f]
+            vec = as_array(data, "features")
+            right = [F.avg(((mod.probability(vec) > 0.5).cast("int") == F.col("label")).cast("double")) for _, mod in mine]
+            got = data.where(F.col("fold") == f).agg(*right).first()
+            rows += [(n, f, a) for (n, _), a in zip(mine, got, strict=True)]
+    frame = prep.train.sparkSession.createDataFrame(rows, "params string, fold int, accuracy double")
+    return frame.groupBy("params").agg(F.avg("accuracy").alias("cv_accuracy"))
+
+
+def _accuracy(scored: DataFrame) -> float:
+    return scored.agg(F.avg(((F.col("score") > 0.5).cast("int") == F.col("label")).cast("double"))).first()[0]
 
 
 def leaderboard(prep: Prepared, models: list[str], params: dict | None = None, seed: int = 42) -> DataFrame:
@@ -279,6 +294,9 @@ class Bundle:
             for i, (tree, _) in enumerate(m.model.stumps):
                 tree.write().overwrite().save(f"{path}/model/stump_{i}")
             extra = {"alphas": [a for _, a in m.model.stumps]}
+        elif m.name in FORESTS + BOOSTERS:
+            m.model.save(f"{path}/model/trees")
+            extra = {}
         else:
             m.model.write().overwrite().save(f"{path}/model/spark")
             extra = {"class": type(m.model).__name__}
@@ -306,6 +324,9 @@ class Bundle:
         elif name == "adaboost":
             model = AdaBoostModel([(C.DecisionTreeClassificationModel.load(f"{path}/model/stump_{i}"), a)
                                    for i, a in enumerate(extra["alphas"])])
+        elif name in FORESTS + BOOSTERS:
+            kind = forests.ForestModel if name in FORESTS else boosting.BoostedModel
+            model = kind.load(spark, f"{path}/model/trees")
         else:
             model = getattr(C, extra["class"]).load(f"{path}/model/spark")
         fm = FittedModel(name, model, score_norm=meta.get("score_norm", "minmax"))

@@ -16,20 +16,13 @@ from casewise.plans.common import AS_OF_YEAR, r6, run_dir
 from casewise.session import checkpoint_dir
 from casewise.sources.views import NEGATIVE, POSITIVE, cases_view
 
-# Sizes of the learners in the registered queries.  Families that are not listed run at
-# their sizes of record (``REFERENCE_DEFAULTS``); the ensembles of hundreds of deep trees
-# are cut here, and only here, because one fit of 600 to 1,200 members takes many minutes
-# on one machine.  Library calls (``train``, ``fit_model``) default to the sizes of record.
-QUERY_SIZES = {"random_forest": {"numTrees": 30, "maxDepth": 8}, "extra_trees": {"numTrees": 30, "maxDepth": 8},
-               "hgb": {"maxIter": 20}, "gradient_boosting": {"maxIter": 20}, "adaboost": {"rounds": 8}}
-
 _PREPARED: dict = {}
 
 
 def prepared(spark, sf_dir, feature_set: str = "engineered") -> SL.Prepared:
     """Split + train-only feature fit, memoised per session and input (the
     matrices are checkpointed to the shared checkpoint folder)."""
-    key = (id(spark), checkpoint_dir(spark), os.path.abspath(sf_dir), feature_set)
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), feature_set)
     if key not in _PREPARED:
         _PREPARED[key] = SL.prepare(cases_view(spark, sf_dir), "case_status", POSITIVE, NEGATIVE,
                                     0.2, 42, AS_OF_YEAR, feature_set)
@@ -39,7 +32,7 @@ def prepared(spark, sf_dir, feature_set: str = "engineered") -> SL.Prepared:
 def _model_query(name):
     def q(spark, sf_dir):
         prep = prepared(spark, sf_dir)
-        m = SL.fit_model(name, prep.train, params=QUERY_SIZES.get(name))
+        m = SL.fit_model(name, prep.train)
         out = m.score(prep.test)
         return out.select("case_id", "label", r6("score"),
                           (F.col("score") >= 0.5).cast("int").alias("pred"))
@@ -48,7 +41,7 @@ def _model_query(name):
 
 
 for _name in ["logreg", "random_forest", "extra_trees", "knn", "hgb", "decision_tree",
-              "gradient_boosting", "linear_svc", "adaboost"]:
+              "gradient_boosting", "linear_svc", "adaboost", "xgboost"]:
     register(f"model_{_name}")(_model_query(_name))
 
 
@@ -95,9 +88,9 @@ _SELECTED: dict = {}
 def selected(spark, sf_dir) -> SL.Selection:
     """The selection run over all five families, once per session and input: its model and
     threshold are the one record that scoring reads."""
-    key = (id(spark), checkpoint_dir(spark), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _SELECTED:
-        _SELECTED[key] = SL.train_select(prepared(spark, sf_dir), FAMILIES, QUERY_SIZES, resample=True)
+        _SELECTED[key] = SL.train_select(prepared(spark, sf_dir), FAMILIES, resample=True)
     return _SELECTED[key]
 
 
@@ -112,10 +105,8 @@ def q_train_select(spark, sf_dir):
 
 @register("random_search")
 def q_random_search(spark, sf_dir):
-    """Seeded draws from a grid, 3-fold cross-validated accuracy."""
-    out, _ = SL.random_search(prepared(spark, sf_dir), {"numTrees": [10, 20], "maxDepth": [3, 5, 7]},
-                              n_iter=4, folds=3)
-    return out
+    """The forest's grid of record (60 points), 3-fold cross-validated accuracy."""
+    return SL.random_search(prepared(spark, sf_dir))
 
 
 @register("knn_search")
@@ -129,14 +120,14 @@ def q_model_leaderboard(spark, sf_dir):
     """Every family fitted, train/test metrics, best test accuracy first."""
     return SL.leaderboard(prepared(spark, sf_dir),
                           ["logreg", "decision_tree", "random_forest", "extra_trees", "gradient_boosting", "hgb",
-                           "linear_svc", "adaboost", "knn"], QUERY_SIZES)
+                           "linear_svc", "adaboost", "knn", "xgboost"])
 
 
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
     """Test metrics against training-subset size."""
     from casewise.operators.sampling import LEARNING_CURVE_SIZES
-    return SL.learning_curve(prepared(spark, sf_dir), "hgb", LEARNING_CURVE_SIZES, QUERY_SIZES["hgb"])
+    return SL.learning_curve(prepared(spark, sf_dir), "hgb", LEARNING_CURVE_SIZES)
 
 
 _BUNDLES: dict = {}
@@ -144,7 +135,7 @@ _BUNDLES: dict = {}
 
 def bundle_path(spark, sf_dir) -> str:
     """Where the selected model, its preprocessor and its tuned threshold are stored (written once)."""
-    key = (id(spark), checkpoint_dir(spark), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _BUNDLES:
         sel = selected(spark, sf_dir)
         path = run_dir(spark, "bundle")
@@ -181,7 +172,5 @@ def q_model_bundle_roundtrip(spark, sf_dir):
 
 @register("random_search_boosted")
 def q_random_search_boosted(spark, sf_dir):
-    """M9: the third-party boosters' grids served by Spark's gradient-boosted trees."""
-    out, _ = SL.random_search(prepared(spark, sf_dir), {"maxDepth": [2, 3, 4], "minInstancesPerNode": [1, 5],
-                                                        "maxIter": [5]}, n_iter=3, folds=3, model="gbt")
-    return out
+    """The third-party booster's grid of record (12 points), 3-fold cross-validated accuracy."""
+    return SL.random_search(prepared(spark, sf_dir), "xgboost")

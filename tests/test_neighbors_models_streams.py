@@ -381,15 +381,9 @@ def test_approx_knn_recall(spark):
     assert len(got & want) / len(want) > 0.8
 
 
-def test_reference_grids_sizes(spark):
-    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-    from pyspark.ml.tuning import ParamGridBuilder
+def test_reference_grids_sizes():
     from casewise.operators.select import REFERENCE_GRIDS
-    for name, est, size in (("gbt", GBTClassifier(), 12), ("random_forest", RandomForestClassifier(), 60)):
-        b = ParamGridBuilder()
-        for p, vals in REFERENCE_GRIDS[name].items():
-            b = b.addGrid(est.getParam(p), vals)
-        assert len(b.build()) == size
+    assert {k: int(np.prod([len(v) for v in g.values()])) for k, g in REFERENCE_GRIDS.items()} == {"xgboost": 12, "random_forest": 60}
 
 
 def test_knn_search_matches_brute_force(spark):

@@ -190,3 +190,29 @@ def test_one_class_and_constant_features(spark):
     assert (scores(FO.fit(df, FO.Options(trees=3)), df) == 1).all() and (scores(BO.fit(df, BO.Options(rounds=3)), df) > 0.99).all()
     mixed = df.withColumn("label", (F.col("case_id") % 3 == 0).cast("int"))
     assert np.abs(scores(FO.fit(mixed, FO.Options(trees=3, bootstrap=False)), mixed) - 1 / 3).max() < 1e-6
+
+
+def test_search_reads_every_grid_point_off_one_growth(spark):
+    """Each point's accuracy equals a forest (or booster) fitted on its own."""
+    from casewise.operators import select as SL
+    from casewise.operators.models import fit_model
+    df, x, y = table(spark, 240, 8, missing=0)
+    prep = SL.Prepared(df, df, None)
+    grid = {"max_depth": [2, None], "looks": ["sqrt", "all"], "trees": [5, 12]}
+    got = {r.params: r.cv_accuracy for r in SL.random_search(prep, "random_forest", grid, folds=2).collect()}
+    assert len(got) == 8
+    import json
+    from casewise.operators.binned import Bins, matrix
+    folded = df.withColumn("fold", F.pmod(F.xxhash64(F.lit(42), F.col("case_id")), F.lit(2)).cast("int"))
+    bins = Bins.fit(df, "features")
+    for point in ({"max_depth": 2, "looks": "sqrt", "trees": 12}, {"max_depth": None, "looks": "all", "trees": 5}):
+        right = []
+        for f in range(2):
+            m = matrix(folded.where(F.col("fold") != f), "features", "label", "case_id", bins, 5)
+            o = FO.Options(**point)
+            model = FO.ForestModel(FO._fit_held(m, o), o, bins, 5)
+            right.append(SL._accuracy(model.transform(folded.where(F.col("fold") == f))))
+        assert abs(got[json.dumps(point, sort_keys=True)] - np.mean(right)) < 1e-9
+    boosted = SL.random_search(prep, "xgboost", {"max_depth": [2, 4], "min_hessian": [1.0]}, folds=2).collect()
+    assert len(boosted) == 2 and all(r.cv_accuracy > 0.6 for r in boosted)
+    assert fit_model("xgboost", df, params={"rounds": 3}).score(df).filter("score between 0 and 1").count() == 240
