@@ -50,6 +50,8 @@ class Options:
     tolerance: float = 1e-7
     #: Gain by the Hessian (second order) or by the number of rows (first order, Newton leaves).
     second_order: bool = True
+    #: One cut for all nodes of a level (``max_depth`` levels, as long as any cut gains).
+    symmetric: bool = False
     #: Start from the log odds of the training rows, or from zero.
     from_prior: bool = True
     seed: int = 42
@@ -145,15 +147,13 @@ class Counter:
         return out
 
 
-def best_splits(h: np.ndarray, totals: np.ndarray, layout: Layout, o: Options) -> list[tuple | None]:
-    """Per node (gain, feature, cut, missing_left, left's sums): the split that gains most, first of equals; None if none does."""
-    if not layout.size:
-        return [None] * len(h)
+def _sides(h: np.ndarray, totals: np.ndarray, layout: Layout, o: Options) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(gain, fits, sums on the left, missing sums) of every cut of every node, missing values to the right and to the left."""
     up = np.cumsum(h, 1)
     before = np.where(layout.start[:, None] > 0, up[:, layout.start - 1], 0)
     missing = h[:, layout.missing]
     left = up - before[:, layout.feature]
-    left = np.stack([left, left + missing[:, layout.feature]], 1)  # missing values go right, or left
+    left = np.stack([left, left + missing[:, layout.feature]], 1)
     right = totals[:, None, None] - left
 
     def score(s: np.ndarray) -> np.ndarray:
@@ -163,7 +163,15 @@ def best_splits(h: np.ndarray, totals: np.ndarray, layout: Layout, o: Options) -
     fits = np.minimum(left[..., 2], right[..., 2]) >= max(1, o.min_rows)
     fits &= np.minimum(left[..., 1], right[..., 1]) >= o.min_hessian * UNIT
     fits[:, :, layout.missing] = False
-    gain = np.where(fits, score(left) + score(right) - score(totals)[:, None, None], -np.inf).reshape(len(h), -1)
+    return score(left) + score(right) - score(totals)[:, None, None], fits, left, missing
+
+
+def best_splits(h: np.ndarray, totals: np.ndarray, layout: Layout, o: Options) -> list[tuple | None]:
+    """Per node (gain, feature, cut, missing_left, left's sums): the split that gains most, first of equals; None if none does."""
+    if not layout.size:
+        return [None] * len(h)
+    gain, fits, left, missing = _sides(h, totals, layout, o)
+    gain = np.where(fits, gain, -np.inf).reshape(len(h), -1)
     out = []
     for i, at in enumerate(gain.argmax(1)):
         if not gain[i, at] > 1e-12:
@@ -176,6 +184,58 @@ def best_splits(h: np.ndarray, totals: np.ndarray, layout: Layout, o: Options) -
     return out
 
 
+def grow_symmetric(passes, o: Options) -> Tree:
+    """One tree whose nodes of a level all have the cut that gains most over the level."""
+    tree, layout = Tree(), passes.layout
+    totals = {0: passes.begin()}
+    level, hist = [0], {}
+
+    def value(sums: np.ndarray) -> float:
+        second = sums[1] / UNIT + o.penalty
+        return float(-o.rate * sums[0] / UNIT / second) if second > 0 else 0.0
+    tree.add(value(totals[0]))
+    for depth in range(o.max_depth or 6):
+        if not layout.size:
+            break
+        if depth == 0:
+            hist[0] = passes.histograms(tree, [0])[0]
+        else:
+            pairs = list(zip(level[::2], level[1::2], strict=True))
+            small = [a if totals[a][2] <= totals[b][2] else b for a, b in pairs]
+            for (a, b), s, h in zip(pairs, small, passes.histograms(tree, small), strict=True):
+                up = hist.pop(parent[a])
+                hist[s], hist[a + b - s] = h, up - h
+        total = np.zeros(2 * layout.size)
+        sides = np.zeros((2, layout.size, 3), np.int64)
+        for at in range(0, len(level), BATCH):
+            some = level[at:at + BATCH]
+            gain, _, left, _ = _sides(np.stack([hist[n] for n in some]), np.stack([totals[n] for n in some]), layout, o)
+            total += gain.sum(0).ravel()
+            sides += left.sum(0)
+        # a cut must leave rows on both sides of the level as a whole
+        rest = sum(totals[n][2] for n in level) - sides[..., 2]
+        usable = np.minimum(sides[..., 2], rest) >= max(1, o.min_rows)
+        usable[:, layout.missing] = False
+        total = np.where(usable.ravel(), total, -np.inf)
+        best = int(total.argmax())
+        if not total[best] > 1e-12:
+            break
+        side, cell = divmod(best, layout.size)
+        f, cut, parent = int(layout.feature[cell]), int(layout.code[cell]), {}
+        below = []
+        for n in level:
+            h = hist[n]
+            sums = h[layout.start[f]:cell + 1].sum(0) + (h[layout.missing[f]] if side else 0)
+            k = tree.add(value(sums))
+            tree.add(value(totals[n] - sums))
+            totals[k], totals[k + 1] = sums, totals[n] - sums
+            parent[k] = parent[k + 1] = n
+            tree.feature[n], tree.cut[n], tree.missing_left[n], tree.left[n] = f, cut, bool(side), k
+            below += [k, k + 1]
+        level = below
+    return tree
+
+
 def grow(passes, o: Options) -> Tree:
     """One tree; ``passes.begin()`` gives the sums over all rows, ``passes.histograms(tree, nodes)`` those of some nodes by cell."""
     tree, hist, split, depth, layout = Tree(), {}, {}, {0: 0}, passes.layout
@@ -349,7 +409,7 @@ def prior(positive: int, n: int, o: Options) -> float:
 def boost(passes, o: Options, stops: bool) -> list[Tree]:
     trees, seen = [], []
     for _ in range(o.rounds):
-        tree = grow(passes, o)
+        tree = grow_symmetric(passes, o) if o.symmetric else grow(passes, o)
         trees.append(tree)
         seen.append(passes.finish(tree))
         # no better than before the last rounds, each of them

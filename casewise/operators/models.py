@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewise.operators import boosting, forests
+from casewise.operators import boosting, forests, kernel_svc
 from casewise.operators import metrics as M
 from casewise.session import cut_lineage
 
@@ -34,10 +34,13 @@ REFERENCE_DEFAULTS = {
                           "second_order": False, "stopping": False},
     "xgboost": {"max_depth": 6, "rate": 0.3, "rounds": 100, "max_leaves": None, "min_rows": 1, "min_hessian": 1.0, "penalty": 1.0,
                 "stopping": False, "from_prior": False},
+    "catboost": {"max_depth": 6, "rate": 0.03, "rounds": 1000, "symmetric": True, "min_rows": 1, "min_hessian": 0.0, "penalty": 3.0,
+                 "stopping": False},
     "linear_svc": {"maxIter": 100},
+    "kernel_svc": {"C": 1.0},
     "adaboost": {"rounds": 50},
 }
-FORESTS, BOOSTERS = ("random_forest", "extra_trees"), ("hgb", "gradient_boosting", "xgboost")
+FORESTS, BOOSTERS = ("random_forest", "extra_trees"), ("hgb", "gradient_boosting", "xgboost", "catboost")
 MODEL_NAMES = list(REFERENCE_DEFAULTS)
 # aliases used by the reference's reports / scripts
 ALIASES = {"logreg_balanced": "logreg", "knn_9_distance": "knn"}
@@ -56,7 +59,7 @@ class FittedModel:
         """Adds ``score`` (probability) or ``__margin`` (margin-only models)."""
         if self.name == "knn":
             return self.model.score(df, self.features)
-        if self.name == "adaboost" or self.name in FORESTS + BOOSTERS:
+        if self.name in ("adaboost", "kernel_svc") or self.name in FORESTS + BOOSTERS:
             return self.model.transform(df)
         out = self.model.transform(df)
         if self.name == "linear_svc":
@@ -105,6 +108,8 @@ def fit_model(name: str, df: DataFrame, features: str = "features", label: str =
     if name == "linear_svc":
         est = LinearSVC(featuresCol=features, labelCol=label, maxIter=int(p["maxIter"]))
         return FittedModel(name, est.fit(df), features, label, score_norm)
+    if name == "kernel_svc":
+        return FittedModel(name, kernel_svc.fit(df, features=features, label=label, id_col=id_col, seed=seed, **p), features, label, score_norm)
     if name == "knn":
         return FittedModel(name, KnnClassifier(features, label, int(p["k"]), id_col).fit(df), features, label, score_norm)
     if name == "adaboost":

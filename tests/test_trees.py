@@ -216,3 +216,72 @@ def test_search_reads_every_grid_point_off_one_growth(spark):
     boosted = SL.random_search(prep, "xgboost", {"max_depth": [2, 4], "min_hessian": [1.0]}, folds=2).collect()
     assert len(boosted) == 2 and all(r.cv_accuracy > 0.6 for r in boosted)
     assert fit_model("xgboost", df, params={"rounds": 3}).score(df).filter("score between 0 and 1").count() == 240
+
+
+def test_symmetric_trees_have_one_cut_a_level(spark):
+    df, x, y = table(spark, 500, 9)
+    o = BO.Options(rounds=5, rate=0.3, max_depth=4, symmetric=True, penalty=3.0, min_rows=1, min_hessian=0.0, stopping=False)
+    one, two = BO.fit(df, o), BO.fit(df.repartition(3), o, held=False)
+    assert one.trees == two.trees
+    for t in one.trees:
+        level = [0]
+        while t.feature[level[0]] >= 0:
+            assert len({(t.feature[n], t.cut[n], t.missing_left[n]) for n in level}) == 1
+            level = [c for n in level for c in (t.left[n], t.left[n] + 1)]
+    # the first cut is the best one of the level: for one node, the best split by search
+    stump = BO.fit(df, BO.Options(rounds=1, rate=0.3, max_depth=1, symmetric=True, penalty=3.0, min_rows=1, min_hessian=0.0, stopping=False))
+    plain = BO.fit(df, BO.Options(rounds=1, rate=0.3, max_depth=1, penalty=3.0, min_rows=1, min_hessian=0.0, stopping=False))
+    assert (stump.trees[0].feature[0], stump.trees[0].cut[0]) == (plain.trees[0].feature[0], plain.trees[0].cut[0])
+    assert ((scores(BO.fit(df, BO.Options(rounds=150, rate=0.3, max_depth=4, symmetric=True, penalty=3.0, min_rows=1, stopping=False)), df) > 0.5) == y).mean() > 0.95
+
+
+def test_ordered_target_statistics_never_see_their_own_label(spark):
+    import hashlib
+    from casewise.operators.target_stats import ordered_target_stats
+    rng = np.random.default_rng(1)
+    rows = [(i, "abc"[min(2, int(rng.exponential()))] if i % 9 else None, "x", int(rng.integers(0, 2))) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, c string, k string, y int")
+    out = {}
+    for prefix in (1, 2):
+        got, stats = ordered_target_stats(df.repartition(3), ["c", "k"], "y", "id", prefix=prefix)
+        out[prefix] = {r.id: (r.c_ts, r.k_ts) for r in got.collect()}
+    prior = sum(r[3] for r in rows) / 400
+    order = sorted(rows, key=lambda r: (hashlib.md5(f"42|{r[0]}".encode()).hexdigest(), r[0]))
+    for k, col in enumerate((1, 2)):
+        seen = {}
+        for r in order:
+            s, n = seen.get(r[col], (0, 0))
+            for p in out.values():
+                assert abs(p[r[0]][k] - (s + prior) / (n + 1)) < 1e-12
+            seen[r[col]] = (s + r[3], n + 1)
+    new = stats.transform(spark.createDataFrame([(1, "a", "x"), (2, "new", None)], "id long, c string, k string"), "id").orderBy("id").collect()
+    s, n = seen["x"]
+    assert abs(new[0].k_ts - (s + prior) / (n + 1)) < 1e-12 and new[1].c_ts == new[1].k_ts == pytest.approx(prior)
+
+
+def test_kernel_machine_equals_exact_solver_and_separates_a_ring(spark, tmp_path):
+    from casewise.operators import kernel_svc as KS
+    rng = np.random.default_rng(2)
+    r, a = np.where(np.arange(200) % 2, 1.0, 3.0) + 0.3 * rng.normal(size=200), rng.uniform(0, 2 * np.pi, 200)
+    x, y = np.column_stack([r * np.cos(a), r * np.sin(a)]), (np.arange(200) % 2).astype(int)
+    df = spark.createDataFrame([(i, [float(v) for v in x[i]], int(y[i])) for i in range(200)], "case_id long, features array<double>, label int")
+    m = KS.fit(df, C=1.0, gamma=0.5, landmarks=200)
+    got = np.array([v.f for v in df.withColumn("f", m.margin(F.col("features"))).orderBy("case_id").collect()])
+    # the kernel machine itself: f = K a + b, a = 2 C y slack (squared hinge), solved by fixed active sets
+    k, t = KS.kernel(x, x, 0.5), 2.0 * y - 1
+    active = np.ones(200, bool)
+    for _ in range(100):
+        s = np.flatnonzero(active)
+        big = np.block([[k[np.ix_(s, s)] + np.eye(len(s)) / 2.0, np.ones((len(s), 1))], [np.ones((1, len(s))), np.zeros((1, 1))]])
+        sol = np.linalg.solve(big, np.append(t[s], 0))
+        f = k[:, s] @ sol[:-1] + sol[-1]
+        now = t * f < 1
+        if (now == active).all():
+            break
+        active = now
+    assert np.abs(got - f).max() < 1e-4
+    assert ((got > 0) == y).all()
+    few = KS.fit(df, C=1.0, gamma=0.5, landmarks=40)
+    assert ((scores(few, df) > 0.5) == y).mean() > 0.97
+    m.save(str(tmp_path / "s"))
+    assert np.abs(scores(KS.KernelSvcModel.load(spark, str(tmp_path / "s")), df) - scores(m, df)).max() < 1e-12
