@@ -17,10 +17,12 @@ import numpy as np
 from casewise.llm.common import worker_state
 
 #: Chunks, and characters of chunks, kept per worker; beyond it the memory starts anew.  Bounds memory, never results.
-MEMORY = 700_000
-MEMORY_CHARS = 30_000_000
+MEMORY = 350_000
+MEMORY_CHARS = 15_000_000
 #: Chunks looked up before their ids are gathered.  Bounds memory, never results.
 GATHER = 300_000
+#: Pieces of up to three characters whose ids are kept for good.
+SHORT = 50_000
 
 
 def _byte_letters() -> dict[int, str]:
@@ -42,6 +44,19 @@ _ODD = re.compile(r"\s\s|[\x1c-\x1f]|^\s|\s$")
 _CONTROL = re.compile("[\x1c-\x1f]")
 
 
+class Numbers(dict):
+    """chunk -> its number; a chunk not met before gets the next one and is listed in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        n = self[chunk] = len(self)
+        self.new.append(chunk)
+        return n
+
+
 class ChunkEncoder:
     """``encode(texts)``: one int32 array of ids per text, equal to the library's without special tokens added.
 
@@ -57,16 +72,16 @@ class ChunkEncoder:
         self.kind, self.rule = kind, _RULES[kind]
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.short: dict[str, list[int]] = {}
         self.letters = str.maketrans({chr(b): c for b, c in LETTERS.items()})
         self._forget()
 
     def _forget(self) -> None:
-        """known: chunk -> its number; the numbers' ids are in ``ids``, those not yet there in ``fresh``."""
-        self.known: dict[str, int] = {}
-        self.chars = 0
-        self.lengths, self.fresh, self.at, self.ids = [], [], 0, np.empty(0, np.int32)
+        """The ids of chunk n are ``sizes[n]`` entries of ``ids`` from ``starts[n]`` on."""
+        self.known, self.chars = Numbers(), 0
+        self.sizes, self.starts, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)
 
-    def _bounded(self) -> dict[str, int]:
+    def _bounded(self) -> Numbers:
         """The memory of chunks, begun anew if it has grown too large (no look-up may be pending)."""
         if len(self.known) > MEMORY or self.chars > MEMORY_CHARS:
             self._forget()
@@ -81,16 +96,22 @@ class ChunkEncoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)
 
     def chunk_ids(self, chunk: str) -> list[int]:
-        try:
-            chunk.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.library.encode(chunk, add_special_tokens=False).ids
+        if not chunk.isascii():
+            try:
+                chunk.encode("latin-1")
+            except UnicodeEncodeError:
+                return self.library.encode(chunk, add_special_tokens=False).ids
         out: list[int] = []
         for piece in self.rule.findall(chunk.lower() if self.kind == "word" else chunk):
-            raw = piece if piece.isascii() else piece.encode().decode("latin-1")
-            if self.kind == "byte" or not piece.isascii() or not piece.isprintable():
-                raw = raw.translate(self.letters)
-            out += [t.id for t in self.model.tokenize(raw)]
+            ids = self.short.get(piece)
+            if ids is None:
+                raw = piece if piece.isascii() else piece.encode().decode("latin-1")
+                if self.kind == "byte" or not piece.isascii() or not piece.isprintable():
+                    raw = raw.translate(self.letters)
+                ids = [t.id for t in self.model.tokenize(raw)]
+                if len(piece) < 4 and len(self.short) < SHORT:
+                    self.short[piece] = ids
+            out += ids
         return out
 
     def _chunks(self, text: str) -> list[str] | None:
@@ -105,7 +126,8 @@ class ChunkEncoder:
             except UnicodeEncodeError:
                 return text.split()
             return text.lower().split()
-        if _ODD.search(text):
+        words = text.split()
+        if " ".join(words) != text and _ODD.search(text):
             return self._loose_chunks(text)
         first, *rest = text.split(" ")
         return [first, *[" " + x for x in rest]] if rest else [first]
@@ -129,34 +151,38 @@ class ChunkEncoder:
             if chunks is None:
                 out.append(self.whole(text))
                 continue
-            try:
-                places = [known[c] for c in chunks]
-            except KeyError:
-                for c in chunks:
-                    if c not in known:
-                        ids = self.chunk_ids(c)
-                        known[c] = len(self.lengths)
-                        self.chars += len(c)
-                        self.lengths.append(len(ids))
-                        self.fresh.append(ids)
-                places = [known[c] for c in chunks]
-            todo.append((len(out), np.array(places, np.int32)))
+            todo.append((len(out), np.fromiter(map(known.__getitem__, chunks), np.int32, len(chunks))))
             out.append(None)
-            held += len(places)
+            held += len(chunks)
             if held > GATHER:
                 out, todo, held = self._gather(out, todo), [], 0
                 known = self._bounded()
         return self._gather(out, todo)
 
+    def _learn(self) -> None:
+        """Encodes the chunks met for the first time."""
+        new, self.known.new = self.known.new, []
+        self.chars += sum(map(len, new))
+        tokenize, lead = self.model.tokenize, LETTERS[0x20]
+        ids: list[int] = []
+        ends: list[int] = []
+        for c in new:
+            word = c[1:] if self.kind == "byte" else c
+            if word.isalpha() and word.isascii() and (self.kind == "word" or c[0] == " "):
+                # a plain word is one piece, its letters stand for themselves
+                ids += [t.id for t in tokenize(lead + word if self.kind == "byte" else word.lower())]
+            else:
+                ids += self.chunk_ids(c)
+            ends.append(len(ids))
+        end = np.array(ends, np.int64)
+        start = np.concatenate([[0], end[:-1]])
+        self.starts = np.concatenate([self.starts, len(self.ids) + start])
+        self.sizes = np.concatenate([self.sizes, end - start])
+        self.ids = np.concatenate([self.ids, np.array(ids, np.int32)])
+
     def _gather(self, out: list, todo: list) -> list[np.ndarray]:
-        if not todo:
-            return out
-        if self.at != len(self.lengths):
-            self.sizes = np.array(self.lengths, np.int64)
-            self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-            new = np.fromiter((i for ids in self.fresh for i in ids), np.int32)
-            self.ids = np.concatenate([self.ids, new])
-            self.fresh, self.at = [], len(self.lengths)
+        if self.known.new:
+            self._learn()
         for at, places in todo:
             n = self.sizes[places]
             before = np.cumsum(n) - n
