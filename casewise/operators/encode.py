@@ -214,51 +214,98 @@ class YeoJohnsonModel(Model, _Cols, DefaultParamsReadable, DefaultParamsWritable
         return _with(df, pairs, exprs)
 
 
+GOLDEN = (3 - math.sqrt(5)) / 2
+
+
+def parabolic_search(low: float, high: float, far: float, tolerance: float = 1e-8):
+    """Brent's method as a coroutine: yields a point, is sent its value, returns the point of the greatest value.
+
+    The bracket first moves outward until its middle is no lower than its ends (ValueError beyond
+    ``far``); then each step tries the vertex of the parabola through the three best points, or a golden
+    section where that would leave the bracket or does not shrink the steps.
+    """
+    middle = (low + high) / 2
+    at = {}
+    while True:
+        for x in (low, middle, high):
+            if x not in at:
+                value = yield x
+                at[x] = -math.inf if value is None or math.isnan(value) else value
+        if at[middle] >= max(at[low], at[high]):
+            break
+        if max(abs(low), abs(high)) > far:
+            raise ValueError("no maximum at a finite exponent")
+        if at[low] > at[high]:
+            low, middle, high = low - 2 * (high - low), low, middle
+        else:
+            low, middle, high = middle, high, high + 2 * (high - low)
+    best, second, third = sorted(((at[x], x) for x in (low, middle, high)), key=lambda p: (p[1] != middle, -p[0]))
+    step = before = high - low
+    while True:
+        x, centre = best[1], (low + high) / 2
+        least = tolerance * abs(x) + tolerance / 10
+        if abs(x - centre) + (high - low) / 2 <= 2 * least:
+            return x
+        move = None
+        if abs(before) > least:
+            r, q = (x - second[1]) * (best[0] - third[0]), (x - third[1]) * (best[0] - second[0])
+            p, q = (x - third[1]) * q - (x - second[1]) * r, 2 * (q - r)
+            if q and math.isfinite(p / q) and abs(p / q) < abs(before) / 2 and low < x - p / q < high:
+                move = -p / q
+                if min(x + move - low, high - x - move) < 2 * least:
+                    move = math.copysign(least, centre - x)
+        before, step = step, move
+        if move is None:
+            before = (low if x >= centre else high) - x
+            step = move = GOLDEN * before
+        new = x + (move if abs(move) >= least else math.copysign(least, move))
+        value = yield new
+        value = -math.inf if value is None or math.isnan(value) else value
+        if value >= best[0]:
+            low, high = (x, high) if new >= x else (low, x)
+            best, second, third = (value, new), best, second
+        else:
+            low, high = (low, new) if new >= x else (new, high)
+            if value >= second[0] or second[1] == x:
+                second, third = (value, new), second
+            elif value >= third[0] or third[1] in (x, second[1]):
+                third = (value, new)
+
+
 class YeoJohnson(Estimator, _Cols, DefaultParamsReadable, DefaultParamsWritable):
-    """Maximum-likelihood lambda per column by grid refinement (one aggregate
-    pass per round), then optional standardisation.  The first window is
-    [-2, 2]; while the optimum sits on its edge the window moves outward, then
-    each round narrows it around the best candidate."""
+    """Maximum-likelihood lambda per column by Brent's method, then optional standardisation.
+
+    The searches of all columns go side by side: one aggregate evaluates the next point of each."""
 
     standardize = Param(Params._dummy(), "standardize", "standardise psi", TypeConverters.toBoolean)
-    rounds = Param(Params._dummy(), "rounds", "refinement rounds", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, inputCols=None, outputCols=None, standardize=True, rounds=4):
+    def __init__(self, inputCols=None, outputCols=None, standardize=True):
         super().__init__()
-        self._setDefault(standardize=True, rounds=4)
+        self._setDefault(standardize=True)
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
         cols = self.getInputCols()
-        # the narrow columns are stored once; every round reads them alone
+        # the narrow columns are stored once; every step reads them alone
         src = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
         constants = yeo_johnson_constants(src, cols)
-        centre = {c: 0.0 for c in cols}
-        half = {c: 2.0 for c in cols}
-        points = 41
-        shrinks = 0
-        while shrinks < self.getOrDefault(self.rounds):
-            step = {c: 2 * half[c] / (points - 1) for c in cols}
-            grid = {c: [centre[c] - half[c] + k * step[c] for k in range(points)] for c in cols}
-            llf = yeo_johnson_llf(src, cols, grid, constants).collect()  # cols x points numbers
-            edge = False
-            for c in cols:
-                cand = [(r["llf"], -r["lambda"], r["lambda"]) for r in llf
-                        if r["column"] == c and r["llf"] is not None and not math.isnan(r["llf"])]
-                if not cand:
-                    continue
-                best = max(cand)[2]
-                at_edge = abs(best - grid[c][0]) < 1e-12 or abs(best - grid[c][-1]) < 1e-12
-                centre[c] = best
-                if at_edge and shrinks == 0:
-                    edge = True  # optimum beyond the window: move it there and widen it
-                    half[c] *= 2
-                    if abs(best) > LAMBDA_FAR:
-                        raise ValueError(f"the likelihood of {c!r} has no maximum at a finite exponent")
-                else:
-                    half[c] = step[c]
-            shrinks += not edge
+        found = {c: 1.0 for c in cols}  # a column without two different values keeps its values
+        spread = src.agg(*[(F.min(f"`{c}`") < F.max(f"`{c}`")).alias(f"s{i}") for i, c in enumerate(cols)]).first()
+        searches = {c: parabolic_search(-2.0, 2.0, LAMBDA_FAR) for i, c in enumerate(cols) if spread[f"s{i}"]}
+        ask = {c: next(s) for c, s in searches.items()}
+        while ask:
+            llf = yeo_johnson_llf(src, list(ask), {c: [x] for c, x in ask.items()}, constants).collect()  # one number a column
+            value = {r["column"]: r["llf"] for r in llf}
+            for c in list(ask):
+                try:
+                    ask[c] = searches[c].send(value.get(c))
+                except StopIteration as end:
+                    found[c] = end.value
+                    del ask[c]
+                except ValueError as e:
+                    raise ValueError(f"the likelihood of {c!r} has {e}") from None
+        centre = found
         lambdas = [centre[c] for c in cols]
         means, stds = _scale_stats(src, {c: yeo_johnson(F.col(c), l) for c, l in zip(cols, lambdas)})
         m = YeoJohnsonModel()

@@ -178,13 +178,41 @@ def q_yeo_johnson_llf(spark, sf_dir):
     return out.select("column", "lambda", dround(F.col("llf"), 4).alias("llf"))
 
 
-@register("yeo_johnson_fit")
+def power_ctes(stacked: str, reach: float = 8.0) -> dict[str, str]:
+    """CTEs that find each column's best exponent in SQL: bisection on the derivative of the likelihood
+    (from ends that do not halve to 0 or 2, where the formulas have a gap).
+
+    ``stacked`` selects ("column", value); ``yj_best`` then holds ("column", lambda).
+    """
+    g = "(exp(e * l) - 1) / e"
+    slope = "(exp(e * l) * (e * l - 1) + 1) / (e * e)"
+    return {
+        "yj_rows": f"SELECT \"column\" AS c, value >= 0 AS up, ln(1 + abs(value)) AS l FROM ({stacked}) WHERE value IS NOT NULL",
+        "yj_sums": "SELECT c, count(*) AS n, sum(CASE WHEN up THEN l ELSE -l END) AS k FROM yj_rows GROUP BY c",
+        "yj_steps": f"""SELECT c, -{0.9 * reach!r}::DOUBLE AS lo, {1.1 * reach!r}::DOUBLE AS hi, 0 AS step FROM yj_sums UNION ALL
+  SELECT c, CASE WHEN d > 0 THEN mid ELSE lo END, CASE WHEN d > 0 THEN hi ELSE mid END, step + 1 FROM (
+    SELECT c, lo, hi, mid, step, k - n * covar_pop(t, u) / var_pop(t) AS d FROM (
+      SELECT c, lo, hi, mid, step, n, k, CASE WHEN up THEN {g} ELSE -({g}) END AS t, {slope} AS u FROM (
+        SELECT s.c, lo, hi, (lo + hi) / 2 AS mid, step, n, k, up, l,
+               CASE WHEN up THEN (lo + hi) / 2 ELSE 2 - (lo + hi) / 2 END AS e
+        FROM yj_steps s JOIN yj_rows r ON r.c = s.c JOIN yj_sums m ON m.c = s.c WHERE step < 45))
+    GROUP BY c, lo, hi, mid, step, n, k)""",
+        "yj_best": "SELECT c AS \"column\", (lo + hi) / 2 AS \"lambda\" FROM yj_steps WHERE step = 45"}
+
+
+def recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("yeo_johnson_fit", recursive(S.with_cases(
+    'SELECT "column", round("lambda", 4) AS "lambda" FROM yj_best',
+    **power_ctes(" UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS DOUBLE) AS value FROM cases" for c in ("no_of_employees", "prevailing_wage"))))))
 def q_yeo_johnson_fit(spark, sf_dir):
-    """maximum-likelihood lambda per column (grid refinement)."""
+    """maximum-likelihood lambda per column by Brent's method."""
     cols = ["no_of_employees", "prevailing_wage"]
     m = EN.YeoJohnson(inputCols=cols).fit(cases_view(spark, sf_dir))
     lam = m.getOrDefault(m.lambdas)
-    return spark.createDataFrame(list(zip(cols, lam)), "column string, lambda double")
+    return spark.createDataFrame([(c, round(x, 4)) for c, x in zip(cols, lam)], "column string, lambda double")
 
 
 @register("yeo_johnson_apply", S.with_cases(

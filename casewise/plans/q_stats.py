@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from casewise.operators import stats as ST
 from casewise.plans import sql as S
 from casewise.plans.catalog import register
-from casewise.plans.common import r6
+from casewise.plans.common import dround, r6
+from casewise.plans.q_features import power_ctes, recursive
 from casewise.plans.q_metrics import SCORED, scored
 from casewise.plans.q_profile import stack_sql
 from casewise.sources.views import CATEGORICAL, NUMERIC, cases_nulls
@@ -58,10 +59,18 @@ def q_chi2_statistic(spark, sf_dir):
     return out.select("column", r6("statistic"), "dof")
 
 
-@register("chi2_independence")
+# upper tail of the chi-square distribution: one less the series of the lower incomplete gamma function
+_CHI2_TAIL = """1 - CASE WHEN statistic <= 0 THEN 0 ELSE list_sum(list_transform(range(2000), lambda k: exp(
+    (dof / 2.0 + k) * ln(statistic / 2) - statistic / 2 - lgamma(dof / 2.0 + k + 1)))) END"""
+
+
+@register("chi2_independence", f"""SELECT "column", round(statistic, 6) AS statistic, dof, round(p, 6) AS p_value, CASE WHEN p < 0.05 THEN 'Reject null Hypothesis'
+       ELSE 'Fail to reject null Hypothesis' END AS hypothesis
+FROM (SELECT *, {_CHI2_TAIL} AS p FROM ({_chi2_sql().replace('round(sum(CASE', '(sum(CASE').replace('END), 6) AS statistic', 'END)) AS statistic')}))""")
 def q_chi2_independence(spark, sf_dir):
-    """D21 with p-value and decision (the p-value has no SQL twin)."""
-    return ST.chi2_independence(_labelled(spark, sf_dir), CATEGORICAL, "case_status")
+    """D21 with p-value and decision."""
+    out = ST.chi2_independence(_labelled(spark, sf_dir), CATEGORICAL, "case_status")
+    return out.select("column", r6("statistic"), "dof", r6("p_value"), "hypothesis")
 
 
 _BINS = 20
@@ -143,15 +152,23 @@ def q_kde(spark, sf_dir):
     return out.select("label", "point", r6("x"), r6("density"))
 
 
-@register("skewness_after_power")
+_POWERED = stack_sql(NUMERIC, cast="DOUBLE")
+
+
+@register("skewness_after_power", recursive(S.with_cases(
+    """SELECT "column", round(skewness(CASE WHEN value >= 0 THEN (pow(1 + value, "lambda") - 1) / "lambda"
+         ELSE -(pow(1 - value, 2 - "lambda") - 1) / (2 - "lambda") END), 3) AS skew
+FROM s JOIN yj_best USING ("column") WHERE value IS NOT NULL GROUP BY 1""", nulls=True,
+    s=_POWERED, **power_ctes("SELECT * FROM s", 30.0))))
 def q_skewness_after_power(spark, sf_dir):
-    """D20 after the power transform: skew of the Yeo-Johnson outputs (lambda
-    fitted per column by maximum likelihood)."""
+    """D20 after the power transform: skew of the Yeo-Johnson outputs (lambda fitted per
+    column by maximum likelihood; years lie so close together that it is flat there: 3 digits)."""
     from casewise.operators.encode import YeoJohnson
     df = cases_nulls(spark, sf_dir).select(*NUMERIC)
     out = [f"{c}_pow" for c in NUMERIC]
     tr = YeoJohnson(inputCols=list(NUMERIC), outputCols=out).fit(df).transform(df)
-    return ST.skewness(tr.select(*out), out).select("column", r6("skew"))
+    skew = ST.skewness(tr.select(*out), out)
+    return skew.select(F.regexp_replace("column", "_pow$", "").alias("column"), dround(F.col("skew"), 3).alias("skew"))
 
 
 @register("histogram_year_40", S.with_cases(

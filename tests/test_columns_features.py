@@ -144,3 +144,22 @@ def test_wage_model_save_load_without_region(spark, tmp_path):
     a = sorted(r.wage_vs_continent_median for r in m.transform(df).collect())
     b = sorted(r.wage_vs_continent_median for r in back.transform(df).collect())
     assert a == b and back.region_medians is None
+
+
+@pytest.mark.parametrize("f, best", [
+    (lambda x: -(x - 0.3) ** 2, 0.3), (lambda x: -abs(x - 17.5), 17.5), (lambda x: -math.cosh((x + 40) / 9), -40.0),
+    (lambda x: float("nan") if x > 1 else -(x - 0.9) ** 4, 0.9), (lambda x: math.log(x + 3) - x, -2.0)])
+def test_parabolic_search_finds_the_maximum(f, best):
+    from casewise.operators.encode import parabolic_search
+    search = parabolic_search(-2.0, 2.0, 1e4)
+    x, asked = next(search), 0
+    try:
+        while True:
+            x, asked = search.send(f(x)), asked + 1
+    except StopIteration as end:
+        assert abs(end.value - best) < (1e-3 if best == 0.9 else 2e-6) and asked < 90
+    with pytest.raises(ValueError, match="no maximum"):
+        search = parabolic_search(-2.0, 2.0, 1e4)
+        x = next(search)
+        while True:
+            x = search.send(x)
