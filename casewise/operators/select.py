@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casewise.functions.columns import drop_columns, label_filter_map
-from casewise.operators import boosting, forests
+from casewise.operators import boosting, forests, kernel_svc
 from casewise.operators import encode as EN
 from casewise.operators import metrics as M
 from casewise.operators.binned import Bins, as_array, matrix, width_of
@@ -294,7 +294,7 @@ class Bundle:
             for i, (tree, _) in enumerate(m.model.stumps):
                 tree.write().overwrite().save(f"{path}/model/stump_{i}")
             extra = {"alphas": [a for _, a in m.model.stumps]}
-        elif m.name in FORESTS + BOOSTERS:
+        elif m.name in FORESTS + BOOSTERS + ("kernel_svc",):
             m.model.save(f"{path}/model/trees")
             extra = {}
         else:
@@ -324,8 +324,8 @@ class Bundle:
         elif name == "adaboost":
             model = AdaBoostModel([(C.DecisionTreeClassificationModel.load(f"{path}/model/stump_{i}"), a)
                                    for i, a in enumerate(extra["alphas"])])
-        elif name in FORESTS + BOOSTERS:
-            kind = forests.ForestModel if name in FORESTS else boosting.BoostedModel
+        elif name in FORESTS + BOOSTERS + ("kernel_svc",):
+            kind = {"kernel_svc": kernel_svc.KernelSvcModel}.get(name, forests.ForestModel if name in FORESTS else boosting.BoostedModel)
             model = kind.load(spark, f"{path}/model/trees")
         else:
             model = getattr(C, extra["class"]).load(f"{path}/model/spark")

@@ -10,7 +10,9 @@ import os
 
 from pyspark.sql import functions as F
 
+from casewise.functions.columns import label_filter_map
 from casewise.operators import select as SL
+from casewise.operators.target_stats import fit_category_boosted, ordered_target_stats
 from casewise.plans.catalog import register
 from casewise.plans.common import AS_OF_YEAR, r6, run_dir
 from casewise.session import checkpoint_dir
@@ -41,10 +43,42 @@ def _model_query(name):
 
 
 for _name in ["logreg", "random_forest", "extra_trees", "knn", "hgb", "decision_tree",
-              "gradient_boosting", "linear_svc", "adaboost", "xgboost"]:
+              "gradient_boosting", "linear_svc", "kernel_svc", "adaboost", "xgboost"]:
     register(f"model_{_name}")(_model_query(_name))
 
 
+NUMBERS = ["no_of_employees", "prevailing_wage", "yr_of_estab"]
+
+
+def _labelled(spark, sf_dir):
+    return label_filter_map(cases_view(spark, sf_dir), "case_status", POSITIVE, NEGATIVE)
+
+
+def _target_stats_sql() -> str:
+    from casewise.plans import sql as S
+    before = "OVER (PARTITION BY {c} ORDER BY md5('42|' || case_id), case_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    cols = [f"round((coalesce(sum(label) {before.format(c=c)}, 0) + prior) / (count(*) {before.format(c=c)} + 1), 6) AS {c}_ts" for c in SL.CATEGORICAL]
+    lab = "upper(trim(case_status))"
+    return S.with_cases(f"SELECT case_id, {', '.join(cols)} FROM lab, (SELECT avg(label) AS prior FROM lab)",
+                        lab=f"SELECT *, CAST({lab} = 'F' AS INTEGER) AS label FROM cases WHERE {lab} IN ('F', 'O')")
+
+
+@register("ordered_target_stats", _target_stats_sql())
+def q_ordered_target_stats(spark, sf_dir):
+    """M9: each case's category means over the cases before it in a hashed order."""
+    out, _ = ordered_target_stats(_labelled(spark, sf_dir), SL.CATEGORICAL, "label", "case_id")
+    return out.select("case_id", *[r6(f"{c}_ts") for c in SL.CATEGORICAL])
+
+
+@register("model_catboost")
+def q_model_catboost(spark, sf_dir):
+    """M9: symmetric boosted trees over ordered target statistics, fitted on the train rows, scored on the test rows."""
+    prep, raw = prepared(spark, sf_dir), _labelled(spark, sf_dir)
+    train, test = (raw.join(side.select("case_id"), "case_id") for side in (prep.train, prep.test))
+    out = fit_category_boosted(train, SL.CATEGORICAL, NUMBERS, "label", "case_id").score(test, "case_id")
+    return out.join(test.select("case_id", "label"), "case_id").select("case_id", "label", r6("score"), (F.col("score") >= 0.5).cast("int").alias("pred"))
+
+
 def _prepare_sql(extra_numeric: int, with_split: bool) -> str:
     """Oracle twin: split + label filter, width = train-fold category counts
     (one-hot blocks) + routed numeric columns."""
@@ -120,7 +154,7 @@ def q_model_leaderboard(spark, sf_dir):
     """Every family fitted, train/test metrics, best test accuracy first."""
     return SL.leaderboard(prepared(spark, sf_dir),
                           ["logreg", "decision_tree", "random_forest", "extra_trees", "gradient_boosting", "hgb",
-                           "linear_svc", "adaboost", "knn", "xgboost"])
+                           "linear_svc", "kernel_svc", "adaboost", "knn", "xgboost", "catboost"])
 
 
 @register("learning_curve")
