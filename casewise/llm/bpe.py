@@ -74,7 +74,7 @@ class TreeEncoder:
 
     @classmethod
     def get(cls, path: str) -> TreeEncoder:
-        return worker_state(f"tree_{path}", lambda: cls(path))
+        return worker_state(f"tree_{path}", lambda: cls(path), "tokens")
 
     def text(self, ids: list[int]) -> bytes:
         return b"".join(map(self.table.__getitem__, ids))

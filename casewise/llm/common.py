@@ -24,12 +24,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def worker_state(name: str, make):
-    """``make()`` once per Python worker process, kept for the worker's later tasks."""
+def worker_state(name: str, make, family: str | None = None):
+    """``make()`` once per Python worker process, kept for the worker's later tasks.
+
+    A worker keeps the states of one ``family`` (by default the name itself) at a time: asking for
+    another one lets them go, so that a later stage does not carry the memory of an earlier one.
+    """
     keep = sys.modules.setdefault("_casewise_worker_state", types.ModuleType("_casewise_worker_state"))
-    if not hasattr(keep, name):
-        setattr(keep, name, make())
-    return getattr(keep, name)
+    held = keep.__dict__.setdefault("states", {})
+    family = family or name
+    for other in [k for k in held if k[0] != family]:
+        del held[other]
+    if (family, name) not in held:
+        held[family, name] = make()
+    return held[family, name]
 
 
 def id_fold(id_col: str, folds: int) -> Column:

@@ -90,7 +90,7 @@ class ChunkEncoder:
     @classmethod
     def get(cls, path: str, kind: str) -> ChunkEncoder:
         """This worker's encoder for the file."""
-        return worker_state(f"encoder_{kind}_{path}", lambda: cls(path, kind))
+        return worker_state(f"encoder_{kind}_{path}", lambda: cls(path, kind), "tokens")
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.int32)

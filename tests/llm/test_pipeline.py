@@ -49,7 +49,7 @@ def test_stages_against_brute_force(spark):
 def test_run_and_registration(spark):
     import __spark_entry__ as E
     names = set(E.queries())
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n in queries.QUERIES} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n in queries.QUERIES} == set(range(1, 14))
     out = C.run(spark, SF)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() > 100
     assert simhash.FAN > 1
