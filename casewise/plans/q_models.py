@@ -15,7 +15,6 @@ from casewise.operators import select as SL
 from casewise.operators.target_stats import fit_category_boosted, ordered_target_stats
 from casewise.plans.catalog import register
 from casewise.plans.common import AS_OF_YEAR, r6, run_dir
-from casewise.session import checkpoint_dir
 from casewise.sources.views import NEGATIVE, POSITIVE, cases_view
 
 _PREPARED: dict = {}
