@@ -4,6 +4,13 @@ Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor k
 returns a DataFrame, which is written as Parquet to the shared folder and read again as
 the next stage's input.  All stages but the last return the columns of ``documents``; the
 last adds each document's slot and place in the mix, and ``run`` returns its rows in that order.
+
+Defined edge cases: a null, empty or letterless text goes in the first stage; without a single
+labelled language every document goes there, and without labels of both kinds toxicity keeps all
+documents or none, by the labels' one value (none at all: all stay); of repeated rows near-duplicate
+removal keeps one; null ids and null sources take part; very long texts are scored and encoded whole;
+an empty table gives an empty result at every stage; further columns, whatever their names, come
+through the first four stages as they were.
 """
 
 from __future__ import annotations
@@ -24,15 +31,25 @@ TOXIC = 0.7
 RESULT = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` is called so in any case of letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = langid.predict(docs, langid.fit(docs), pred="pipeline_lang", score="pipeline_score")
-    kept = found.filter((F.col("pipeline_lang") != langid.UNKNOWN) & (F.col("pipeline_score") >= LEAST_LANGUAGE_SCORE))
-    return kept.select(*docs.columns)
+    lang, score = fresh(docs, "pipeline_lang"), fresh(docs, "pipeline_score")
+    found = langid.predict(docs, langid.fit(docs), pred=lang, score=score)
+    kept = found.filter((F.col(lang) != langid.UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE))
+    return kept.drop(lang, score)
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score(docs, model, out="pipeline_score").filter(F.col("pipeline_score") < TOXIC).select(*docs.columns)
+    score = fresh(docs, "pipeline_score")
+    return toxicity.score(docs, model, out=score).filter(F.col(score) < TOXIC).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +58,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows, in the order of the mix."""
-    return pfair.in_order(pfair.mix(docs)).select(*docs.columns)
+    own = [f"in_{i}" for i in range(len(docs.columns))]
+    at = dict(zip(docs.columns, own, strict=True))
+    mixed = pfair.mix(docs.toDF(*own), id_col=at["doc_id"], source_col=at["source"])
+    return pfair.in_order(mixed).select(*own).toDF(*docs.columns)
 
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +70,8 @@ def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The mix is a function of the rows, so it is taken again here, on the short rows: files
     are not read in the order in which they were written.
     """
-    rows = docs.withColumn("row_hash", F.xxhash64(*docs.columns))
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select("doc_id", "source", "text", whole.alias("row_hash"))
     out = bpe.encode_decode(rows, BYTE_BPE, keep=["doc_id", "source", "row_hash"])
     out = out.select("doc_id", "source", "row_hash", F.size("ids").cast("long").alias("n_tokens"),
                      F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
