@@ -170,7 +170,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for part, base, keys, image in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 s = Shard(image)
-                cuts = s.boundaries()
+                cuts = np.fromiter((s.boundary(i) for i in range(s.docs + 1)), np.int64, s.docs + 1)
                 raw = memoryview(s.ids.astype("<u4").tobytes())
                 ids = [raw[4 * x:4 * y] for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(

@@ -74,3 +74,19 @@ def test_mix_of_repeated_ids_is_the_mixing_stages(spark):
     stage = sorted(map(tuple, pfair.mix(docs).select("slot", "place", "doc_id", sha).collect()), key=str)
     tokens = C.bpe_tokens(spark, C.stored(docs, "repeated"), SF).select("slot", "place", "doc_id", "decoded_sha256")
     assert sorted(map(tuple, tokens.collect()), key=str) == stage
+
+
+def test_stages_keep_clashing_columns_and_empty_tables(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["pipeline_lang", "Pipeline_Score", "block", "slot", "place", "row_hash", "h", "a.b"]
+    odd = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id")).alias(n) for n in names])
+    odd = odd.unionByName(odd.filter("doc_id % 9 = 0"))  # repeated rows
+    empty = odd.limit(0)
+    for name, stage in C.STAGES:
+        odd, empty = C.stored(stage(spark, odd, SF), name), C.stored(stage(spark, empty, SF), f"{name}-empty")
+        assert empty.count() == 0 and empty.columns == odd.columns
+        if name != "bpe_tokens":
+            assert odd.columns == [*docs.columns, *names]
+            assert all(r[n] == f"{n}:{r.doc_id}" for r in odd.collect() for n in names)
+    ids = [r.doc_id for r in odd.collect()]
+    assert len(ids) == len(set(ids)) > 100
