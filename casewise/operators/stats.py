@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from numpy.polynomial.hermite import herm2poly
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -178,22 +179,24 @@ def box_stats(df: DataFrame, group: str, value: str, whis: float = 1.5) -> DataF
 
 # --- D25 ------------------------------------------------------------------
 def kde(df: DataFrame, value: str, by: str | None = None, grid: int = 200, cut: float = 3.0,
-        resolution: int = 16, common_norm: bool = False) -> DataFrame:
+        common_norm: bool = False, terms: int = 12, reach: float = 7.5) -> DataFrame:
     """Gaussian KDE (Scott bandwidth = sample std * n^(-1/5)) on ``grid``
     points spanning min - cut*bw .. max + cut*bw.
 
-    The data are first counted in bins of width bw / ``resolution``, so the binning
-    error is tied to the smoothing (under 1e-3 of the density) and an outlier only
-    adds a bin; only bins that hold data exist.  ``common_norm``
+    A fast Gauss transform: the rows of a bucket of half a bandwidth are summed up as ``terms``
+    power sums around its centre, and a bucket's Hermite series is evaluated at the points
+    within ``reach`` bandwidths.  With a kernel's peak as unit, the series errs by less than
+    0.25^terms / sqrt(terms!) (3e-12) and what lies out of reach by exp(-reach^2 / 2) (6e-13),
+    whatever the data; the work after the one pass over the rows is (buckets x points in
+    reach), so an outlier adds one bucket and a few points.  ``common_norm``
     scales each group's density by its share of the rows (the groups then
     integrate to 1 together).
     """
-    ids = [by] if by else []
+    keys = [by] if by else []
     x = F.col(value).cast("double")
-    src = df.select(*ids, x.alias("__x")).where(F.col("__x").isNotNull())
+    src = df.select(*keys, x.alias("__x")).where(F.col("__x").isNotNull())
     if by:
         src = src.where(F.col(by).isNotNull())
-    keys = ids if ids else []
     st = src.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("__x").alias("lo"),
                                 F.max("__x").alias("hi"), F.stddev_samp("__x").alias("sd"))
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
@@ -209,20 +212,31 @@ def kde(df: DataFrame, value: str, by: str | None = None, grid: int = 200, cut:
         stat = {c: F.lit(row[c]) for c in ("n", "lo", "hi", "bw")}
         attach = lambda d: d
     n, lo, hi, bw = stat["n"], stat["lo"], stat["hi"], stat["bw"]
-    width = bw / F.lit(float(resolution))
-    binned = attach(src).withColumn("__b", F.floor((F.col("__x") - lo) / width)) \
-        .groupBy(*keys, "__b").agg(F.count(F.lit(1)).alias("__c"))
-    binned = attach(binned)
-    centre = lo + (F.col("__b") + F.lit(0.5)) * width
+    centre = lo + (F.col("__b") + F.lit(0.5)) * (bw / F.lit(2.0))
+    u = (F.col("__x") - centre) / (bw * F.lit(math.sqrt(2)))
+    sums = attach(src).withColumn("__b", F.floor((F.col("__x") - lo) / (bw / F.lit(2.0)))).withColumn("__u", u) \
+        .groupBy(*keys, "__b").agg(*[F.sum(F.pow("__u", F.lit(float(p)))).alias(f"__s{p}") for p in range(terms)])
+    # sum_p s_p / p! H_p(v) as a polynomial in v
+    hermite = [herm2poly([0.0] * p + [1.0]) / math.factorial(p) for p in range(terms)]
+    sums = sums.select(*keys, "__b", *[
+        sum((F.col(f"__s{p}") * F.lit(float(hermite[p][q])) for p in range(q, terms) if hermite[p][q]), F.lit(0.0)).alias(f"__a{q}")
+        for q in range(terms)])
     start = lo - F.lit(cut) * bw
     step = (hi - lo + F.lit(2 * cut) * bw) / F.lit(float(grid - 1))
-    pts = binned.withColumn("__g", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     gx = start + F.col("__g") * step
-    z = (gx - centre) / bw
-    dens = pts.groupBy(*keys, "__g").agg(
-        F.first(gx).alias("x"),
-        (F.sum(F.col("__c") * F.exp(F.lit(-0.5) * z * z))
-         / (F.first(n) * F.first(bw) * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
+    first = F.greatest(F.lit(0), F.ceil((centre - F.lit(reach) * bw - start) / step).cast("int"))
+    last = F.least(F.lit(grid - 1), F.floor((centre + F.lit(reach) * bw - start) / step).cast("int"))
+    near = attach(sums).withColumns({"__first": first, "__last": last}).where("__first <= __last") \
+        .withColumn("__g", F.explode(F.sequence("__first", "__last"))) \
+        .withColumn("__v", (gx - centre) / (bw * F.lit(math.sqrt(2))))
+    series = F.col(f"__a{terms - 1}")
+    for q in reversed(range(terms - 1)):
+        series = series * F.col("__v") + F.col(f"__a{q}")
+    near = near.select(*keys, "__g", (series * F.exp(-F.col("__v") * F.col("__v"))).alias("__d"))
+    points = (st if keys else df.sparkSession.range(1)).select(*keys, F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("__g"))
+    dens = near.unionByName(points.withColumn("__d", F.lit(0.0))).groupBy(*keys, "__g").agg(F.sum("__d").alias("__d"))
+    dens = attach(dens).select(*keys, "__g", gx.alias("x"), (
+        F.greatest(F.col("__d"), F.lit(0.0)) / (n * bw * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
     if common_norm and keys:  # each group's density weighted by its share of the rows
         total = st.agg(F.sum("n")).first()[0]
         shares = st.select(*keys, (F.col("n") / F.lit(float(total))).alias("__share"))

@@ -133,19 +133,16 @@ _G = 200
 
 
 @register("kde", S.with_cases(
-    f"""SELECT b.label, CAST(g.i AS INTEGER) AS point,
+    f"""SELECT s.label, CAST(g.i AS INTEGER) AS point,
        round(any_value(st.lo - 3.0 * st.bw + g.i * ((st.hi - st.lo + 6.0 * st.bw) / {_G - 1}.0)), 6) AS x,
-       round(sum(b.c * exp(-0.5 * power(((st.lo - 3.0 * st.bw + g.i * ((st.hi - st.lo + 6.0 * st.bw) / {_G - 1}.0))
-             - (st.lo + (b.b + 0.5) * (st.bw / 16.0))) / st.bw, 2)))
+       round(sum(exp(-0.5 * power(((st.lo - 3.0 * st.bw + g.i * ((st.hi - st.lo + 6.0 * st.bw) / {_G - 1}.0)) - s.score) / st.bw, 2)))
              / (any_value(st.n) * any_value(st.bw) * {math.sqrt(2 * math.pi)!r}), 6) AS density
-FROM b JOIN st ON b.label = st.label, range({_G}) g(i)
+FROM scored s JOIN st ON s.label = st.label, range({_G}) g(i)
 GROUP BY 1, 2""",
     scored=SCORED,
     st="SELECT label, n, lo, hi, sd * pow(CAST(n AS DOUBLE), -0.2) AS bw FROM "
        "(SELECT label, count(*) AS n, min(score) AS lo, max(score) AS hi, stddev_samp(score) AS sd "
-       "FROM scored GROUP BY 1)",
-    b="SELECT s.label, CAST(floor((score - st.lo) / (st.bw / 16.0)) AS BIGINT) AS b, count(*) AS c "
-      "FROM scored s JOIN st ON s.label = st.label GROUP BY 1, 2"))
+       "FROM scored GROUP BY 1)"))
 def q_kde(spark, sf_dir):
     """Gaussian density of the score per label on a 200-point grid."""
     out = ST.kde(scored(spark, sf_dir), "score", by="label", grid=_G)

@@ -1,5 +1,10 @@
 """Profiling, quantiles, prefix sums and statistics."""
 
+import math
+import random
+import statistics
+from collections import defaultdict
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -60,7 +65,7 @@ def test_kde_follows_the_bandwidth(spark):
     bw = xs.std(ddof=1) * len(xs) ** -0.2
     near = [(x, d) for x, d in out if -20 < x < 20]
     exact = [np.exp(-0.5 * ((x - xs) / bw) ** 2).sum() / (len(xs) * bw * np.sqrt(2 * np.pi)) for x, _ in near]
-    assert np.abs(np.array(exact) - [d for _, d in near]).max() < 1e-3 * max(exact)
+    assert np.abs(np.array(exact) - [d for _, d in near]).max() < 1e-10 * max(exact)
 
 
 def test_label_check_reads_all_classes(spark):
@@ -208,3 +213,23 @@ def test_kde_integrates_to_one_and_common_norm(spark):
         b = joint[joint.g == g].sort_values("point")
         assert np.trapezoid(a.density, a.x) == pytest.approx(1.0, abs=0.01)
         assert np.trapezoid(b.density, b.x) == pytest.approx(share, abs=0.01)
+
+
+def test_kde_equals_the_sum_over_rows(spark):
+    rnd = random.Random(4)
+    rows = [("a", rnd.gauss(0, 1)) for _ in range(700)] + [("a", 400.0), ("a", None), (None, 1.0)]  # an outlier far off
+    rows += [("b", rnd.expovariate(1)) for _ in range(50)] + [("b", 0.25)] * 300 + [("c", 5.0), ("c", 5.0)]  # c has no spread
+    got = defaultdict(list)
+    for r in ST.kde(spark.createDataFrame(rows, "g string, x double"), "x", by="g").orderBy("g", "point").collect():
+        got[r.g].append((r.point, r.x, r.density))
+    assert sorted(got) == ["a", "b"]
+    for g, points in got.items():
+        xs = [x for k, x in rows if k == g and x is not None]
+        bw = statistics.stdev(xs) * len(xs) ** -0.2
+        at = [min(xs) - 3 * bw + i * (max(xs) - min(xs) + 6 * bw) / 199 for i in range(200)]
+        want = [sum(math.exp(-0.5 * ((t - x) / bw) ** 2) for x in xs) / (len(xs) * bw * math.sqrt(2 * math.pi)) for t in at]
+        assert [p for p, _, _ in points] == list(range(200))
+        assert all(abs(x - t) < 1e-9 and abs(d - w) < 1e-10 / bw for (_, x, d), t, w in zip(points, at, want, strict=True))
+    one = ST.kde(spark.createDataFrame([(x,) for k, x in rows if k == "a"], "x double"), "x").orderBy("point").collect()
+    assert all(abs(r.density - d) < 1e-12 for r, (_, _, d) in zip(one, got["a"], strict=True))
+    assert ST.kde(spark.createDataFrame([], "x double"), "x").count() == 0
