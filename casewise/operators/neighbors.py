@@ -11,7 +11,7 @@ partitioned by the query id.
 
 The result is exact; how much is skipped depends on the data: clustered data visit few
 cells, and without structure (high-dimensional noise) every cell is visited, as in any
-exact method.  ``approx_knn`` offers Spark ML's LSH as an opt-in approximation.
+exact method.  ``inverted.py`` holds the approximate search.
 
 Ids may be of any orderable type (numbers, text); ties go to the smaller id.
 """
@@ -169,22 +169,6 @@ def knn_join(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", ve
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def approx_knn(queries: DataFrame, refs: DataFrame, k: int, id_col: str = "id", vec_col: str = "vec",
-               bucket_length: float = 2.0, num_tables: int = 3, threshold: float = 10.0):
-    """Opt-in approximate neighbours by random-projection LSH (Spark ML); pairs further
-    apart than ``threshold`` are never made."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    q = queries.select(F.col(id_col).alias("id"), array_to_vector(F.col(vec_col).cast("array<double>")).alias("v"))
-    r = refs.select(F.col(id_col).alias("id"), array_to_vector(F.col(vec_col).cast("array<double>")).alias("v"))
-    lsh = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length,
-                                      numHashTables=num_tables, seed=42).fit(r)
-    pairs = lsh.approxSimilarityJoin(q, r, threshold, distCol="dist") \
-        .select(F.col("datasetA.id").alias("qid"), F.col("datasetB.id").alias("rid"), "dist")
-    w = Window.partitionBy("qid").orderBy("dist", "rid")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def knn_vote(neighbors: DataFrame, ref_labels: DataFrame, id_col: str = "id",
              label_col: str = "label") -> DataFrame:
     """M4: inverse-distance vote; when a neighbour sits at distance 0 only the

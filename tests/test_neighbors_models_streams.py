@@ -7,6 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from casewise.operators import encode as EN
+from casewise.operators import inverted as IV
 from casewise.operators import neighbors as NB
 from casewise.operators import resample as RS
 
@@ -410,14 +411,48 @@ def test_workflow_train_and_score_from_csv(spark, tmp_path):
     assert sum(r["count"] for r in diag) == cases_view(spark, SF_SMALL).count()
 
 
-def test_approx_knn_recall(spark):
-    """The opt-in LSH path returns real neighbours (recall against the exact join)."""
-    df, X, _ = _points(spark, n=200, d=4, seed=9)
-    exact = {(r.qid, r.rid) for r in NB.knn_join(df, df, 3, exclude_self=True).collect()}
-    approx = NB.approx_knn(df.where("id < 50"), df, 4, bucket_length=4.0, num_tables=4).collect()
-    got = {(r.qid, r.rid) for r in approx if r.qid != r.rid}
-    want = {p for p in exact if p[0] < 50}
-    assert len(got & want) / len(want) > 0.8
+def _recall(found, exact):
+    got, want = ({(r.qid, r.rid) for r in rows} for rows in (found, exact))
+    return len(got & want) / len(want)
+
+
+def test_inverted_lists_on_noise_and_on_clusters(spark):
+    """Recall against the exact join, exact distances, the smaller share of lists where there is structure."""
+    rng = np.random.default_rng(5)
+    noise = rng.normal(size=(900, 12))
+    heart = np.concatenate([np.repeat(rng.normal(0, 20, (1, 12)), 300, 0), np.repeat(rng.normal(0, 20, (20, 12)), 30, 0)])
+    clusters = heart + rng.normal(size=heart.shape)  # one cluster holds a third of the rows
+    for x, structured in ((noise, False), (clusters, True)):
+        df = spark.createDataFrame([(f"v{i:03d}", [float(c) for c in v]) for i, v in enumerate(x)], "id string, vec array<double>")
+        model = IV.fit(df, 5, lists=24)
+        assert model.centres.shape == (24, 12) and model.books.shape == (6, 64, 2)
+        found = IV.search(df, df, model, 5, exclude_self=True, block_rows=100).collect()
+        assert _recall(found, NB.knn_join(df, df, 5, exclude_self=True).collect()) >= 0.9
+        assert sorted((r.qid, r["rank"]) for r in found) == sorted((f"v{i:03d}", k) for i in range(len(x)) for k in range(1, 6))
+        at = {f"v{i:03d}": v for i, v in enumerate(x)}
+        assert all(r.dist == pytest.approx(np.linalg.norm(at[r.qid] - at[r.rid]), rel=1e-9) for r in found)
+        if structured:
+            assert model.probes <= 12
+    whole = IV.search(df, df, model, 5, exclude_self=True).collect()
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, found))
+
+
+def test_inverted_lists_edges(spark):
+    df = spark.createDataFrame([(i, [float(i // 4), 1.0, 2.0]) for i in range(8)] + [(99, None)], "id long, vec array<double>")
+    model = IV.fit(df, 2)
+    got = IV.search(df, df, model, 2, exclude_self=True).collect()
+    assert {r.qid for r in got} == set(range(8))
+    assert sorted((r.rid, r.dist) for r in got if r.qid == 0) == [(1, 0.0), (2, 0.0)]
+    assert IV.fit(df.limit(0)) is None and IV.search(df, df.limit(0), None, 2).count() == 0
+    assert IV.search(df.limit(0), df, model, 2).count() == 0
+    one = df.where("id = 3")
+    assert [tuple(r) for r in IV.search(one, one, IV.fit(one, 2), 2).collect()] == [(3, 3, 0.0, 1)]
+
+
+def test_approximate_query_recall(spark):
+    from casewise.plans import QUERIES, load_all
+    load_all()
+    assert _recall(QUERIES["knn_approximate"](spark, SF_SMALL).collect(), QUERIES["knn_join"](spark, SF_SMALL).collect()) >= 0.9
 
 
 def test_reference_grids_sizes():
