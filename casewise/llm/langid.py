@@ -140,6 +140,7 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", landma
     language that occurs is learned at any size.  ``max_languages`` keeps only the commonest.
     """
     train = train.select(F.col(f"`{text_col}`").alias("t"), F.col(f"`{lang_col}`").alias("l")).filter("t is not null and l is not null")
+    train = train.filter(F.col("t").rlike(r"\p{L}"))  # a text without a letter teaches nothing and takes no landmark's place
     rows = _by_hash(train.withColumn("l", F.col("l").cast("string")), sample, "t", "l").groupBy(F.xxhash64("t").alias("h"), "l").agg(F.first("t").alias("t"))
     rows = stored(rows, "langid-sample")
     seen = [r["l"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").collect()][:max_languages]

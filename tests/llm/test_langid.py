@@ -62,3 +62,14 @@ def test_every_language_is_learned_at_any_size(spark):
     kept = langid._by_hash(docs.selectExpr("text as t", "lang as l"), 1000, "t", "l").groupBy("l").agg(F.countDistinct("t")).collect()
     assert len(kept) == 153 and 800 < sum(n for _, n in kept) < 1200 and dict(map(tuple, kept))["fi"] == 3
     assert langid._quota([3, 100, 1], 24) == 20 and langid._quota([1, 2], 9) == float("inf")
+
+
+def test_letterless_texts_take_no_landmarks(spark):
+    real = [(i, f"wort nummer {chr(97 + i % 26) * 3} und mehr" if i % 2 else f"word number {chr(97 + i % 26) * 3} and more", "de" if i % 2 else "en", "s", 9)
+            for i in range(40)]
+    noise = [(100 + i, f"{i} 123 !!", ["de", "en"][i % 2], "s", 9) for i in range(600)]
+    docs = spark.createDataFrame(real + noise, "doc_id long, text string, lang string, source string, n_chars long")
+    model, plain = langid.fit(docs, landmarks=16), langid.fit(docs.filter("doc_id < 100"), landmarks=16)
+    assert model.landmarks.shape[1] == 16 and (model.weights == plain.weights).all()
+    got = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
+    assert all(got[i] == lang for i, _, lang, _, _ in real) and all(got[i] == "und" for i, *_ in noise)
