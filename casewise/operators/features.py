@@ -6,15 +6,16 @@ they are applied with size-checked broadcast joins, never collected as dicts.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.ml import Estimator, Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewise.functions import features as fx
 from casewise.operators.joins import lookup_with_default
 from casewise.operators.quantiles import group_quantiles
+from casewise.operators.stages import TableStage
 from casewise.session import cut_lineage
 
 # Fixed value: added to the group median before dividing.
@@ -39,20 +40,45 @@ def with_annual_wage(df: DataFrame, wage_col: str, unit_col: str, out: str = "an
     return df.withColumn(out, F.lit(None).cast("double"))
 
 
-@dataclass(eq=False)
-class WageFeatureModel(Model):
-    """Fitted wage features: a Spark ML transformer, usable as a pipeline stage."""
-    region_medians: DataFrame | None
-    continent_medians: DataFrame | None
-    global_median: float | None
-    wage_col: str = "prevailing_wage"
-    unit_col: str = "unit_of_wage"
-    region_col: str = "region_of_employment"
-    continent_col: str = "continent"
-    employees_col: str = "no_of_employees"
+class _WageParams(Params):
+    wageCol = Param(Params._dummy(), "wageCol", "wage", TypeConverters.toString)
+    unitCol = Param(Params._dummy(), "unitCol", "unit of the wage", TypeConverters.toString)
+    regionCol = Param(Params._dummy(), "regionCol", "region, key of a median", TypeConverters.toString)
+    continentCol = Param(Params._dummy(), "continentCol", "continent, key of a median", TypeConverters.toString)
+    employeesCol = Param(Params._dummy(), "employeesCol", "number of employees", TypeConverters.toString)
+
+    def _columns(self) -> tuple[str, str, str, str, str]:
+        return tuple(self.getOrDefault(p) for p in (self.wageCol, self.unitCol, self.regionCol, self.continentCol, self.employeesCol))
+
 
-    def __post_init__(self):
+class WageFeatureModel(Model, _WageParams, TableStage):
+    """Fitted wage features: a Spark ML transformer, usable and saved as a pipeline stage.
+
+    The median tables are None where the column was absent at fit time.
+    """
+    globalMedian = Param(Params._dummy(), "globalMedian", "median of all annual wages (unset without any)", TypeConverters.toFloat)
+
+    def __init__(self, region_medians: DataFrame | None = None, continent_medians: DataFrame | None = None,
+                 global_median: float | None = None):
         super().__init__()
+        self.region_medians, self.continent_medians = region_medians, continent_medians
+        if global_median is not None:
+            self._set(globalMedian=global_median)
+
+    @property
+    def global_median(self) -> float | None:
+        return self.getOrDefault(self.globalMedian) if self.isDefined(self.globalMedian) else None
+
+    def _tables(self):
+        return {"region": self.region_medians, "continent": self.continent_medians}
+
+    def _restore(self, tables, stages):
+        self.region_medians, self.continent_medians = tables.get("region"), tables.get("continent")
+
+    @classmethod
+    def load(cls, *where) -> "WageFeatureModel":
+        """``load(path)`` as for any stage; ``load(spark, path)`` also does."""
+        return cls.read().load(where[-1])
 
     def _ratio(self, df: DataFrame, key: str, medians: DataFrame | None, out: str) -> DataFrame:
         if key not in df.columns:
@@ -67,68 +93,37 @@ class WageFeatureModel(Model):
             .drop("__key", "__med")
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        out = with_annual_wage(df, self.wage_col, self.unit_col)
-        if self.employees_col in out.columns:
-            out = out.withColumn("wage_per_employee",
-                                 fx.wage_per_employee(F.col("annual_wage"), self.employees_col))
+        wage, unit, region, continent, employees = self._columns()
+        out = with_annual_wage(df, wage, unit)
+        if employees in out.columns:
+            out = out.withColumn("wage_per_employee", fx.wage_per_employee(F.col("annual_wage"), employees))
         else:
             out = out.withColumn("wage_per_employee", F.lit(None).cast("double"))
-        out = self._ratio(out, self.region_col, self.region_medians, "wage_vs_region_median")
-        out = self._ratio(out, self.continent_col, self.continent_medians, "wage_vs_continent_median")
+        out = self._ratio(out, region, self.region_medians, "wage_vs_region_median")
+        out = self._ratio(out, continent, self.continent_medians, "wage_vs_continent_median")
         for c in fx.LOG_FEATURES:
             if c in out.columns:
                 out = out.withColumn(f"log1p_{c}", fx.log1p_clipped(c))
         return out
 
-    def save(self, path: str) -> None:
-        from pyspark.sql import SparkSession
-        spark = SparkSession.getActiveSession()
-        for name, t in (("region", self.region_medians), ("continent", self.continent_medians)):
-            if t is not None:
-                t.write.mode("overwrite").parquet(f"{path}/{name}_medians")
-        if spark is not None:
-            meta = spark.createDataFrame(
-                [(self.global_median, self.wage_col, self.unit_col, self.region_col,
-                  self.continent_col, self.employees_col)],
-                "global_median double, wage_col string, unit_col string, region_col string, "
-                "continent_col string, employees_col string")
-            meta.write.mode("overwrite").parquet(f"{path}/meta")
 
-    @classmethod
-    def load(cls, spark, path: str) -> "WageFeatureModel":
-        from pyspark.errors import AnalysisException
-
-        def table(name):
-            try:
-                return spark.read.parquet(f"{path}/{name}_medians")
-            except AnalysisException:  # the column was absent at fit time
-                return None
-        m = spark.read.parquet(f"{path}/meta").first()
-        return cls(table("region"), table("continent"),
-                   m["global_median"], m["wage_col"], m["unit_col"], m["region_col"],
-                   m["continent_col"], m["employees_col"])
-
-
-@dataclass(eq=False)
-class WageFeatures(Estimator):
+class WageFeatures(Estimator, _WageParams, DefaultParamsReadable, DefaultParamsWritable):
     """F4 estimator: train-only group medians of the annual wage."""
-    wage_col: str = "prevailing_wage"
-    unit_col: str = "unit_of_wage"
-    region_col: str = "region_of_employment"
-    continent_col: str = "continent"
-    employees_col: str = "no_of_employees"
 
-    def __post_init__(self):
+    def __init__(self, wage_col: str = "prevailing_wage", unit_col: str = "unit_of_wage", region_col: str = "region_of_employment",
+                 continent_col: str = "continent", employees_col: str = "no_of_employees"):
         super().__init__()
+        self._set(wageCol=wage_col, unitCol=unit_col, regionCol=region_col, continentCol=continent_col, employeesCol=employees_col)
 
     def _fit(self, df: DataFrame) -> WageFeatureModel:
         """Global, region and continent medians from ONE pass: every row is
         emitted once per statistic as (kind, key, wage) and the exact group
         quantile runs over (kind, key); the global group is handled by the
         distributed selection when it is large."""
-        base = with_annual_wage(df, self.wage_col, self.unit_col)
+        wage, unit, region, continent, _ = self._columns()
+        base = with_annual_wage(df, wage, unit)
         kinds = [F.struct(F.lit("__all__").alias("kind"), F.lit("").alias("key"))]
-        present = [k for k in (self.region_col, self.continent_col) if k in base.columns]
+        present = [k for k in (region, continent) if k in base.columns]
         for k in present:
             kinds.append(F.struct(F.lit(k).alias("kind"), F.col(k).cast("string").alias("key")))
         rows = base.select(F.explode(F.array(*kinds)).alias("g"), "annual_wage") \
@@ -138,9 +133,7 @@ class WageFeatures(Estimator):
         glob = med.where(F.col("kind") == "__all__").first()
         glob = glob["median"] if glob is not None else None
         tables = {}
-        for key in (self.region_col, self.continent_col):
+        for key in (region, continent):
             tables[key] = (med.where((F.col("kind") == key) & F.col("median").isNotNull()).select("key", "median")
                            if key in present else None)
-        return WageFeatureModel(tables[self.region_col], tables[self.continent_col], glob,
-                                self.wage_col, self.unit_col, self.region_col,
-                                self.continent_col, self.employees_col)
+        return self._copyValues(WageFeatureModel(tables[region], tables[continent], glob))

@@ -14,11 +14,15 @@ from dataclasses import dataclass, field
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasSeed
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casewise.operators import boosting, forests, kernel_svc
 from casewise.operators import metrics as M
+from casewise.operators.stages import TableStage
 from casewise.session import cut_lineage
 
 # Defaults of record of the reference's model families.
@@ -119,20 +123,32 @@ def fit_model(name: str, df: DataFrame, features: str = "features", label: str =
 
 
 # --- M4 as a model ----------------------------------------------------------------
-@dataclass(eq=False)
-class KnnModel(Model):
+class _KnnParams(HasFeaturesCol, HasLabelCol):
+    k = Param(Params._dummy(), "k", "neighbours that vote", TypeConverters.toInt)
+    idCol = Param(Params._dummy(), "idCol", "orders references at equal distance", TypeConverters.toString)
+
+    def getK(self) -> int:
+        return self.getOrDefault(self.k)
+
+
+class KnnModel(Model, _KnnParams, TableStage):
     """Lazy learner: keeps the (population-scaled) training vectors, votes at scoring."""
-    train: DataFrame
-    k: int
-    means: list
-    stds: list
-    features: str = "features"
+    means = Param(Params._dummy(), "means", "means of the training vectors", TypeConverters.toListFloat)
+    stds = Param(Params._dummy(), "stds", "population deviations (0 -> 1)", TypeConverters.toListFloat)
 
-    def __post_init__(self):
+    def __init__(self, train: DataFrame | None = None, k: int = 9, means=(), stds=(), features: str = "features"):
         super().__init__()
+        self.train = train
+        self._set(k=k, means=list(means), stds=list(stds), featuresCol=features)
+
+    def _tables(self):
+        return {"train": self.train}
+
+    def _restore(self, tables, stages):
+        self.train = tables["train"]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return self.score(df, self.features)
+        return self.score(df, self.getFeaturesCol())
 
     @classmethod
     def learn(cls, df: DataFrame, features: str, label: str, k: int, id_col: str = "case_id") -> "KnnModel":
@@ -160,25 +176,22 @@ class KnnModel(Model):
         vec = vector_to_array(features)
         q = df.withColumn("__qid", F.md5(vec.cast("string")))
         once = q.groupBy("__qid").agg(F.first(vec).alias("vec"))
-        qv = self._scale(once.select(F.col("__qid").alias("id"), "vec"), self.means, self.stds)
+        qv = self._scale(once.select(F.col("__qid").alias("id"), "vec"), self.getOrDefault(self.means), self.getOrDefault(self.stds))
         refs = self.train.withColumn("id", F.col("id").cast("string"))
-        prob = knn_class_probability(knn_join(qv, refs, self.k), refs.select("id", "label"))
+        prob = knn_class_probability(knn_join(qv, refs, self.getK()), refs.select("id", "label"))
         return q.join(prob.withColumnRenamed("qid", "__qid"), "__qid", "left").drop("__qid")
 
 
-@dataclass(eq=False)
-class KnnClassifier(Estimator):
+class KnnClassifier(Estimator, _KnnParams, DefaultParamsReadable, DefaultParamsWritable):
     """M4 as a Spark ML estimator."""
-    features: str = "features"
-    label: str = "label"
-    k: int = 9
-    id_col: str = "case_id"
 
-    def __post_init__(self):
+    def __init__(self, features: str = "features", label: str = "label", k: int = 9, id_col: str = "case_id"):
         super().__init__()
+        self._set(featuresCol=features, labelCol=label, k=k, idCol=id_col)
 
     def _fit(self, df: DataFrame) -> KnnModel:
-        return KnnModel.learn(df, self.features, self.label, self.k, self.id_col)
+        m = KnnModel.learn(df, self.getFeaturesCol(), self.getLabelCol(), self.getK(), self.getOrDefault(self.idCol))
+        return self._copyValues(m)
 
 
 # --- M8: AdaBoost (SAMME, binary) with weighted depth-1 trees ---------------------
@@ -222,29 +235,38 @@ def _ada_score(stumps: list, df: DataFrame, features: str) -> DataFrame:
     return out.drop(*[f"__p{i}" for i in range(len(stumps))])
 
 
-@dataclass(eq=False)
-class AdaBoostModel(Model):
+class AdaBoostModel(Model, HasFeaturesCol, TableStage):
     """Weighted depth-1 trees; ``stumps`` holds (tree, weight)."""
-    stumps: list
-    features: str = "features"
+    weights = Param(Params._dummy(), "weights", "weight of each tree's vote", TypeConverters.toListFloat)
 
-    def __post_init__(self):
+    def __init__(self, stumps=(), features: str = "features"):
         super().__init__()
+        self.trees = [t for t, _ in stumps]
+        self._set(weights=[float(a) for _, a in stumps], featuresCol=features)
+
+    @property
+    def stumps(self) -> list:
+        return list(zip(self.trees, self.getOrDefault(self.weights), strict=True))
+
+    def _stages(self):
+        return self.trees
+
+    def _restore(self, tables, stages):
+        self.trees = stages
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return _ada_score(self.stumps, df, self.features)
+        return _ada_score(self.stumps, df, self.getFeaturesCol())
 
 
-@dataclass(eq=False)
-class AdaBoost(Estimator):
+class AdaBoost(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
     """M8 as a Spark ML estimator."""
-    features: str = "features"
-    label: str = "label"
-    rounds: int = 50
-    seed: int = 42
+    rounds = Param(Params._dummy(), "rounds", "boosting rounds", TypeConverters.toInt)
 
-    def __post_init__(self):
+    def __init__(self, features: str = "features", label: str = "label", rounds: int = 50, seed: int = 42):
         super().__init__()
+        self._set(featuresCol=features, labelCol=label, rounds=rounds, seed=seed)
 
     def _fit(self, df: DataFrame) -> AdaBoostModel:
-        return AdaBoostModel(_ada_fit(df, self.features, self.label, self.rounds, self.seed), self.features)
+        features = self.getFeaturesCol()
+        stumps = _ada_fit(df, features, self.getLabelCol(), self.getOrDefault(self.rounds), self.getSeed())
+        return self._copyValues(AdaBoostModel(stumps, features))

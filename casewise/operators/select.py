@@ -285,15 +285,11 @@ class Bundle:
         spark = SparkSession.getActiveSession()
         self.preprocessor.pipeline.write().overwrite().save(f"{path}/preprocessor")
         if self.preprocessor.wage is not None:
-            self.preprocessor.wage.save(f"{path}/wage_features")
+            self.preprocessor.wage.write().overwrite().save(f"{path}/wage_features")
         m = self.model
-        if m.name == "knn":
-            m.model.train.write.mode("overwrite").parquet(f"{path}/model/knn_train")
-            extra = {"k": m.model.k, "means": m.model.means, "stds": m.model.stds}
-        elif m.name == "adaboost":
-            for i, (tree, _) in enumerate(m.model.stumps):
-                tree.write().overwrite().save(f"{path}/model/stump_{i}")
-            extra = {"alphas": [a for _, a in m.model.stumps]}
+        if m.name in ("knn", "adaboost"):
+            m.model.write().overwrite().save(f"{path}/model/stage")
+            extra = {}
         elif m.name in FORESTS + BOOSTERS + ("kernel_svc",):
             m.model.save(f"{path}/model/trees")
             extra = {}
@@ -315,15 +311,11 @@ class Bundle:
         pipe = PipelineModel.load(f"{path}/preprocessor")
         wage = None
         if meta["feature_set"] == "engineered":
-            wage = WageFeatureModel.load(spark, f"{path}/wage_features")
+            wage = WageFeatureModel.load(f"{path}/wage_features")
         pre = Preprocessor(wage, pipe, meta["as_of_year"], meta["feature_set"])
         name, extra = meta["model_name"], meta["extra"]
-        if name == "knn":
-            model = KnnModel(spark.read.parquet(f"{path}/model/knn_train"), extra["k"], extra["means"],
-                             extra["stds"])
-        elif name == "adaboost":
-            model = AdaBoostModel([(C.DecisionTreeClassificationModel.load(f"{path}/model/stump_{i}"), a)
-                                   for i, a in enumerate(extra["alphas"])])
+        if name in ("knn", "adaboost"):
+            model = {"knn": KnnModel, "adaboost": AdaBoostModel}[name].load(f"{path}/model/stage")
         elif name in FORESTS + BOOSTERS + ("kernel_svc",):
             kind = {"kernel_svc": kernel_svc.KernelSvcModel}.get(name, forests.ForestModel if name in FORESTS else boosting.BoostedModel)
             model = kind.load(spark, f"{path}/model/trees")

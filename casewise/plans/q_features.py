@@ -231,18 +231,48 @@ ONEHOT = ["continent", "unit_of_wage", "region_of_employment", "education_of_emp
 POWER = ["company_age", "no_of_employees", "annual_wage", "wage_per_employee"]
 
 
+OTHER = ["prevailing_wage", "wage_vs_region_median", "wage_vs_continent_median", "log1p_annual_wage", "log1p_wage_per_employee",
+         "log1p_company_age", "log1p_no_of_employees", "log1p_prevailing_wage"]
+
+
+def column_transformer_sql() -> str:
+    """Width and sum of the feature vector: each block of categories sums to 1, numbers are imputed, transformed and scaled.
+
+    Not an oracle to the last digit: an exponent that maximises a flat likelihood is known to about eight digits,
+    so sums agree to about 1e-4 of a deviation; a test compares them.
+    """
+    def filled(c):
+        return f"coalesce(CAST({c} AS DOUBLE), median(CAST({c} AS DOUBLE)) OVER ()) AS {c}"
+
+    def scaled(x):
+        return f"({x} - avg({x}) OVER ()) / stddev_pop({x}) OVER ()"
+    logs = {f"log1p_{c}": f"ln(1 + CASE WHEN {c} < 0 THEN 0.0 ELSE CAST({c} AS DOUBLE) END)" for c in FX.LOG_FEATURES}
+    psi = 'CASE WHEN value >= 0 THEN (pow(1 + value, "lambda") - 1) / "lambda" ELSE -(pow(1 - value, 2 - "lambda") - 1) / (2 - "lambda") END'
+    width = " + ".join(f"(SELECT count(DISTINCT {c}) FROM cases)" for c in ONEHOT)
+    return recursive(S.with_cases(
+        f"""SELECT case_id, CAST({width} + {len(POWER) + len(OTHER)} AS INTEGER) AS n_features, power + other + {len(ONEHOT)} AS total
+FROM (SELECT case_id, sum(z) AS power FROM (SELECT case_id, (t - avg(t) OVER w) / stddev_pop(t) OVER w AS z FROM powered WINDOW w AS (PARTITION BY "column"))
+      GROUP BY case_id) JOIN (SELECT case_id, {" + ".join(scaled(c) for c in OTHER)} AS other FROM filled) USING (case_id)""",
+        aw=f"SELECT *, {S.annual()} AS annual_wage, CAST({AS_OF_YEAR} AS DOUBLE) - yr_of_estab AS company_age FROM cases",
+        ratios="""SELECT *, annual_wage / (greatest(CAST(no_of_employees AS DOUBLE), 0.0) + 1.0) AS wage_per_employee,
+       annual_wage / (median(annual_wage) OVER (PARTITION BY region_of_employment) + 1e-9) AS wage_vs_region_median,
+       annual_wage / (median(annual_wage) OVER (PARTITION BY continent) + 1e-9) AS wage_vs_continent_median FROM aw""",
+        logged=f"SELECT *, {', '.join(f'{e} AS {n}' for n, e in logs.items())} FROM ratios",
+        filled=f"SELECT case_id, {', '.join(filled(c) for c in dict.fromkeys(POWER + OTHER))} FROM logged",
+        stacked=" UNION ALL ".join(f"SELECT case_id, '{c}' AS \"column\", {c} AS value FROM filled" for c in POWER),
+        **power_ctes('SELECT "column", value FROM stacked', 30.0),
+        powered=f'SELECT case_id, "column", {psi} AS t FROM stacked JOIN yj_best USING ("column")'))
+
+
 @register("column_transformer")
 def q_column_transformer(spark, sf_dir):
-    """the full preprocessing pipeline fitted on all cases."""
+    """the full preprocessing pipeline fitted on all cases; width and sum of each case's vector."""
     from pyspark.ml.functions import vector_to_array
     df = derived_cases(cases_view(spark, sf_dir))
-    other = [c for c in ("prevailing_wage", "wage_vs_region_median", "wage_vs_continent_median",
-                         "log1p_annual_wage", "log1p_wage_per_employee", "log1p_company_age",
-                         "log1p_no_of_employees", "log1p_prevailing_wage")]
-    pipe = EN.column_transformer(ONEHOT, POWER, other)
+    pipe = EN.column_transformer(ONEHOT, POWER, OTHER)
     out = pipe.fit(df).transform(df)
-    return out.select("case_id", F.size(vector_to_array("features")).alias("n_features"),
-                      F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, b: a + b).alias("total"))
+    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, b: a + b)
+    return out.select("case_id", F.size(vector_to_array("features")).alias("n_features"), total.alias("total"))
 
 
 def derived_cases(df):

@@ -519,3 +519,76 @@ def test_own_learners_are_ml_stages(spark):
     assert sorted(map(tuple, same.collect())) == sorted(map(tuple, again.collect()))
     wages = spark.createDataFrame([("A", "Year", 10.0, 5, "r")] * 3, "continent string, unit_of_wage string, prevailing_wage double, no_of_employees int, region_of_employment string")
     assert "wage_vs_region_median" in Pipeline(stages=[WageFeatures()]).fit(wages).transform(wages).columns
+
+
+def test_stages_with_tables_are_saved_in_a_pipeline(spark, tmp_path):
+    """A PipelineModel holding wage features, KNN or AdaBoost gives equal rows once saved and loaded; so do the estimators."""
+    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml.functions import array_to_vector
+    from casewise.operators.features import WageFeatures
+    from casewise.operators.models import AdaBoost, KnnClassifier
+    df, X, y = _points(spark, n=60, d=3, seed=4)
+    df = df.select(F.col("id").alias("case_id"), array_to_vector("vec").alias("inputs"), F.col("label").alias("target"))
+    wages = spark.createDataFrame([(i, "AB"[i % 2], "Year", 10.0 * i, 5, None) for i in range(1, 9)], "case_id int, continent string, "
+                                  "unit_of_wage string, prevailing_wage double, no_of_employees int, region_of_employment string")
+    cases = [(KnnClassifier("inputs", "target", k=3), df, ["score"]), (AdaBoost("inputs", "target", rounds=4, seed=1), df, ["score"]),
+             (WageFeatures(), wages, ["wage_vs_continent_median", "wage_vs_region_median"]),
+             (WageFeatures(), wages.drop("continent", "unit_of_wage", "prevailing_wage"), ["wage_per_employee", "wage_vs_continent_median"])]
+    for i, (est, rows, cols) in enumerate(cases):
+        Pipeline(stages=[est]).write().save(str(tmp_path / f"e{i}"))
+        fitted = Pipeline.load(str(tmp_path / f"e{i}")).fit(rows)
+        fitted.write().overwrite().save(str(tmp_path / f"m{i}"))
+        back = PipelineModel.load(str(tmp_path / f"m{i}"))
+        want, got = (sorted(map(tuple, m.transform(rows).select("case_id", *cols).collect())) for m in (Pipeline(stages=[est]).fit(rows), back))
+        assert got == want and len(got) == rows.count()
+        with pytest.raises(ValueError):
+            back.stages[0].write().overwrite().save(back.stages[0].saved_at)
+
+
+def test_own_learners_are_tuned(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+    from casewise.operators.models import KnnClassifier
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=2).tolist(), int(i % 4 == 0)) for i in range(80)]  # no structure: one neighbour is worse than many
+    df = spark.createDataFrame(rows, "case_id int, vec array<double>, label int")
+    df = df.select("case_id", array_to_vector("vec").alias("features"), F.col("label").cast("double").alias("label"))
+    knn = KnnClassifier()
+    grid = ParamGridBuilder().addGrid(knn.k, [1, 15]).build()
+    cv = CrossValidator(estimator=knn, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(rawPredictionCol="score"), numFolds=2, seed=1)
+    best = cv.fit(df)
+    assert len(best.avgMetrics) == 2 and best.avgMetrics[0] != best.avgMetrics[1]
+    assert best.bestModel.getK() == [1, 15][int(np.argmax(best.avgMetrics))]
+
+
+def test_bundle_keeps_knn_and_adaboost(spark, tmp_path):
+    from casewise.operators import models as MD
+    from casewise.operators import select as SL
+    from casewise.operators.features import WageFeatures
+    cases = [(i, ["Year", "Month"][i % 2], float(5 * i % 37 + 1), i % 11, 1990 + i % 9, int(i % 3 == 0)) for i in range(60)]
+    df = spark.createDataFrame(cases, "case_id int, unit_of_wage string, prevailing_wage double, no_of_employees int, yr_of_estab int, label int")
+    wage = WageFeatures().fit(df)
+    pipe = EN.column_transformer([], ["no_of_employees"], ["prevailing_wage", "wage_per_employee"]).fit(wage.transform(df))
+    pre = SL.Preprocessor(wage, pipe, 2025, "engineered")
+    feats = pre.transform(df).select("case_id", "features", "label")
+    for name, params in (("knn", {"k": 3}), ("adaboost", {"rounds": 3})):
+        bundle = SL.Bundle(pre, MD.fit_model(name, feats, params=params), 0.5, "F", "O", "case_status")
+        bundle.save(str(tmp_path / name))
+        back = SL.Bundle.load(spark, str(tmp_path / name))
+        a, b = (sorted(map(tuple, m.score(df).select("case_id", "score", "pred").collect())) for m in (bundle, back))
+        assert a == b and len(a) == 60
+
+
+def test_column_transformer_equals_sql(spark):
+    """Width exactly, sums of the vectors within what the flat likelihood of the power transform allows."""
+    import duckdb
+    from casewise.plans.catalog import QUERIES, load_all
+    from casewise.plans.q_features import column_transformer_sql
+    load_all()
+    con = duckdb.connect()
+    for t in ("orders", "customer", "nation", "region"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
+    want = {i: (n, t) for i, n, t in con.sql(column_transformer_sql()).fetchall()}
+    got = {r.case_id: (r.n_features, r.total) for r in QUERIES["column_transformer"](spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys() and all(got[i][0] == n and abs(got[i][1] - t) < 1e-3 for i, (n, t) in want.items())
