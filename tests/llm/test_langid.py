@@ -1,6 +1,8 @@
 import random
 
 import numpy as np
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from casewise.llm import langid
@@ -73,3 +75,48 @@ def test_letterless_texts_take_no_landmarks(spark):
     assert model.landmarks.shape[1] == 16 and (model.weights == plain.weights).all()
     got = {r.doc_id: r.lang_pred for r in langid.predict(docs, model).collect()}
     assert all(got[i] == lang for i, _, lang, _, _ in real) and all(got[i] == "und" for i, *_ in noise)
+
+
+def slow_scores(train, langs, texts, landmarks, ridge):
+    """Scores of ``texts`` by sets of n-grams and full kernel matrices: regression of all training texts on the landmarks."""
+    def grams(t):
+        s = " " + " ".join("".join(c if c.isalpha() else " " for c in t.lower()).split()) + " "
+        return {s[i:i + n] for n in (1, 2, 3) for i in range(len(s) - n + 1)}
+
+    def place(t):
+        h = xxhash.xxh64_intdigest(t.encode(), 42)
+        return h - (1 << 64) if h >> 63 else h
+    names = sorted(set(langs))
+    marks = [grams(t) for name in names for t in sorted((t for t, g in zip(train, langs, strict=True) if g == name), key=place)[:landmarks // len(names)]]
+    known = set().union(*marks)
+
+    def kernels(ts):
+        return np.array([[len(grams(t) & m) / np.sqrt(max(1, len(grams(t) & known)) * len(m)) for m in marks] for t in ts])
+    k, own = kernels(train), np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in marks] for a in marks])
+    y = np.array([[1.0 if g == name else -1.0 for name in names] for g in langs])
+    w = np.linalg.solve(k.T @ k + len(train) * (ridge * own + 1e-6 * np.eye(len(marks))), k.T @ y)
+    return names, kernels(texts) @ w
+
+
+@pytest.mark.parametrize("landmarks", [12, 400])
+def test_equals_ridge_on_full_kernels(spark, landmarks):
+    rnd = random.Random(5)
+    vocabulary = {"en": "the cat sat on a mat and then it went out of here again", "de": "der hund und die katze sind nicht hier sondern dort drüben",
+                  "fr": "le chat est assis sur la natte et puis il s'en va là-bas"}
+    rows = []
+    for i in range(90):
+        lang = sorted(vocabulary)[i % 3]
+        own = rnd.choices(vocabulary[lang].split(), k=rnd.randint(3, 25))
+        mixed = rnd.choices(" ".join(vocabulary.values()).split(), k=rnd.randint(0, 6))
+        rows.append((i, " ".join(own + mixed) + f" {i}, x{chr(97 + i % 26)}{chr(97 + i // 26)}!", lang, None, 0))
+    train, rest = rows[:60], rows[60:]
+    model = langid.fit(spark.createDataFrame(train, DOC_SCHEMA), landmarks=landmarks, ridge=0.01)
+    names, f = slow_scores([r[1] for r in train], [r[2] for r in train], [r[1] for r in rows], landmarks, 0.01)
+    assert names == model.languages and model.landmarks.shape[1] == min(landmarks, 60)
+    assert np.abs(model.scores([r[1] for r in rows])[0] - f).max() < 2e-3  # the operator holds weights in 32 bits
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(spark.createDataFrame(rows, DOC_SCHEMA), model).collect()}
+    assert len(got) == len(train) + len(rest)
+    for (i, *_), row in zip(rows, f, strict=True):
+        assert abs(got[i][1] - min(1.0, max(0.0, (1 + row.max()) / 2))) < 2e-3
+        if np.diff(np.sort(row))[-1] > 5e-3:
+            assert got[i][0] == names[int(row.argmax())]

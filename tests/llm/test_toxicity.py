@@ -1,3 +1,11 @@
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from casewise.llm import toxicity as T
@@ -40,3 +48,92 @@ def test_edges(spark):
         only = T.fit(docs, labels.filter(F.col("toxic") == y))
         assert {r.score for r in T.score(docs, only).collect()} == {prior}
     assert {r.score for r in T.score(docs, T.fit(docs, labels.limit(0))).collect()} == {0.0}
+
+
+def place(text):
+    h = xxhash.xxh64_intdigest(text.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def slow_lexicon(rows):
+    """Entry -> log-odds, counted one entry at a time over (text, label) rows."""
+    texts = [({u for w in set(re.findall("[a-z0-9]+", t.lower())) for u in [w, *("^" + w[:k] for k in (3, 4, 5, 6) if len(w) >= k)]}, y)
+             for t, y in rows]
+    toxic, clean = sum(y for _, y in rows), sum(1 - y for _, y in rows)
+    out = {}
+    for u in set().union(*(us for us, _ in texts)):
+        a, b = (sum(u in us for us, y in texts if y == k) for k in (1, 0))
+        if a < max(2, 0.01 * toxic):
+            continue
+        pa, pb, qa, qb = a + 0.5, b + 0.5, toxic + 0.5 - a, clean + 0.5 - b
+        odds = math.log(pa / qa) - math.log(pb / qb)
+        if odds > 0.7 and odds / math.sqrt(1 / pa + 1 / pb + 1 / qa + 1 / qb) > 2.5:
+            out[u] = odds
+    return out
+
+
+def slow_features(text, lexicon):
+    """Some of the dense features by their definitions, word by word."""
+    raw = re.findall("[A-Za-z0-9]+", text)
+    words = [w.lower() for w in raw]
+
+    def weight(w):
+        return max([lexicon.get(u, 0.0) for u in [w, *("^" + w[:k] for k in (3, 4, 5, 6) if len(w) >= k)]])
+    n, v = len(words), [weight(w) for w in words]
+    seeds = [w in T.SEED_WORDS for w in words]
+    hit = [x >= 3 or s for x, s in zip(v, seeds, strict=True)]
+    you = [i for i, w in enumerate(words) if w in T.SECOND_PERSON]
+    return {"strong": sum(x >= 3 for x in v) / n, "medium": sum(1.5 <= x < 3 for x in v) / n, "weak": sum(0 < x < 1.5 for x in v) / n,
+            "strong_hits": math.log1p(len({w for w, x in zip(words, v, strict=True) if x >= 3})), "top": max(v), "mean": sum(v) / n,
+            "seed": sum(seeds) / n, "second_person": len(you) / n, "near": sum(any(hit[max(0, i - 3):i + 4]) for i in you) / n,
+            "capitals": sum(c.isupper() for c in text) / sum(map(len, raw)), "shouted": sum(w.isupper() and len(w) > 1 for w in raw) / n,
+            "exclaim": text.count("!") / n, "punctuation": sum(c in ".,!?" for c in text) / len(text), "words": math.log1p(n),
+            "word_length": sum(map(len, raw)) / n, "distinct": len(set(words)) / n}
+
+
+def slow_isotonic(x, y, at):
+    """The least-squares ascending fit by its max-min formula over runs of distinct x, between them on straight lines."""
+    xs = sorted(set(x))
+    total = [(sum(b for a, b in zip(x, y, strict=True) if a == v), x.count(v)) for v in xs]
+
+    def mean(i, j):
+        return sum(s for s, _ in total[i:j + 1]) / sum(n for _, n in total[i:j + 1])
+    fit = [max(min(mean(a, b) for b in range(i, len(xs))) for a in range(i + 1)) for i in range(len(xs))]
+    return np.interp(at, xs, fit)
+
+
+def test_equals_plain_steps(spark):
+    """Lexicon, features, boosted margins and calibration, each against its definition."""
+    rnd = random.Random(11)
+    calm, rude = "river stone quiet morning paper window garden letter you table summer".split(), "vortig skell idiot moron grumph you blatherer".split()
+    rows = []
+    for i in range(500):
+        toxic = i % 3 == 0
+        words = rnd.choices(calm, k=rnd.randint(4, 20)) + rnd.choices(rude, k=rnd.randint(1, 4) if toxic else int(rnd.random() < 0.15))
+        rnd.shuffle(words)
+        words = [w.upper() if rnd.random() < 0.1 else w for w in words]
+        rows.append((i, " ".join(words) + rnd.choice([".", "!", "!!", " ?"]) + f" nr{i}", int(toxic != (rnd.random() < 0.08))))
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t, _ in rows], DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, y, 1) for i, _, y in rows], "doc_id long, toxic int, quality int")
+    model = T.fit(docs, labels, rounds=4, depth=2)
+
+    part = {i: (place(t) >> 7) % 10 for i, t, _ in rows}
+    lexicon = slow_lexicon([(t, y) for i, t, y in rows if part[i] < 4])
+    assert model.lexicon.weights.keys() == lexicon.keys() and len(lexicon) > 5
+    assert all(model.lexicon.weights[u] == pytest.approx(w, abs=1e-9) for u, w in lexicon.items())
+
+    x = {i: T.Lexicon(lexicon).features(t) for i, t, _ in rows}
+    for i, t, _ in rows:
+        own = dict(zip(T.FEATURES, x[i], strict=True))
+        assert all(own[k] == pytest.approx(v, abs=1e-9) for k, v in slow_features(t, lexicon).items())
+
+    trees, shares = model.trees.trees, model.trees.treeWeights
+    some = [r for r in rows if part[r[0]] > 7 or r[0] % 4 == 0]
+    raw = {i: 1 / (1 + math.exp(-2 * sum(w * tree.predict(Vectors.dense(x[i])) for tree, w in zip(trees, shares, strict=True)))) for i, _, _ in some}
+    base = [(round(raw[i], 12), y) for i, _, y in rows if part[i] > 7]
+    assert len({y for _, y in base}) == 2 and len({v for v, _ in base}) > 3
+    want = slow_isotonic([v for v, _ in base], [y for _, y in base], [raw[i] for i, *_ in some])
+    got = {r.doc_id: r.score for r in T.score(docs, model).collect()}
+    assert len(got) == 500
+    for (i, *_), s in zip(some, want, strict=True):
+        assert got[i] == pytest.approx(0.999 * s + 0.001 * raw[i], abs=1e-6)
