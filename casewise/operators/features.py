@@ -72,7 +72,7 @@ class WageFeatureModel(Model, _WageParams, TableStage):
     def _tables(self):
         return {"region": self.region_medians, "continent": self.continent_medians}
 
-    def _restore(self, tables, stages):
+    def _restore(self, tables):
         self.region_medians, self.continent_medians = tables.get("region"), tables.get("continent")
 
     @classmethod

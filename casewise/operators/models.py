@@ -8,7 +8,6 @@ or passed through a sigmoid (row-wise / streaming scoring).
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model
@@ -20,7 +19,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casewise.operators import boosting, forests, kernel_svc
+from casewise.operators import adaboost, boosting, forests, kernel_svc
 from casewise.operators import metrics as M
 from casewise.operators.stages import TableStage
 from casewise.session import cut_lineage
@@ -144,7 +143,7 @@ class KnnModel(Model, _KnnParams, TableStage):
     def _tables(self):
         return {"train": self.train}
 
-    def _restore(self, tables, stages):
+    def _restore(self, tables):
         self.train = tables["train"]
 
     def _transform(self, df: DataFrame) -> DataFrame:
@@ -194,68 +193,27 @@ class KnnClassifier(Estimator, _KnnParams, DefaultParamsReadable, DefaultParamsW
         return self._copyValues(m)
 
 
-# --- M8: AdaBoost (SAMME, binary) with weighted depth-1 trees ---------------------
-def _ada_fit(df: DataFrame, features: str, label: str, rounds: int, seed: int) -> list:
-    n = df.count()
-    data = df.select(features, label).withColumn("__w", F.lit(1.0 / n))
-    stumps = []
-    for _ in range(rounds):
-        data = cut_lineage(data)  # one lineage cut per boosting round
-        tree = DecisionTreeClassifier(featuresCol=features, labelCol=label, weightCol="__w",
-                                      maxDepth=1, seed=seed).fit(data)
-        pred = tree.transform(data).withColumn("__miss", (F.col("prediction") != F.col(label)).cast("double"))
-        err = pred.agg((F.sum(F.col("__w") * F.col("__miss")) / F.sum("__w")).alias("e")).first()["e"]
-        if err is None or err >= 0.5:
-            break
-        err = max(err, 1e-10)
-        alpha = math.log((1 - err) / err)
-        stumps.append((tree, alpha))
-        data = pred.withColumn("__w", F.col("__w") * F.exp(F.lit(alpha) * F.col("__miss"))) \
-            .select(features, label, "__w")
-        total = data.agg(F.sum("__w")).first()[0]
-        data = data.withColumn("__w", F.col("__w") / F.lit(total))
-        if err <= 1e-10:
-            break
-    return stumps
-
-
-def _ada_score(stumps: list, df: DataFrame, features: str) -> DataFrame:
-    """Share of the weighted vote for class 1."""
-    if not stumps:
-        return df.withColumn("score", F.lit(0.5))
-    out = df
-    total = sum(a for _, a in stumps)
-    acc = F.lit(0.0)
-    for i, (tree, alpha) in enumerate(stumps):
-        tree = tree.copy().setPredictionCol(f"__p{i}").setProbabilityCol(f"__pr{i}") \
-            .setRawPredictionCol(f"__r{i}")
-        out = tree.transform(out).drop(f"__pr{i}", f"__r{i}")
-        acc = acc + F.lit(alpha) * F.col(f"__p{i}")
-    out = out.withColumn("score", acc / F.lit(total))
-    return out.drop(*[f"__p{i}" for i in range(len(stumps))])
-
-
-class AdaBoostModel(Model, HasFeaturesCol, TableStage):
-    """Weighted depth-1 trees; ``stumps`` holds (tree, weight)."""
-    weights = Param(Params._dummy(), "weights", "weight of each tree's vote", TypeConverters.toListFloat)
+# --- M8 ---------------------------------------------------------------------------
+class AdaBoostModel(Model, HasFeaturesCol, DefaultParamsReadable, DefaultParamsWritable):
+    """One-cut trees and their votes, one entry a round in each list."""
+    inputs = Param(Params._dummy(), "inputs", "feature that is cut", TypeConverters.toListInt)
+    cuts = Param(Params._dummy(), "cuts", "last value on the left", TypeConverters.toListFloat)
+    lefts = Param(Params._dummy(), "lefts", "class on the left", TypeConverters.toListInt)
+    rights = Param(Params._dummy(), "rights", "class on the right", TypeConverters.toListInt)
+    votes = Param(Params._dummy(), "votes", "weight of the vote", TypeConverters.toListFloat)
 
     def __init__(self, stumps=(), features: str = "features"):
         super().__init__()
-        self.trees = [t for t, _ in stumps]
-        self._set(weights=[float(a) for _, a in stumps], featuresCol=features)
+        lists = zip(*stumps, strict=True) if stumps else [()] * 5
+        names = ("inputs", "cuts", "lefts", "rights", "votes")
+        self._set(featuresCol=features, **{n: list(v) for n, v in zip(names, lists, strict=True)})
 
     @property
-    def stumps(self) -> list:
-        return list(zip(self.trees, self.getOrDefault(self.weights), strict=True))
-
-    def _stages(self):
-        return self.trees
-
-    def _restore(self, tables, stages):
-        self.trees = stages
+    def stumps(self) -> list[tuple]:
+        return list(zip(*(self.getOrDefault(p) for p in (self.inputs, self.cuts, self.lefts, self.rights, self.votes)), strict=True))
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return _ada_score(self.stumps, df, self.getFeaturesCol())
+        return adaboost.score(df, self.getFeaturesCol(), self.stumps)
 
 
 class AdaBoost(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -268,5 +226,5 @@ class AdaBoost(Estimator, HasFeaturesCol, HasLabelCol, HasSeed, DefaultParamsRea
 
     def _fit(self, df: DataFrame) -> AdaBoostModel:
         features = self.getFeaturesCol()
-        stumps = _ada_fit(df, features, self.getLabelCol(), self.getOrDefault(self.rounds), self.getSeed())
+        stumps = adaboost.fit(df, features, self.getLabelCol(), self.getOrDefault(self.rounds), self.getSeed())
         return self._copyValues(AdaBoostModel(stumps, features))

@@ -1,9 +1,8 @@
-"""Saving and loading of fitted Spark ML stages whose state is tables or further stages.
+"""Saving and loading of fitted Spark ML stages whose state is one or more tables.
 
 Numbers and column names of such a stage are ``Params`` and go into its metadata, as for any
-stage.  Its tables become Parquet folders next to them, written by Spark and never collected;
-its inner stages are saved by their own writers.  So a ``PipelineModel`` that holds the stage
-can be saved, and ``CrossValidator`` can tune its estimator.
+stage.  Its tables become Parquet folders next to them, written by Spark and never collected.
+So a ``PipelineModel`` that holds the stage can be saved, and ``CrossValidator`` can tune its estimator.
 
 A loaded stage reads its tables where they were saved: saving it over its own folder is an error.
 """
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame
 
 
 class TableStage(MLWritable, MLReadable):
-    """Mixin of a model: ``_tables`` and ``_stages`` give its state, ``_restore`` takes it back.
+    """Mixin of a model: ``_tables`` gives its state, ``_restore`` takes it back.
 
     The class must be constructible without arguments.
     """
@@ -25,10 +24,7 @@ class TableStage(MLWritable, MLReadable):
     def _tables(self) -> dict[str, DataFrame | None]:
         return {}
 
-    def _stages(self) -> list:
-        return []
-
-    def _restore(self, tables: dict[str, DataFrame], stages: list) -> None:
+    def _restore(self, tables: dict[str, DataFrame]) -> None:
         raise NotImplementedError
 
     def write(self) -> TableStageWriter:
@@ -52,13 +48,9 @@ class TableStageWriter(MLWriter):
 
     def saveImpl(self, path: str) -> None:
         tables = {name: t for name, t in self.stage._tables().items() if t is not None}
-        inner = self.stage._stages()
-        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession,
-                                         extraMetadata={"tables": sorted(tables), "stages": len(inner)})
+        DefaultParamsWriter.saveMetadata(self.stage, path, self.sparkSession, extraMetadata={"tables": sorted(tables)})
         for name, t in tables.items():
             t.write.parquet(f"{path}/tables/{name}")
-        for i, s in enumerate(inner):
-            s.write().save(f"{path}/stages/{i}")
 
 
 class TableStageReader(MLReader):
@@ -72,7 +64,6 @@ class TableStageReader(MLReader):
         stage = self.cls()
         stage._resetUid(meta["uid"])
         DefaultParamsReader.getAndSetParams(stage, meta)
-        stage._restore({name: spark.read.parquet(f"{path}/tables/{name}") for name in meta["tables"]},
-                       [DefaultParamsReader.loadParamsInstance(f"{path}/stages/{i}", spark) for i in range(meta["stages"])])
+        stage._restore({name: spark.read.parquet(f"{path}/tables/{name}") for name in meta["tables"]})
         stage.saved_at = path
         return stage

@@ -1,5 +1,7 @@
 """Tree learners: against plain NumPy, and both ways (in tasks, by passes) against each other."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -285,3 +287,62 @@ def test_kernel_machine_equals_exact_solver_and_separates_a_ring(spark, tmp_path
     assert ((scores(few, df) > 0.5) == y).mean() > 0.97
     m.save(str(tmp_path / "s"))
     assert np.abs(scores(KS.KernelSvcModel.load(spark, str(tmp_path / "s")), df) - scores(m, df)).max() < 1e-12
+
+
+def slow_adaboost(x, y, rounds):
+    """Plain boosting: every cut of every feature tried on float weights."""
+    w, out = np.ones(len(y)) / len(y), []
+    for _ in range(rounds):
+        best = None
+        for f in range(x.shape[1]):
+            v = np.unique(x[~np.isnan(x[:, f]), f])
+            for cut in [*((v[:-1] + v[1:]) / 2), *([math.inf] if np.isnan(x[:, f]).any() else [])]:
+                left = x[:, f] <= cut
+                sides = [[w[s & (y == k)].sum() for k in (0, 1)] for s in (left, ~left)]
+                purity = sum((a * a + b * b) / (a + b) for a, b in sides)
+                if best is None or purity > best[0] + 1e-12:
+                    best = (purity, f, cut, *(int(b > a) for a, b in sides))
+        _, f, cut, a, b = best
+        miss = np.where(x[:, f] <= cut, a, b) != y
+        error = w[miss].sum() / w.sum()
+        if error >= 0.5:
+            break
+        vote = math.log((1 - max(error, 1e-10)) / max(error, 1e-10))
+        out.append((f, cut, a, b, vote))
+        if error <= 1e-10:
+            break
+        w = w * np.exp(vote * miss)
+        w /= w.sum()
+    return out
+
+
+def test_adaboost_equals_plain_boosting(spark, monkeypatch):
+    from casewise.operators import adaboost, binned
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(150, 3)).round(3)
+    x[::9, 1] = np.nan
+    y = ((x[:, 0] + np.nan_to_num(x[:, 1], nan=1.5) ** 2 + 0.5 * rng.normal(size=150)) > 0.8).astype(int)
+    df = spark.createDataFrame([(i, v.tolist(), int(k)) for i, (v, k) in enumerate(zip(x, y, strict=True))], "case_id int, features array<double>, label int").repartition(5)
+    want = slow_adaboost(x, y, 12)
+    got = adaboost.fit(df, "features", "label", 12)
+    assert len(got) == len(want) == 12
+    for a, b in zip(got, want, strict=True):
+        assert a[0] == b[0] and a[2:4] == b[2:4] and (a[1] == b[1] or a[1] == pytest.approx(b[1], abs=1e-9)) and a[4] == pytest.approx(b[4], abs=1e-4)
+    total = sum(s[4] for s in want)
+    votes = sum(s[4] * np.where(x[:, s[0]] <= s[1], s[2], s[3]) for s in want) / total
+    scores = {r.case_id: r.score for r in adaboost.score(df, "features", got).collect()}
+    assert all(scores[i] == pytest.approx(v, abs=1e-4) for i, v in enumerate(votes))
+    monkeypatch.setattr(binned, "HELD", 0)
+    assert adaboost.fit(df, "features", "label", 12) == got
+
+
+def test_adaboost_edges(spark):
+    from casewise.operators import adaboost
+    df = spark.createDataFrame([(i, [float(i), 1.0], int(i > 3)) for i in range(8)], "case_id int, features array<double>, label int")
+    assert len(adaboost.fit(df, "features", "label", 9)) == 1  # one cut makes no error
+    same = df.withColumn("features", F.array(F.lit(1.0)))
+    assert adaboost.fit(same, "features", "label", 9) == []  # nothing to cut, classes even
+    one = adaboost.fit(same.withColumn("label", F.lit(1)), "features", "label", 9)
+    assert {r.score for r in adaboost.score(same, "features", one).collect()} == {1.0}
+    assert adaboost.fit(df.limit(0), "features", "label", 9) == []
+    assert {r.score for r in adaboost.score(df, "features", []).collect()} == {0.5}
