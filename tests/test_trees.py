@@ -346,3 +346,21 @@ def test_adaboost_edges(spark):
     assert {r.score for r in adaboost.score(same, "features", one).collect()} == {1.0}
     assert adaboost.fit(df.limit(0), "features", "label", 9) == []
     assert {r.score for r in adaboost.score(df, "features", []).collect()} == {0.5}
+
+
+def test_two_code_features_are_not_sorted_and_columns_are_laid_out_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.integers(3, 5, 200), rng.integers(0, 2, 200), np.full(200, 9), np.where(rng.random(200) < 0.3, MISSING, 0)]).astype(np.uint8)
+    y, uid = rng.integers(0, 2, 200), rng.integers(-2**62, 2**62, 200)
+    o = FO.Options(looks="all")
+    w, key = FO.weights(o, 1, uid), FO.root_key(o, 1)
+
+    def sort(*_):
+        raise AssertionError("sorted")
+    monkeypatch.setattr(FO, "_best_cuts", sort)
+    p = FO.grow(x, y, w, key, o, columns=FO.Columns(x))
+    leaf = p.nodes(x)
+    assert len(set(leaf)) == len({tuple(r) for r in x[w > 0]})  # no two kinds of rows share a leaf, as none is pure
+    for n in set(leaf):
+        mine = (leaf == n) & (w > 0)
+        assert p.value[n] == pytest.approx((w * y)[mine].sum() / w[mine].sum())
