@@ -364,3 +364,35 @@ def test_two_code_features_are_not_sorted_and_columns_are_laid_out_once(spark, m
     for n in set(leaf):
         mine = (leaf == n) & (w > 0)
         assert p.value[n] == pytest.approx((w * y)[mine].sum() / w[mine].sum())
+
+
+def test_a_round_reads_the_rows_once_a_level(spark, monkeypatch):
+    """Spread rows: the root's histogram gives the sums too, and without held-out rows no loss is taken."""
+    df, *_ = table(spark, 300, 11)
+    frame, seen = type(df), []
+    real = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, f, schema, *a, **k: (seen.append(schema), real(self, f, schema, *a, **k))[1])
+    o = BO.Options(rounds=2, max_depth=3, max_leaves=None, stopping=False, min_rows=1)
+    two = BO.fit(df, o, held=False)
+    assert [s for s in seen if s.startswith("f int")] and len([s for s in seen if s.startswith(("f int", "g long", "loss"))]) <= 2 * 3
+    assert two.trees == BO.fit(df, o).trees
+
+
+def test_rows_go_on_from_their_nodes():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (500, 4)).astype(np.uint8)
+    x[rng.random(x.shape) < 0.2] = MISSING
+    y = rng.integers(0, 2, 500)
+    o = BO.Options(rounds=3, max_leaves=7, stopping=False, min_rows=2)
+    passes = BO.Held(y, x, np.zeros(500, bool), BO.Layout(Bins([np.arange(8) + 0.5] * 4)), o)
+    total = np.full(500, passes.start)
+    for t in BO.boost(passes, o, False):  # some nodes are split ahead and not kept
+        total += t.arrays()[4][BO.leaves(t.arrays(), x)]
+    assert (passes.score == total).all()
+    halfway = np.zeros(500, np.int64)
+    feature, *rest = t.arrays()
+    top = feature.copy()
+    top[1:] = -1
+    BO.leaves((top, *rest), x, halfway)
+    assert set(halfway) <= {0, t.left[0], t.left[0] + 1}
+    assert (BO.leaves(t.arrays(), x, halfway) == BO.leaves(t.arrays(), x)).all()
