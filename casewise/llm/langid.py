@@ -8,7 +8,7 @@ number of n-grams they share, divided by the root of the product of their counts
   feature space.  Only n-grams of landmarks can be shared with one, so they are the
   vocabulary; counts are taken over it.
 * One-versus-rest kernel ridge regression on the landmarks: the normal equations are
-  sums over training rows, added up per partition and then over partitions.
+  sums over training rows, added up per partition and then, a task per landmark's row, over partitions.
 * Scoring: a batch of texts is a 0/1 matrix, one product with the landmark matrix gives
   all kernels, another one all scores.
 
@@ -29,7 +29,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,12 +182,23 @@ def fit(train: DataFrame, text_col: str = "text", lang_col: str = "lang", landma
                 y = np.array([[1.0 if g == lang else -1.0 for g in languages] for lang in langs[at:at + ROWS]])[has]
                 gram, right, n = gram + z.T @ z, right + z.T @ y, n + len(z)
         if n:
-            yield pa.RecordBatch.from_arrays([pa.array([n]), pa.array([gram.tobytes()]), pa.array([right.tobytes()])], ["n", "gram", "right"])
-
+            part = TaskContext.get().partitionId()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(size), pa.int32()), pa.array([part] * size, pa.int32()), pa.array([n] * size, pa.int64()),
+                 pa.array([x.tobytes() for x in gram], pa.binary()), pa.array([x.tobytes() for x in right], pa.binary())],
+                ["i", "part", "n", "gram", "right"])
+
+    def total(parts: pd.DataFrame) -> pd.DataFrame:
+        """One landmark's row of the sums, added up in the order of the partitions."""
+        parts = parts.sort_values("part")
+        added = {c: [sum(map(np.frombuffer, parts[c])).tobytes()] for c in ("gram", "right")}
+        return pd.DataFrame({"i": parts["i"].iloc[:1].to_numpy(), "n": [parts["n"].sum()], **added})
+
+    # one sum of fixed size reaches the driver, whatever the number of partitions
+    parts = rows.select("t", "l").repartition(16, "t").mapInArrow(sums, "i int, part int, n long, gram binary, right binary")
     gram, right, n = np.zeros((size, size)), np.zeros((size, k)), 0
-    # at most 16 partial sums of fixed size reach the driver
-    for r in rows.select("t", "l").repartition(16, "t").mapInArrow(sums, "n long, gram binary, right binary").collect():
-        gram, right, n = gram + np.frombuffer(r["gram"]).reshape(size, size), right + np.frombuffer(r["right"]).reshape(size, k), n + r["n"]
+    for r in parts.groupBy("i").applyInPandas(total, "i int, n long, gram binary, right binary").collect():
+        gram[r["i"]], right[r["i"]], n = np.frombuffer(r["gram"]), np.frombuffer(r["right"]), r["n"]
     own = (m.T @ m / np.outer(model.root_count, model.root_count)).astype(np.float64)
     model.weights = np.linalg.solve(gram + ridge * n * own + 1e-6 * n * np.eye(size), right).astype(np.float32)
     return model

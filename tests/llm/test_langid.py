@@ -77,6 +77,25 @@ def test_letterless_texts_take_no_landmarks(spark):
     assert all(got[i] == lang for i, _, lang, _, _ in real) and all(got[i] == "und" for i, *_ in noise)
 
 
+def test_one_sum_reaches_the_driver_whatever_the_partitions(spark, monkeypatch):
+    rows = [(i, f"{['the cat sat on the mat', 'der hund und die katze'][i % 2]} {chr(97 + i % 26)}{chr(97 + i // 26)}", ["en", "de"][i % 2], None, 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    plain = langid.fit(docs, landmarks=16)
+    frame, sent = type(docs), []
+    deal, collect = frame.repartition, frame.collect
+
+    def counted(self):
+        out = collect(self)
+        sent.append(sum(len(v) for r in out for v in r if isinstance(v, (bytes, bytearray))))
+        return out
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *by: deal(self, 5 * n, *by))
+    monkeypatch.setattr(frame, "collect", counted)
+    model = langid.fit(docs, landmarks=16)
+    size, k = len(model.root_count), len(model.languages)
+    assert (size, k) == (16, 2) and sum(sent) == 8 * size * (size + k)
+    assert np.abs(model.weights - plain.weights).max() < 1e-4
+
+
 def slow_scores(train, langs, texts, landmarks, ridge):
     """Scores of ``texts`` by sets of n-grams and full kernel matrices: regression of all training texts on the landmarks."""
     def grams(t):
