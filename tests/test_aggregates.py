@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from casewise.functions import columns as C
 from casewise.operators import profile as P
 from casewise.operators import quality as Q
+from casewise.operators import quantiles as QT
 from casewise.operators import stats as ST
 from casewise.operators.prefix import running_totals
 from casewise.operators.quantiles import group_quantiles
@@ -233,3 +234,36 @@ def test_kde_equals_the_sum_over_rows(spark):
     one = ST.kde(spark.createDataFrame([(x,) for k, x in rows if k == "a"], "x double"), "x").orderBy("point").collect()
     assert all(abs(r.density - d) < 1e-12 for r, (_, _, d) in zip(one, got["a"], strict=True))
     assert ST.kde(spark.createDataFrame([], "x double"), "x").count() == 0
+
+
+def test_column_quantile_is_the_group_quantile_of_each_column(spark):
+    rnd = random.Random(3)
+    inf, nan = math.inf, math.nan
+    rows = [(rnd.gauss(0, 1) if i % 7 else None, float(i % 2), rnd.choice([0.0, 0.0, 0.0, 5.0]), rnd.choice([-inf, inf, nan, 1.5, None]),
+             None, int(rnd.expovariate(1) * 1e6), 3.0, float(i)) for i in range(3000)]
+    names = list("abcdefgh")
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double, f long, g double, h double").repartition(5)
+    for part in (df, df.where("h < 2999"), df.where("h < 1"), df.limit(0)):
+        one = part.select(*[F.col(c).cast("double").alias(c) for c in names]).unpivot([], names, "column", "value")
+        for p in (0.5, 0.0, 0.9):
+            want = {r["column"]: r["q"] for r in group_quantiles(one, ["column"], "value", [p], ["q"]).collect()}
+            for sort_rows in (0, 4, 10_000):
+                got = QT.column_quantile(part, names, p, sort_rows)
+                assert list(got) == names and all(got[c] == want.get(c) for c in names), (p, sort_rows, got, want)
+
+
+def test_medians_of_large_tables_store_no_rows(spark, monkeypatch):
+    from casewise.operators import encode as EN
+    df = spark.range(4000).selectExpr("cast(id as double) as x", "cast(id * 7 % 1000 as double) as y", "id % 3 as g").localCheckpoint()
+    plain, stored, held = QT.cut_lineage, [], len(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def noted(part, *more):
+        out = plain(part, *more)
+        stored.append(out.count())
+        return out
+    monkeypatch.setattr(QT, "cut_lineage", noted)
+    monkeypatch.setattr(QT, "DEFAULT_CAP", 100)
+    assert EN.MedianImputer(inputCols=["x", "y"]).fit(df).getOrDefault("fills") == [1999.5, 499.5]
+    assert {r.g: r.m for r in group_quantiles(df, ["g"], "x", [0.5], ["m"], sort_rows=50).collect()} == {0: 1999.5, 1: 1999.0, 2: 2000.0}
+    assert max(stored, default=0) < 100
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == held
